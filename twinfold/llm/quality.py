@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from ..shipping import map_pandas
+from .common import materialise, small_side, table
 
 #: Common words by language; a document's share of each makes its common-word histogram.
 COMMON_WORDS = {
@@ -73,7 +74,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
             found = pd.DataFrame(got, columns=names[len(keep) :], index=part.index)
             yield pd.concat([part, found], axis=1)[names]
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInPandas(run, schema)
+    return map_pandas(docs.select(*keep, F.col(text).alias("__text")), run, schema)
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -85,13 +86,14 @@ def _divergence(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), total(both) / 2))
 
 
-def judged(docs: DataFrame, min_words: int = 50, max_chars: float = 0.30, max_common: float = 0.60, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
+def judged(docs: DataFrame, min_words: int = 50, max_chars: float = 0.30, max_common: float = 0.20, slack: float = 1.0, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
     """Base counts, base_failed, both distances and kept for every document.
 
     The reference of a language is the sum of the histograms of all its documents that pass the base rules and have
     min_words words: one pre-aggregated row for each of the languages in COMMON_WORDS, so its broadcast is bounded. A
     document is turned down by the base rules (under 10 words, or over 20 % of its words in repeated windows), or if
-    it has min_words words and its distance to its language is over max_chars or max_common. Shorter documents and
+    it has min_words words and its distance to its language is over max_chars (characters) or over max_common +
+    slack / sqrt(words) (common words; sampling noise of a histogram falls with the root of its size). Shorter documents and
     those of another or no language get no verdict by divergence and stay. Null text: no words, fails. Repeated rows
     count each. Empty table: empty result. Only the columns in keep come along.
     """
@@ -103,10 +105,17 @@ def judged(docs: DataFrame, min_words: int = 50, max_chars: float = 0.30, max_co
     return (
         rows.join(F.broadcast(reference), "__lang", "left")
         .withColumns({"char_distance": F.when(rated, _divergence(F.col("__chars"), F.col("__ref_chars"))), "common_distance": F.when(rated, _divergence(F.col("__common"), F.col("__ref_common")))})
-        .withColumn("kept", ~F.col("base_failed") & ~far("char_distance", max_chars) & ~far("common_distance", max_common))
+        .withColumn("kept", ~F.col("base_failed") & ~far("char_distance", max_chars) & ~far("common_distance", max_common + slack / F.sqrt("n_words")))
         .drop("__lang", "__chars", "__common", "__ref_chars", "__ref_common")
     )
 
 
+def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs that judged() keeps, all columns as they were. What is turned down is few: only its keys are joined."""
+    keyed = docs.withColumns({"__k1": F.xxhash64(F.col(doc_id), F.col(text)), "__k2": F.xxhash64(F.lit("second"), F.col(doc_id), F.col(text))})
+    bad = judged(keyed, doc_id=doc_id, text=text, keep=("__k1", "__k2"), **options).where("not kept").select("__k1", "__k2").distinct()
+    return keyed.join(small_side(materialise(bad, "turned-down")), ["__k1", "__k2"], "left_anti").select(*docs.columns)
+
+
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), keep=("doc_id",))
