@@ -213,7 +213,8 @@ def read(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
                         rows = []
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids"]).astype({"doc_id": "Int64"})
 
-    return map_pandas(based.repartition(F.col("shard")), run, "doc_id long, start long, n_tokens long, ids binary")
+    tasks = max(1, min(shards.count(), 20_000))  # a number that is asked for isn't coalesced to one task, small as these rows are
+    return map_pandas(based.repartition(tasks, F.col("shard")), run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op10_token_records(spark, sf_dir: str) -> DataFrame:
