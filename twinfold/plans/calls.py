@@ -111,7 +111,7 @@ def _upsert(t):
 
 add("stream_transform", _transform, "calls", "SELECT call_id, resource, status_code = 429 AS limited FROM calls WHERE status_code <> 404")
 add("stream_dedupe_ops", _dedupe, "calls", "SELECT DISTINCT CAST(floor(call_id / 3.0) AS BIGINT) AS operation_id FROM calls")
-add("stream_quota_windows", lambda t: _drain(t, f := _folder(t), Z.stream_quota_windows(_stream(t, f, _calls(t)), "6 hours", "3 hours", "60 days"), "append"))
+add("stream_quota_windows", lambda t: _drain(t, f := _folder(t), Z.stream_quota_windows(_stream(t, f, _calls(t).repartitionByRange(4, "ts")), "6 hours", "3 hours", "1 day"), "append"))
 add("stream_outage_state", _outage, "calls", "SELECT resource, count(*) AS n_calls FROM calls GROUP BY resource")
 add("stream_link_rewrite", _links, "source_blocks token_map", r"""SELECT l.doc_id, l.idx, CASE WHEN m.dst IS NULL THEN l.url ELSE 'https://target.example/wiki/' || m.dst || regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)(.*)$', 2) END AS new_url, m.dst IS NOT NULL AS replaced FROM source_blocks l LEFT JOIN token_map m ON l.url LIKE 'https://source.example/%' AND m.src = regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)', 1) WHERE l.url <> ''""")
 add("stream_cache_upsert", _upsert, "items", "SELECT sha256(text) AS key, max(item_id) AS translated, count(*) AS \"at\" FROM items GROUP BY 1")

@@ -34,8 +34,8 @@ def stream_quota_windows(stream: DataFrame, length: str, slide: str, late: str =
     return stream.withWatermark("ts", late).groupBy(F.window("ts", length, slide), "resource").agg(F.count("*").alias("n_calls")).select("resource", F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n_calls")
 
 
-def stream_outage_state(stream: DataFrame, after: int = 5, rest_s: int = 30) -> DataFrame:
-    """Live state of each resource after each micro-batch; state times out after a day without calls."""
+def stream_outage_state(stream: DataFrame, after: int = 5, rest_s: int = 30, late: str = "1 day") -> DataFrame:
+    """Live state of each resource after each micro-batch; state times out once the watermark is a day past a resource's last call."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -46,11 +46,11 @@ def stream_outage_state(stream: DataFrame, after: int = 5, rest_s: int = 30) ->
         calls = pd.concat(parts).sort_values(["us", "call_id"])
         got = outage_fold(calls["us"].tolist(), calls["ok"].tolist(), now, after, rest_s * 1_000_000)
         state.update((now["state"], now["bad"], now["good"], now["since"]))
-        state.setTimeoutDuration(86_400_000)
+        state.setTimeoutTimestamp(max(int(calls["us"].iloc[-1]) // 1000, state.getCurrentWatermarkMs()) + 86_400_000)
         yield pd.DataFrame({"resource": [key[0]], "state": [now["state"]], "n_calls": [len(got)], "n_suppressed": [sum(s for _, s in got)]})
 
-    rows = stream.select("resource", "call_id", F.unix_micros("ts").alias("us"), "ok")
-    return rows.groupBy("resource").applyInPandasWithState(step, "resource string, state string, n_calls long, n_suppressed long", "state string, bad int, good int, since long", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    rows = stream.withWatermark("ts", late).select("resource", "call_id", "ts", F.unix_micros("ts").alias("us"), "ok")
+    return rows.groupBy("resource").applyInPandasWithState(step, "resource string, state string, n_calls long, n_suppressed long", "state string, bad int, good int, since long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_link_rewrite(stream: DataFrame, mapping: DataFrame, good: str, checkpoint: str) -> StreamingQuery:
