@@ -104,7 +104,9 @@ def _tags(data: bytes) -> tuple[int, dict[str, bytes]]:
 
 
 def parse(data: bytes) -> dict:
-    """Frames, tags, seek table, checksums, exact duration and payload of a stream; junk between frames is skipped by resynchronising."""
+    """Frames, tags, seek table, checksums, exact duration and payload of a stream; junk between frames is skipped by resynchronising.
+
+    A header counts if another of its kind, or the end, follows its frame, if it is like the one before, or if its checksum is right."""
     at, tags = _tags(data)
     stop = len(data) - 128 if data[-128:-125] == b"TAG" else len(data)
     offsets, spans, kbps = [], [], Counter()
@@ -114,7 +116,8 @@ def parse(data: bytes) -> dict:
     while at + 4 <= stop:
         h = word(at)
         follows = h and (at + h[5] == stop or (n := word(at + h[5])) and n[:2] == h[:2] and n[4] == h[4])
-        if not h or at + h[5] > stop or not follows and (before is None or h[:2] != before[:2] or h[4] != before[4]):
+        known = follows or h and before and h[:2] == before[:2] and h[4] == before[4] or h and h[2] and h[1] == 3 and crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + h[7]]) == int.from_bytes(data[at + 4 : at + 6], "big")
+        if not h or at + h[5] > stop or not known:
             nxt = data.find(b"\xff", at + 1, stop)
             skipped += (nxt if nxt >= 0 else stop) - at
             at = nxt if nxt >= 0 else stop
