@@ -41,7 +41,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Mark a materialised table of narrow rows for broadcast if its counted rows are few; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def text_of(col: str = "text") -> Column:
