@@ -243,8 +243,10 @@ def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id:
     filled = rows.where("n > 0")
     sets_seen = filled.groupBy("a", "b").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
     sets_seen = materialise(sets_seen, "sets")
-    nodes = materialise(filled.join(sets_seen.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "k1", "k2", "n", "point", "keys"), "nodes")
-    shown = nodes.select("node", F.explode("keys").alias("key"))
+    copies = materialise(filled.select("row", "a", "b").join(sets_seen.select("a", "b", "node"), ["a", "b"]).where("row <> node").select("row"), "copies")
+    nodes = filled.join(small_side(copies), "row", "left_anti").select(F.col("row").alias("node"), "k1", "k2", "n", "point", "keys")
+    # one exchange by key, written once and read for both the grouping and the join back
+    shown = nodes.select("node", F.explode("keys").alias("key")).repartition("key")
     several = shown.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("size")).where("first < last")
     members = materialise(shown.join(several, "key").select("key", "node", "first", "size"), "members")
     tried = _bounded(members.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct(), nodes, p, q)
