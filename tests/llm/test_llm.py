@@ -164,7 +164,7 @@ def test_links_equal_brute_force(spark, width, p):
 
 def test_tree_finds_what_a_scan_finds():
     rng = np.random.default_rng(5)
-    points = rng.poisson(4, (300, jaccard.GROUPS)).astype("<i4")
+    points = rng.poisson(4, (300, jaccard.GROUPS)).astype(np.int32)
     points[150:] = points[:150] + (rng.random((150, jaccard.GROUPS)) < 0.05)
     sizes, parts = points.sum(1), rng.integers(0, 40, 300)
     tree = jaccard.RTree(points, sizes, parts)

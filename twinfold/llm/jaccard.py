@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from ..shipping import map_pandas
 from .common import materialise, small_side, table
 
-GROUPS = 32
+GROUPS = 256
+_FULL = 65_535
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -45,8 +48,14 @@ def shingles(text: str | None, width: int, hashes: dict) -> np.ndarray:
 
 
 def counts(hashed: np.ndarray) -> np.ndarray:
-    """The point of a set: how many of its shingles fall into each of GROUPS groups."""
-    return np.bincount((hashed & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4")
+    """The point of a set: how many of its shingles fall into each of GROUPS groups, in two bytes each; _FULL stands for any larger count."""
+    return np.minimum(np.bincount((hashed & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), _FULL).astype("<u2")
+
+
+def _points(column) -> np.ndarray:
+    """Stored points as rows; a full count bounds nothing."""
+    rows = np.frombuffer(b"".join(column), dtype="<u2").reshape(-1, GROUPS).astype(np.int32)
+    return np.where(rows == _FULL, 1 << 22, rows) if (rows == _FULL).any() else rows
 
 
 def _cells(n: int, p: int, q: int):
@@ -153,7 +162,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, p: int, q: int) -> DataFrame:
     def run(parts):
         for part in parts:
             if len(part):
-                x, y = (np.frombuffer(b"".join(part[c]), dtype="<i4").reshape(-1, GROUPS) for c in ("p_x", "p_y"))
+                x, y = _points(part["p_x"]), _points(part["p_y"])
                 part = part[(p + q) * np.minimum(x, y).sum(1) >= p * (part["n_x"] + part["n_y"]).to_numpy()]
             yield part[["x", "y"]]
 
@@ -186,39 +195,53 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 def _forest(members: DataFrame, nodes: DataFrame, parts: DataFrame, p: int, q: int, block: int = 512) -> DataFrame:
     """Pairs from keys whose members are in several components: an R-tree for each block of a key's points, asked by the others.
 
-    members: key, node, without keys of fewer than three nodes, whose only pair was tried before. The largest number of
+    members: key, node, without keys of fewer than three nodes, whose only pair was tried before. Of keys with the very
+    same nodes (a passage that the same documents share fills many cells) one is enough. The largest number of
     queries is spared by not asking for the points of one component (the one with the least number): pairs inside it
     need no test, and the others ask about it. A key's points are dealt into blocks, and each query goes to all of
     them, so that no task holds a key whole.
     """
+    same = members.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"), F.count("*").alias("size"))
+    once = same.groupBy("s1", "s2", "size").agg(F.min("key").alias("key")).select("key")
+    members = materialise(members.join(once, "key", "left_semi"), "forest-members")
     placed = members.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("main"), F.max("part").alias("other"), F.count("*").alias("size")).where("main < other").select("key", "main", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     rows = placed.join(mixed, "key").join(nodes.select("node", "n", "point"), "node")
     own = rows.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "asks": F.lit(False)})
     asking = rows.where("part <> main").withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "asks": F.lit(True)})
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        points = np.frombuffer(b"".join(group["point"]), dtype="<i4").reshape(-1, GROUPS)
-        asks, sizes, part, node = (group[c].to_numpy() for c in ("asks", "n", "part", "node"))
-        held = np.flatnonzero(~asks)
+    def solve(points, asks, sizes, part, node) -> np.ndarray:
+        held, asking = np.flatnonzero(~asks), np.flatnonzero(asks)
+        if len(held) <= 64:  # the tree would be a leaf or few: all queries at once, sizes and components first
+            i, j = np.nonzero((part[asking][:, None] != part[held]) & (q * sizes[asking][:, None] >= p * sizes[held]) & (q * sizes[held] >= p * sizes[asking][:, None]))
+            i, j = asking[i], held[j]
+            fits = [(p + q) * np.minimum(points[i[k : k + 4096]], points[j[k : k + 4096]]).sum(1) >= p * (sizes[i[k : k + 4096]] + sizes[j[k : k + 4096]]) for k in range(0, len(i), 4096)]
+            found = np.concatenate(fits) if fits else np.zeros(0, dtype=bool)
+            near, i = node[j[found]], node[i[found]]
+            return np.column_stack([np.minimum(near, i), np.maximum(near, i)])
         tree, out = RTree(points[held], sizes[held], part[held]), []
-        for i in np.flatnonzero(asks):
+        for i in asking:
             near = node[held[tree.near(points[i], sizes[i], part[i], p, q)]]
             out.append(np.column_stack([np.minimum(near, node[i]), np.maximum(near, node[i])]))
-        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64), columns=["x", "y"])
+        return np.unique(np.concatenate(out), axis=0)
 
     def run(batches):
         rest = None
-        for batch in batches:
-            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            ends = np.flatnonzero((rest["key"].to_numpy()[1:] != rest["key"].to_numpy()[:-1]) | (rest["block"].to_numpy()[1:] != rest["block"].to_numpy()[:-1])) + 1
-            for a, b in zip([0, *ends[:-1]], ends, strict=False):
-                if rest["asks"].iloc[a:b].any() and not rest["asks"].iloc[a:b].all():
-                    yield solve(rest.iloc[a:b])
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if rest is None or not len(rest):
+                continue
+            key, block, asks, sizes, part, node = (rest[c].to_numpy() for c in ("key", "block", "asks", "n", "part", "node"))
+            points = _points(rest["point"])
+            ends = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
+            if batch is None:
+                ends = np.append(ends, len(rest))
+            found = [solve(points[a:b], asks[a:b], sizes[a:b], part[a:b], node[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=False) if 0 < asks[a:b].sum() < b - a]
             if len(ends):
-                rest = rest.iloc[ends[-1] :]
-        if rest is not None and len(rest) and rest["asks"].any() and not rest["asks"].all():
-            yield solve(rest)
+                rest = rest.iloc[ends[-1] :].reset_index(drop=True)
+            if found:
+                yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["x", "y"])
 
     dealt = own.unionByName(asking).select("key", "block", "asks", "node", "part", "n", "point").repartition("key", "block").sortWithinPartitions("key", "block")
     return map_pandas(dealt, run, "x long, y long").distinct()
