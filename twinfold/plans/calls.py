@@ -18,12 +18,12 @@ add = R.add
 _CODE = "CASE WHEN code = 99991400 THEN 'rate_limit' WHEN status_code = 429 THEN 'rate_limit' WHEN status_code BETWEEN 500 AND 599 THEN 'server' WHEN status_code IN (401, 403) THEN 'auth' WHEN status_code = 404 THEN 'not_found' ELSE 'unknown' END"
 _MSG = f"CASE WHEN code <> 0 THEN {_CODE} WHEN lower(message) LIKE '%quota%' THEN 'quota' WHEN lower(message) LIKE '%too many%' THEN 'rate_limit' WHEN lower(message) LIKE '%connection%' THEN 'network' ELSE {_CODE} END"
 _PAUSE = "CASE {0} WHEN 'rate_limit' THEN least(2.0 * pow(2, {1}), 60.0) WHEN 'server' THEN least(2.0 * pow(2, {1}), 60.0) WHEN 'unknown' THEN least(1.0 * pow(2, {1}), 30.0) WHEN 'network' THEN least(pow(2, {1}), 30.0) ELSE 0.0 END"
-_cat = A.classify_code(F.col("code"), F.col("status_code"))
-_attempts = lambda t: t.calls.select(F.col("user_id").alias("operation"), "ts", "call_id", "ok", _cat.alias("category"))
+_cat = lambda: A.classify_code(F.col("code"), F.col("status_code"))
+_attempts = lambda t: t.calls.select(F.col("user_id").alias("operation"), "ts", "call_id", "ok", _cat().alias("category"))
 
-add("classify_code", lambda t: t.calls.select("call_id", _cat.alias("category")), "calls", f"SELECT call_id, {_CODE} AS category FROM calls")
+add("classify_code", lambda t: t.calls.select("call_id", _cat().alias("category")), "calls", f"SELECT call_id, {_CODE} AS category FROM calls")
 add("classify_message", lambda t: t.calls.select("call_id", A.classify_message(F.when(F.col("call_id") % 2 == 0, F.col("code")).otherwise(0), F.col("message"), F.col("status_code")).alias("category")), "calls", f"SELECT call_id, {_MSG.replace('code <> 0', 'code <> 0 AND call_id % 2 = 0')} AS category FROM calls")
-add("retry_advice", lambda t: t.calls.select("call_id", A.retry_advice(_cat, F.col("call_id") % 7).alias("a")).select("call_id", "a.retryable", "a.seconds"), "calls", f"WITH c AS (SELECT *, {_CODE} AS category FROM calls) SELECT call_id, category IN ('rate_limit', 'network', 'server', 'quota', 'auth') AS retryable, CAST({_PAUSE.format('category', 'call_id % 7')} AS DOUBLE) AS seconds FROM c")
+add("retry_advice", lambda t: t.calls.select("call_id", A.retry_advice(_cat(), F.col("call_id") % 7).alias("a")).select("call_id", "a.retryable", "a.seconds"), "calls", f"WITH c AS (SELECT *, {_CODE} AS category FROM calls) SELECT call_id, category IN ('rate_limit', 'network', 'server', 'quota', 'auth') AS retryable, CAST({_PAUSE.format('category', 'call_id % 7')} AS DOUBLE) AS seconds FROM c")
 add("retry_outcomes", lambda t: A.retry_outcomes(_attempts(t)), "calls", f"""WITH c AS (SELECT user_id AS operation, ok, {_CODE} AS category, row_number() OVER (PARTITION BY user_id ORDER BY ts, call_id) AS attempt FROM calls),
 e AS (SELECT operation, coalesce(min(attempt) FILTER (ok OR category NOT IN ('rate_limit', 'network', 'server', 'quota', 'auth') OR attempt >= 5), max(attempt)) AS stop FROM c GROUP BY operation)
 SELECT operation, count(*) AS n_attempts, bool_or(ok) AS succeeded, CAST(sum(CASE WHEN ok THEN 0.0 ELSE {_PAUSE.format('category', 'attempt - 1')} END) AS DOUBLE) AS planned_wait FROM c JOIN e USING (operation) WHERE attempt <= stop GROUP BY operation""")

@@ -28,8 +28,8 @@ _status = lambda t: B.sync_status(B.sync_plan_counts(_diff(t)), _res(t))  # noqa
 
 add("block_text_field", lambda t: t.source_blocks.select("doc_id", "idx", B.block_text_field(F.col("block_type")).alias("field")), _SB, "SELECT doc_id, idx, CASE block_type WHEN 2 THEN 'text' WHEN 3 THEN 'heading1' END AS field FROM source_blocks")
 _element = lambda kind, content, title: F.struct(F.lit(kind).alias("kind"), content.alias("content"), F.lit("").alias("url"), F.lit("").alias("token"), title.alias("title"), F.create_map(F.lit("bold"), F.lit("true"), F.lit("odd"), F.lit("1")).alias("style"))
-_elements = F.array(_element("text_run", F.col("content"), F.lit("")), _element("equation", F.lit("x+y"), F.lit("")), _element("mention_user", F.lit("u"), F.lit("")), _element("mention_doc", F.lit(""), F.col("block_id")))
-add("block_text", lambda t: t.source_blocks.select("doc_id", "idx", B.block_text(_elements).alias("text"), B.block_text(_elements, plain=True).alias("plain")), _SB, "SELECT doc_id, idx, content || block_id AS text, content || 'x+y' || block_id AS plain FROM source_blocks")
+_elements = lambda: F.array(_element("text_run", F.col("content"), F.lit("")), _element("equation", F.lit("x+y"), F.lit("")), _element("mention_user", F.lit("u"), F.lit("")), _element("mention_doc", F.lit(""), F.col("block_id")))
+add("block_text", lambda t: t.source_blocks.select("doc_id", "idx", B.block_text(_elements()).alias("text"), B.block_text(_elements(), plain=True).alias("plain")), _SB, "SELECT doc_id, idx, content || block_id AS text, content || 'x+y' || block_id AS plain FROM source_blocks")
 add("block_hash", lambda t: B.hashed(t.source_blocks), _SB, f"SELECT doc_id, idx, block_id, block_type, {_HASH} AS hash FROM source_blocks")
 add("block_diff", _diff, _TB, f"WITH {_DIFF} SELECT * FROM diff")
 add("sync_plan_counts", lambda t: B.sync_plan_counts(_diff(t)), _TB, f"WITH {_DIFF} SELECT * FROM counts")
@@ -119,4 +119,4 @@ add("absorb_results", lambda t: T.absorb_results(t.pairs, _P).select("conv_id",
 add("translate_fallback", lambda t: T.translate_fallback(t.pairs.select(F.col("conv_id").alias("item_id"), F.col("turn").alias("attempt"), F.lit("source").alias("input"), "output"), _P), "pairs", f"WITH q0 AS (SELECT conv_id AS item_id, turn AS attempt, output, regexp_matches(output, '\\S') AND {_cnt('output')} = 0 AS ok FROM pairs) SELECT item_id, coalesce(min_by(output, attempt) FILTER (ok), max_by(output, attempt), 'source') AS text, bool_or(ok) AS passed FROM q0 GROUP BY item_id")
 add("translate_stats", lambda t: T.translate_stats(_routed(t).select("doc_id", "route", F.when((F.col("route") == "pending") & (F.length("text") % 5 == 0), "failed").otherwise("accepted").alias("state"))), "items glossary", f"""WITH {_ROUTE}, s AS (SELECT doc_id, count(*) FILTER (route <> 'skip') AS n_needed, count(*) FILTER (route <> 'skip' AND NOT (route = 'pending' AND length(text) % 5 = 0)) AS n_ok, count(*) FILTER (route = 'pending' AND length(text) % 5 = 0) AS n_fail, count(*) FILTER (route = 'cache') AS n_hits FROM ro GROUP BY doc_id)
 SELECT *, CASE WHEN n_needed = 0 THEN 0.0 ELSE n_hits * 100.0 / n_needed END AS cache_pct, CASE WHEN n_needed = 0 THEN 100.0 ELSE n_ok * 100.0 / n_needed END AS translated_pct, CASE WHEN n_needed = 0 OR n_fail < 0.2 * n_needed THEN 'OK' ELSE 'FAIL' END AS outcome FROM s""")
-add("translated_body", lambda t: t.source_blocks.select("doc_id", "idx", F.element_at(T.translated_body(_elements, F.concat(F.lit("to: "), "content")), 1).alias("e")).select("doc_id", "idx", "e.kind", "e.content", F.element_at("e.style", "bold").alias("bold")), _SB, "SELECT doc_id, idx, 'text_run' AS kind, 'to: ' || content AS content, 'true' AS bold FROM source_blocks")
+add("translated_body", lambda t: t.source_blocks.select("doc_id", "idx", F.element_at(T.translated_body(_elements(), F.concat(F.lit("to: "), "content")), 1).alias("e")).select("doc_id", "idx", "e.kind", "e.content", F.element_at("e.style", "bold").alias("bold")), _SB, "SELECT doc_id, idx, 'text_run' AS kind, 'to: ' || content AS content, 'true' AS bold FROM source_blocks")
