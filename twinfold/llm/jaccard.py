@@ -14,6 +14,7 @@ from ..shipping import map_pandas
 from .common import materialise, small_side, table
 
 GROUPS = 256
+FOLDED = 32
 _FULL = 65_535
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -58,6 +59,11 @@ def _points(column) -> np.ndarray:
     return np.where(rows == _FULL, 1 << 22, rows) if (rows == _FULL).any() else rows
 
 
+def _folded(points: np.ndarray) -> np.ndarray:
+    """Counts of FOLDED larger groups: their summed minima bound those of the points, at an eighth of the work."""
+    return points.reshape(len(points), -1, FOLDED).sum(1)
+
+
 def _cells(n: int, p: int, q: int):
     """(cell family, number of cells, empty ones allowed) in which a set of n shingles may meet a partner.
 
@@ -93,41 +99,47 @@ def keys(hashed: np.ndarray, p: int, q: int) -> np.ndarray:
 
 
 class RTree:
-    """Count vectors packed into boxes: leaves of `leaf` points split at the median of their widest coordinate, halves joined upwards.
+    """Count vectors packed into boxes: leaves of `leaf` points split at the median of their sizes while these differ
+    by a tenth, then of their widest coordinate; halves joined upwards.
 
     The overlap of a query with any point of a box is at most the sum over coordinates of the smaller of the query's
-    count and the box's upper corner. A box is left if that can't reach what the sizes ask for, or if all its points
-    are in the query's own component already.
+    count and the box's upper corner. A box is left if that can't reach what the sizes ask for, if its sizes are out
+    of reach, or if all its points are in the query's own component already. Points of a leaf are bounded by their
+    folded counts first.
     """
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray, leaf: int = 16):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray, leaf: int = 64):
         self.points, self.sizes, self.parts, self.boxes = points, sizes, parts, []
+        self.folded = _folded(points)
         self._pack(np.arange(len(points)), leaf)
 
     def _pack(self, rows: np.ndarray, leaf: int) -> int:
         at = len(self.boxes)
         self.boxes.append(None)
-        own = self.points[rows]
+        own, sizes = self.points[rows], self.sizes[rows]
         inner: tuple = (rows,)
         if len(rows) > leaf:
-            rows = rows[np.argsort(own[:, np.argmax(own.max(0) - own.min(0))], kind="stable")]
+            by = sizes if 10 * sizes.max() > 11 * sizes.min() else own[:, np.argmax(own.max(0) - own.min(0))]
+            rows = rows[np.argsort(by, kind="stable")]
             inner = (self._pack(rows[: len(rows) // 2], leaf), self._pack(rows[len(rows) // 2 :], leaf))
-        self.boxes[at] = (own.max(0), self.sizes[rows].min(), self.parts[rows].min(), self.parts[rows].max(), inner)
+        self.boxes[at] = (own.max(0), sizes.min(), sizes.max(), self.parts[rows].min(), self.parts[rows].max(), inner)
         return at
 
     def near(self, point: np.ndarray, size: int, part: int, p: int, q: int) -> np.ndarray:
         """Rows of other components whose bound allows p/q of the union in common."""
-        todo, found = [0], []
+        todo, found, folded = [0], [], _folded(point[None])[0]
         while todo:
-            upper, least, low, high, inner = self.boxes[todo.pop()]
-            if low == high == part or (p + q) * np.minimum(point, upper).sum() < p * (size + least):
+            upper, least, most, low, high, inner = self.boxes[todo.pop()]
+            if low == high == part or q * size < p * least or q * most < p * size or (p + q) * np.minimum(point, upper).sum() < p * (size + least):
                 continue
             if len(inner) == 2:
                 todo.extend(inner)
                 continue
             rows = inner[0]
-            fits = ((p + q) * np.minimum(point, self.points[rows]).sum(1) >= p * (size + self.sizes[rows])) & (self.parts[rows] != part)
-            found.append(rows[fits])
+            rows = rows[(self.parts[rows] != part) & (q * size >= p * self.sizes[rows]) & (q * self.sizes[rows] >= p * size)]
+            for mine, others in ((folded, self.folded), (point, self.points)):
+                rows = rows[(p + q) * np.minimum(mine, others[rows]).sum(1) >= p * (size + self.sizes[rows])]
+            found.append(rows)
         return np.concatenate(found) if found else np.array([], dtype=np.int64)
 
 
@@ -215,9 +227,11 @@ def _forest(members: DataFrame, nodes: DataFrame, parts: DataFrame, p: int, q: i
         if len(held) <= 64:  # the tree would be a leaf or few: all queries at once, sizes and components first
             i, j = np.nonzero((part[asking][:, None] != part[held]) & (q * sizes[asking][:, None] >= p * sizes[held]) & (q * sizes[held] >= p * sizes[asking][:, None]))
             i, j = asking[i], held[j]
-            fits = [(p + q) * np.minimum(points[i[k : k + 4096]], points[j[k : k + 4096]]).sum(1) >= p * (sizes[i[k : k + 4096]] + sizes[j[k : k + 4096]]) for k in range(0, len(i), 4096)]
-            found = np.concatenate(fits) if fits else np.zeros(0, dtype=bool)
-            near, i = node[j[found]], node[i[found]]
+            for level in (_folded(points), points):
+                fits = [(p + q) * np.minimum(level[i[k : k + 4096]], level[j[k : k + 4096]]).sum(1) >= p * (sizes[i[k : k + 4096]] + sizes[j[k : k + 4096]]) for k in range(0, len(i), 4096)]
+                fits = np.concatenate(fits) if fits else np.zeros(0, dtype=bool)
+                i, j = i[fits], j[fits]
+            near, i = node[j], node[i]
             return np.column_stack([np.minimum(near, i), np.maximum(near, i)])
         tree, out = RTree(points[held], sizes[held], part[held]), []
         for i in asking:
