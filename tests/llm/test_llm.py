@@ -173,6 +173,18 @@ def test_tree_finds_what_a_scan_finds():
         assert sorted(tree.near(points[i], sizes[i], parts[i], 90, 100)) == sorted(np.flatnonzero(bound & (parts != parts[i])))
 
 
+def test_fine_points_never_rule_out_a_partner():
+    rng = np.random.default_rng(5)
+    for n in (1, 40, 2000, 2100, 9000):
+        for m in (n, n * 4 // 5 + 1, 1):
+            a, b = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (n, m))
+            b[: m * 9 // 10] = a[: m * 9 // 10]
+            a, b = np.unique(a), np.unique(b)
+            x, y = (jaccard.fine_counts(h).tobytes() for h in (a, b))
+            assert len(np.intersect1d(a, b)) <= jaccard.fine_overlap(x, y) == jaccard.fine_overlap(y, x) <= min(len(a), len(b))
+    assert jaccard.fine_overlap(jaccard.fine_counts(np.arange(0, 1 << 20, 1 << 11, dtype=np.uint64)).tobytes(), bytes([255] * 256)) >= 512
+
+
 def test_records_read_back(spark, docs):
     from tokenizers import Tokenizer
 

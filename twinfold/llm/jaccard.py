@@ -181,6 +181,39 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, p: int, q: int) -> DataFrame:
     return map_pandas(pairs.join(side("x"), "x").join(side("y"), "y").where(F.least("n_x", "n_y") * q >= F.greatest("n_x", "n_y") * p), run, "x long, y long")
 
 
+def fine_counts(hashed: np.ndarray) -> np.ndarray:
+    """The point of a set in as many groups as it takes to hold under eight shingles each, in one byte each; 255 stands for any larger count."""
+    groups = max(GROUPS, 1 << (len(hashed) // 8).bit_length())
+    return np.minimum(np.bincount((hashed & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
+
+
+def fine_overlap(x: bytes, y: bytes) -> int:
+    """Summed minima of two fine points, the one of more groups folded onto those of the other."""
+    groups = min(len(x), len(y))
+    a, b = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (x, y))
+    a, b = (np.where(v == 255, 1 << 40, v).reshape(-1, groups).sum(0) for v in (a, b))
+    return int(np.minimum(a, b).sum())
+
+
+def _refined(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs that points of a size fit for their sets still allow. Long texts fill GROUPS groups evenly, so that the
+    points of any two look alike; a fine point is a thirtieth of the set that the exact test would move for each pair."""
+
+    def points(parts):
+        for part in parts:
+            got = [np.asarray(x).view(np.uint64) for x in part["shingles"]]
+            yield pd.DataFrame({"node": part["node"], "n": [len(h) for h in got], "fine": [fine_counts(h).tobytes() for h in got]})
+
+    def run(parts):
+        for part in parts:
+            fits = [(p + q) * fine_overlap(x, y) >= p * t for x, y, t in zip(part["f_x"], part["f_y"], part["n_x"] + part["n_y"], strict=True)]
+            yield part.loc[np.array(fits, dtype=bool), ["x", "y"]]
+
+    fine = materialise(map_pandas(sets.select("node", "shingles"), points, "node long, n long, fine binary"), "fine-points")
+    side = lambda s: fine.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("fine").alias(f"f_{s}"))
+    return map_pandas(pairs.join(side("x"), "x").join(side("y"), "y"), run, "x long, y long")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs that exact intersection confirms."""
     side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"s_{s}"))
@@ -270,7 +303,8 @@ def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id:
        each meets only the key's least node, so a key with k nodes gives k - 1 pairs. Summed minima of the count
        vectors bound the overlap, exact intersection confirms, and the links give components.
     3. Keys whose nodes are in several components get a forest of R-trees over their count vectors, which finds the
-       pairs across components that the bound allows; exact intersection confirms, and components merge. All pairs
+       pairs across components that the bound allows; finer points bound them again, exact intersection confirms, and
+       components merge. All pairs
        under a key are then linked, in one component, or ruled out by the bound or the exact test.
     Null text counts as empty; documents without words link with nothing and are their own component. Null ids don't
     count as least unless a component has no other. Repeated rows have equal sets. Only these columns come back.
@@ -293,7 +327,7 @@ def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id:
     links = materialise(_linked(tried, sets, p, q), "star-links")
     parts = components(links)
     more = _forest(members.where("size > 2").select("key", "node"), nodes, parts, p, q)
-    links = links.union(materialise(_linked(materialise(more, "forest-pairs"), sets, p, q), "forest-links"))
+    links = links.union(materialise(_linked(materialise(_refined(materialise(more, "forest-pairs"), sets, p, q), "fine-pairs"), sets, p, q), "forest-links"))
     parts = components(links)
     least = parts.join(sets_seen, "node").groupBy("part").agg(F.min("least_id").alias("component_id"))
     found = sets_seen.join(parts.join(least, "part").select("node", "part", "component_id"), "node", "left").select("a", "b", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("part", "node").alias("part"))
