@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from bisect import bisect_right
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,8 @@ from .common import materialise, small_side, table
 GROUPS = 256
 FOLDED = 32
 _FULL = 65_535
+#: Lower ends of the size classes, each a fourth above the last.
+_BORDERS = list(accumulate(range(140), lambda b, _: max(b + 1, b * 5 // 4), initial=1))
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -67,18 +70,16 @@ def _folded(points: np.ndarray) -> np.ndarray:
 def _cells(n: int, p: int, q: int):
     """(cell family, number of cells, empty ones allowed) in which a set of n shingles may meet a partner.
 
-    Partners with p/q of the union in common differ in at most d = (a + b)(q - p)/(q + p) shingles. Sizes a and b lie
-    in one band [2^k, 2^(k+1)) or on either side of one of its borders; each case is a family with the d of its
-    largest sizes. With d = 0 only equal sets are partners, and those are one point already.
+    Partners with p/q of the union in common differ in at most d = (a + b)(q - p)/(q + p) shingles. The family of a
+    pair is the size class of its smaller set, with the d of the largest sizes that such a pair can have; a set takes
+    part in its own class and in those of the smaller partners it may have. Classes are a fourth wide, so that cells
+    hold about three shingles even for the smallest sets of a class, and few of them are empty. With d = 0 only equal
+    sets are partners, and those are one point already.
     """
-    k = n.bit_length() - 1
-    families = [(2 * k, 2 * (2 ** (k + 1) - 1))]
-    for j, border in ((k, 2**k), (k + 1, 2 ** (k + 1))):
-        if border * p <= n * q and n * p <= border * q:
-            families.append((2 * j - 1, border - 1 + (border - 1) * q // p))
-    for family, most in families:
-        if d := most * (q - p) // (q + p):
-            slack = 3 + d // 20
+    for family in range(bisect_right(_BORDERS, -(-n * p // q)), bisect_right(_BORDERS, n) + 1):
+        most = _BORDERS[family] - 1
+        if d := (most + most * q // p) * (q - p) // (q + p):
+            slack = 3 + d // 10
             yield family, d + 1 + slack, slack
 
 
