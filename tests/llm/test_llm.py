@@ -210,6 +210,13 @@ def test_word_tokenizer_equals_the_library():
         assert np.frombuffer(own.encode(text), dtype="<u2").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_tokenizer_equals_the_library_after_its_memo_is_cleared(monkeypatch):
+    monkeypatch.setattr(records.WordTokenizer, "MEMO", 3)
+    own = records.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ("one two three four", "one five Straße", "six two one five", "one two 日本", "three one"):
+        assert np.frombuffer(own.encode(text), dtype="<u2").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pipeline_equals_a_plain_version(spark):
     import corpus_pipeline
 

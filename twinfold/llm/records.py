@@ -54,9 +54,6 @@ class WordTokenizer:
         return found
 
     def _learn(self, stretches: list[bytes]) -> None:
-        if len(self.memo) > self.MEMO:
-            self.memo.clear()
-            self.pretokens.clear()
         odd = []
         for raw in stretches:
             s = raw.decode("utf-8", "replace")
@@ -74,6 +71,9 @@ class WordTokenizer:
         try:
             return b"".join(map(self.memo.__getitem__, parts))
         except KeyError:
+            if len(self.memo) > self.MEMO:  # before the missing ones are listed, so that all of this text's are learnt again
+                self.memo.clear()
+                self.pretokens.clear()
             self._learn([x for x in dict.fromkeys(parts) if x not in self.memo])
             return b"".join(map(self.memo.__getitem__, parts))
 
