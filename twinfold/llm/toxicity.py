@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from dataclasses import astuple, dataclass
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -16,6 +18,7 @@ from .common import materialise, small_side, table
 
 _WORD = re.compile(r"\w+")
 _FEATURES = 5
+_BITS = 1 << 25
 
 
 def fold_of(doc_id: str = "doc_id") -> Column:
@@ -23,85 +26,129 @@ def fold_of(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
 
 
+class _Codes(dict):
+    """By word: its place among the held words (from 1; 0 if it isn't held) << 32 | its crc32."""
+
+    def __init__(self, words: list[str]):
+        self.places = {w: i + 1 for i, w in enumerate(words)}
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = code = self.places.get(word, 0) << 32 | zlib.crc32(word.encode())
+        return code
+
+
 @dataclass
 class Model:
-    """Two interpolated Kneser-Ney bigram models over one vocabulary, stored as differences of log-probabilities.
+    """Two interpolated Kneser-Ney bigram models over all words, stored as differences of log-probabilities.
 
     Class by class: P(w|h) discounts the bigram count and backs off to P(w), which discounts the number of distinct
-    histories of w and backs off to the counts that both classes share. So a word or pair seen in neither class, or
-    rarely, tells nothing. Every array is bounded by the vocabulary or max_bigrams.
+    histories of w and backs off to the counts that both classes share. So a word or pair seen in neither class, or no
+    more often than the discount, tells nothing. The arrays hold the most frequent words and pairs only, to spare
+    look-ups; whatever they miss is looked up in `rest` by a join, unless `bits` rules out that it is there.
     """
 
     words: list[str]
-    back: np.ndarray  # by history: log of the backed-off mass, toxic minus ordinary
-    single: np.ndarray  # by word: log P(w), toxic minus ordinary
+    back: np.ndarray  # by history: log of the backed-off mass, toxic minus ordinary; 0 is the start
+    single: np.ndarray  # by word: log P(w), toxic minus ordinary; 0 is a word that tells nothing
     keys: np.ndarray  # sorted h * size + w
     pairs: np.ndarray  # by key: log P(w|h), toxic minus ordinary
     weights: np.ndarray  # of the features, after fitting
-
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """Mean log-likelihood difference a word, the largest and third largest of a single word, log of the length, 1."""
-        ids = {w: i + 1 for i, w in enumerate(self.words)}
-        size, out = len(self.words) + 1, np.zeros((len(texts), _FEATURES))
-        out[:, 4] = 1
-        for row, text in enumerate(texts):
-            w = np.array([ids.get(x, 0) for x in _WORD.findall((text or "").lower())], dtype=np.int64)
-            if not len(w):
-                continue
-            h = np.concatenate(([0], w[:-1]))
-            diff = self.back[h] + self.single[w]
-            if len(self.keys):
-                key = h * size + w
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                found = self.keys[at] == key
-                diff[found] = self.pairs[at[found]]
-            top = np.sort(self.single[w])[::-1]
-            out[row, :4] = diff.mean(), top[0], top[min(2, len(w) - 1)], np.log(len(w))
-        return out
-
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -30, 30)))
-
-
-def _word_counts(rows: DataFrame) -> DataFrame:
-    def run(parts):
-        seen: Counter = Counter()
-        for part in parts:
-            for text in part["text"]:
-                seen.update(x for x in _WORD.findall((text or "").lower()) if len(x) <= 64)
-            if len(seen) > 500_000:
-                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                seen.clear()
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())}).astype({"word": object, "n": "int64"})
-
-    return map_pandas(rows.select("text"), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _pair_counts(rows: DataFrame, words: list[str]) -> DataFrame:
-    """(history, word, count among ordinary rows, among toxic rows); 0 stands for the start and for words outside the vocabulary."""
-    held = rows.sparkSession.sparkContext.broadcast(words)
+    bits: np.ndarray | None = None  # Bloom filter over the keys of rest
+    rest: DataFrame | None = None  # key (a word, or history and word with a space between), gain and back over what is added without it
+
+    def sent(self) -> tuple:
+        return self.words, self.back, self.single, self.keys, self.pairs, self.weights, self.bits
+
+    def _may(self, hashed: np.ndarray) -> np.ndarray:
+        at = hashed % _BITS
+        return self.bits[at >> 6] >> (at & 63) & 1 == 1
+
+    def evidence(self, text: str | None, codes: _Codes) -> dict:
+        """What the held part says of a text, and the keys it leaves to the rest (with their counts as word or pair, and as history)."""
+        words = _WORD.findall((text or "").lower())
+        if not words:
+            return {"total": 0.0, "n": 0, "top": [], "n_left": 0, "left": []}
+        code = np.fromiter(map(codes.__getitem__, words), dtype=np.int64, count=len(words))
+        w, crc = code >> 32, code & 0xFFFFFFFF
+        h, before = np.concatenate(([0], w[:-1])), np.concatenate(([0], crc[:-1]))
+        known = h > 0
+        known[0] = True
+        single = self.single[w]
+        diff = np.where(known, self.back[h], 0) + single
+        found = known & (w > 0)
+        if len(self.keys):
+            key = h * (len(self.words) + 1) + w
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found &= self.keys[at] == key
+            diff[found] = self.pairs[at[found]]
+        else:
+            found[:] = False
+        away, left = np.zeros(len(w), dtype=bool), []
+        if self.bits is not None:
+            away = (w == 0) & self._may(crc)
+            as_history = Counter(words[i] for i in np.flatnonzero(away[:-1]))
+            left = [{"key": k, "n": n, "n_history": as_history[k]} for k, n in Counter(words[i] for i in np.flatnonzero(away)).items()]
+            joint = Counter(f"{words[i - 1] if i else ''} {words[i]}" for i in np.flatnonzero(~found & self._may(before * 31 + crc)))
+            left += [{"key": k, "n": n, "n_history": 0} for k, n in joint.items()]
+        return {"total": float(diff.sum()), "n": len(w), "top": np.sort(single[~away])[::-1][:3].tolist(), "n_left": int(away.sum()), "left": left}
+
+    def features(self, docs: DataFrame) -> DataFrame:
+        """docs with text replaced by the features: mean log-likelihood difference a word, the largest and third largest of a single word, log of the length, 1."""
+        others = [c for c in docs.columns if c != "text"]
+        sent = docs.sparkSession.sparkContext.broadcast(self.sent())
+
+        def run(parts):
+            model = Model(*sent.value)
+            codes = _Codes(model.words)
+            for part in parts:
+                for at in range(0, len(part), 256):  # keys left are many and large as Python objects
+                    some = part.iloc[at : at + 256]
+                    yield some[others].assign(e=[model.evidence(t, codes) for t in some["text"]])
+
+        fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
+        seen = map_pandas(docs.select(*others, "text"), run, fields + "e struct<total:double,n:long,top:array<double>,n_left:long,left:array<struct<key:string,n:long,n_history:long>>>").select(*others, "e.*")
+        plain = float(self.single[0])
+        if self.rest is None:
+            seen = seen.withColumns({"_gain": F.lit(0.0), "_top": F.col("top")})
+        else:
+            seen = materialise(seen.withColumn("_row", F.monotonically_increasing_id()), "toxic-evidence")
+            is_word = ~F.contains("key", F.lit(" "))
+            copies = F.when(is_word, F.array_repeat(F.col("gain") + plain, F.least("n", F.lit(3)).cast("int")))
+            by_row = (
+                seen.select("_row", F.explode("left").alias("l")).select("_row", "l.*").join(self.rest, "key").groupBy("_row")
+                .agg(F.sum(F.col("n") * F.col("gain") + F.col("n_history") * F.col("back")).alias("_gain"), F.flatten(F.collect_list(copies)).alias("_more"), F.sum(F.when(is_word, F.col("n")).otherwise(0)).alias("_hit"))
+            )
+            missed = F.array_repeat(F.lit(plain), F.least(F.col("n_left") - F.coalesce("_hit", F.lit(0)), F.lit(3)).cast("int"))
+            top = F.concat("top", F.coalesce("_more", F.array().cast("array<double>")), missed)
+            seen = seen.drop("left").join(by_row, "_row", "left").withColumns({"_gain": F.coalesce("_gain", F.lit(0.0)), "_top": F.sort_array(top, asc=False)})
+        some = lambda c: F.when(F.col("n") > 0, c).otherwise(0.0)
+        return seen.select(
+            *others, some((F.col("total") + F.col("_gain")) / F.col("n")).alias("a"), some(F.get("_top", F.lit(0))).alias("b"),
+            some(F.get("_top", F.least(F.lit(2), F.col("n") - 1).cast("int"))).alias("c"), some(F.log("n")).alias("d"), F.lit(1.0).alias("e"),
+        )
+
+
+def _pair_counts(rows: DataFrame) -> DataFrame:
+    """(history, word, count among ordinary rows, among toxic rows); the history of a first word is empty."""
 
     def flush(seen):
-        keys, size = np.array(list(seen), dtype=np.int64), len(held.value) + 1
-        return pd.DataFrame({"h": keys // 2 // size, "w": keys // 2 % size, "toxic": keys % 2, "n": np.array(list(seen.values()), dtype=np.int64)})
+        return pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["h", "w", "toxic", "n"])
 
     def run(parts):
-        ids = {w: i + 1 for i, w in enumerate(held.value)}
         seen: Counter = Counter()
         for part in parts:
             for text, toxic in zip(part["text"], part["toxic"], strict=True):
-                w = np.array([ids.get(x, 0) for x in _WORD.findall((text or "").lower())], dtype=np.int64)
-                if len(w):
-                    keys, n = np.unique((np.concatenate(([0], w[:-1])) * (len(ids) + 1) + w) * 2 + int(toxic), return_counts=True)
-                    for k, c in zip(keys.tolist(), n.tolist(), strict=True):
-                        seen[k] += c
-            if len(seen) > 1_000_000:
-                yield flush(seen)
-                seen.clear()
+                words = _WORD.findall((text or "").lower())
+                seen.update(zip(["", *words], words, repeat(int(toxic)), strict=False))
+                if len(seen) > 500_000:
+                    yield flush(seen)
+                    seen.clear()
         if seen:
             yield flush(seen)
 
-    counted = map_pandas(rows.select("text", "toxic"), run, "h long, w long, toxic int, n long")
+    counted = map_pandas(rows.select("text", "toxic"), run, "h string, w string, toxic int, n long")
     return counted.groupBy("h", "w").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"))
 
 
@@ -114,42 +161,58 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(labelled: DataFrame, vocabulary: int = 16_384, max_bigrams: int = 1 << 19, min_bigram: int = 3, calibration_rows: int = 10_000, discount: float = 2.0) -> Model:
+def fit(labelled: DataFrame, vocabulary: int = 16_384, max_bigrams: int = 1 << 19, calibration_rows: int = 10_000, discount: float = 2.0) -> Model:
     """labelled: text, toxic (0/1), fold. Folds 1-3 give the counts, all of them; fold 4 the calibration, from at most calibration_rows rows.
 
-    Counts are added up by Spark; what comes to the driver is bounded by vocabulary, max_bigrams (the most frequent
-    ones; others back off) and calibration_rows. With no labels of one class the score is a constant.
+    All words and pairs are counted and valued by Spark and stay in tables. vocabulary and max_bigrams only bound what
+    comes to the driver and is held by tasks, the most frequent ones; the score doesn't depend on them. Words and
+    pairs no more frequent than the discount have the value of what isn't there, so the tables leave them out. With no
+    labels of one class the score is a constant.
     """
+    spark = labelled.sparkSession
     counting, held = labelled.where("fold in (1, 2, 3)"), labelled.where("fold = 4")
-    words = [r["word"] for r in _word_counts(counting).orderBy(F.desc("n"), "word").limit(vocabulary).collect()]
-    size = len(words) + 1
-    pairs = materialise(_pair_counts(counting, words), "pair-counts")
-    one, zero = lambda c: F.sum(c).alias(c), lambda c: F.count_if(F.col(c) > 0).alias(f"types{c[1]}")
-    taken = lambda c: F.sum(F.least(F.col(c).cast("double"), F.lit(discount))).alias(f"taken{c[1]}")
-    by = {k: pairs.groupBy(k).agg(one("n0"), one("n1"), zero("n0"), zero("n1"), taken("n0"), taken("n1")).toPandas().set_index(k).reindex(range(size), fill_value=0) for k in ("h", "w")}
-    top = pairs.where(F.col("n0") + F.col("n1") >= min_bigram).orderBy(F.desc(F.col("n0") + F.col("n1")), "h", "w").limit(max_bigrams).toPandas().sort_values(["h", "w"])
-    types = np.array([by["w"]["types0"], by["w"]["types1"]], dtype=float)
-    shared = (types.sum(0) + 1) / (types.sum() + size)
-    totals, given = np.maximum(types.sum(1), 1), np.minimum(types, discount).sum(1)
-    single = (np.maximum(types - discount, 0) + given[:, None] * shared) / totals[:, None]
-    single = np.where(types.sum(1)[:, None] > 0, single, shared)
-    history = np.array([by["h"]["n0"], by["h"]["n1"]], dtype=float)
-    mass = np.where(history > 0, np.array([by["h"]["taken0"], by["h"]["taken1"]], dtype=float) / np.maximum(history, 1), 1.0)
-    h, w = top["h"].to_numpy(dtype=np.int64), top["w"].to_numpy(dtype=np.int64)
-    seen = np.array([top["n0"], top["n1"]], dtype=float)
-    joint = np.where(history[:, h] > 0, np.maximum(seen - discount, 0) / np.maximum(history[:, h], 1), 0) + mass[:, h] * single[:, w]
-    gap = lambda a: (np.log(a[1]) - np.log(a[0])).astype(np.float64)
-    model = Model(words, gap(mass), gap(single), h * size + w, gap(joint), np.zeros(_FEATURES))
-    sent = labelled.sparkSession.sparkContext.broadcast(astuple(model))
-
-    def run(parts):
-        for part in parts:
-            x = Model(*sent.value).features(list(part["text"]))
-            yield pd.DataFrame(np.column_stack([x, part["toxic"]]), columns=list("abcdey")).assign(at=part["at"].to_numpy())
+    pairs = materialise(_pair_counts(counting), "pair-counts")
+    taken = lambda c: F.sum(F.least(F.col(c).cast("double"), F.lit(discount)))
+    history = pairs.groupBy(F.col("h").alias("word")).agg(*[x for i in "01" for x in (F.sum(f"n{i}").alias(f"k{i}"), taken(f"n{i}").alias(f"taken{i}"))])
+    types = materialise(pairs.groupBy(F.col("w").alias("word")).agg(F.sum(F.col("n0") + F.col("n1")).alias("n"), *[F.count_if(F.col(f"n{i}") > 0).alias(f"t{i}") for i in "01"]), "word-types")
+    sums = types.agg(F.count("*").alias("size"), *[x for i in "01" for x in (F.sum(f"t{i}").alias(f"t{i}"), taken(f"t{i}").alias(f"given{i}"))]).first()
+    total = {i: sums[f"t{i}"] or 0 for i in "01"}
+
+    def single(i: str) -> Column:
+        shared = (F.col("t0") + F.col("t1") + 1) / F.lit(float(total["0"] + total["1"] + sums["size"] + 1))
+        return (F.greatest(F.col(f"t{i}") - F.lit(discount), F.lit(0.0)) + sums[f"given{i}"] * shared) / float(total[i]) if total[i] else shared
+
+    gap = lambda a, b: F.log(b) - F.log(a)
+    plain = float(np.log(sums["given1"] / total["1"]) - np.log(sums["given0"] / total["0"])) if total["0"] and total["1"] else None
+    if plain is None:  # one class is not there: its words have their shared probability
+        only = next((i for i in "01" if total[i]), None)
+        plain = 0.0 if only is None else float(np.log(sums[f"given{only}"] / total[only])) * (1 if only == "1" else -1)
+    values = types.join(history, "word", "full").na.fill(0)
+    values = values.withColumns({"s0": single("0"), "s1": single("1"), **{f"m{i}": F.when(F.col(f"k{i}") > 0, F.col(f"taken{i}") / F.col(f"k{i}")).otherwise(1.0) for i in "01"}})
+    tells = (F.col("t0") > discount) | (F.col("t1") > discount)
+    values = values.withColumns({"single": F.when(tells, gap(F.col("s0"), F.col("s1"))).otherwise(F.lit(plain)), "back": gap(F.col("m0"), F.col("m1"))})
+    values = materialise(values.select("word", "n", "s0", "s1", "m0", "m1", "k0", "k1", "single", "back"), "word-values")
+    of_h, of_w = values.select(F.col("word").alias("h"), "m0", "m1", "k0", "k1", "back"), values.select(F.col("word").alias("w"), "s0", "s1", "single")
+    joint = lambda i: F.when(F.col(f"k{i}") > 0, F.greatest(F.col(f"n{i}") - F.lit(discount), F.lit(0.0)) / F.col(f"k{i}")).otherwise(0.0) + F.col(f"m{i}") * F.col(f"s{i}")
+    telling = pairs.where((F.col("n0") > discount) | (F.col("n1") > discount)).join(of_h, "h").join(of_w, "w")
+    telling = materialise(telling.select("h", "w", (F.col("n0") + F.col("n1")).alias("n"), gap(joint("0"), joint("1")).alias("value"), "back", "single"), "pair-values")
+    rest = telling.select(F.concat_ws(" ", "h", "w").alias("key"), (F.col("value") - F.col("back") - F.col("single")).alias("gain"), F.lit(0.0).alias("back"), (F.crc32(F.col("h").cast("binary")) * 31 + F.crc32(F.col("w").cast("binary"))).alias("at"))
+    rest = materialise(rest.unionByName(values.where((F.col("word") != "") & ((F.col("single") != plain) | (F.col("back") != 0))).select(F.col("word").alias("key"), (F.col("single") - plain).alias("gain"), "back", F.crc32(F.col("word").cast("binary")).alias("at"))), "toxic-values")
+
+    start = values.where("word = ''").first()
+    top = values.where("word <> ''").orderBy(F.desc("n"), "word").limit(vocabulary).select("word", "single", "back").toArrow().to_pandas()
+    words, size = top["word"].tolist(), len(top) + 1
+    places = F.broadcast(spark.createDataFrame([("", 0), *[(w, i + 1) for i, w in enumerate(words)]], "word string, place long"))
+    both = telling.join(places.toDF("h", "ph"), "h").join(places.toDF("w", "pw"), "w")
+    near = both.orderBy(F.desc("n"), "h", "w").limit(max_bigrams).select((F.col("ph") * size + F.col("pw")).alias("key"), "value").toArrow().to_pandas().sort_values("key")
+    filled = rest.select((F.col("at") % _BITS).alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow().to_pandas()
+    bits = np.zeros(_BITS >> 6, dtype=np.int64)
+    bits[filled["slot"].to_numpy(dtype=np.int64)] = filled["bits"].to_numpy(dtype=np.int64)
+    model = Model(words, np.array([start["back"] if start else 0.0, *top["back"]]), np.array([plain, *top["single"]]), near["key"].to_numpy(dtype=np.int64), near["value"].to_numpy(dtype=float), np.zeros(_FEATURES), bits, rest.drop("at"))
 
     # features first, then the sample of them: no text goes to the driver
-    measured = map_pandas(held.select("text", "toxic", F.xxhash64("text").alias("at")), run, "a double, b double, c double, d double, e double, y double, at long")
-    got = measured.orderBy("at", *"abcdey").limit(calibration_rows).drop("at").toPandas().sort_values(list("abcdey")).to_numpy()
+    measured = model.features(held.select("text", F.col("toxic").cast("double").alias("y"), F.xxhash64("text").alias("at")))
+    got = measured.orderBy("at", *"abcdey").limit(calibration_rows).select(*"abcdey").toPandas().sort_values(list("abcdey")).to_numpy()
     if len(got):
         model.weights = _logistic(got[:, :_FEATURES], got[:, _FEATURES])
     return model
@@ -157,15 +220,9 @@ def fit(labelled: DataFrame, vocabulary: int = 16_384, max_bigrams: int = 1 << 1
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score in 0..1 of every whole text. Null and empty texts get the score of no evidence. Only these columns come back."""
-    sent = docs.sparkSession.sparkContext.broadcast(astuple(model))
-    kind = docs.schema[doc_id].dataType.simpleString()
-
-    def run(parts):
-        model_here = Model(*sent.value)
-        for part in parts:
-            yield pd.DataFrame({"doc_id": part["doc_id"], "score": model_here.scores(list(part["text"]))})
-
-    return map_pandas(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {kind}, score double")
+    measured = model.features(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    dot = sum((F.col(c) * float(x) for c, x in zip("abcde", model.weights, strict=True)), F.lit(0.0))
+    return measured.select("doc_id", (1 / (1 + F.exp(-F.greatest(F.least(dot, F.lit(30.0)), F.lit(-30.0))))).alias("score"))
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
