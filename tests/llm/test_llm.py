@@ -99,6 +99,21 @@ def test_licences():
     assert {(s, e, n) for s, e, n, _ in licenses.scan_text(text, templates, 0.8)} == {(s, e, b[1]) for s, e, b in brute if b[0] >= 0.8}
 
 
+@pytest.mark.parametrize(("name", "breaks"), [("MIT", ("the above copyright", "the software is provided")), ("BSD-2-Clause", ("1 redistributions", "2 redistributions", "this software is provided")), ("BSD-3-Clause", ("1 redistributions", "2 redistributions", "3 neither", "this software is provided"))])
+def test_licences_of_several_paragraphs_inside_a_long_document(name, breaks):
+    templates = {n: licenses.bigrams(licenses.normal_words(t)) for n, t in licenses.TEMPLATES.items()}
+    body = licenses.TEMPLATES[name]
+    for b in breaks:
+        body = body.replace(b, f"\n\n{b}", 1)
+    wrapped = re.sub(r"([^\n]{60,75}) ", r"\1\n", body)
+    other = "\n\n".join(f"Chapter {i} tells of harbour {i * 7} and its boats.\nThey leave at dawn {i}." for i in range(200))
+    for licence in (body, wrapped):
+        text = f"{other}\n\nCopyright (c) 2020 X\n\n{licence}\n\n{other}"
+        start = text.index(licence)
+        assert [m for m in licenses.scan_text(text, templates, 0.8) if m[2] == name] == [(start, start + len(licence), name, 1.0)]
+    assert licenses.scan_text(f"{other}\n\n{other}", templates, 0.8) == []
+
+
 @pytest.mark.parametrize("size", [1, 64, 1417, 1418, 2834, 50_000])
 def test_audio_round_trip_and_damage(size):
     payload = bytes(i * 7 % 251 for i in range(size))

@@ -63,7 +63,7 @@ def segments(text: str):
 
 
 def scan_text(text: str, templates: dict[str, set], least: float) -> list[tuple[int, int, str, float]]:
-    """Best licence of every segment that reaches the least Dice coefficient. A template whose bigram count n is outside
+    """Best licence of every segment, and of runs of lines where no segment says as much, that reaches the least Dice coefficient. A template whose bigram count n is outside
     least/(2-least)..(2-least)/least times that of the segment can't reach it, and isn't compared."""
     ratio, found = (2 - least) / least, []
     sizes = [len(x) for x in templates.values()]
@@ -77,13 +77,62 @@ def scan_text(text: str, templates: dict[str, set], least: float) -> list[tuple[
         best = max(((dice(grams, t), name) for name, t in templates.items() if len(t) / ratio <= len(grams) <= len(t) * ratio), default=(0.0, ""))
         if best[0] >= least:
             found.append((start, end, best[1], round(best[0], 9)))
-    return found
+    return found + run_matches(text, templates, least, found)
+
+
+def run_matches(text: str, templates: dict[str, set], least: float, known: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
+    """Best licences of runs of two or more consecutive lines, and so of paragraphs too. known: matches of segments.
+
+    Of overlapping runs the one with the largest coefficient counts, the longest among equals. A run that a known match
+    explains as well (of the same licence and overlapping, or around it) is left out. A template of n bigrams needs
+    n * least / (2 - least) of them in the text; runs start at lines that have one,
+    as others only lower the coefficient.
+    """
+    words = normal_words(text)
+    held = bigrams(words)
+    templates = {name: t for name, t in templates.items() if len(held & t) >= len(t) * least / (2 - least) - 1e-9}
+    if not templates or "\n" not in text:
+        return []
+    lines, at = [], 0
+    for line in text.split("\n"):
+        if found := normal_words(line):
+            lines.append((at, at + len(line), found))
+        at += len(line) + 1
+    best: dict[tuple[int, int], tuple[float, str]] = {}
+    for name, t in templates.items():
+        most = len(held & t)
+        for i, (start, _, first) in enumerate(lines):
+            onward = (first[-1], lines[i + 1][2][0]) if i + 1 < len(lines) else None
+            if onward not in t and t.isdisjoint(zip(first, first[1:], strict=False)):
+                continue
+            grams, last, common, n_words = set(), [], 0, 0
+            for j in range(i, len(lines)):
+                new = bigrams(last + lines[j][2]) - grams
+                grams |= new
+                more = len(new & t)
+                common += more
+                n_words += len(lines[j][2])
+                last = lines[j][2][-1:]
+                if len(grams) > len(t) * (2 - least) / least:
+                    break
+                d = 2 * common / (len(grams) + len(t))
+                if j > i and (more or not new) and d >= least:
+                    best[start, lines[j][1]] = max(best.get((start, lines[j][1]), (0.0, "")), (d, name))
+                if common == most and n_words > 2 * len(t):  # no larger coefficient can follow
+                    break
+    taken: list[tuple[int, int, str, float]] = []
+    for (start, end), (d, name) in sorted(best.items(), key=lambda x: (-x[1][0], x[0][0] - x[0][1], x[0])):
+        d = round(d, 9)
+        explained = any(e >= d and s0 < end and start < s1 and (n == name or s0 <= start and end <= s1) for s0, s1, n, e in known)
+        if not explained and all(end <= s0 or s1 <= start for s0, s1, *_ in taken):
+            taken.append((start, end, name, d))
+    return taken
 
 
 def scan(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and matches, an array of (start, end, licence, dice) in code points of the whole text, in order.
 
-    Segments are the whole text, its paragraphs and its lines. Null and empty texts have no matches; ties go to the
+    Segments are the whole text, its paragraphs and its lines, and the best runs of consecutive lines. Null and empty texts have no matches; ties go to the
     name later in the alphabet; repeated rows are each scanned; only doc_id and matches come back.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
