@@ -17,8 +17,8 @@ def plain(df: pd.DataFrame) -> list[tuple]:
     def one(v):
         if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
             return "null"
-        if isinstance(v, (float, np.floating)):
-            return repr(round(float(v), 6))
+        if isinstance(v, (float, np.floating)):  # a nullable integer is a float in one frame and an integer in the other
+            return str(int(v)) if float(v).is_integer() else repr(round(float(v), 6))
         return str(int(v)) if isinstance(v, (int, np.integer)) and not isinstance(v, bool) else str(v)
 
     columns = sorted(df.columns)
@@ -40,12 +40,11 @@ def test_query_matches_sql(spark, duck, name):
     assert plain(registry.QUERIES[name](spark, SF).toPandas()) == plain(duck.sql(registry.ORACLES[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_query_runs(spark, name):
-    assert registry.QUERIES[name](spark, SF).count() > 0
+def test_every_query_has_sql():
+    assert not set(registry.QUERIES) - set(registry.ORACLES)
 
 
-@pytest.mark.parametrize("name", ["block_diff", "order_plan", "quota_usage", "pack_batches"])
+@pytest.mark.parametrize("name", ["block_diff", "order_plan", "quota_usage", "pack_batches", "failure_streaks", "outage_state", "rate_limited_window"])
 def test_partitioning_makes_no_difference(spark, name):
     found = []
     for n in ("1", "16"):

@@ -10,11 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Ranges counted as untranslated script, accented letters of the target alphabet, common words without their accents.
+#: Ranges counted as untranslated script, accented letters of the target alphabet, common words without
+#: their accents, words after which a code fence opens, and what a model puts before its answer.
 CJK = "[\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}]"
-DIACRITICS = "[àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ]"
-UNACCENTED = "khong duoc nguoi viec nay cua nhung cho trong mot".split()
-PREFIXES = (r"(?i)^(here is|here's) the translation:?\s*", r"(?i)^translation:?\s*")
+DIACRITICS = "[àáảãạâầấẩẫậăằắẳẵặđèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ]"
+UNACCENTED = (
+    "khong duoc nguoi viec thoi gian cong hoi nghi huong dan tai khoa hoc thanh cong truong thong tin trong ngoai chao ban toi bay "
+    "gio nay kia do day kia ay nha cua tren duoi dau tien cuoi gan xa"
+).split()
+FENCES = ("vietnamese", "vi", "markdown", "text")
+PREFIXES = (r"^(?:Bản\s*dịch|Dịch|Translation|Đây là bản dịch|Sau đây là)\s*[:：]\s*", r"^(?:Output|Kết quả)\s*[:：]\s*")
 _WORDS = r"[^\p{L}\p{N}_]+"
 
 
@@ -40,18 +45,27 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | ~F.rlike(text, F.lit(r"(?U)\S"))
 
 
+_OPEN = re.compile(rf"```(?:{'|'.join(FENCES)})?\s*\n", re.IGNORECASE)
+_CLOSE = re.compile(r"\n```\s*\Z")
+_QUOTES = ('"', "'")
+
+
 def clean_one(text: str | None) -> str:
     """Trim, peel off code fences and quotes until nothing changes, drop known prefixes, compose accents."""
     now, before = (text or "").strip(), None
     while now != before:
         before = now
-        now = re.sub(r"\n?```$", "", re.sub(r"^```[\w-]*\n?", "", now)).strip()
-        now = now[1:] if now[:1] in ("'", '"') else now
-        now = now[:-1] if now[-1:] in ("'", '"') else now
-        now = now.strip()
+        if opened := _OPEN.match(now):
+            now = now[opened.end() :].strip()
+        now = _CLOSE.sub("", now).strip()
+        if now.startswith(_QUOTES):
+            now = now[1:].strip()
+        if now.endswith(_QUOTES):
+            now = now[:-1].strip()
     for pattern in PREFIXES:
-        now = re.sub(pattern, "", now, count=1)
-    return unicodedata.normalize("NFC", now.strip())
+        if found := re.match(pattern, now, re.IGNORECASE):
+            now = now[found.end() :].lstrip()
+    return unicodedata.normalize("NFC", now)
 
 
 @F.pandas_udf(T.StringType())
@@ -61,7 +75,7 @@ def _clean(texts: pd.Series) -> pd.Series:
 
 def clean_artifacts(text: Column) -> Column:
     """Spark has no Unicode composition, so what may change goes to Python; plain clean text stays in the JVM."""
-    touched = F.rlike(text, F.lit("(?iU)^\\s|\\s$|^[`'\"]|[`'\"]$|^(here|translation)|[^\\x00-\\x7F]"))
+    touched = F.rlike(text, F.lit("(?iU)^\\s|\\s$|^[`'\"]|[`'\"]$|^(translation|output)|[^\\x00-\\x7F]"))
     return F.when(text.isNull(), "").when(touched, _clean(text)).otherwise(text)
 
 

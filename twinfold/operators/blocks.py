@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Block types by body. Types without a text body hash by type alone.
+#: Block types by body, types by what a clone does with them, styles of a run. Types without a text body hash by type alone.
 FIELD_OF_TYPE = {2: "text", **{t: f"heading{t - 2}" for t in range(3, 12)}, 12: "bullet", 13: "ordered", 14: "code", 15: "quote", 17: "todo", 19: "callout", 34: "quote_container"}
 PATCHABLE = [*range(2, 16), 17]
 MEDIA = {27: "image", 23: "file", 31: "table", 24: "grid", 43: "board"}
 UNSUPPORTED = [18, 22, 30, 40, 50, 53, 55]
-STYLES = ["bold", "italic", "strikethrough", "underline", "inline_code", "text_color", "background_color", "link"]
+STYLES = ["bold", "italic", "underline", "strikethrough", "inline_code", "background_color", "text_color", "link"]
 
 
 def block_text_field(block_type: Column) -> Column:
@@ -24,16 +24,24 @@ def block_text(elements: Column, plain: bool = False) -> Column:
     return F.array_join(F.transform(elements, lambda e: F.when(e["kind"].isin(kinds), F.coalesce(e["content"], F.lit(""))).when(e["kind"] == "mention_doc", F.coalesce(e["title"], F.lit(""))).otherwise("")), "")
 
 
-def block_hash(block_type: Column, content: Column, url: Column) -> Column:
-    """md5 over type, body name and the run's content and url; a block without a text body hashes its type only."""
-    field = block_text_field(block_type)
-    head = F.concat(block_type.cast("string"), F.lit("\x01"))
-    body = F.concat(field, F.lit("\x02"), F.coalesce(content, F.lit("")), F.lit("\x00"), F.coalesce(url, F.lit("")), F.lit("\x03"))
-    return F.md5(F.concat(head, F.coalesce(body, F.lit(""))).cast("binary"))
+def text_run(content: Column, url: Column) -> Column:
+    """An element that is a run of text with a link."""
+    return F.struct(F.lit("text_run").alias("kind"), content.alias("content"), url.alias("url"), F.lit("").alias("token"), F.lit("").alias("title"))
+
+
+def block_hash(block_type: Column, elements: Column) -> Column:
+    """md5 over type, body name and elements: content and url of each run, token, url and title of each mentioned
+    document; other elements don't count. A block without a text body hashes its type only."""
+    known = lambda e, *names: F.array(*[F.coalesce(e[n], F.lit("")) for n in names])
+    parts = F.transform(elements, lambda e: F.when(e["kind"] == "text_run", known(e, "content", "url")).when(e["kind"] == "mention_doc", known(e, "token", "url", "title")).otherwise(F.array().cast("array<string>")))
+    body = F.concat(block_text_field(block_type), F.lit("\x02"), F.coalesce(F.array_join(F.flatten(parts), "\x00"), F.lit("")), F.lit("\x03"))
+    return F.md5(F.concat(block_type.cast("string"), F.lit("\x01"), F.coalesce(body, F.lit(""))).cast("binary"))
 
 
 def hashed(blocks: DataFrame) -> DataFrame:
-    return blocks.select("doc_id", "idx", "block_id", "block_type", block_hash(F.col("block_type"), F.col("content"), F.col("url")).alias("hash"))
+    """Hashes of blocks with an array of elements, or with one run (content, url) each."""
+    elements = F.col("elements") if "elements" in blocks.columns else F.array(text_run(F.col("content"), F.col("url")))
+    return blocks.select("doc_id", "idx", "block_id", "block_type", block_hash(F.col("block_type"), elements).alias("hash"))
 
 
 def block_diff(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -6,34 +6,63 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Codes and words by category; seconds of backoff (base, cap) by category.
-CODES = {"rate_limit": (99991400, 99991663, 1254290, 1254291), "auth": (99991661, 99991664, 99991668, 99991671), "permission": (1254302, 1254303, 99991672), "not_found": (1254040, 1254043, 1770002)}
-NETWORK = ("timeout", "timed out", "connection", "reset by peer", "refused", "unreachable", "broken pipe", "ssl", "dns", "eof", "socket", "network", "temporarily unavailable", "gateway")
-BACKOFF = {"rate_limit": (2.0, 60.0), "network": (1.0, 30.0), "server": (2.0, 60.0), "quota": (60.0, 3600.0), "unknown": (1.0, 30.0)}
-RETRYABLE = ("rate_limit", "network", "server", "quota", "auth")
-
-
-def _http(status: Column) -> Column:
-    return F.when(status == 429, "rate_limit").when(status.between(500, 599), "server").when(status.isin(401, 403), "auth").when(status == 404, "not_found")
-
-
-def classify_code(code: Column, status: Column) -> Column:
-    known = F.coalesce(*[F.when(code.isin(list(v)), k) for k, v in CODES.items()])
-    return F.coalesce(known, _http(status), F.lit("unknown"))
+from ..shipping import map_pandas
+
+#: API codes by category, words of quota and rate errors, words of network errors, seconds of backoff (base, cap) by category.
+CODES = {
+    "rate_limit": (99991400, 230001),
+    "lock": (131009, 1254606, 1770001, 4000080),
+    "auth": (99991663, 99991664, 99991665, 1061045),
+    "not_found": (131005, 131008, 1770003, 1770006),
+    "permission": (131006, 1770032, 1254030, 1254040),
+    "schema": (1254045, 1254046, 1254050),
+    "server": (131001, 230002, 800004135, 800014300),
+}
+LIMITS = ("quota", "out of credit", "insufficient_quota", "rate limit", "rate_limit")
+NETWORK = (
+    "timeout",
+    "connection refused",
+    "connection reset",
+    "connection aborted",
+    "broken pipe",
+    "eof",
+    "no route to host",
+    "network is unreachable",
+    "name resolution failed",
+    "temporary failure in name resolution",
+    "dns",
+    "tls handshake",
+    "remote disconnected",
+    "read timed out",
+)
+BACKOFF = {"rate_limit": (2.0, 60.0), "network": (1.0, 8.0), "lock": (5.0, 60.0), "quota": (30.0, 600.0), "server": (2.0, 30.0), "unknown": (1.0, 60.0)}
+OTHER_BACKOFF = (1.0, 60.0)
+RETRYABLE = ("rate_limit", "network", "lock", "quota", "server", "auth", "unknown")
+
+
+def classify_code(code: Column) -> Column:
+    """By API code, else by HTTP status; unknown if it is neither or null."""
+    known = [F.when(code.isin(list(v)), k) for k, v in CODES.items()]
+    http = F.when(code == 429, "rate_limit").when(code.between(500, 599), "server").when(code.isin(401, 403), "permission").when(code == 404, "not_found")
+    return F.coalesce(*known, http, F.lit("unknown"))
 
 
 def classify_message(code: Column, message: Column, status: Column) -> Column:
-    """By code if there is one, else by words of the message, else by HTTP status."""
-    m = F.lower(F.coalesce(message, F.lit("")))
-    any_of = lambda *words: F.rlike(m, F.lit("|".join(w.replace(".", "[.]") for w in words)))
-    by_text = F.when(any_of("quota", "credit", "billing"), "quota").when(any_of("rate limit", "too many requests", "429", "throttl"), "rate_limit").when(any_of(*NETWORK), "network")
-    return F.when(F.coalesce(code, F.lit(0)) != 0, classify_code(code, status)).otherwise(F.coalesce(by_text, _http(status), F.lit("unknown")))
+    """By API code if there is one, else by words of the message, else by HTTP status."""
+    text = F.lower(F.coalesce(message, F.lit("")))
+    has = lambda *words: F.greatest(*[F.contains(text, F.lit(w)) for w in words], F.lit(False))
+    by_text = F.when(has(*LIMITS), F.when(has("quota", "credit"), "quota").otherwise("rate_limit")).when(has(*NETWORK), "network")
+    return F.when(F.coalesce(code, F.lit(0)) != 0, classify_code(code)).otherwise(F.coalesce(by_text, classify_code(status)))
 
 
 def retry_advice(category: Column, attempt: Column) -> Column:
-    """struct(retryable, seconds): exponential backoff with a cap; none for authentication."""
-    pick = lambda i: F.coalesce(*[F.when(category == k, F.lit(v[i])) for k, v in BACKOFF.items()], F.lit(0.0))
-    return F.struct(category.isin(*RETRYABLE).alias("retryable"), F.least(pick(0) * F.pow(F.lit(2.0), F.greatest(attempt, F.lit(0))), pick(1)).alias("seconds"))
+    """struct(retryable, seconds): exponential backoff with a cap; an authentication error is retried at once."""
+
+    def pick(i: int) -> Column:
+        return F.coalesce(*[F.when(category == k, F.lit(v[i])) for k, v in BACKOFF.items()], F.lit(OTHER_BACKOFF[i]))
+
+    seconds = F.least(pick(0) * F.pow(F.lit(2.0), F.greatest(attempt, F.lit(0))), pick(1))
+    return F.struct(category.isin(*RETRYABLE).alias("retryable"), F.when(category == "auth", F.lit(0.0)).otherwise(seconds).alias("seconds"))
 
 
 def retry_outcomes(attempts: DataFrame, most: int = 5) -> DataFrame:
@@ -62,10 +91,34 @@ def quota_usage(calls: DataFrame, short_s: int, long_s: int, short_cap: int, lon
     return out.select("call_id", "resource", "n_short", "n_long", pct.alias("share"), (pct >= 0.8).alias("near_limit"), wait.alias("wait_s"))
 
 
-def failure_streaks(calls: DataFrame) -> DataFrame:
-    """Longest run of failures and failure rate by resource."""
-    w = Window.partitionBy("resource").orderBy("ts", "call_id")
-    runs = calls.withColumn("_g", F.sum(F.col("ok").cast("long")).over(w)).where("not ok").groupBy("resource", "_g").agg(F.count("*").alias("n"))
+def numbered(calls: DataFrame, slice_s: int = 86_400) -> DataFrame:
+    """calls with _rn, the place of each in its resource by ts and call_id.
+
+    Rows are numbered within slices of time, and the slices' counts (a row each) are summed in order, so that no
+    window holds a whole resource.
+    """
+    rows = calls.withColumn("_slice", F.floor(F.unix_micros("ts") / F.lit(slice_s * 1_000_000)))
+    in_order = Window.partitionBy("resource").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("resource", "_slice").agg(F.count("*").alias("_n")).select("resource", "_slice", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("resource", "_slice").orderBy("ts", "call_id"))
+    return rows.withColumn("_own", own).join(before, ["resource", "_slice"]).withColumn("_rn", F.col("_before") + F.col("_own")).drop("_slice", "_own", "_before")
+
+
+def overlapped(rows: DataFrame, n: int, block: int = 10_000) -> DataFrame:
+    """Numbered rows dealt into blocks (_block) that take the n rows before them along; _mine marks a block's own rows."""
+    own = F.floor((F.col("_rn") - 1) / block)
+    blocks = F.when(F.col("_rn") > (own + 1) * block - n, F.array(own, own + 1)).otherwise(F.array(own))
+    return rows.withColumn("_block", F.explode(blocks)).withColumn("_mine", F.col("_block") == own)
+
+
+def failure_streaks(calls: DataFrame, slice_s: int = 86_400) -> DataFrame:
+    """Longest run of failures and failure rate by resource. A run is named by the successes before it, counted by slices of time and then over them."""
+    rows = calls.withColumn("_slice", F.floor(F.unix_micros("ts") / F.lit(slice_s * 1_000_000)))
+    in_slice = Window.partitionBy("resource", "_slice").orderBy("ts", "call_id")
+    in_order = Window.partitionBy("resource").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("resource", "_slice").agg(F.sum(F.col("ok").cast("long")).alias("_n")).select("resource", "_slice", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+    parts = rows.withColumn("_g", F.sum(F.col("ok").cast("long")).over(in_slice)).where("not ok").groupBy("resource", "_slice", "_g").agg(F.count("*").alias("n"))
+    runs = parts.join(before, ["resource", "_slice"]).groupBy("resource", (F.col("_before") + F.col("_g")).alias("_run")).agg(F.sum("n").alias("n"))
     longest = runs.groupBy("resource").agg(F.max("n").alias("longest_streak"), F.count("*").alias("n_streaks"))
     return calls.groupBy("resource").agg(F.count("*").alias("n_calls"), F.avg((~F.col("ok")).cast("double")).alias("failure_rate")).join(longest, "resource", "left")
 
@@ -96,21 +149,44 @@ def outage_fold(ts: list[int], ok: list[bool], opened: dict, after: int = 5, res
     return out
 
 
-def outage_state(calls: DataFrame, after: int = 5, rest_s: int = 30) -> DataFrame:
-    """State of each resource after each call; sequential within a resource, so its calls (time and outcome only) are one group."""
+def outage_state(calls: DataFrame, after: int = 5, rest_s: int = 30, closes: int = 2) -> DataFrame:
+    """State of each resource after each call.
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["us", "call_id"])
-        got = outage_fold(part["us"].tolist(), part["ok"].tolist(), {"state": "closed", "bad": 0, "good": 0, "since": 0}, after, rest_s * 1_000_000)
-        return pd.DataFrame({"resource": part["resource"], "call_id": part["call_id"], "state": [s for s, _ in got], "suppressed": [x for _, x in got]})
-
-    return calls.select("resource", "call_id", F.unix_micros("ts").alias("us"), "ok").groupBy("resource").applyInPandas(fold, "resource string, call_id long, state string, suppressed boolean")
+    After so many successes in a row as close an outage, the first of them no sooner after the call before it than the
+    rest, the state is closed whatever came before. There a resource's log is cut; the pieces are folded apart, each
+    streamed in order with the state carried from row to row, so that memory stays bounded however long a piece is.
+    """
+    rest_us = rest_s * 1_000_000
+    rows = numbered(calls.select("resource", "call_id", "ts", "ok")).withColumn("us", F.unix_micros("ts"))
+    near = Window.partitionBy("resource", "_block").orderBy("_rn")
+    won = F.coalesce(F.min(F.col("ok").cast("int")).over(near.rowsBetween(1 - closes, 0)), F.lit(0)) == 1
+    full = F.count("*").over(near.rowsBetween(1 - closes, 0)) == closes
+    rested = F.lag("us", closes - 1).over(near) - F.lag("us", closes).over(near) >= rest_us
+    cut = overlapped(rows, closes + 1).withColumn("_cut", (won & full & F.coalesce(rested, F.lit(False))).cast("long")).where("_mine")
+    within = Window.partitionBy("resource", "_block").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("resource").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = cut.groupBy("resource", "_block").agg(F.sum("_cut").alias("_n")).select("resource", "_block", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+    pieces = cut.withColumn("_within", F.coalesce(F.sum("_cut").over(within), F.lit(0))).join(before, ["resource", "_block"]).withColumn("piece", F.col("_before") + F.col("_within"))
+
+    def fold(parts):
+        key, now = None, {}
+        for part in parts:
+            got = []
+            for resource, piece, us, ok in zip(part["resource"], part["piece"], part["us"], part["ok"], strict=True):
+                if (resource, piece) != key:
+                    key, now = (resource, piece), {"state": "closed", "bad": 0, "good": 0, "since": 0}
+                got += outage_fold([us], [ok], now, after, rest_us, closes)
+            yield pd.DataFrame({"resource": part["resource"], "call_id": part["call_id"], "state": [s for s, _ in got], "suppressed": [x for _, x in got]})
+
+    dealt = pieces.select("resource", "piece", "_rn", "call_id", "us", "ok").repartition("resource", "piece").sortWithinPartitions("resource", "piece", "_rn")
+    return map_pandas(dealt, fold, "resource string, call_id long, state string, suppressed boolean")
 
 
 def rate_limited_window(calls: DataFrame, n: int = 20) -> DataFrame:
-    """Share of rate-limited calls among the last n of a resource."""
-    w = Window.partitionBy("resource").orderBy("ts", "call_id").rowsBetween(1 - n, 0)
-    return calls.select("call_id", "resource", F.avg((F.col("status_code") == 429).cast("double")).over(w).alias("share"))
+    """Share of rate-limited calls among the last n of a resource; a busy resource is many blocks, each with the n rows before it."""
+    w = Window.partitionBy("resource", "_block").orderBy("_rn").rowsBetween(1 - n, 0)
+    rows = overlapped(numbered(calls.select("call_id", "resource", "ts", "status_code")), n)
+    return rows.withColumn("share", F.avg((F.col("status_code") == 429).cast("double")).over(w)).where("_mine").select("call_id", "resource", "share")
 
 
 def log_rollup(log: DataFrame) -> DataFrame:

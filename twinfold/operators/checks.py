@@ -15,6 +15,12 @@ def catalog_of(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema], "name string, kind string")
 
 
+def catalog_of_records(rows: DataFrame, column: str) -> DataFrame:
+    """(name, kind, n) of the fields that landed JSON records really hold, counted over all rows; a null has the kind void."""
+    fields = rows.select(F.explode(F.try_parse_json(column).cast("map<string,variant>")).alias("name", "v"))
+    return fields.groupBy("name", F.lower(F.schema_of_variant("v")).alias("kind")).agg(F.count("*").alias("n"))
+
+
 def schema_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """One row a column that is missing, extra or of another kind. Extra columns are listed, but are no change to make."""
     both = expected.withColumnRenamed("kind", "want").join(actual.withColumnRenamed("kind", "have"), "name", "full_outer")

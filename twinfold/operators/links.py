@@ -42,10 +42,17 @@ def url_rewrite(links: DataFrame, mapping: DataFrame, source: str = "source.exam
 
 
 def fix_elements(blocks: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Blocks (doc_id, idx, elements) with every element's url rewritten, and how many were; order is kept by place, not by sorting rows."""
-    parts = blocks.select("doc_id", "idx", F.posexplode("elements").alias("pos", "e")).select("doc_id", "idx", "pos", F.col("e.content").alias("content"), F.coalesce("e.url", F.lit("")).alias("url"))
-    done = url_rewrite(parts, mapping).groupBy("doc_id", "idx")
-    return done.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "content", "new_url"))), lambda x: F.struct(x["content"].alias("content"), x["new_url"].alias("url"))).alias("elements"), F.count_if("replaced").alias("n_replaced"))
+    """Blocks (doc_id, idx, elements) with the urls of runs and of mentioned documents rewritten, and how many were.
+
+    Elements stay whole (kind, content, token, title, style) and in their order, which is kept by place. Blocks
+    without elements keep their empty array.
+    """
+    linked = F.col("e.kind").isin("text_run", "mention_doc")
+    parts = blocks.select("doc_id", "idx", F.posexplode_outer("elements").alias("pos", "e")).withColumn("url", F.when(linked, F.coalesce("e.url", F.lit(""))).otherwise(""))
+    done = url_rewrite(parts, mapping).withColumn("e", F.when(F.col("replaced"), F.col("e").withField("url", F.col("new_url"))).otherwise(F.col("e")))
+    placed = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "e")))
+    back = F.transform(F.array_sort(placed, lambda a, b: a["pos"] - b["pos"]), lambda x: x["e"])
+    return done.groupBy("doc_id", "idx").agg(back.alias("elements"), F.count_if("replaced").alias("n_replaced"))
 
 
 def backlink_stats(rewritten: DataFrame) -> DataFrame:

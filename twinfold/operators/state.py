@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: How a record ends in a run.
+RESULTS = ("ok", "skip", "fail_transient", "fail_permanent", "source_deleted", "unsupported_type", "perm_denied", "uncaught")
 OUTCOMES = ("OK", "SKIP", "FAIL", "RETRY", "INFO")
 _LINE = r"^(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ) \[([A-Z_]+)\] (OK|SKIP|FAIL|RETRY|INFO)(?: (.*))?$"
 
@@ -44,8 +46,9 @@ def reset_records(state: DataFrame, stt: int | None = None, status: str | None =
     return state.withColumns({c: F.when(hit, "Pending").otherwise(F.col(c)) for c in ("status", "translate_status")})
 
 
-def pipeline_counters(outcomes: DataFrame) -> DataFrame:
-    n = outcomes.groupBy("run_id").agg(F.count("*").alias("n_total"), *[F.count_if(F.col("outcome") == o).alias(f"n_{o.lower()}") for o in OUTCOMES[:4]])
+def pipeline_counters(outcomes: DataFrame, result: str = "result") -> DataFrame:
+    """By run how many records ended in each of RESULTS, the share of ok ones, and whether it is low enough for an alert."""
+    n = outcomes.groupBy("run_id").agg(F.count_if(F.col(result).isin(*RESULTS)).alias("n_total"), *[F.count_if(F.col(result) == r).alias(f"n_{r}") for r in RESULTS])
     return n.withColumn("success_rate", F.when(F.col("n_total") == 0, 0.0).otherwise(F.col("n_ok") / F.col("n_total"))).withColumn("alert", F.col("success_rate") < 0.9)
 
 

@@ -53,20 +53,27 @@ def pending_once(routed: DataFrame) -> DataFrame:
 
 
 def pack_batches(items: DataFrame, max_chars: int = 4000, max_items: int = 30) -> DataFrame:
-    """(doc_id, idx, batch_no): greedy in order of idx within a document. Only places and lengths travel to the groups."""
-
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("idx")
-        batch = chars = n = 0
-        out = []
-        for size in part["len"].tolist():
-            if n and (chars + size > max_chars or n >= max_items):
-                batch, chars, n = batch + 1, 0, 0
-            out.append(batch)
-            chars, n = chars + size, n + 1
-        return pd.DataFrame({"doc_id": part["doc_id"], "idx": part["idx"], "batch_no": out})
-
-    return items.select("doc_id", F.col("idx").cast("long").alias("idx"), F.length("text").alias("len")).groupBy("doc_id").applyInPandas(pack, "doc_id long, idx long, batch_no long")
+    """(doc_id, idx, batch_no): greedy in order of idx within a document.
+
+    Only places and lengths are shuffled. Sorted rows stream through with three numbers carried from row to row, so
+    that neither many small documents nor a huge one cost more than their rows.
+    """
+
+    def pack(parts):
+        doc, batch, chars, n = None, 0, 0, 0
+        for part in parts:
+            out = []
+            for key, size in zip(part["doc_id"].tolist(), part["len"].tolist(), strict=True):
+                if key != doc:
+                    doc, batch, chars, n = key, 0, 0, 0
+                elif chars + size > max_chars or n >= max_items:
+                    batch, chars, n = batch + 1, 0, 0
+                out.append(batch)
+                chars, n = chars + size, n + 1
+            yield pd.DataFrame({"doc_id": part["doc_id"], "idx": part["idx"], "batch_no": out})
+
+    dealt = items.select("doc_id", F.col("idx").cast("long").alias("idx"), F.length("text").alias("len")).repartition("doc_id").sortWithinPartitions("doc_id", "idx")
+    return map_pandas(dealt, pack, "doc_id long, idx long, batch_no long")
 
 
 def batch_message(packed: DataFrame) -> DataFrame:

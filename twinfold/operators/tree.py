@@ -24,11 +24,13 @@ def children_index(nodes: DataFrame) -> DataFrame:
 
 
 def children_index_legacy(rows: DataFrame, column: str = "body") -> DataFrame:
-    """(parent, child, pos) from JSON text {parent: [child] | {child: index}}; what isn't a string child is left out."""
-    top = rows.select(F.explode(F.from_json(column, "map<string,string>")).alias("parent", "value"))
-    listed = top.where("value like '[%'").select("parent", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "child")).where("child is not null and child not rlike '^[0-9.]+$'").select("parent", "child", F.col("pos").cast("long").alias("at"))
-    mapped = top.where("value like '{%'").select("parent", F.explode(F.from_json("value", "map<string,long>")).alias("child", "at"))
-    order = Window.partitionBy("parent").orderBy("at")
+    """(parent, child, pos) from JSON text {parent: [child] | {child: index}}; children that aren't strings and indexes that aren't numbers are left out."""
+    top = rows.select(F.explode(F.try_parse_json(column).cast("map<string,variant>")).alias("parent", "value")).withColumn("kind", F.schema_of_variant("value"))
+    listed = top.where("kind like 'ARRAY%'").select("parent", F.posexplode(F.col("value").cast("array<variant>")).alias("at", "v"))
+    listed = listed.where(F.schema_of_variant("v") == "STRING").select("parent", F.col("v").cast("string").alias("child"), F.col("at").cast("double").alias("at"))
+    mapped = top.where("kind like 'OBJECT%'").select("parent", F.explode(F.col("value").cast("map<string,variant>")).alias("child", "v"))
+    mapped = mapped.where(F.schema_of_variant("v").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)")).select("parent", "child", F.when(F.schema_of_variant("v") == "BOOLEAN", F.col("v").cast("string").cast("boolean").cast("double")).otherwise(F.col("v").cast("string").cast("double")).alias("at"))
+    order = Window.partitionBy("parent").orderBy("at", "child")
     return listed.union(mapped).withColumn("pos", F.row_number().over(order) - 1).select("parent", "child", "pos")
 
 

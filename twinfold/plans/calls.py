@@ -2,46 +2,83 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import time
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import calls as A
 from ..streaming import streams as Z
-from .base import Registry
+from .base import Registry, new_folder
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
 add = R.add
 
-_CODE = "CASE WHEN code = 99991400 THEN 'rate_limit' WHEN status_code = 429 THEN 'rate_limit' WHEN status_code BETWEEN 500 AND 599 THEN 'server' WHEN status_code IN (401, 403) THEN 'auth' WHEN status_code = 404 THEN 'not_found' ELSE 'unknown' END"
-_MSG = f"CASE WHEN code <> 0 THEN {_CODE} WHEN lower(message) LIKE '%quota%' THEN 'quota' WHEN lower(message) LIKE '%too many%' THEN 'rate_limit' WHEN lower(message) LIKE '%connection%' THEN 'network' ELSE {_CODE} END"
-_PAUSE = "CASE {0} WHEN 'rate_limit' THEN least(2.0 * pow(2, {1}), 60.0) WHEN 'server' THEN least(2.0 * pow(2, {1}), 60.0) WHEN 'unknown' THEN least(1.0 * pow(2, {1}), 30.0) WHEN 'network' THEN least(pow(2, {1}), 30.0) ELSE 0.0 END"
-_cat = lambda: A.classify_code(F.col("code"), F.col("status_code"))
-_attempts = lambda t: t.calls.select(F.col("user_id").alias("operation"), "ts", "call_id", "ok", _cat().alias("category"))
-
-add("classify_code", lambda t: t.calls.select("call_id", _cat().alias("category")), "calls", f"SELECT call_id, {_CODE} AS category FROM calls")
-add("classify_message", lambda t: t.calls.select("call_id", A.classify_message(F.when(F.col("call_id") % 2 == 0, F.col("code")).otherwise(0), F.col("message"), F.col("status_code")).alias("category")), "calls", f"SELECT call_id, {_MSG.replace('code <> 0', 'code <> 0 AND call_id % 2 = 0')} AS category FROM calls")
-add("retry_advice", lambda t: t.calls.select("call_id", A.retry_advice(_cat(), F.col("call_id") % 7).alias("a")).select("call_id", "a.retryable", "a.seconds"), "calls", f"WITH c AS (SELECT *, {_CODE} AS category FROM calls) SELECT call_id, category IN ('rate_limit', 'network', 'server', 'quota', 'auth') AS retryable, CAST({_PAUSE.format('category', 'call_id % 7')} AS DOUBLE) AS seconds FROM c")
-add("retry_outcomes", lambda t: A.retry_outcomes(_attempts(t)), "calls", f"""WITH c AS (SELECT user_id AS operation, ok, {_CODE} AS category, row_number() OVER (PARTITION BY user_id ORDER BY ts, call_id) AS attempt FROM calls),
-e AS (SELECT operation, coalesce(min(attempt) FILTER (ok OR category NOT IN ('rate_limit', 'network', 'server', 'quota', 'auth') OR attempt >= 5), max(attempt)) AS stop FROM c GROUP BY operation)
-SELECT operation, count(*) AS n_attempts, bool_or(ok) AS succeeded, CAST(sum(CASE WHEN ok THEN 0.0 ELSE {_PAUSE.format('category', 'attempt - 1')} END) AS DOUBLE) AS planned_wait FROM c JOIN e USING (operation) WHERE attempt <= stop GROUP BY operation""")
+
+
+def _code_sql(code: str) -> str:
+    sets = " ".join(f"WHEN {code} IN ({', '.join(map(str, v))}) THEN '{k}'" for k, v in A.CODES.items())
+    return f"(CASE {sets} WHEN {code} = 429 THEN 'rate_limit' WHEN {code} BETWEEN 500 AND 599 THEN 'server' WHEN {code} IN (401, 403) THEN 'permission' WHEN {code} = 404 THEN 'not_found' ELSE 'unknown' END)"
+
+
+def _message_sql() -> str:
+    any_of = lambda words: "(" + " OR ".join(f"contains(lower(message), '{w}')" for w in words) + ")"
+    limits = f"WHEN {any_of(A.LIMITS)} THEN CASE WHEN {any_of(('quota', 'credit'))} THEN 'quota' ELSE 'rate_limit' END"
+    return f"CASE WHEN coalesce(code, 0) <> 0 THEN {_code_sql('code')} {limits} WHEN {any_of(A.NETWORK)} THEN 'network' ELSE {_code_sql('status_code')} END"
+
+
+def _pause_sql(category: str, attempt: str) -> str:
+    steps = " ".join(f"WHEN '{k}' THEN least({base} * pow(2, {attempt}), {cap})" for k, (base, cap) in A.BACKOFF.items())
+    return f"CASE {category} WHEN 'auth' THEN 0.0 {steps} ELSE least({A.OTHER_BACKOFF[0]} * pow(2, {attempt}), {A.OTHER_BACKOFF[1]}) END"
+
+
+_RETRIED = ", ".join(f"'{c}'" for c in A.RETRYABLE)
+
+
+def _category(t):
+    """Calls with a category each: every code and phrase that is known comes up."""
+    return t.signals.withColumn("category", A.classify_message(F.col("code"), F.col("message"), F.col("status_code")))
+
+
+def _retry_outcomes(t):
+    return A.retry_outcomes(_category(t).select(F.col("user_id").alias("operation"), "ts", "call_id", "ok", "category"))
+
+
+add(
+    "classify_code",
+    lambda t: t.signals.select("call_id", "code", A.classify_code(F.col("code")).alias("category"), A.classify_code(F.col("status_code")).alias("status_category")),
+    "signals",
+    f"SELECT call_id, code, {_code_sql('code')} AS category, {_code_sql('status_code')} AS status_category FROM signals",
+)
+add("classify_message", lambda t: _category(t).select("call_id", "message", "category"), "signals", f"SELECT call_id, message, {_message_sql()} AS category FROM signals")
+add(
+    "retry_advice",
+    lambda t: _category(t).select("call_id", A.retry_advice(F.col("category"), F.col("call_id") % 9).alias("a")).select("call_id", "a.retryable", "a.seconds"),
+    "signals",
+    f"""WITH c AS (SELECT *, {_message_sql()} AS category FROM signals)
+    SELECT call_id, category IN ({_RETRIED}) AS retryable, CAST({_pause_sql("category", "(call_id % 9)")} AS DOUBLE) AS seconds FROM c""",
+)
+add("retry_outcomes", _retry_outcomes, "signals", f"""
+WITH c AS (SELECT user_id AS operation, ok, {_message_sql()} AS category, row_number() OVER (PARTITION BY user_id ORDER BY ts, call_id) AS attempt FROM signals),
+e AS (SELECT operation, coalesce(min(attempt) FILTER (ok OR category NOT IN ({_RETRIED}) OR attempt >= 5), max(attempt)) AS stop FROM c GROUP BY operation)
+SELECT operation, count(*) AS n_attempts, bool_or(ok) AS succeeded, CAST(sum(CASE WHEN ok THEN 0.0 ELSE {_pause_sql("category", "(attempt - 1)")} END) AS DOUBLE) AS planned_wait
+FROM c JOIN e USING (operation) WHERE attempt <= stop GROUP BY operation""")
 add("quota_usage", lambda t: A.quota_usage(t.calls, 3600, 86400, 3, 70), "calls", """
 WITH c AS (SELECT call_id, resource, epoch_us(ts) AS us FROM calls), w AS (SELECT *, count(*) OVER (PARTITION BY resource ORDER BY us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS n_short, count(*) OVER (PARTITION BY resource ORDER BY us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS n_long, min(us) OVER (PARTITION BY resource ORDER BY us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS oldest FROM c)
 SELECT call_id, resource, n_short, n_long, greatest(n_short / 3, n_long / 70) AS share, greatest(n_short / 3, n_long / 70) >= 0.8 AS near_limit, CASE WHEN n_short >= 3 THEN (oldest + 3600000000 - us) / 1e6 ELSE 0.0 END AS wait_s FROM w""")
 add("failure_streaks", lambda t: A.failure_streaks(t.calls), "calls", """
 WITH c AS (SELECT *, sum(CAST(ok AS INTEGER)) OVER (PARTITION BY resource ORDER BY ts, call_id) AS g FROM calls), r AS (SELECT resource, g, count(*) AS n FROM c WHERE NOT ok GROUP BY resource, g), l AS (SELECT resource, max(n) AS longest_streak, count(*) AS n_streaks FROM r GROUP BY resource)
 SELECT resource, count(*) AS n_calls, avg(CASE WHEN ok THEN 0.0 ELSE 1.0 END) AS failure_rate, any_value(longest_streak) AS longest_streak, any_value(n_streaks) AS n_streaks FROM calls LEFT JOIN l USING (resource) GROUP BY resource""")
-add("outage_state", lambda t: A.outage_state(t.calls, 3, 7200), "calls", """RECURSIVE WITH s AS (SELECT resource, call_id, epoch_us(ts) AS us, ok, row_number() OVER (PARTITION BY resource ORDER BY ts, call_id) AS k FROM calls),
+_OUTAGE = """RECURSIVE WITH s AS (SELECT resource, call_id, epoch_us(ts) AS us, ok, row_number() OVER (PARTITION BY resource ORDER BY ts, call_id) AS k FROM calls),
 f AS (SELECT resource, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS call_id, 'closed' AS state, 0 AS bad, 0 AS good, CAST(0 AS BIGINT) AS since, false AS suppressed FROM calls GROUP BY resource
 UNION ALL SELECT resource, k, call_id,
   CASE WHEN hold THEN 'open' WHEN st = 'half_open' THEN CASE WHEN NOT ok THEN 'open' WHEN g + 1 >= 2 THEN 'closed' ELSE 'half_open' END WHEN NOT ok AND bad + 1 >= 3 THEN 'open' ELSE 'closed' END,
   CASE WHEN hold THEN bad WHEN st = 'half_open' THEN CASE WHEN ok AND g + 1 >= 2 THEN 0 ELSE bad END WHEN ok THEN 0 ELSE bad + 1 END,
   CASE WHEN hold THEN good WHEN st = 'half_open' AND ok THEN g + 1 ELSE g END,
   CASE WHEN hold THEN since WHEN st = 'half_open' AND NOT ok THEN us WHEN st = 'closed' AND NOT ok AND bad + 1 >= 3 THEN us ELSE since END, hold
-  FROM (SELECT f.resource, s.k, s.call_id, s.us, s.ok, f.bad, f.good, f.since, f.state = 'open' AND s.us - f.since < 7200000000 AS hold, CASE WHEN f.state = 'open' THEN 'half_open' ELSE f.state END AS st, CASE WHEN f.state = 'open' THEN 0 ELSE f.good END AS g FROM f JOIN s ON s.resource = f.resource AND s.k = f.k + 1) x)
-SELECT resource, call_id, state, suppressed FROM f WHERE k > 0""")
+  FROM (SELECT f.resource, s.k, s.call_id, s.us, s.ok, f.bad, f.good, f.since, f.state = 'open' AND s.us - f.since < 7200000000 AS hold, CASE WHEN f.state = 'open' THEN 'half_open' ELSE f.state END AS st, CASE WHEN f.state = 'open' THEN 0 ELSE f.good END AS g FROM f JOIN s ON s.resource = f.resource AND s.k = f.k + 1) x)"""
+add("outage_state", lambda t: A.outage_state(t.calls, 3, 7200), "calls", f"{_OUTAGE} SELECT resource, call_id, state, suppressed FROM f WHERE k > 0")
 add("rate_limited_window", lambda t: A.rate_limited_window(t.calls), "calls", "SELECT call_id, resource, avg(CASE WHEN status_code = 429 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY resource ORDER BY ts, call_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS share FROM calls")
 add("log_rollup", lambda t: A.log_rollup(t.outcomes.select(F.col("run_id").alias("correlation_id"), "stage", F.floor("seconds").alias("seconds"))), "outcomes", "SELECT run_id AS correlation_id, stage, count(*) AS n_events, CAST(sum(floor(seconds)) AS BIGINT) AS total_s, CAST(max(floor(seconds)) AS BIGINT) AS max_s FROM outcomes GROUP BY ALL")
 
@@ -51,47 +88,69 @@ add("log_rollup", lambda t: A.log_rollup(t.outcomes.select(F.col("run_id").alias
 
 def _folder(t) -> str:
     """A new folder that driver and executors share."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return new_folder(t.spark, "stream")
 
 
-def _stream(t, folder: str, df):
-    """A table landed as files, read as a stream of a few files a batch."""
-    df.write.parquet(f"{folder}/in")
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/in")
+def _stream(t, folder: str, *parts):
+    """Tables landed as files one after the other, read as a stream of one part a batch: files are taken in order of their age."""
+    for i, df in enumerate(parts):
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        if i + 1 < len(parts):
+            time.sleep(1.1)  # ages are compared by the second on some file systems
+    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
 
 
-def _drain(t, folder: str, stream, mode: str, cut: str | None = None):
+def _drain(t, folder: str, stream, mode: str):
     """Run a streaming query over all that is there, writing each batch to its own folder."""
 
     def sink(batch, number):
         batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
 
     stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    return t.spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{folder}/out")
 
 
 def _calls(t):
     return t.calls.select("call_id", "resource", "ts", "ok", "status_code")
 
 
+def _halves(t):
+    """The calls of the first weeks, then the others."""
+    early = F.col("ts") < F.lit(_CUT).cast("timestamp")
+    return _calls(t).where(early), _calls(t).where(~early)
+
+
+_CUT = "2024-01-16"
+
+
 def _transform(t):
     folder = _folder(t)
-    q = Z.stream_transform(_stream(t, folder, _calls(t)), lambda b: b.withColumn("limited", F.col("status_code") == 429), f"{folder}/good", f"{folder}/bad", "status_code = 404", f"{folder}/log")
+    q = Z.stream_transform(_stream(t, folder, *_halves(t)), lambda b: b.withColumn("limited", F.col("status_code") == 429), f"{folder}/good", f"{folder}/bad", "status_code = 404", f"{folder}/log")
     q.awaitTermination()
-    return t.spark.read.parquet(f"{folder}/good").select("call_id", "resource", "limited")
+    good, bad = (t.spark.read.parquet(f"{folder}/{x}") for x in ("good", "bad"))
+    return good.select("call_id", "resource", "limited", F.lit(False).alias("turned_down")).union(bad.select("call_id", "resource", F.lit(None).cast("boolean"), F.lit(True)))
 
 
 def _dedupe(t):
+    """Operations of three calls each, a minute apart; the second part repeats half of the last ones, the third brings some that are days too late."""
+    folder = _folder(t)
+    rows = _calls(t).select(F.floor(F.col("call_id") / 3).alias("operation_id"))
+    timed = rows.withColumn("ts", F.timestamp_seconds(1704067200 + 60 * F.col("operation_id")))
+    most = timed.agg(F.max("operation_id").alias("most"))
+    again = timed.crossJoin(F.broadcast(most)).where("operation_id > most - 30 and operation_id % 2 = 0").drop("most")
+    late = rows.select((-1 - F.col("operation_id")).alias("operation_id")).withColumn("ts", F.timestamp_seconds(1704067200 - 86400 * 30 + 60 * F.col("operation_id")))
+    return _drain(t, folder, Z.stream_dedupe_ops(_stream(t, folder, timed, again, late)), "append").select("operation_id")
+
+
+def _windows(t):
     folder = _folder(t)
-    rows = _calls(t).withColumn("operation_id", F.floor(F.col("call_id") / 3)).select("operation_id", F.lit("2024-01-01").cast("timestamp").alias("ts"))
-    return _drain(t, folder, Z.stream_dedupe_ops(_stream(t, folder, rows)), "append").select("operation_id")
+    return _drain(t, folder, Z.stream_quota_windows(_stream(t, folder, *_halves(t)), "6 hours", "3 hours", "1 day"), "append").select("resource", "start", "end", "n_calls")
 
 
 def _outage(t):
     folder = _folder(t)
-    out = _drain(t, folder, Z.stream_outage_state(_stream(t, folder, _calls(t).repartitionByRange(4, "ts").sortWithinPartitions("ts")), 3, 7200), "update")
-    return out.groupBy("resource").agg(F.sum("n_calls").alias("n_calls"))
+    out = _drain(t, folder, Z.stream_outage_state(_stream(t, folder, *_halves(t)), 3, 7200), "update")
+    return out.groupBy("resource").agg(F.max_by("state", "batch").alias("state"), F.sum("n_calls").alias("n_calls"), F.sum("n_suppressed").alias("n_suppressed"))
 
 
 def _links(t):
@@ -102,16 +161,22 @@ def _links(t):
 
 
 def _upsert(t):
+    """The first part holds each key as it was with half of the items, the second as it is with all of them."""
     folder = _folder(t)
-    rows = t.items.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("key")).agg(F.max("item_id").alias("translated"), F.count("*").alias("at"))
-    Z.stream_cache_upsert(_stream(t, folder, rows), f"{folder}/cache", f"{folder}/log").awaitTermination()
-    versions = t.spark.read.parquet(f"{folder}/cache")
-    return versions.where(F.col("v") == versions.agg(F.max("v")).first()[0]).select("key", "translated", "at")
+    key = F.sha2(F.col("text").cast("binary"), 256).alias("key")
+    parts = [rows.groupBy(key).agg(F.max("item_id").alias("translated"), F.count("*").alias("at")) for rows in (t.items.where("doc_id % 2 = 0"), t.items)]
+    Z.stream_cache_upsert(_stream(t, folder, *parts), f"{folder}/cache", f"{folder}/log").awaitTermination()
+    return Z.cached(t.spark, f"{folder}/cache").select("key", "translated", "at")
 
 
-add("stream_transform", _transform, "calls", "SELECT call_id, resource, status_code = 429 AS limited FROM calls WHERE status_code <> 404")
+add("stream_transform", _transform, "calls", "SELECT call_id, resource, CASE WHEN status_code <> 404 THEN status_code = 429 END AS limited, status_code = 404 AS turned_down FROM calls")
 add("stream_dedupe_ops", _dedupe, "calls", "SELECT DISTINCT CAST(floor(call_id / 3.0) AS BIGINT) AS operation_id FROM calls")
-add("stream_quota_windows", lambda t: _drain(t, f := _folder(t), Z.stream_quota_windows(_stream(t, f, _calls(t).repartitionByRange(4, "ts")), "6 hours", "3 hours", "1 day"), "append"))
-add("stream_outage_state", _outage, "calls", "SELECT resource, count(*) AS n_calls FROM calls GROUP BY resource")
-add("stream_link_rewrite", _links, "source_blocks token_map", r"""SELECT l.doc_id, l.idx, CASE WHEN m.dst IS NULL THEN l.url ELSE 'https://target.example/wiki/' || m.dst || regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)(.*)$', 2) END AS new_url, m.dst IS NOT NULL AS replaced FROM source_blocks l LEFT JOIN token_map m ON l.url LIKE 'https://source.example/%' AND m.src = regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)', 1) WHERE l.url <> ''""")
+add("stream_quota_windows", _windows, "calls", """
+WITH s AS (SELECT resource, ts, unnest([0, 1]) AS back FROM calls), w AS (SELECT resource, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 3 HOUR * back AS "start" FROM s)
+SELECT resource, "start", "start" + INTERVAL 6 HOUR AS "end", count(*) AS n_calls FROM w
+WHERE "start" + INTERVAL 6 HOUR <= (SELECT max(ts) FROM calls) - INTERVAL 1 DAY GROUP BY ALL""")
+add("stream_outage_state", _outage, "calls", f"{_OUTAGE} SELECT resource, max_by(state, k) AS state, count(*) AS n_calls, CAST(count(*) FILTER (suppressed) AS BIGINT) AS n_suppressed FROM f WHERE k > 0 GROUP BY resource")
+add("stream_link_rewrite", _links, "source_blocks token_map", r"""
+SELECT l.doc_id, l.idx, CASE WHEN m.dst IS NULL THEN l.url ELSE 'https://target.example/wiki/' || m.dst || regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)(.*)$', 2) END AS new_url, m.dst IS NOT NULL AS replaced
+FROM source_blocks l LEFT JOIN token_map m ON l.url LIKE 'https://source.example/%' AND m.src = regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)', 1) WHERE l.url <> ''""")
 add("stream_cache_upsert", _upsert, "items", "SELECT sha256(text) AS key, max(item_id) AS translated, count(*) AS \"at\" FROM items GROUP BY 1")

@@ -30,7 +30,22 @@ add("block_text_field", lambda t: t.source_blocks.select("doc_id", "idx", B.bloc
 _element = lambda kind, content, title: F.struct(F.lit(kind).alias("kind"), content.alias("content"), F.lit("").alias("url"), F.lit("").alias("token"), title.alias("title"), F.create_map(F.lit("bold"), F.lit("true"), F.lit("odd"), F.lit("1")).alias("style"))
 _elements = lambda: F.array(_element("text_run", F.col("content"), F.lit("")), _element("equation", F.lit("x+y"), F.lit("")), _element("mention_user", F.lit("u"), F.lit("")), _element("mention_doc", F.lit(""), F.col("block_id")))
 add("block_text", lambda t: t.source_blocks.select("doc_id", "idx", B.block_text(_elements()).alias("text"), B.block_text(_elements(), plain=True).alias("plain")), _SB, "SELECT doc_id, idx, content || block_id AS text, content || 'x+y' || block_id AS plain FROM source_blocks")
-add("block_hash", lambda t: B.hashed(t.source_blocks), _SB, f"SELECT doc_id, idx, block_id, block_type, {_HASH} AS hash FROM source_blocks")
+
+
+def _mixed_blocks(t):
+    """Blocks of several elements: a run with a link, an equation, a user, a mentioned document."""
+    element = lambda kind, content, url, token, title: F.struct(F.lit(kind).alias("kind"), content.alias("content"), url.alias("url"), token.alias("token"), title.alias("title"), F.create_map(F.lit("bold"), F.lit("true")).alias("style"))
+    none = F.lit("")
+    run = element("text_run", F.col("content"), F.col("url"), none, none)
+    doc = element("mention_doc", none, F.col("url"), F.concat(F.lit("k"), "idx"), F.col("block_id"))
+    full = F.array(run, element("equation", F.lit("x+y"), none, none, none), element("mention_user", F.lit("u"), F.lit("https://source.example/wiki/T2"), none, none), doc)
+    return t.source_blocks.withColumn("elements", F.when(F.col("idx") % 3 == 0, full).when(F.col("idx") % 3 == 1, F.array(run, run)).otherwise(F.filter(full, lambda _: F.lit(False))))
+
+
+_RUN, _NUL = "content || chr(0) || url", "|| chr(0) ||"
+_MIXED_HASH = f"""md5(CAST(block_type AS VARCHAR) || chr(1) || CASE WHEN block_type = 27 THEN '' ELSE CASE block_type WHEN 2 THEN 'text' ELSE 'heading1' END || chr(2) ||
+  CASE idx % 3 WHEN 0 THEN {_RUN} {_NUL} 'k' || idx {_NUL} url {_NUL} block_id WHEN 1 THEN {_RUN} {_NUL} {_RUN} ELSE '' END || chr(3) END)"""
+add("block_hash", lambda t: B.hashed(_mixed_blocks(t)), _SB, f"SELECT doc_id, idx, block_id, block_type, {_MIXED_HASH} AS hash FROM source_blocks")
 add("block_diff", _diff, _TB, f"WITH {_DIFF} SELECT * FROM diff")
 add("sync_plan_counts", lambda t: B.sync_plan_counts(_diff(t)), _TB, f"WITH {_DIFF} SELECT * FROM counts")
 add("sync_patch_rows", lambda t: B.sync_patch_rows(_diff(t), t.source_blocks), _TB, f"WITH {_DIFF} SELECT d.doc_id, d.idx, d.dst_id, b.content, b.url FROM diff d JOIN source_blocks b USING (doc_id, idx) WHERE d.op = 'replace' AND d.src_type IN (2, 3)")
@@ -63,7 +78,20 @@ add("url_rewrite", _rewritten, _URLS, f"WITH {_REWRITE} SELECT * FROM rw")
 add("url_rewrite_escaped", lambda t: L.url_rewrite(_links(t).withColumn("url", F.concat(F.replace("url", F.lit("/wiki/"), F.lit("%2Fwiki%2F")), F.when(F.col("idx") % 2 == 0, "&a=b+c%zz").otherwise("&a=%C3%A9"))), t.token_map, with_escapes=True).select("doc_id", "idx", "new_url", "replaced"), _URLS, r"""WITH u AS (SELECT doc_id, idx, replace(url, '/wiki/', '%2Fwiki%2F') || CASE WHEN idx % 2 = 0 THEN '&a=b+c%zz' ELSE '&a=%C3%A9' END AS url, url || CASE WHEN idx % 2 = 0 THEN '&a=b+c%zz' ELSE '&a=é' END AS plain FROM source_blocks WHERE url <> ''),
 e AS (SELECT *, nullif(regexp_extract(plain, 'https://source[.]example/wiki/([A-Za-z0-9]+)(.*)$', 1), '') AS src, regexp_extract(plain, 'https://source[.]example/wiki/([A-Za-z0-9]+)(.*)$', 2) AS rest FROM u)
 SELECT doc_id, idx, CASE WHEN m.dst IS NULL THEN url ELSE 'https://target.example/wiki/' || m.dst || rest END AS new_url, m.dst IS NOT NULL AS replaced FROM e LEFT JOIN token_map m USING (src)""")
-add("fix_elements", lambda t: L.fix_elements(t.source_blocks.select("doc_id", "idx", F.array(F.struct(F.col("content").alias("content"), F.col("url").alias("url")), F.struct(F.lit("x").alias("content"), F.lit("").alias("url"))).alias("elements")), t.token_map).select("doc_id", "idx", F.element_at("elements", 1)["url"].alias("first_url"), F.element_at("elements", 2)["content"].alias("second"), "n_replaced"), _URLS, f"WITH {_REWRITE} SELECT b.doc_id, b.idx, coalesce(rw.new_url, b.url) AS first_url, 'x' AS second, CAST(coalesce(rw.replaced, false) AS BIGINT) AS n_replaced FROM source_blocks b LEFT JOIN rw ON rw.doc_id = b.doc_id AND rw.idx = b.idx")
+
+
+def _fixed(t):
+    """Each element as one text, so that whatever is lost or moved shows."""
+    whole = lambda e: F.concat_ws("|", e["kind"], e["content"], e["url"], e["token"], e["title"], F.element_at(e["style"], "bold"))
+    fixed = L.fix_elements(_mixed_blocks(t).select("doc_id", "idx", "elements"), t.token_map)
+    return fixed.select("doc_id", "idx", F.array_join(F.transform("elements", whole), ";").alias("elements"), "n_replaced")
+
+
+add("fix_elements", _fixed, _URLS, f"""WITH {_REWRITE},
+f AS (SELECT b.doc_id, b.idx, b.content, b.block_id, coalesce(rw.new_url, b.url) AS u, coalesce(rw.replaced, false) AS r FROM source_blocks b LEFT JOIN rw ON rw.doc_id = b.doc_id AND rw.idx = b.idx),
+e AS (SELECT *, 'text_run|' || content || '|' || u || '|||true' AS run FROM f)
+SELECT doc_id, idx, CASE idx % 3 WHEN 0 THEN run || ';equation|x+y||||true;mention_user|u|https://source.example/wiki/T2|||true;mention_doc||' || u || '|k' || idx || '|' || block_id || '|true' WHEN 1 THEN run || ';' || run ELSE '' END AS elements,
+  CAST(CASE WHEN r AND idx % 3 <> 2 THEN 2 ELSE 0 END AS BIGINT) AS n_replaced FROM e""")
 add("backlink_stats", lambda t: L.backlink_stats(_rewritten(t)), _URLS, f"WITH {_REWRITE} SELECT doc_id, count(*) AS n_links, count(*) FILTER (replaced) AS n_replaced, CASE WHEN count(*) FILTER (replaced) = 0 THEN 'NoChange' ELSE 'Fixed' END AS status FROM rw GROUP BY doc_id")
 add("unmapped_links", lambda t: L.unmapped_links(_links(t), t.token_map).select("doc_id", "idx", "src"), _URLS, "SELECT doc_id, idx, src FROM (SELECT doc_id, idx, regexp_extract(url, 'https://source[.]example/wiki/([A-Za-z0-9]+)', 1) AS src FROM source_blocks) WHERE src <> '' AND src NOT IN (SELECT src FROM token_map)")
 add("parse_source_url", lambda t: L.parse_source_url(_links(t)).select("doc_id", "idx", "domain", "token", "valid"), _SB, r"SELECT doc_id, idx, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS domain, regexp_extract(url, '/wiki/([A-Za-z0-9]+)', 1) AS token, url LIKE 'https://source.example/%' AS valid FROM source_blocks WHERE url <> ''")
@@ -78,9 +106,32 @@ _UNACC = f"len(list_filter(regexp_split_to_array(lower({{0}}), '[^\\p{{{{L}}}}\\
 _unacc = lambda c: _UNACC.format(c)
 _cnt = lambda c: _P_SQL.format(c)
 add("cjk_count", lambda t: t.items.select("item_id", X.cjk_count(F.col("text"), _P).cast("long").alias("n"), X.has_cjk(F.col("text"), _P).alias("has")), "items", f"SELECT item_id, CAST({_cnt('text')} AS BIGINT) AS n, {_cnt('text')} > 0 AS has FROM items")
-add("unaccented_count", lambda t: t.items.select("item_id", X.unaccented_count(F.col("text"), _WORDS).cast("long").alias("n")), "items", f"SELECT item_id, CAST(CASE WHEN {_unacc('text')} >= 3 THEN {_unacc('text')} ELSE 0 END AS BIGINT) AS n FROM items")
+
+
+def _bare(t):
+    """Every line with published words behind it: all of them, two, or three in odd case and beside punctuation."""
+    words = F.when(F.col("idx") % 4 == 0, " ".join(X.UNACCENTED)).when(F.col("idx") % 4 == 1, "khong duoc").when(F.col("idx") % 4 == 2, "(Thoi) GIAN, xa; xam").otherwise("")
+    return t.items.withColumn("text", F.concat_ws(" ", "text", words))
+
+
+_BARE = f"SELECT *, text || ' ' || CASE idx % 4 WHEN 0 THEN '{' '.join(X.UNACCENTED)}' WHEN 1 THEN 'khong duoc' WHEN 2 THEN '(Thoi) GIAN, xa; xam' ELSE '' END AS t FROM items"
+_BARE_N = _unacc("t").replace(f"({_LIST})", "(" + ", ".join(f"'{w}'" for w in X.UNACCENTED) + ")")
+add("unaccented_count", lambda t: _bare(t).select("item_id", X.unaccented_count(F.col("text")).cast("long").alias("n")), "items", f"WITH b AS ({_BARE}) SELECT item_id, CAST(CASE WHEN {_BARE_N} >= 3 THEN {_BARE_N} ELSE 0 END AS BIGINT) AS n FROM b")
 add("has_diacritics", lambda t: t.items.select("item_id", X.has_diacritics(F.col("text"), _P).alias("has")), "items", f"SELECT item_id, {_cnt('lower(text)')} > 0 AS has FROM items")
-add("clean_artifacts", lambda t: t.items.select("item_id", X.clean_artifacts(F.concat(F.lit("```\n\""), "text", F.lit("\"\n```"))).alias("text")), "items", r"""SELECT item_id, nfc_normalize(trim(regexp_replace(regexp_replace(text, '^[\s"'']+', ''), '[\s"'']+$', ''))) AS text FROM items""")
+_WRAPS = [("```\n\"", "\"\n```"), ("```Vietnamese \n", "\n``` "), ("```python\n", "\n```"), ("Bản  dịch: ", ""), ("dịch：", ""), ("Translation :", ""), ("Đây là bản dịch: Output:", ""), ("sau đây là:", ""), ("Kết quả： ", ""), ("'```vi\n", "\n```'"), ("Translated: ", "")]
+_HEADS = ["", "", "```python\n", "", "", "", "", "", "", "", "Translated: "]
+
+
+def _wrapped(t):
+    at = (F.col("idx") % len(_WRAPS) + 1).cast("int")
+    pick = lambda i: F.element_at(F.array(*[F.lit(w[i]) for w in _WRAPS]), at)
+    return t.items.select("item_id", X.clean_artifacts(F.concat(pick(0), "text", pick(1))).alias("text"))
+
+
+_quoted = lambda texts: "[" + ", ".join("'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for x in texts) + "]"
+add("clean_artifacts", _wrapped, "items", rf"""
+WITH c AS (SELECT item_id, idx % {len(_WRAPS)} AS k, regexp_replace(text, '[\s"'']+$', '') AS body FROM items)
+SELECT item_id, nfc_normalize(trim({_quoted(_HEADS)}[k + 1] || CASE WHEN k IN (2, 10) THEN body WHEN k IN (0, 1, 9) THEN regexp_replace(body, '^[\s"'']+', '') ELSE regexp_replace(body, '^\s+', '') END)) AS text FROM c""")
 _QUAL = f"""q0 AS (SELECT *, input IS NOT NULL AND regexp_matches(input, '\\S') AS has_in, coalesce(regexp_matches(output, '\\S'), false) AS has_out, {_cnt('input')} AS cin, {_cnt('output')} AS cjk, CASE WHEN {_unacc('output')} >= 3 THEN {_unacc('output')} ELSE 0 END AS bare, length(input) AS li, length(output) AS lo FROM pairs),
 q1 AS (SELECT *, lo / greatest(li, 1) AS ratio, CASE WHEN NOT has_out AND has_in THEN true WHEN cin = 0 THEN false ELSE cjk / cin > 0.3 END AS same FROM q0),
 q AS (SELECT *, NOT (NOT has_out AND has_in OR cjk > 0 OR same) AS passed, concat_ws(',', CASE WHEN NOT has_out AND has_in THEN 'empty_output' END, CASE WHEN cjk > 0 THEN 'cjk_leak' END, CASE WHEN bare > 0 THEN 'unaccented' END, CASE WHEN same THEN 'looks_untranslated' END, CASE WHEN li >= 20 AND lo > 0 AND (ratio < 0.2 OR ratio > 5) THEN 'suspicious_ratio' END) AS issues FROM q1)"""
@@ -89,8 +140,7 @@ _quality = lambda t: t.pairs.select("conv_id", "turn", X.assess_quality(F.col("i
 add("assess_quality", lambda t: _quality(t).select("conv_id", "turn", "q.passed", F.array_join("q.issues", ",").alias("issues"), F.col("q.cjk_count").cast("long").alias("cjk_count"), F.col("q.unaccented").cast("long").alias("unaccented"), F.col("q.ratio").alias("ratio")), "pairs", f"WITH {_QUAL} SELECT conv_id, turn, passed, issues, CAST(cjk AS BIGINT) AS cjk_count, CAST(bare AS BIGINT) AS unaccented, ratio FROM q")
 add("quality_summary", lambda t: T.quality_summary(t.pairs, "[éàü]"), "pairs", f"WITH {_QUAL.replace(_P, '[éàü]').replace('lambda w: w IN (' + _LIST + ')', 'lambda w: w IN (' + ', '.join(repr(w) for w in X.UNACCENTED) + ')')} SELECT issue, count(*) AS n FROM (SELECT unnest(list_filter(string_split(issues, ','), lambda x: x <> '')) AS issue FROM q UNION ALL SELECT CASE WHEN passed THEN 'passed' ELSE 'failed' END FROM q) GROUP BY issue")
 _GLOSS = "g AS (SELECT src, dst AS glossary_text FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY section_order, entry_order) AS n FROM glossary) WHERE n = 1)"
-_short = lambda t: t.items.withColumn("text", F.substring("text", 1, 9))
-add("glossary_lookup", lambda t: T.glossary_lookup(_short(t), t.glossary).select("item_id", "glossary_text"), "items glossary", f"WITH {_GLOSS} SELECT item_id, glossary_text FROM items LEFT JOIN g ON g.src = trim(substring(text, 1, 9))")
+add("glossary_lookup", lambda t: T.glossary_lookup(t.items, t.glossary).select("item_id", "glossary_text"), "items glossary", f"WITH {_GLOSS} SELECT item_id, glossary_text FROM items LEFT JOIN g ON g.src = trim(text)")
 add("glossary_render", lambda t: T.glossary_render(t.glossary, 5), "glossary", "SELECT section, '- ' || section || ': ' || string_agg(src || '→' || dst, ' | ' ORDER BY entry_order) AS line FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY entry_order) AS n FROM glossary) WHERE n <= 5 GROUP BY section")
 add("cache_key", lambda t: t.items.select("item_id", X.cache_key(F.col("text"), "vi").alias("key")), "items", "SELECT item_id, sha256('vi' || chr(0) || 'content' || chr(0) || text) AS key FROM items")
 add("translatable_blocks", lambda t: T.translatable_blocks(t.source_blocks, _P).select("doc_id", "idx", "content"), _SB, f"SELECT doc_id, idx, content FROM source_blocks WHERE block_type IN (2, 3) AND trim(content) <> '' AND {_cnt('content')} > 0")
@@ -109,11 +159,28 @@ _packed = lambda t: T.pack_batches(t.items, 1000, 5)
 _with_text = lambda t: _packed(t).join(t.items.select("doc_id", F.col("idx").cast("long").alias("idx"), "text"), ["doc_id", "idx"])
 add("pack_batches", _packed, "items", f"{_PACK} SELECT doc_id, idx, batch_no FROM pk")
 add("batch_message", lambda t: T.batch_message(_with_text(t)), "items", f"{_PACK}, nu AS (SELECT pk.doc_id, batch_no, text, row_number() OVER (PARTITION BY pk.doc_id, batch_no ORDER BY pk.idx) - 1 AS i FROM pk JOIN seq USING (doc_id, idx)) SELECT doc_id, batch_no, string_agg('<<<item-' || i || '>>>' || chr(10) || text, chr(10) ORDER BY i) AS message, count(*) AS n_items FROM nu GROUP BY doc_id, batch_no")
-_replies = lambda t: T.map_translate(T.batch_message(_with_text(t)), lambda messages: [m.upper().replace("<<<ITEM-", "<<<item-") if len(m) % 7 else m.replace("<<<item-0>>>", "") for m in messages])
-add("map_translate", _replies)
+
+
+def _reply(messages: list[str]) -> list[str]:
+    """A stand-in for a model: another letter in every text, and now and then a reply that has lost a mark."""
+    return [m.replace("e", "E").replace("<<<itEm-", "<<<item-") if len(m) % 7 else m.replace("<<<item-0>>>", "") for m in messages]
+
+
+_replies = lambda t: T.map_translate(T.batch_message(_with_text(t)), _reply)
 _parsed = lambda t: _replies(t).join(T.batch_message(_with_text(t)), ["doc_id", "batch_no"]).withColumn("parsed", T.parse_batch_response(F.col("raw"), F.col("n_items").cast("int")))
-_PARSED = f"""{_PACK}, nu AS (SELECT pk.doc_id, pk.idx, batch_no, text, row_number() OVER (PARTITION BY pk.doc_id, batch_no ORDER BY pk.idx) - 1 AS i, count(*) OVER (PARTITION BY pk.doc_id, batch_no) AS n FROM pk JOIN seq USING (doc_id, idx)), ms AS (SELECT doc_id, batch_no, count(*) AS n, length(string_agg('<<<item-' || i || '>>>' || chr(10) || text, chr(10) ORDER BY i)) % 7 AS bad FROM nu GROUP BY doc_id, batch_no)"""
-add("parse_batch_response", lambda t: _parsed(t).select("doc_id", "batch_no", F.coalesce(F.size("parsed"), F.lit(-1)).cast("long").alias("n_parsed")), "items", f"{_PARSED} SELECT doc_id, batch_no, CASE WHEN bad = 0 THEN -1 ELSE n END AS n_parsed FROM ms")
+_PARSED = f"""{_PACK},
+nu AS (SELECT pk.doc_id, pk.idx, batch_no, text, row_number() OVER (PARTITION BY pk.doc_id, batch_no ORDER BY pk.idx) - 1 AS i, count(*) OVER (PARTITION BY pk.doc_id, batch_no) AS n FROM pk JOIN seq USING (doc_id, idx)),
+me AS (SELECT doc_id, batch_no, count(*) AS n, string_agg('<<<item-' || i || '>>>' || chr(10) || text, chr(10) ORDER BY i) AS message FROM nu GROUP BY doc_id, batch_no),
+ms AS (SELECT *, length(message) % 7 AS bad FROM me)"""
+add("map_translate", lambda t: _replies(t), "items", f"""{_PARSED}
+SELECT doc_id, batch_no, CASE WHEN bad = 0 THEN replace(message, '<<<item-0>>>', '') ELSE replace(replace(message, 'e', 'E'), '<<<itEm-', '<<<item-') END AS raw FROM ms""")
+add(
+    "parse_batch_response",
+    lambda t: _parsed(t).select("doc_id", "batch_no", F.coalesce(F.size("parsed"), F.lit(-1)).cast("long").alias("n_parsed"), F.array_join(F.transform("parsed", lambda p: F.concat_ws("=", p["i"].cast("string"), p["text"])), "|").alias("texts")),
+    "items",
+    rf"""{_PARSED}, tx AS (SELECT doc_id, batch_no, string_agg(i || '=' || nfc_normalize(regexp_replace(regexp_replace(replace(text, 'e', 'E'), '^\s+', ''), CASE WHEN i = n - 1 THEN '[\s"'']+$' ELSE '\s+$' END, '')), '|' ORDER BY i) AS texts FROM nu GROUP BY doc_id, batch_no)
+    SELECT doc_id, batch_no, CASE WHEN bad = 0 THEN -1 ELSE n END AS n_parsed, CASE WHEN bad <> 0 THEN texts END AS texts FROM ms JOIN tx USING (doc_id, batch_no)""",
+)
 add("split_failed_batches", lambda t: T.split_failed_batches(_with_text(t), _parsed(t).where("parsed is null").select("doc_id", "batch_no")), "items", f"{_PARSED} SELECT nu.doc_id, nu.idx, nu.batch_no * 2 + CASE WHEN i >= floor(nu.n / 2.0) THEN 1 ELSE 0 END AS half_no, CASE WHEN nu.n = 1 THEN 'failed' ELSE 'retry' END AS state FROM nu JOIN ms USING (doc_id, batch_no) WHERE bad = 0")
 add("absorb_results", lambda t: T.absorb_results(t.pairs, _P).select("conv_id", "turn", "state", "error", "to_cache"), "pairs", f"WITH {_QUAL} SELECT conv_id, turn, CASE WHEN trim(output) = '' THEN 'failed' WHEN passed THEN 'accepted' ELSE 'kept' END AS state, CASE WHEN trim(output) = '' THEN 'empty_translation' ELSE '' END AS error, trim(output) <> '' AND passed AS to_cache FROM q")
 add("translate_fallback", lambda t: T.translate_fallback(t.pairs.select(F.col("conv_id").alias("item_id"), F.col("turn").alias("attempt"), F.lit("source").alias("input"), "output"), _P), "pairs", f"WITH q0 AS (SELECT conv_id AS item_id, turn AS attempt, output, regexp_matches(output, '\\S') AND {_cnt('output')} = 0 AS ok FROM pairs) SELECT item_id, coalesce(min_by(output, attempt) FILTER (ok), max_by(output, attempt), 'source') AS text, bool_or(ok) AS passed FROM q0 GROUP BY item_id")

@@ -10,6 +10,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.calls import CODES, LIMITS, NETWORK
+
 BASE = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 _LINES = {
@@ -17,6 +19,14 @@ _LINES = {
     "duck": "SELECT doc_id, lang, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS idx, unnest(string_split(text, chr(10))) AS line FROM documents",
 }
 
+#: Codes and messages that calls come with in turn: every API code, HTTP statuses, unknown ones, and every phrase.
+_SEEN = [
+    *[(c, "quota") for codes in CODES.values() for c in codes],
+    *[(c, "timeout") for c in (429, 500, 503, 599, 600, 401, 403, 404, 499, 99991661, 1254043, -1)],
+    *[(0, f"Call failed: {w.title()}.") for w in (*LIMITS, *NETWORK, "credit", "Too many requests", "Connection lost", "socket closed", "")],
+]
+_SIGNALS = ", ".join(f"({k}, CAST({code} AS BIGINT), '{message}')" for k, (code, message) in enumerate(_SEEN))
+
 INPUTS = {
     "nodes": """SELECT doc_id AS pos, 'n' || doc_id AS node_token, CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'n' || (doc_id - doc_id % 10) END AS parent_token,
         'o' || doc_id AS obj_token, substring(text, 1, 12) AS title, n_chars * 1000000 + doc_id * 100000000 AS edit_ms, doc_id % 10 = 0 AS has_child FROM {documents} WHERE doc_id % 13 <> 5""",
@@ -37,15 +47,18 @@ INPUTS = {
     "child_map": "SELECT 'C' || c_custkey AS src, 'D' || c_custkey AS dst FROM {customer} WHERE c_custkey % 23 <> 1",
     "calls": """SELECT event_id AS call_id, event_type AS resource, CAST(ts AS TIMESTAMP) AS ts, user_id, value, event_type <> 'error' AND value < 80 AS ok, CASE WHEN value >= 95 THEN 429 WHEN value >= 90 THEN 503 WHEN value >= 85 THEN 401 WHEN value >= 80 THEN 404 ELSE 200 END AS status_code,
         CAST(CASE WHEN value >= 95 THEN 99991400 WHEN value >= 90 THEN 1 ELSE 0 END AS BIGINT) AS code, CASE WHEN value >= 98 THEN 'Quota exceeded' WHEN value >= 95 THEN 'Too many requests' WHEN value >= 90 THEN 'Connection reset by peer' ELSE '' END AS message FROM {events}""",
+    "signals": f"""SELECT c.call_id, c.user_id, c.ts, c.ok, c.status_code, v.code, v.message FROM {{calls}} c JOIN (SELECT * FROM (VALUES {_SIGNALS}) AS x(k, code, message)) v ON c.call_id % {len(_SEEN)} = v.k""",
     "pairs": """SELECT a.conv_id, a.turn, a.text AS input, CASE WHEN a.conv_id % 9 = 0 THEN '' WHEN a.conv_id % 9 = 1 THEN a.text ELSE b.text END AS output FROM {conversations} a JOIN {conversations} b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""",
     "items": "SELECT doc_id, idx, 'b' || doc_id || '_' || idx AS item_id, line AS text FROM {lines}",
-    "glossary": "SELECT CASE WHEN item_id % 2 = 0 THEN 'a' ELSE 'b' END AS section, item_id % 2 AS section_order, item_id AS entry_order, substring(text, 1, 9) AS src, upper(substring(text, 1, 9)) AS dst FROM {benchmark}",
+    "short_lines": "SELECT trim(line) AS src, min(doc_id * 100000 + idx) AS entry_order, max(doc_id) AS most FROM {lines} WHERE length(trim(line)) BETWEEN 1 AND 20 GROUP BY trim(line)",
+    "glossary": """SELECT CASE WHEN length(src) % 2 = 0 THEN 'a' ELSE 'b' END AS section, length(src) % 2 AS section_order, entry_order, src, 'G:' || src AS dst FROM {short_lines} WHERE most % 3 <> 0
+        UNION ALL SELECT 'c' AS section, 2 AS section_order, entry_order, src, 'H:' || src AS dst FROM {short_lines} WHERE most % 4 = 0""",
     "ops": """SELECT 'q' || o_orderkey AS operation_id, o_orderpriority AS operation_type, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'pending' ELSE 'processing' END AS status, CAST(o_orderkey % 6 AS INTEGER) AS attempts, 5 AS max_attempts,
         CAST(o_custkey AS DOUBLE) AS created_at, CAST(o_custkey + o_orderkey % 400 AS DOUBLE) AS scheduled_at, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey + 10 AS DOUBLE) END AS processed_at FROM {orders}""",
     "runs": """SELECT 'k' || o_orderkey AS run_id, 's' || o_custkey AS space_id, CAST(o_orderkey AS DOUBLE) AS started_at, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END AS status FROM {orders}""",
     "walked": "SELECT DISTINCT 'k' || l_orderkey AS run_id, 'p' || l_partkey AS token FROM {lineitem} WHERE l_linenumber <= 3",
     "walk_more": "SELECT 'k' || l_orderkey AS run_id, 'p' || l_partkey AS token FROM {lineitem} WHERE l_linenumber BETWEEN 3 AND 4",
-    "outcomes": "SELECT 'run' || (user_id % 7) AS run_id, 'rec' || event_id AS record_id, CASE event_id % 3 WHEN 0 THEN 'clone' WHEN 1 THEN 'translate' ELSE 'mirror' END AS stage, CASE WHEN value > 90 THEN 'FAIL' WHEN value > 70 THEN 'SKIP' WHEN value > 65 THEN 'RETRY' ELSE 'OK' END AS outcome, value AS seconds FROM {events}",
+    "outcomes": "SELECT 'run' || (user_id % 7) AS run_id, 'rec' || event_id AS record_id, CASE event_id % 3 WHEN 0 THEN 'clone' WHEN 1 THEN 'translate' ELSE 'mirror' END AS stage, CASE WHEN value > 90 THEN 'FAIL' WHEN value > 70 THEN 'SKIP' WHEN value > 65 THEN 'RETRY' ELSE 'OK' END AS outcome, CASE event_id % 23 WHEN 0 THEN 'skip' WHEN 1 THEN 'fail_transient' WHEN 2 THEN 'fail_permanent' WHEN 3 THEN 'source_deleted' WHEN 4 THEN 'unsupported_type' WHEN 5 THEN 'perm_denied' WHEN 6 THEN 'uncaught' WHEN 7 THEN 'odd' ELSE 'ok' END AS result, value AS seconds FROM {events}",
 }
 #: Which other inputs an input is made from.
 NEEDS = {n: [m for m in INPUTS if m != n and f"{{{m}}}" in (q if isinstance(q, str) else q["spark"])] for n, q in INPUTS.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as Y
 
 from ..operators import changes as C
 from ..operators import checks as K
@@ -57,8 +58,23 @@ add("tree_walk_dfs", lambda t: T.tree_walk_dfs(t.nodes, 3), "nodes", """RECURSIV
   UNION ALL SELECT c.node_token, w.root, c.has_child, w.depth + 1, list_append(w.path, c.pos) FROM w JOIN nodes c ON c.parent_token = w.node_token WHERE w.has_child AND w.depth < 3)
 SELECT root, node_token, depth, row_number() OVER (PARTITION BY root ORDER BY path) AS dfs_rank FROM w""".replace("RECURSIVE w", "RECURSIVE WITH w"))
 add("children_index", lambda t: T.children_index(t.nodes).select("parent_token", F.array_join("children", ",").alias("children")), "nodes", "SELECT parent_token, string_agg(node_token, ',' ORDER BY pos) AS children FROM nodes GROUP BY parent_token")
-_legacy = lambda t: T.children_index_legacy(t.customer.groupBy("c_nationkey").agg(F.when(F.col("c_nationkey") % 2 == 0, F.to_json(F.create_map(F.concat(F.lit("P"), "c_nationkey"), F.transform(F.array_sort(F.collect_list("c_custkey")), lambda x: F.concat(F.lit("c"), x.cast("string")))))).otherwise(F.to_json(F.create_map(F.concat(F.lit("P"), "c_nationkey"), F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), -F.col("c_custkey"))))))).alias("body")))
-add("children_index_legacy", _legacy, "", "SELECT 'P' || c_nationkey AS parent, 'c' || c_custkey AS child, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_nationkey % 2 = 0 THEN c_custkey ELSE -c_custkey END) - 1 AS pos FROM customer")
+
+
+def _legacy(t):
+    """For every third nation a list of children (numbers, booleans and objects among them), for the others children by index."""
+    child = F.concat(F.lit("c"), F.col("c_custkey").cast("string"))
+    by_nation = t.customer.groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_custkey")).alias("ids"), F.collect_list(F.struct(child.alias("child"), (-F.col("c_custkey")).cast("string").alias("at"))).alias("pairs"))
+    odd = F.transform(F.col("ids"), lambda x: F.when(x % 7 == 3, x.cast("string")).when(x % 7 == 4, "true").when(x % 7 == 5, '{"x":1}').otherwise(F.concat(F.lit('"c'), x.cast("string"), F.lit('"'))))
+    listed = F.concat(F.lit("["), F.array_join(odd, ","), F.lit("]"))
+    quoted = F.transform("pairs", lambda p: F.concat(F.lit('"'), p["child"], F.lit('":'), F.when(F.col("c_nationkey") % 3 == 1, p["at"]).otherwise(F.concat(F.lit('"'), p["at"], F.lit('"')))))
+    mapped = F.concat(F.lit("{"), F.array_join(quoted, ","), F.lit("}"))
+    body = F.concat(F.lit('{"P'), F.col("c_nationkey").cast("string"), F.lit('":'), F.when(F.col("c_nationkey") % 3 == 0, listed).otherwise(mapped), F.lit("}"))
+    return T.children_index_legacy(by_nation.select(body.alias("body")))
+
+
+add("children_index_legacy", _legacy, "", """
+SELECT 'P' || c_nationkey AS parent, 'c' || c_custkey AS child, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_nationkey % 3 = 0 THEN c_custkey ELSE -c_custkey END) - 1 AS pos
+FROM customer WHERE CASE c_nationkey % 3 WHEN 0 THEN c_custkey % 7 NOT IN (3, 4, 5) WHEN 1 THEN true ELSE false END""")
 add("token_map", lambda t: T.token_map(t.state), "state", "SELECT node_token AS src, mirror_token AS dst FROM state WHERE mirror_token <> ''")
 _ORDER = """, mapped AS (SELECT d.parent, d.pos, m.dst AS child FROM desired d JOIN child_map m ON d.child = m.src), both_sides AS (SELECT m.parent, m.pos, m.child, c.pos AS now FROM mapped m JOIN current c ON m.parent = c.parent AND m.child = c.child),
 ranked AS (SELECT parent, child, row_number() OVER (PARTITION BY parent ORDER BY pos) AS r, row_number() OVER (PARTITION BY parent ORDER BY now) AS rn FROM both_sides),
@@ -89,7 +105,9 @@ SELECT record_id, does_clone, does_translate, does_mirror, CASE WHEN does_clone
 add("resolve_doc_ids", lambda t: S.resolve_doc_ids(t.state.withColumn("mirror_token", F.replace("mirror_token", F.lit("d"), F.lit("n"))), t.nodes), "state nodes", "SELECT s.record_id, a.obj_token AS source_doc, coalesce(b.obj_token, replace(s.mirror_token, 'd', 'n')) AS target_doc FROM state s LEFT JOIN nodes a ON a.node_token = s.node_token LEFT JOIN nodes b ON b.node_token = replace(s.mirror_token, 'd', 'n')")
 add("select_pending", lambda t: S.select_pending(t.state, 50, 10, 900, True).select("record_id", "stt"), "state", "SELECT record_id, stt FROM state WHERE stt BETWEEN 10 AND 900 AND change_status = 'edited' ORDER BY stt LIMIT 50")
 add("reset_records", lambda t: S.reset_records(t.state, status="Failed").select("record_id", "status", "translate_status"), "state", "SELECT record_id, CASE WHEN status = 'Failed' THEN 'Pending' ELSE status END AS status, CASE WHEN status = 'Failed' THEN 'Pending' ELSE translate_status END AS translate_status FROM state")
-add("pipeline_counters", lambda t: S.pipeline_counters(t.outcomes), "outcomes", "SELECT run_id, count(*) AS n_total, count(*) FILTER (outcome = 'OK') AS n_ok, count(*) FILTER (outcome = 'SKIP') AS n_skip, count(*) FILTER (outcome = 'FAIL') AS n_fail, count(*) FILTER (outcome = 'RETRY') AS n_retry, count(*) FILTER (outcome = 'OK') / count(*) AS success_rate, count(*) FILTER (outcome = 'OK') / count(*) < 0.9 AS alert FROM outcomes GROUP BY run_id")
+_COUNTS = ", ".join(f"count(*) FILTER (result = '{r}') AS n_{r}" for r in S.RESULTS)
+add("pipeline_counters", lambda t: S.pipeline_counters(t.outcomes), "outcomes", f"""
+WITH c AS (SELECT run_id, count(*) FILTER (result <> 'odd') AS n_total, {_COUNTS} FROM outcomes GROUP BY run_id) SELECT *, n_ok / n_total AS success_rate, n_ok / n_total < 0.9 AS alert FROM c""")
 add("run_counters", lambda t: S.run_counters(t.outcomes), "outcomes", "SELECT run_id, stage, count(*) FILTER (outcome = 'OK') AS n_done, count(*) FILTER (outcome = 'FAIL') AS n_failed, count(*) FILTER (outcome = 'SKIP') AS n_skipped, count(*) AS n_processed FROM outcomes GROUP BY ALL")
 add("status_board", lambda t: S.status_board(t.state), "state", "SELECT status AS stage, count(*) AS n FROM state GROUP BY status")
 add("stage_start_patch", lambda t: S.stage_start_patch(t.outcomes.select("record_id", "stage"), "2026-05-10 07:30:00", "w1"), "outcomes", "SELECT record_id, 'Running' AS status, TIMESTAMP '2026-05-10 07:30:00' AS started_at, upper(stage) AS pipeline_stage, 'w1' AS worker FROM outcomes")
@@ -120,11 +138,26 @@ add("queue_cleanup", lambda t: Q.queue_cleanup(t.ops, 1500.0, 800.0).select("ope
 
 # --- schema and health
 
-_EXPECTED = [("doc_id", "bigint"), ("text", "string"), ("lang", "int"), ("mirror", "string")]
-add("schema_diff", lambda t: K.schema_diff(t.spark.createDataFrame(_EXPECTED, "name string, kind string"), K.catalog_of(t.documents)), "", """
-WITH e(name, want) AS (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'int'), ('mirror', 'string')), a AS (SELECT column_name AS name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS have FROM duckdb_columns() WHERE table_name = 'documents'),
-j AS (SELECT coalesce(e.name, a.name) AS name, want, have, CASE WHEN have IS NULL THEN 'missing' WHEN want IS NULL THEN 'extra' WHEN want <> have THEN 'type_mismatch' END AS issue FROM e FULL JOIN a ON e.name = a.name)
-SELECT name, want, have, issue, issue <> 'extra' AS is_change FROM j WHERE issue IS NOT NULL""")
+_EXPECTED = [("doc_id", "bigint"), ("text", "string"), ("lang", "bigint"), ("mirror", "string")]
+
+
+def _schema_diff(t):
+    landed = t.documents.select(F.to_json(F.struct("*")).alias("body"))
+    return K.schema_diff(t.spark.createDataFrame(_EXPECTED, "name string, kind string"), K.catalog_of_records(landed, "body"))
+
+
+def _schema_apply(t):
+    want = Y.StructType([Y.StructField(n, k) for n, k in (("doc_id", Y.LongType()), ("source", Y.StringType()), ("mirror", Y.IntegerType()))])
+    return K.schema_apply(t.documents.select("doc_id", "lang"), want)
+
+
+add("schema_diff", _schema_diff, "", """
+WITH e(name, want) AS (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'bigint'), ('mirror', 'string')),
+a AS (SELECT 'doc_id' AS name, 'bigint' AS have, count(doc_id) AS n FROM documents UNION ALL SELECT 'n_chars', 'bigint', count(n_chars) FROM documents
+  UNION ALL SELECT 'text', 'string', count("text") FROM documents UNION ALL SELECT 'lang', 'string', count(lang) FROM documents UNION ALL SELECT 'source', 'string', count(source) FROM documents),
+j AS (SELECT coalesce(e.name, a.name) AS name, want, have, n, CASE WHEN have IS NULL THEN 'missing' WHEN want IS NULL THEN 'extra' WHEN want <> have THEN 'type_mismatch' END AS issue FROM e FULL JOIN (SELECT * FROM a WHERE n > 0) a ON e.name = a.name)
+SELECT name, want, have, n, issue, issue <> 'extra' AS is_change FROM j WHERE issue IS NOT NULL""")
+add("schema_apply", _schema_apply, "", "SELECT doc_id, lang, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS INTEGER) AS mirror FROM documents")
 add("schema_invariants", lambda t: K.schema_invariants(t.customer.select(F.concat(F.lit("f"), F.floor(F.col("c_custkey") / 2)).alias("name"), (F.col("c_custkey") % 100 == 0).alias("is_primary"))), "", "WITH c AS (SELECT 'f' || CAST(floor(c_custkey / 2.0) AS BIGINT) AS name, c_custkey % 100 = 0 AS p FROM customer) SELECT 'duplicate_name' AS rule, name, count(*) AS n FROM c GROUP BY name HAVING count(*) > 1 UNION ALL SELECT 'one_primary', '', count(*) FILTER (p) FROM c HAVING count(*) FILTER (p) <> 1")
 add("validate_ids", lambda t: K.validate_ids(t.pages.select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("domain")), {"url": "url", "domain": "domain"}).select("page_id", "ok_url", "ok_domain"), "", r"SELECT page_id, regexp_full_match(url, 'https?://[^\s/]+/.*', 's') AS ok_url, regexp_full_match(regexp_extract(url, '^https?://([^/]+)', 1), '[a-z0-9-]+(\.[a-z0-9-]+)+') AS ok_domain FROM pages")
 _checked = lambda t: K.table_checks(t.spark, {"documents": (t.documents, "doc_id"), "orders": (t.orders, "o_orderkey"), "lineitem": (t.lineitem, "l_orderkey"), "events": (t.events, "event_id")})

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..sources import landing as D
 from ..sources import sinks as W
-from .base import Registry
+from .base import Registry, new_folder
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -17,8 +14,7 @@ add = R.add
 
 
 def _land(t, df) -> str:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    path = f"{base.rstrip('/')}/landed-{uuid.uuid4().hex}"
+    path = new_folder(t.spark, "landed")
     df.write.json(path)
     return path
 
@@ -58,7 +54,17 @@ _old = lambda t: t.items.where("idx % 2 = 0").select(F.col("text").alias("key"),
 _new = lambda t: t.items.where("idx % 3 = 0").select(F.col("text").alias("key"), F.concat(F.lit("v"), F.col("doc_id") * 100000 + F.col("idx")).alias("value"), (F.col("doc_id") * 100000 + F.col("idx")).alias("at"))
 add("sink_upsert", lambda t: W.sink_upsert(_old(t), _new(t), "key", "at"), "items", """WITH n AS (SELECT text AS key, max(doc_id * 100000 + idx) AS "at" FROM items WHERE idx % 3 = 0 GROUP BY text)
 SELECT key, 'v' || "at" AS value, "at" FROM n UNION ALL SELECT DISTINCT text, 'old', 0 FROM items WHERE idx % 2 = 0 AND text NOT IN (SELECT key FROM n)""")
-add("sink_insert_ignore", lambda t: W.sink_insert_ignore(t.walked, t.walk_more, ["run_id", "token"]), "walked walk_more", "SELECT run_id, token FROM walked UNION SELECT run_id, token FROM walk_more")
+
+
+def _insert_ignore(t):
+    lines = t.lineitem.select("l_linenumber", F.concat(F.lit("k"), "l_orderkey").alias("run_id"), F.concat(F.lit("p"), F.col("l_partkey") % 10).alias("token"), F.col("l_linenumber").alias("at"))
+    there = lines.where("l_linenumber <= 2").groupBy("run_id", "token").agg(F.max("at").alias("at"))
+    return W.sink_insert_ignore(there, lines.where("l_linenumber > 2").drop("l_linenumber"), ["run_id", "token"], "at")
+
+
+add("sink_insert_ignore", _insert_ignore, "", """
+WITH l AS (SELECT 'k' || l_orderkey AS run_id, 'p' || (l_partkey % 10) AS token, l_linenumber AS "at" FROM lineitem), t AS (SELECT run_id, token, max("at") AS "at" FROM l WHERE "at" <= 2 GROUP BY ALL)
+SELECT * FROM t UNION ALL SELECT run_id, token, min("at") FROM l WHERE "at" > 2 AND NOT EXISTS (SELECT 1 FROM t WHERE t.run_id = l.run_id AND t.token = l.token) GROUP BY run_id, token""")
 _MAGIC = ["FFD8FFE0", "89504E470D0A", "474946383961", "524946460000000057454250", "255044462D", "0000001866747970", "00112233"]
 _head = lambda: F.unhex(F.element_at(F.array(*[F.lit(m) for m in _MAGIC]), (F.col("doc_id") % 7 + 1).cast("int")))
 add("media_kind", lambda t: t.documents.select("doc_id", D.media_kind(F.concat(_head(), F.col("text").cast("binary"))).alias("kind")), "", "SELECT doc_id, ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][doc_id % 7 + 1] AS kind FROM documents")

@@ -19,6 +19,8 @@ def sink_upsert(table: DataFrame, delta: DataFrame, key: str, order: str) -> Dat
     return both.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new")
 
 
-def sink_insert_ignore(table: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert what isn't there yet by key; what is there stays."""
-    return table.unionByName(delta.dropDuplicates(keys).join(table.select(*keys), keys, "left_anti").select(*table.columns))
+def sink_insert_ignore(table: DataFrame, delta: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Insert what isn't there yet by key; what is there stays. Of several delta rows of a key the first by order counts."""
+    first = Window.partitionBy(*keys).orderBy(order)
+    new = delta.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return table.unionByName(new.join(table.select(*keys), keys, "left_anti").select(*table.columns))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.calls import outage_fold
 from ..operators.links import url_rewrite
-from ..sources.sinks import sink_upsert
+from ..shipping import ship
 
 
 def stream_transform(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], good: str, bad: str, is_bad: str, checkpoint: str) -> StreamingQuery:
@@ -49,6 +49,7 @@ def stream_outage_state(stream: DataFrame, after: int = 5, rest_s: int = 30, lat
         state.setTimeoutTimestamp(max(int(calls["us"].iloc[-1]) // 1000, state.getCurrentWatermarkMs()) + 86_400_000)
         yield pd.DataFrame({"resource": [key[0]], "state": [now["state"]], "n_calls": [len(got)], "n_suppressed": [sum(s for _, s in got)]})
 
+    ship(stream.sparkSession)
     rows = stream.withWatermark("ts", late).select("resource", "call_id", "ts", F.unix_micros("ts").alias("us"), "ok")
     return rows.groupBy("resource").applyInPandasWithState(step, "resource string, state string, n_calls long, n_suppressed long", "state string, bad int, good int, since long", "update", GroupStateTimeout.EventTimeTimeout)
 
@@ -59,11 +60,27 @@ def stream_link_rewrite(stream: DataFrame, mapping: DataFrame, good: str, checkp
 
 
 def stream_cache_upsert(stream: DataFrame, cache: str, checkpoint: str) -> StreamingQuery:
-    """Accepted translations (key, translated, at) upserted each micro-batch; versions are numbered, the last one is the cache."""
+    """Accepted translations (key, translated, at) upserted each micro-batch.
+
+    A batch writes its own newest row a key and nothing else, so its cost doesn't grow with the cache; a batch that
+    runs twice overwrites itself. cached() reads the newest row of each key, compact() makes one table of the batches.
+    """
 
     def sink(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = spark.read.parquet(f"{cache}/v={number - 1}") if number else spark.createDataFrame([], batch.schema)
-        sink_upsert(before, batch, "key", "at").write.mode("overwrite").parquet(f"{cache}/v={number}")
+        newest(batch).write.mode("overwrite").parquet(f"{cache}/batch={number}")
 
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    """The row of the largest at for each key; of equal ones that of the largest translation."""
+    return rows.groupBy("key").agg(F.max(F.struct("at", "translated")).alias("r")).select("key", "r.translated", "r.at")
+
+
+def cached(spark: SparkSession, cache: str) -> DataFrame:
+    return newest(spark.read.parquet(cache))
+
+
+def compact(spark: SparkSession, cache: str, into: str) -> None:
+    """One batch holding the cache as it is, to read instead of all batches up to now."""
+    cached(spark, cache).write.parquet(f"{into}/batch=0")
