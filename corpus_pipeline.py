@@ -15,28 +15,40 @@ from twinfold.llm.common import materialise, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the distance from their language turn down go."""
+    """Documents that the base rules or the distance from their language turn down go.
+
+    Null and empty texts have under 10 words and go. Repeated rows go or stay alike. An empty table stays empty.
+    """
     return quality.keep_good(docs)
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many sites share go from all but their first place; n_chars follows the text. No document goes."""
+    """Lines that many sites share go from all but their first place; n_chars follows the text. No document goes.
+
+    A null text stays null with its n_chars; an empty text stays. Repeated rows hold a first place together.
+    """
     found = line_dedup.dedup_lines(docs)
     return found.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 of their five-word shingles or more, that of the least id stays."""
+    """Of documents linked by 0.8 of their five-word shingles or more, that of the least id stays.
+
+    Null and empty texts link with nothing and stay. Of rows alike in doc_id and text one stays.
+    """
     return jaccard.keep_one(docs, width=5, p=80, q=100)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources meet their target weights."""
+    """Documents repeated or left out so that sources meet their target weights.
+
+    Null and empty texts have size 0; where a source has nothing else, they aren't taken. Each repeated row counts.
+    """
     return mixing.mix(docs)
 
 
 def sentencepiece_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids with their byte offsets, and digests of ids and decoding."""
+    """Token ids with their byte offsets, and digests of ids and decoding. Null and empty texts have no ids; each row is encoded."""
     encoded = pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"))
     return pieces.digests(encoded, "doc_id", "lang", "source", "ids", "starts", "ends")
 
@@ -49,7 +61,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", sentencepiece_tokens),
 ]
 
-#: DuckDB can't run SentencePiece; tests hold the pipeline against a plain version of it.
+#: DuckDB can't run SentencePiece; a test holds the rows against a plain version of all five stages that shares no code with them.
 ORACLE_SQL = None
 
 
