@@ -7,7 +7,7 @@ from math import lcm
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, materialise, quoted, table
 
 
 def word_count(text: str = "text") -> Column:
@@ -46,52 +46,54 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
     )
 
 
-def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """docs with __size, __source_size, __target and __copies: how often systematic sampling emits each document.
+def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source", size: str | None = None) -> DataFrame:
+    """row (a struct of all columns of docs), size, source_size, target and copies: how often systematic sampling emits each document.
 
     Every document of a source expects the same number of copies, target / source size. In an order by size class
-    and hash, the prefix sum of the expected copies plus one offset a source crosses an integer boundary __copies
-    times. Ordering by size first makes the words taken follow the target closely.
+    and hash, the prefix sum of the expected copies plus one offset a source crosses an integer boundary as many times
+    as the document is emitted. Ordering by size first makes the words taken follow the target closely.
 
     The prefix sum is two-level: counts by (source, size class, hash digits) are summed in order, then rows are
-    numbered within such a bucket. So no task holds a source, only its (at most 70 thousand) bucket counts.
+    numbered within such a bucket. So no task holds a source, only its (at most 70 thousand) bucket counts. The counts
+    are written once; size names a column of word counts where these are known already.
 
     Null text: size 0. Null source: a source of its own. Null doc_id: hashed as an empty string. Repeated rows: each
-    is a document. Empty table: empty result. Extra columns stay, names beginning with two underscores excepted.
+    is a document. Ties of size and hash: by doc_id. Texts of any length are counted whole. Empty table: empty result.
+    Extra columns stay in row, so their names can't clash.
     """
-    size = F.col("__size")
-    bits = F.length(F.bin(size))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(doc_id).cast("string")).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(quoted(doc_id)).cast("string")).cast("binary"))
+    bits = F.length(F.bin("__size"))
     sized = (
-        docs.withColumns({"__size": word_count(text), "__source": F.col(source).cast("string")})
-        .withColumns({"__skey": F.when(F.col("__source").isNull(), "n").otherwise(F.concat(F.lit("s"), "__source")), "__hash": key})
-        .withColumns({"__class": F.when(size == 0, F.lit(0).cast("long")).otherwise(bits * 16 + F.expr("shiftright(shiftleft(__size, 5), length(bin(__size)))")), "__part": F.substring("__hash", 1, 2)})
+        docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), (F.col(quoted(size)) if size else word_count(quoted(text))).alias("__size"), F.col(quoted(source)).cast("string").alias("__source"), key.alias("__hash"), F.col(quoted(doc_id)).alias("__id"))
+        .withColumn("__skey", F.when(F.col("__source").isNull(), "n").otherwise(F.concat(F.lit("s"), "__source")))
+        .withColumns({"__class": F.when(F.col("__size") == 0, F.lit(0).cast("long")).otherwise(bits * 16 + F.expr("shiftright(shiftleft(__size, 5), length(bin(__size)))")), "__part": F.substring("__hash", 1, 2)})
     )
-    buckets = sized.groupBy("__skey", "__class", "__part").agg(F.count("*").alias("__n"), F.sum("__size").alias("__words"), F.first("__source").alias("__source"))
+    buckets = materialise(sized.groupBy("__skey", "__class", "__part").agg(F.count("*").alias("__n"), F.sum("__size").alias("__words"), F.first("__source").alias("__source")), "mix-buckets")
     in_order = Window.partitionBy("__skey").orderBy("__class", "__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("__skey", "__class", "__part", F.coalesce(F.sum("__n").over(in_order), F.lit(0)).alias("__before"))
     targets = source_targets(buckets.groupBy("__skey").agg(F.first("__source").alias("__source"), F.sum("__words").alias("__source_size")), weights, cap)
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size").cast("double")).otherwise(F.lit(0.0))
     start = F.conv(F.substring(F.md5(F.concat(F.lit(f"offset:{seed}:"), "__skey").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    rows = Window.partitionBy("__skey", "__class", "__part").orderBy("__size", "__hash", F.col(doc_id).asc_nulls_last())
+    rows = Window.partitionBy("__skey", "__class", "__part").orderBy("__size", "__hash", F.col("__id").asc_nulls_last())
     at = F.col("__before") + F.row_number().over(rows)
+    crossed = F.floor(F.col("__at") * F.col("__rate") + F.col("__start")) - F.floor((F.col("__at") - 1) * F.col("__rate") + F.col("__start"))
     return (
         sized.join(offsets.join(targets, "__skey"), ["__skey", "__class", "__part"])
         .withColumns({"__rate": rate, "__start": start, "__at": at.cast("double")})
-        .withColumn("__copies", (F.floor(F.col("__at") * F.col("__rate") + F.col("__start")) - F.floor((F.col("__at") - 1) * F.col("__rate") + F.col("__start"))).cast("long"))
-        .drop("__source", "__skey", "__hash", "__class", "__part", "__before", "__rate", "__start", "__at")
+        .select("row", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), crossed.cast("long").alias("copies"))
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed table: the rows of docs, each emitted __copies times. Columns as in docs."""
-    plan = planned(docs, **options)
-    return plan.where("__copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "__copies")).alias("__copy")).drop("__copy")
+    """The mixed table: the rows of docs, each emitted as often as planned. Columns as in docs, whatever their names."""
+    plan = planned(docs, **options).where("copies > 0")
+    return plan.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return planned(docs).select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))
+    counted = materialise(docs.select("doc_id", "source", word_count().alias("size")), "word-counts")
+    return planned(counted, size="size").select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 OP7_SQL = r"""
