@@ -51,7 +51,12 @@ add(
     "signals",
     f"SELECT call_id, code, {_code_sql('code')} AS category, {_code_sql('status_code')} AS status_category FROM signals",
 )
-add("classify_message", lambda t: _category(t).select("call_id", "message", "category"), "signals", f"SELECT call_id, message, {_message_sql()} AS category FROM signals")
+add(
+    "classify_message",
+    lambda t: _category(t).select("call_id", "message", "category"),
+    "signals",
+    f"SELECT call_id, message, {_message_sql()} AS category FROM signals",
+)
 add(
     "retry_advice",
     lambda t: _category(t).select("call_id", A.retry_advice(F.col("category"), F.col("call_id") % 9).alias("a")).select("call_id", "a.retryable", "a.seconds"),
@@ -79,8 +84,23 @@ UNION ALL SELECT resource, k, call_id,
   CASE WHEN hold THEN since WHEN st = 'half_open' AND NOT ok THEN us WHEN st = 'closed' AND NOT ok AND bad + 1 >= 3 THEN us ELSE since END, hold
   FROM (SELECT f.resource, s.k, s.call_id, s.us, s.ok, f.bad, f.good, f.since, f.state = 'open' AND s.us - f.since < 7200000000 AS hold, CASE WHEN f.state = 'open' THEN 'half_open' ELSE f.state END AS st, CASE WHEN f.state = 'open' THEN 0 ELSE f.good END AS g FROM f JOIN s ON s.resource = f.resource AND s.k = f.k + 1) x)"""
 add("outage_state", lambda t: A.outage_state(t.calls, 3, 7200), "calls", f"{_OUTAGE} SELECT resource, call_id, state, suppressed FROM f WHERE k > 0")
-add("rate_limited_window", lambda t: A.rate_limited_window(t.calls), "calls", "SELECT call_id, resource, avg(CASE WHEN status_code = 429 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY resource ORDER BY ts, call_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS share FROM calls")
-add("log_rollup", lambda t: A.log_rollup(t.outcomes.select(F.col("run_id").alias("correlation_id"), "stage", F.floor("seconds").alias("seconds"))), "outcomes", "SELECT run_id AS correlation_id, stage, count(*) AS n_events, CAST(sum(floor(seconds)) AS BIGINT) AS total_s, CAST(max(floor(seconds)) AS BIGINT) AS max_s FROM outcomes GROUP BY ALL")
+add(
+    "rate_limited_window",
+    lambda t: A.rate_limited_window(t.calls),
+    "calls",
+    """
+    SELECT call_id, resource, avg(CASE WHEN status_code = 429 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY resource ORDER BY ts, call_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS share
+    FROM calls""",
+)
+add(
+    "log_rollup",
+    lambda t: A.log_rollup(t.outcomes.select(F.col("run_id").alias("correlation_id"), "stage", F.floor("seconds").alias("seconds"))),
+    "outcomes",
+    """
+    SELECT run_id AS correlation_id, stage, count(*) AS n_events, CAST(sum(floor(seconds)) AS BIGINT) AS total_s, CAST(max(floor(seconds)) AS BIGINT) AS max_s
+    FROM outcomes
+    GROUP BY ALL""",
+)
 
 
 # --- streams: each drains what is there and gives back what it wrote
@@ -169,13 +189,29 @@ def _upsert(t):
     return Z.cached(t.spark, f"{folder}/cache").select("key", "translated", "at")
 
 
-add("stream_transform", _transform, "calls", "SELECT call_id, resource, CASE WHEN status_code <> 404 THEN status_code = 429 END AS limited, status_code = 404 AS turned_down FROM calls")
+add(
+    "stream_transform",
+    _transform,
+    "calls",
+    """
+    SELECT call_id, resource, CASE WHEN status_code <> 404 THEN status_code = 429 END AS limited, status_code = 404 AS turned_down
+    FROM calls""",
+)
 add("stream_dedupe_ops", _dedupe, "calls", "SELECT DISTINCT CAST(floor(call_id / 3.0) AS BIGINT) AS operation_id FROM calls")
 add("stream_quota_windows", _windows, "calls", """
 WITH s AS (SELECT resource, ts, unnest([0, 1]) AS back FROM calls), w AS (SELECT resource, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 3 HOUR * back AS "start" FROM s)
 SELECT resource, "start", "start" + INTERVAL 6 HOUR AS "end", count(*) AS n_calls FROM w
 WHERE "start" + INTERVAL 6 HOUR <= (SELECT max(ts) FROM calls) - INTERVAL 1 DAY GROUP BY ALL""")
-add("stream_outage_state", _outage, "calls", f"{_OUTAGE} SELECT resource, max_by(state, k) AS state, count(*) AS n_calls, CAST(count(*) FILTER (suppressed) AS BIGINT) AS n_suppressed FROM f WHERE k > 0 GROUP BY resource")
+add(
+    "stream_outage_state",
+    _outage,
+    "calls",
+    f"""
+    {_OUTAGE} SELECT resource, max_by(state, k) AS state, count(*) AS n_calls, CAST(count(*) FILTER (suppressed) AS BIGINT) AS n_suppressed
+    FROM f
+    WHERE k > 0
+    GROUP BY resource""",
+)
 add("stream_link_rewrite", _links, "source_blocks token_map", r"""
 SELECT l.doc_id, l.idx, CASE WHEN m.dst IS NULL THEN l.url ELSE 'https://target.example/wiki/' || m.dst || regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)(.*)$', 2) END AS new_url, m.dst IS NOT NULL AS replaced
 FROM source_blocks l LEFT JOIN token_map m ON l.url LIKE 'https://source.example/%' AND m.src = regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)', 1) WHERE l.url <> ''""")

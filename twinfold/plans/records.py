@@ -57,7 +57,12 @@ UNION ALL SELECT NULL, node_token, title, edit_ms, NULL, CASE pos % 3 WHEN 1 THE
 add("tree_walk_dfs", lambda t: T.tree_walk_dfs(t.nodes, 3), "nodes", """RECURSIVE w AS (SELECT node_token, node_token AS root, has_child, 0 AS depth, [pos] AS path FROM nodes WHERE parent_token = ''
   UNION ALL SELECT c.node_token, w.root, c.has_child, w.depth + 1, list_append(w.path, c.pos) FROM w JOIN nodes c ON c.parent_token = w.node_token WHERE w.has_child AND w.depth < 3)
 SELECT root, node_token, depth, row_number() OVER (PARTITION BY root ORDER BY path) AS dfs_rank FROM w""".replace("RECURSIVE w", "RECURSIVE WITH w"))
-add("children_index", lambda t: T.children_index(t.nodes).select("parent_token", F.array_join("children", ",").alias("children")), "nodes", "SELECT parent_token, string_agg(node_token, ',' ORDER BY pos) AS children FROM nodes GROUP BY parent_token")
+add(
+    "children_index",
+    lambda t: T.children_index(t.nodes).select("parent_token", F.array_join("children", ",").alias("children")),
+    "nodes",
+    "SELECT parent_token, string_agg(node_token, ',' ORDER BY pos) AS children FROM nodes GROUP BY parent_token",
+)
 
 
 def _legacy(t):
@@ -95,46 +100,195 @@ _ostat = lambda t: T.order_status(_oplan(t), _mres(t))
 _with("order_status", _ostat, "SELECT * FROM st", _ON, _STATUS)
 _with("order_run_summary", lambda t: T.order_run_summary(_ostat(t)), "SELECT count(*) AS n_parents, count(*) FILTER (status = 'OK') AS n_ok, count(*) FILTER (status = 'Fixed') AS n_fixed, count(*) FILTER (status = 'Mismatch') AS n_mismatch, count(*) FILTER (status = 'Skipped') AS n_skipped, count(*) FILTER (status = 'Error') AS n_error, CAST(sum(n_ok) AS BIGINT) AS n_moved FROM st", _ON, _STATUS)
 _with("order_child_updates", lambda t: T.order_child_updates(_moves(t), t.customer.where("c_custkey % 2 = 0").select(F.concat(F.lit("r"), "c_custkey").alias("record_id"), F.concat(F.lit("D"), "c_custkey").alias("child")), _oplan(t)), "SELECT 'r' || substring(m.child, 2) AS record_id, m.parent, m.child, 'Fixed' AS tree_order_status FROM moves m JOIN plan p USING (parent) WHERE m.moves AND skip_reason = '' AND NOT no_op AND CAST(substring(m.child, 2) AS BIGINT) % 2 = 0", _ON, _ORDER)
-add("parent_slot_check", lambda t: T.parent_slot_check(t.customer.select(F.col("c_nationkey").alias("parent")), 55, 65), "", "SELECT c_nationkey AS parent, count(*) AS n, CASE WHEN count(*) >= 65 THEN 'error' WHEN count(*) >= 55 THEN 'warning' ELSE 'ok' END AS level FROM customer GROUP BY 1")
+add(
+    "parent_slot_check",
+    lambda t: T.parent_slot_check(t.customer.select(F.col("c_nationkey").alias("parent")), 55, 65),
+    "",
+    """
+    SELECT c_nationkey AS parent, count(*) AS n, CASE WHEN count(*) >= 65 THEN 'error' WHEN count(*) >= 55 THEN 'warning' ELSE 'ok' END AS level
+    FROM customer
+    GROUP BY 1""",
+)
 
 # --- record state, routing, counters
 
-add("record_flags", lambda t: S.record_flags(t.state), "state", "SELECT record_id, status = 'Done' AND translate_status = 'Done' AS is_done, status = 'Pending' OR translate_status = 'Pending' AS is_pending, link_clone = '' AS needs_clone, link_clone <> '' AND translate_status NOT IN ('Done', 'Skipped') AS needs_translate, translate_status = 'Done' AND link_clone <> '' AND mirror_token = '' AS needs_mirror FROM state")
+add(
+    "record_flags",
+    lambda t: S.record_flags(t.state),
+    "state",
+    """
+    SELECT record_id, status = 'Done' AND translate_status = 'Done' AS is_done, status = 'Pending' OR translate_status = 'Pending' AS is_pending, link_clone = '' AS needs_clone, link_clone <> '' AND translate_status NOT IN ('Done', 'Skipped') AS needs_translate, translate_status = 'Done' AND link_clone <> '' AND mirror_token = '' AS needs_mirror
+    FROM state""",
+)
 add("route_records", lambda t: S.route_records(t.state), "state", """, f AS (SELECT record_id, mirror_token, link_clone = '' AND status NOT IN ('Done', 'Skipped') AS does_clone, link_clone <> '' AND translate_status NOT IN ('Done', 'Skipped') AS does_translate, mirror_token <> '' AND mirror_status IN ('', 'Placeholder', 'edited', 'PartialFail', 'Failed') AS does_mirror FROM state)
 SELECT record_id, does_clone, does_translate, does_mirror, CASE WHEN does_clone AND mirror_token = '' THEN 'failed' WHEN does_clone THEN 'clone' WHEN does_translate THEN 'translate' WHEN does_mirror THEN 'mirror' ELSE 'skip' END AS next_stage FROM f""".replace(", f AS", "WITH f AS", 1))
-add("resolve_doc_ids", lambda t: S.resolve_doc_ids(t.state.withColumn("mirror_token", F.replace("mirror_token", F.lit("d"), F.lit("n"))), t.nodes), "state nodes", "SELECT s.record_id, a.obj_token AS source_doc, coalesce(b.obj_token, replace(s.mirror_token, 'd', 'n')) AS target_doc FROM state s LEFT JOIN nodes a ON a.node_token = s.node_token LEFT JOIN nodes b ON b.node_token = replace(s.mirror_token, 'd', 'n')")
-add("select_pending", lambda t: S.select_pending(t.state, 50, 10, 900, True).select("record_id", "stt"), "state", "SELECT record_id, stt FROM state WHERE stt BETWEEN 10 AND 900 AND change_status = 'edited' ORDER BY stt LIMIT 50")
-add("reset_records", lambda t: S.reset_records(t.state, status="Failed").select("record_id", "status", "translate_status"), "state", "SELECT record_id, CASE WHEN status = 'Failed' THEN 'Pending' ELSE status END AS status, CASE WHEN status = 'Failed' THEN 'Pending' ELSE translate_status END AS translate_status FROM state")
+add(
+    "resolve_doc_ids",
+    lambda t: S.resolve_doc_ids(t.state.withColumn("mirror_token", F.replace("mirror_token", F.lit("d"), F.lit("n"))), t.nodes),
+    "state nodes",
+    """
+    SELECT s.record_id, a.obj_token AS source_doc, coalesce(b.obj_token, replace(s.mirror_token, 'd', 'n')) AS target_doc
+    FROM state s
+    LEFT JOIN nodes a ON a.node_token = s.node_token
+    LEFT JOIN nodes b ON b.node_token = replace(s.mirror_token, 'd', 'n')""",
+)
+add(
+    "select_pending",
+    lambda t: S.select_pending(t.state, 50, 10, 900, True).select("record_id", "stt"),
+    "state",
+    """
+    SELECT record_id, stt
+    FROM state
+    WHERE stt BETWEEN 10 AND 900 AND change_status = 'edited' ORDER BY stt LIMIT 50""",
+)
+add(
+    "reset_records",
+    lambda t: S.reset_records(t.state, status="Failed").select("record_id", "status", "translate_status"),
+    "state",
+    """
+    SELECT record_id, CASE WHEN status = 'Failed' THEN 'Pending' ELSE status END AS status, CASE WHEN status = 'Failed' THEN 'Pending' ELSE translate_status END AS translate_status
+    FROM state""",
+)
 _COUNTS = ", ".join(f"count(*) FILTER (result = '{r}') AS n_{r}" for r in S.RESULTS)
 add("pipeline_counters", lambda t: S.pipeline_counters(t.outcomes), "outcomes", f"""
 WITH c AS (SELECT run_id, count(*) FILTER (result <> 'odd') AS n_total, {_COUNTS} FROM outcomes GROUP BY run_id) SELECT *, n_ok / n_total AS success_rate, n_ok / n_total < 0.9 AS alert FROM c""")
-add("run_counters", lambda t: S.run_counters(t.outcomes), "outcomes", "SELECT run_id, stage, count(*) FILTER (outcome = 'OK') AS n_done, count(*) FILTER (outcome = 'FAIL') AS n_failed, count(*) FILTER (outcome = 'SKIP') AS n_skipped, count(*) AS n_processed FROM outcomes GROUP BY ALL")
+add(
+    "run_counters",
+    lambda t: S.run_counters(t.outcomes),
+    "outcomes",
+    """
+    SELECT run_id, stage, count(*) FILTER (outcome = 'OK') AS n_done, count(*) FILTER (outcome = 'FAIL') AS n_failed, count(*) FILTER (outcome = 'SKIP') AS n_skipped, count(*) AS n_processed
+    FROM outcomes
+    GROUP BY ALL""",
+)
 add("status_board", lambda t: S.status_board(t.state), "state", "SELECT status AS stage, count(*) AS n FROM state GROUP BY status")
-add("stage_start_patch", lambda t: S.stage_start_patch(t.outcomes.select("record_id", "stage"), "2026-05-10 07:30:00", "w1"), "outcomes", "SELECT record_id, 'Running' AS status, TIMESTAMP '2026-05-10 07:30:00' AS started_at, upper(stage) AS pipeline_stage, 'w1' AS worker FROM outcomes")
-add("stage_finish_patch", lambda t: S.stage_finish_patch(t.outcomes.withColumn("error", F.when(F.col("outcome") == "FAIL", F.repeat(F.lit("broken "), 60)))).drop("duration"), "outcomes", "SELECT record_id, stage, CASE outcome WHEN 'OK' THEN CASE stage WHEN 'mirror' THEN 'Synced' ELSE 'Done' END WHEN 'FAIL' THEN 'Failed' WHEN 'SKIP' THEN 'Skipped' WHEN 'RETRY' THEN 'Running' ELSE 'Pending' END AS status, CASE WHEN outcome = 'FAIL' THEN 'Failed' ELSE upper(stage) END AS pipeline_stage, CASE WHEN outcome = 'FAIL' THEN substring(repeat('broken ', 60), 1, 200) ELSE '' END AS error FROM outcomes")
+add(
+    "stage_start_patch",
+    lambda t: S.stage_start_patch(t.outcomes.select("record_id", "stage"), "2026-05-10 07:30:00", "w1"),
+    "outcomes",
+    """
+    SELECT record_id, 'Running' AS status, TIMESTAMP '2026-05-10 07:30:00' AS started_at, upper(stage) AS pipeline_stage, 'w1' AS worker
+    FROM outcomes""",
+)
+add(
+    "stage_finish_patch",
+    lambda t: S.stage_finish_patch(t.outcomes.withColumn("error", F.when(F.col("outcome") == "FAIL", F.repeat(F.lit("broken "), 60)))).drop("duration"),
+    "outcomes",
+    """
+    SELECT record_id, stage, CASE outcome WHEN 'OK' THEN CASE stage WHEN 'mirror' THEN 'Synced' ELSE 'Done' END WHEN 'FAIL' THEN 'Failed' WHEN 'SKIP' THEN 'Skipped' WHEN 'RETRY' THEN 'Running' ELSE 'Pending' END AS status, CASE WHEN outcome = 'FAIL' THEN 'Failed' ELSE upper(stage) END AS pipeline_stage, CASE WHEN outcome = 'FAIL' THEN substring(repeat('broken ', 60), 1, 200) ELSE '' END AS error
+    FROM outcomes""",
+)
 
 # --- audit trail
 
 _events = lambda t: t.events.select(F.concat(F.lit("u"), "user_id").alias("record_id"), F.col("event_id").cast("int").alias("pos"), F.date_trunc("second", "ts").alias("ts"), F.upper("event_type").alias("stage"), F.when(F.col("value") > 80, "FAIL").otherwise("OK").alias("outcome"), F.concat(F.lit("n="), "event_id").alias("details"))
 _EV = "WITH ev AS (SELECT 'u' || user_id AS record_id, CAST(event_id AS INTEGER) AS pos, date_trunc('second', ts) AS ts, upper(event_type) AS stage, CASE WHEN value > 80 THEN 'FAIL' ELSE 'OK' END AS outcome, 'n=' || event_id AS details FROM events) "
 _TRAIL = _EV.rstrip() + ", tr AS (SELECT record_id, string_agg(strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || ' [' || stage || '] ' || outcome || ' ' || details, chr(10) ORDER BY ts, pos) AS audit_trail FROM ev GROUP BY record_id) "
-add("audit_details", lambda t: t.outcomes.select("record_id", S.audit_details(F.lit(2.5), F.array(F.struct(F.lit("blocks_total").alias("name"), F.floor("seconds").cast("string").alias("value")), F.struct(F.lit("n_kept").alias("name"), F.lit("7").alias("value"))), F.lit("timeout"), F.col("outcome")).alias("details")), "outcomes", "SELECT record_id, 'dt=2.5s total=' || CAST(floor(seconds) AS BIGINT) || ' kept=7' || CASE WHEN outcome <> 'OK' THEN ' err=timeout' ELSE '' END AS details FROM outcomes")
+add(
+    "audit_details",
+    lambda t: t.outcomes.select("record_id", S.audit_details(F.lit(2.5), F.array(F.struct(F.lit("blocks_total").alias("name"), F.floor("seconds").cast("string").alias("value")), F.struct(F.lit("n_kept").alias("name"), F.lit("7").alias("value"))), F.lit("timeout"), F.col("outcome")).alias("details")),
+    "outcomes",
+    """
+    SELECT record_id, 'dt=2.5s total=' || CAST(floor(seconds) AS BIGINT) || ' kept=7' || CASE WHEN outcome <> 'OK' THEN ' err=timeout' ELSE '' END AS details
+    FROM outcomes""",
+)
 add("audit_serialize", lambda t: S.audit_serialize(_events(t)), "", _TRAIL + "SELECT record_id, audit_trail FROM tr")
-add("audit_parse", lambda t: S.audit_parse(S.audit_serialize(_events(t)).withColumn("audit_trail", F.concat(F.lit("bad line\n"), "audit_trail"))), "", _EV + "SELECT record_id, CAST(row_number() OVER (PARTITION BY record_id ORDER BY ts, pos) AS INTEGER) AS pos, ts, stage, outcome, details FROM ev")
-add("audit_append", lambda t: S.audit_append(_events(t).where("pos % 4 <> 0"), _events(t).where("pos % 4 = 0"), 30), "", _EV + "SELECT record_id, pos, ts, stage, outcome, details FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY pos % 4 = 0 DESC, pos DESC) AS n FROM ev) WHERE n <= 30")
-add("audit_last_event", lambda t: S.audit_last_event(_events(t)), "", _EV + "SELECT record_id, pos, ts, stage, outcome, details FROM (SELECT *, row_number() OVER (PARTITION BY record_id, stage ORDER BY ts DESC, pos) AS n FROM ev) WHERE n = 1")
+add(
+    "audit_parse",
+    lambda t: S.audit_parse(S.audit_serialize(_events(t)).withColumn("audit_trail", F.concat(F.lit("bad line\n"), "audit_trail"))),
+    "",
+    _EV + "SELECT record_id, CAST(row_number() OVER (PARTITION BY record_id ORDER BY ts, pos) AS INTEGER) AS pos, ts, stage, outcome, details FROM ev",
+)
+add(
+    "audit_append",
+    lambda t: S.audit_append(_events(t).where("pos % 4 <> 0"), _events(t).where("pos % 4 = 0"), 30),
+    "",
+    _EV + "SELECT record_id, pos, ts, stage, outcome, details FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY pos % 4 = 0 DESC, pos DESC) AS n FROM ev) WHERE n <= 30",
+)
+add(
+    "audit_last_event",
+    lambda t: S.audit_last_event(_events(t)),
+    "",
+    _EV + "SELECT record_id, pos, ts, stage, outcome, details FROM (SELECT *, row_number() OVER (PARTITION BY record_id, stage ORDER BY ts DESC, pos) AS n FROM ev) WHERE n = 1",
+)
 
 # --- checkpoints and queue
 
-add("ckpt_resumable", lambda t: Q.ckpt_resumable(t.runs, 60_000.0, 40_000.0), "runs", "SELECT space_id, run_id, CASE WHEN 60000.0 - started_at > 40000.0 THEN 'invalidate' ELSE 'resume' END AS action FROM (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY started_at DESC, run_id DESC) AS n FROM runs WHERE status = 'running') WHERE n = 1")
-add("ckpt_save", lambda t: Q.ckpt_save(t.walked, t.walk_more)[1], "walked walk_more", "SELECT run_id, count(*) AS walked_count FROM (SELECT run_id, token FROM walked UNION SELECT run_id, token FROM walk_more) GROUP BY run_id")
-add("ckpt_remaining", lambda t: Q.ckpt_remaining(t.part.select(F.concat(F.lit("p"), "p_partkey").alias("node_token")), t.walked.where("run_id like 'k%1'")), "walked", "SELECT 'p' || p_partkey AS node_token FROM part WHERE 'p' || p_partkey NOT IN (SELECT token FROM walked WHERE run_id LIKE 'k%1')")
-add("ckpt_transition", lambda t: Q.ckpt_transition(t.runs, t.runs.where("cast(substring(run_id, 2) as bigint) % 3 <> 0 and status = 'running'").select("run_id", F.when(F.substring("run_id", 2, 30).cast("long") % 3 == 1, "completed").otherwise("failed").alias("to")), 99_000.0), "runs", """, c AS (SELECT *, CAST(substring(run_id, 2) AS BIGINT) % 3 AS k FROM runs) SELECT run_id, space_id, started_at, CASE WHEN status = 'running' AND k = 1 THEN 'completed' WHEN status = 'running' AND k = 2 THEN 'failed' ELSE status END AS status, CASE WHEN status = 'running' AND k = 1 THEN CAST(99000.0 AS DOUBLE) END AS completed_at FROM c""".replace(", c AS", "WITH c AS", 1))
-add("ckpt_cleanup", lambda t: Q.ckpt_cleanup(t.runs, t.walked, 60_000.0, 20_000.0)[1], "runs walked", "SELECT run_id, token FROM walked WHERE run_id IN (SELECT run_id FROM runs WHERE status = 'running' OR 60000.0 - started_at <= 20000.0)")
-add("queue_eligible", lambda t: Q.queue_eligible(t.ops, 1200.0, 200), "ops", "SELECT operation_id, scheduled_at, attempts + 1 AS attempts FROM ops WHERE (status = 'pending' AND scheduled_at <= 1200.0) OR (status = 'processing' AND 1200.0 - created_at > 300.0) ORDER BY scheduled_at, operation_id LIMIT 200")
-add("queue_transition", lambda t: Q.queue_transition(t.ops, t.ops.where("status = 'processing'").select("operation_id", (F.col("attempts") % 3 == 0).alias("ok"), (F.col("attempts") % 3 == 1).alias("permanent"), F.lit("timed out").alias("error")), 2000.0), "ops", "SELECT operation_id, CASE WHEN attempts % 3 = 0 THEN 'done' WHEN attempts % 3 = 1 OR attempts >= max_attempts THEN 'failed' ELSE 'pending' END AS status, CASE WHEN attempts % 3 <> 0 AND NOT (attempts % 3 = 1 OR attempts >= max_attempts) THEN CAST(2060.0 AS DOUBLE) ELSE scheduled_at END AS scheduled_at, CASE WHEN attempts % 3 = 0 THEN CAST(2000.0 AS DOUBLE) END AS processed_at, CASE WHEN attempts % 3 = 0 THEN '' ELSE 'timed out' END AS last_error FROM ops WHERE status = 'processing'")
+add(
+    "ckpt_resumable",
+    lambda t: Q.ckpt_resumable(t.runs, 60_000.0, 40_000.0),
+    "runs",
+    """
+    SELECT space_id, run_id, CASE WHEN 60000.0 - started_at > 40000.0 THEN 'invalidate' ELSE 'resume' END AS action
+    FROM (SELECT *, row_number() OVER (PARTITION BY space_id ORDER BY started_at DESC, run_id DESC) AS n
+    FROM runs
+    WHERE status = 'running')
+    WHERE n = 1""",
+)
+add(
+    "ckpt_save",
+    lambda t: Q.ckpt_save(t.walked, t.walk_more)[1],
+    "walked walk_more",
+    """
+    SELECT run_id, count(*) AS walked_count
+    FROM (SELECT run_id, token
+    FROM walked UNION SELECT run_id, token
+    FROM walk_more)
+    GROUP BY run_id""",
+)
+add(
+    "ckpt_remaining",
+    lambda t: Q.ckpt_remaining(t.part.select(F.concat(F.lit("p"), "p_partkey").alias("node_token")), t.walked.where("run_id like 'k%1'")),
+    "walked",
+    """
+    SELECT 'p' || p_partkey AS node_token
+    FROM part
+    WHERE 'p' || p_partkey NOT IN (SELECT token
+    FROM walked
+    WHERE run_id LIKE 'k%1')""",
+)
+add(
+    "ckpt_transition",
+    lambda t: Q.ckpt_transition(t.runs, t.runs.where("cast(substring(run_id, 2) as bigint) % 3 <> 0 and status = 'running'").select("run_id", F.when(F.substring("run_id", 2, 30).cast("long") % 3 == 1, "completed").otherwise("failed").alias("to")), 99_000.0),
+    "runs",
+    """, c AS (SELECT *, CAST(substring(run_id, 2) AS BIGINT) % 3 AS k FROM runs) SELECT run_id, space_id, started_at, CASE WHEN status = 'running' AND k = 1 THEN 'completed' WHEN status = 'running' AND k = 2 THEN 'failed' ELSE status END AS status, CASE WHEN status = 'running' AND k = 1 THEN CAST(99000.0 AS DOUBLE) END AS completed_at FROM c""".replace(", c AS", "WITH c AS", 1),
+)
+add(
+    "ckpt_cleanup",
+    lambda t: Q.ckpt_cleanup(t.runs, t.walked, 60_000.0, 20_000.0)[1],
+    "runs walked",
+    """
+    SELECT run_id, token
+    FROM walked
+    WHERE run_id IN (SELECT run_id
+    FROM runs
+    WHERE status = 'running' OR 60000.0 - started_at <= 20000.0)""",
+)
+add(
+    "queue_eligible",
+    lambda t: Q.queue_eligible(t.ops, 1200.0, 200),
+    "ops",
+    """
+    SELECT operation_id, scheduled_at, attempts + 1 AS attempts
+    FROM ops
+    WHERE (status = 'pending' AND scheduled_at <= 1200.0) OR (status = 'processing' AND 1200.0 - created_at > 300.0) ORDER BY scheduled_at, operation_id LIMIT 200""",
+)
+add(
+    "queue_transition",
+    lambda t: Q.queue_transition(t.ops, t.ops.where("status = 'processing'").select("operation_id", (F.col("attempts") % 3 == 0).alias("ok"), (F.col("attempts") % 3 == 1).alias("permanent"), F.lit("timed out").alias("error")), 2000.0),
+    "ops",
+    """
+    SELECT operation_id, CASE WHEN attempts % 3 = 0 THEN 'done' WHEN attempts % 3 = 1 OR attempts >= max_attempts THEN 'failed' ELSE 'pending' END AS status, CASE WHEN attempts % 3 <> 0 AND NOT (attempts % 3 = 1 OR attempts >= max_attempts) THEN CAST(2060.0 AS DOUBLE) ELSE scheduled_at END AS scheduled_at, CASE WHEN attempts % 3 = 0 THEN CAST(2000.0 AS DOUBLE) END AS processed_at, CASE WHEN attempts % 3 = 0 THEN '' ELSE 'timed out' END AS last_error
+    FROM ops
+    WHERE status = 'processing'""",
+)
 add("queue_stats", lambda t: Q.queue_stats(t.ops), "ops", "SELECT status, count(*) AS n FROM ops GROUP BY status")
-add("queue_cleanup", lambda t: Q.queue_cleanup(t.ops, 1500.0, 800.0).select("operation_id", "status"), "ops", "SELECT operation_id, status FROM ops WHERE status <> 'done' OR 1500.0 - processed_at <= 800.0")
+add(
+    "queue_cleanup",
+    lambda t: Q.queue_cleanup(t.ops, 1500.0, 800.0).select("operation_id", "status"),
+    "ops",
+    "SELECT operation_id, status FROM ops WHERE status <> 'done' OR 1500.0 - processed_at <= 800.0",
+)
 
 # --- schema and health
 
@@ -158,8 +312,26 @@ a AS (SELECT 'doc_id' AS name, 'bigint' AS have, count(doc_id) AS n FROM documen
 j AS (SELECT coalesce(e.name, a.name) AS name, want, have, n, CASE WHEN have IS NULL THEN 'missing' WHEN want IS NULL THEN 'extra' WHEN want <> have THEN 'type_mismatch' END AS issue FROM e FULL JOIN (SELECT * FROM a WHERE n > 0) a ON e.name = a.name)
 SELECT name, want, have, n, issue, issue <> 'extra' AS is_change FROM j WHERE issue IS NOT NULL""")
 add("schema_apply", _schema_apply, "", "SELECT doc_id, lang, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS INTEGER) AS mirror FROM documents")
-add("schema_invariants", lambda t: K.schema_invariants(t.customer.select(F.concat(F.lit("f"), F.floor(F.col("c_custkey") / 2)).alias("name"), (F.col("c_custkey") % 100 == 0).alias("is_primary"))), "", "WITH c AS (SELECT 'f' || CAST(floor(c_custkey / 2.0) AS BIGINT) AS name, c_custkey % 100 = 0 AS p FROM customer) SELECT 'duplicate_name' AS rule, name, count(*) AS n FROM c GROUP BY name HAVING count(*) > 1 UNION ALL SELECT 'one_primary', '', count(*) FILTER (p) FROM c HAVING count(*) FILTER (p) <> 1")
-add("validate_ids", lambda t: K.validate_ids(t.pages.select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("domain")), {"url": "url", "domain": "domain"}).select("page_id", "ok_url", "ok_domain"), "", r"SELECT page_id, regexp_full_match(url, 'https?://[^\s/]+/.*', 's') AS ok_url, regexp_full_match(regexp_extract(url, '^https?://([^/]+)', 1), '[a-z0-9-]+(\.[a-z0-9-]+)+') AS ok_domain FROM pages")
+add(
+    "schema_invariants",
+    lambda t: K.schema_invariants(t.customer.select(F.concat(F.lit("f"), F.floor(F.col("c_custkey") / 2)).alias("name"), (F.col("c_custkey") % 100 == 0).alias("is_primary"))),
+    "",
+    """
+    WITH c AS (SELECT 'f' || CAST(floor(c_custkey / 2.0) AS BIGINT) AS name, c_custkey % 100 = 0 AS p
+    FROM customer) SELECT 'duplicate_name' AS rule, name, count(*) AS n
+    FROM c
+    GROUP BY name HAVING count(*) > 1
+    UNION ALL SELECT 'one_primary', '', count(*) FILTER (p)
+    FROM c HAVING count(*) FILTER (p) <> 1""",
+)
+add(
+    "validate_ids",
+    lambda t: K.validate_ids(t.pages.select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("domain")), {"url": "url", "domain": "domain"}).select("page_id", "ok_url", "ok_domain"),
+    "",
+    r"""
+    SELECT page_id, regexp_full_match(url, 'https?://[^\s/]+/.*', 's') AS ok_url, regexp_full_match(regexp_extract(url, '^https?://([^/]+)', 1), '[a-z0-9-]+(\.[a-z0-9-]+)+') AS ok_domain
+    FROM pages""",
+)
 _checked = lambda t: K.table_checks(t.spark, {"documents": (t.documents, "doc_id"), "orders": (t.orders, "o_orderkey"), "lineitem": (t.lineitem, "l_orderkey"), "events": (t.events, "event_id")})
 add("health_report", lambda t: K.health_report(_checked(t)), "", """
 WITH c AS (SELECT 'documents' AS name, count(*) - count(doc_id) AS nulls, count(*) - count(DISTINCT doc_id) AS twice FROM documents UNION ALL SELECT 'orders', count(*) - count(o_orderkey), count(*) - count(DISTINCT o_orderkey) FROM orders

@@ -41,15 +41,50 @@ def _logs(t):
     return D.src_log_lines(t.spark, _land(t, rows)).where("_corrupt_record is null").drop("_corrupt_record")
 
 
-add("src_nodes", _nodes, "nodes", "SELECT CAST(floor(pos / 50.0) AS BIGINT) * 1000000 + row_number() OVER (PARTITION BY floor(pos / 50.0) ORDER BY pos) - 1 AS pos, node_token, parent_token AS parent_node_token, title, CAST(edit_ms AS VARCHAR) AS obj_edit_time, has_child FROM nodes")
+add(
+    "src_nodes",
+    _nodes,
+    "nodes",
+    """
+    SELECT CAST(floor(pos / 50.0) AS BIGINT) * 1000000 + row_number() OVER (PARTITION BY floor(pos / 50.0) ORDER BY pos) - 1 AS pos, node_token, parent_token AS parent_node_token, title, CAST(edit_ms AS VARCHAR) AS obj_edit_time, has_child
+    FROM nodes""",
+)
 add("src_records", _records, "state", "SELECT record_id, status, title FROM state WHERE status <> 'Done'")
 add("src_blocks", _blocks, "source_blocks", "SELECT doc_id, idx, block_id, block_type, content, url FROM source_blocks")
-add("src_log_lines", _logs, "outcomes", "SELECT run_id AS correlation_id, stage, record_id AS record, outcome AS event, CAST(floor(seconds) AS DOUBLE) AS seconds FROM outcomes")
+add(
+    "src_log_lines",
+    _logs,
+    "outcomes",
+    """
+    SELECT run_id AS correlation_id, stage, record_id AS record, outcome AS event, CAST(floor(seconds) AS DOUBLE) AS seconds
+    FROM outcomes""",
+)
 _raw = lambda k: F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, F.to_json(F.struct(F.concat(F.lit("https://x/"), k).alias("link"), F.lit("t").alias("text")))).when(k % 5 == 2, F.to_json(F.array(F.struct(F.concat(F.lit("https://y/"), k).alias("link"))))).when(k % 5 == 3, F.concat(F.lit('"plain '), k.cast("string"), F.lit('"'))).otherwise(F.lit("17"))
-add("parse_link_field", lambda t: t.documents.select("doc_id", D.parse_link_field(_raw(F.col("doc_id"))).alias("l")).select("doc_id", "l.link", "l.text"), "", "SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN 'https://x/' || doc_id WHEN 2 THEN 'https://y/' || doc_id WHEN 3 THEN 'plain ' || doc_id ELSE '' END AS link, CASE doc_id % 5 WHEN 1 THEN 't' WHEN 3 THEN 'plain ' || doc_id ELSE '' END AS text FROM documents")
+add(
+    "parse_link_field",
+    lambda t: t.documents.select("doc_id", D.parse_link_field(_raw(F.col("doc_id"))).alias("l")).select("doc_id", "l.link", "l.text"),
+    "",
+    """
+    SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN 'https://x/' || doc_id WHEN 2 THEN 'https://y/' || doc_id WHEN 3 THEN 'plain ' || doc_id ELSE '' END AS link, CASE doc_id % 5 WHEN 1 THEN 't' WHEN 3 THEN 'plain ' || doc_id ELSE '' END AS text
+    FROM documents""",
+)
 _fields = lambda: F.to_json(F.struct(F.concat(F.lit("title "), "doc_id").alias("title"), F.when(F.col("doc_id") % 3 == 0, "not-a-number").otherwise(F.col("doc_id").cast("string")).alias("stt"), (F.col("doc_id") / 4).cast("string").alias("pct"), F.struct(F.lit("u").alias("link")).alias("link")))
-add("parse_record_fields", lambda t: D.parse_record_fields(t.documents.select(F.concat(F.lit("r"), "doc_id").alias("record_id"), _fields().alias("fields"))).select("record_id", "title", "stt", "pct", "link.link"), "", "SELECT 'r' || doc_id AS record_id, 'title ' || doc_id AS title, CASE WHEN doc_id % 3 <> 0 THEN CAST(doc_id AS INTEGER) END AS stt, doc_id / 4 AS pct, 'u' AS link FROM documents")
-add("sink_chunked_batches", lambda t: W.sink_chunked_batches(t.orders.select(F.pmod(F.col("o_custkey"), F.lit(8)).alias("bucket"), "o_orderkey"), "bucket", "o_orderkey"), "", "SELECT o_custkey % 8 AS bucket, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_custkey % 8 ORDER BY o_orderkey) - 1) / 500.0) AS BIGINT) AS batch_id FROM orders")
+add(
+    "parse_record_fields",
+    lambda t: D.parse_record_fields(t.documents.select(F.concat(F.lit("r"), "doc_id").alias("record_id"), _fields().alias("fields"))).select("record_id", "title", "stt", "pct", "link.link"),
+    "",
+    """
+    SELECT 'r' || doc_id AS record_id, 'title ' || doc_id AS title, CASE WHEN doc_id % 3 <> 0 THEN CAST(doc_id AS INTEGER) END AS stt, doc_id / 4 AS pct, 'u' AS link
+    FROM documents""",
+)
+add(
+    "sink_chunked_batches",
+    lambda t: W.sink_chunked_batches(t.orders.select(F.pmod(F.col("o_custkey"), F.lit(8)).alias("bucket"), "o_orderkey"), "bucket", "o_orderkey", span=1000),
+    "",
+    """
+    SELECT o_custkey % 8 AS bucket, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_custkey % 8 ORDER BY o_orderkey) - 1) / 500.0) AS BIGINT) AS batch_id
+    FROM orders""",
+)
 _old = lambda t: t.items.where("idx % 2 = 0").select(F.col("text").alias("key"), F.lit("old").alias("value"), F.lit(0).cast("long").alias("at")).dropDuplicates(["key"])
 _new = lambda t: t.items.where("idx % 3 = 0").select(F.col("text").alias("key"), F.concat(F.lit("v"), F.col("doc_id") * 100000 + F.col("idx")).alias("value"), (F.col("doc_id") * 100000 + F.col("idx")).alias("at"))
 add("sink_upsert", lambda t: W.sink_upsert(_old(t), _new(t), "key", "at"), "items", """WITH n AS (SELECT text AS key, max(doc_id * 100000 + idx) AS "at" FROM items WHERE idx % 3 = 0 GROUP BY text)
@@ -67,7 +102,12 @@ WITH l AS (SELECT 'k' || l_orderkey AS run_id, 'p' || (l_partkey % 10) AS token,
 SELECT * FROM t UNION ALL SELECT run_id, token, min("at") FROM l WHERE "at" > 2 AND NOT EXISTS (SELECT 1 FROM t WHERE t.run_id = l.run_id AND t.token = l.token) GROUP BY run_id, token""")
 _MAGIC = ["FFD8FFE0", "89504E470D0A", "474946383961", "524946460000000057454250", "255044462D", "0000001866747970", "00112233"]
 _head = lambda: F.unhex(F.element_at(F.array(*[F.lit(m) for m in _MAGIC]), (F.col("doc_id") % 7 + 1).cast("int")))
-add("media_kind", lambda t: t.documents.select("doc_id", D.media_kind(F.concat(_head(), F.col("text").cast("binary"))).alias("kind")), "", "SELECT doc_id, ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][doc_id % 7 + 1] AS kind FROM documents")
+add(
+    "media_kind",
+    lambda t: t.documents.select("doc_id", D.media_kind(F.concat(_head(), F.col("text").cast("binary"))).alias("kind")),
+    "",
+    "SELECT doc_id, ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][doc_id % 7 + 1] AS kind FROM documents",
+)
 add("media_part_plan", lambda t: D.media_part_plan(t.documents.select(F.col("doc_id").alias("id"), (F.col("n_chars") * 9000).alias("size"))), "", """
 WITH f AS (SELECT doc_id AS id, n_chars * 9000 AS size, CASE WHEN n_chars * 9000 <= 20971520 THEN greatest(n_chars * 9000, 1) ELSE 4194304 END AS step FROM documents), s AS (SELECT *, unnest(range(0, greatest(CAST(ceil(size / step) AS BIGINT), 1))) AS seq FROM f)
 SELECT id, seq, seq * step AS start, least(step, size - seq * step) AS part_size FROM s""")

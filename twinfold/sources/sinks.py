@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sink_chunked_batches(rows: DataFrame, key: str, order: str, size: int = 500) -> DataFrame:
-    """rows with batch_id, batches of at most `size` within each value of key; number within a hash bucket where there is no natural key."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    return rows.withColumn("batch_id", F.floor(n / size))
+def sink_chunked_batches(rows: DataFrame, key: str, order: str, size: int = 500, span: int = 1_000_000) -> DataFrame:
+    """rows with batch_id, batches of at most `size` within each value of key, in the order of a number.
+
+    Rows are numbered within spans of that number, and the spans' counts (a row each) are summed in order, so that a
+    key which holds a third of all rows is many windows.
+    """
+    spans = rows.withColumn("_span", F.floor(F.col(order) / span))
+    before = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    counts = spans.groupBy(key, "_span").agg(F.count("*").alias("_n")).select(key, "_span", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(key, "_span").orderBy(order)) - 1
+    return spans.withColumn("_own", own).join(counts, [key, "_span"]).withColumn("batch_id", F.floor((F.col("_before") + F.col("_own")) / size)).drop("_span", "_own", "_before")
 
 
 def sink_upsert(table: DataFrame, delta: DataFrame, key: str, order: str) -> DataFrame:
