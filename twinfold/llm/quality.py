@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_pandas
-from .common import materialise, small_side, table
+from .common import beside, free_names, materialise, quoted, small_side, table
 
 #: Common words by language; a document's share of each makes its common-word histogram.
 COMMON_WORDS = {
@@ -62,59 +62,80 @@ def measure_text(text: str | None, vocabulary: dict[bytes, int], of_byte: np.nda
     return len(words), in_words, sum(raw.count(c) for c in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")), len(lines) - len(set(lines)), _repeats(words, width), chars.astype("int64"), common
 
 
-def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns in keep, the base counts and the histograms __chars and __common of every whole text. Null text counts as empty."""
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [_BASE, "__chars array<long>, __common array<long>"])
-    names = [*keep, *[x.split()[0] for x in _BASE.split(", ")], "__chars", "__common"]
+def measured(docs: DataFrame, width: int = 5) -> DataFrame:
+    """docs with its column text replaced by the base counts and the histograms chars and common of every whole text. Null text counts as empty."""
+    keep = [c for c in docs.columns if c != "text"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [_BASE, "chars array<long>, common array<long>"])
+    names = [*[x.split()[0] for x in _BASE.split(", ")], "chars", "common"]
 
     def run(parts):
         vocabulary, of_byte = {w.encode(): i for i, w in enumerate(_VOCABULARY)}, _class_of_byte()
         for part in parts:
-            got = [measure_text(t, vocabulary, of_byte, width) for t in part.pop("__text")]
-            found = pd.DataFrame(got, columns=names[len(keep) :], index=part.index)
-            yield pd.concat([part, found], axis=1)[names]
+            got = [measure_text(t, vocabulary, of_byte, width) for t in part.pop("text")]
+            yield pd.concat([part[keep], pd.DataFrame(got, columns=names, index=part.index)], axis=1)
 
-    return map_pandas(docs.select(*keep, F.col(text).alias("__text")), run, schema)
+    return map_pandas(docs.select(*keep, "text"), run, schema)
 
 
-def _divergence(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of two count histograms; null if one is empty."""
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    shares = lambda a: F.transform(a, lambda x: x / total(a))
-    half = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-    both = F.zip_with(shares(p), shares(q), lambda a, b: half(a, (a + b) / 2) + half(b, (a + b) / 2))
-    return F.sqrt(F.greatest(F.lit(0.0), total(both) / 2))
+def divergence(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distance (base 2, 0 to 1) of each row of counts from the reference's counts; nan if one is empty."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = counts / counts.sum(1, keepdims=True)
+        q = reference / reference.sum()
+        m = (p + q) / 2
+        both = np.where(p > 0, p * np.log2(p / m), 0.0).sum(1) + np.where(q > 0, q * np.log2(q / m), 0.0).sum(1)
+        return np.where((counts.sum(1) > 0) & (reference.sum() > 0), np.sqrt(np.maximum(both / 2, 0.0)), np.nan)
 
 
 def judged(docs: DataFrame, min_words: int = 50, max_chars: float = 0.30, max_common: float = 0.20, slack: float = 1.0, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Base counts, base_failed, both distances and kept for every document.
+    """The columns in keep, then base counts, base_failed, both distances and kept for every document.
 
     The reference of a language is the sum of the histograms of all its documents that pass the base rules and have
-    min_words words: one pre-aggregated row for each of the languages in COMMON_WORDS, so its broadcast is bounded. A
-    document is turned down by the base rules (under 10 words, or over 20 % of its words in repeated windows), or if
-    it has min_words words and its distance to its language is over max_chars (characters) or over max_common +
-    slack / sqrt(words) (common words; sampling noise of a histogram falls with the root of its size). Shorter documents and
-    those of another or no language get no verdict by divergence and stay. Null text: no words, fails. Repeated rows
-    count each. Empty table: empty result. Only the columns in keep come along.
+    min_words words: one pre-aggregated row for each of the languages in COMMON_WORDS, so these rows are bounded and
+    go to the tasks with the function. A document is turned down by the base rules (under 10 words, or over 20 % of
+    its words in repeated windows), or if it has min_words words and its distance to its language is over max_chars
+    (characters) or over max_common + slack / sqrt(words) (common words; sampling noise of a histogram falls with the
+    root of its size). Shorter documents and those of another or no language get no verdict by divergence and stay.
+    Null or empty text: no words, fails. Repeated rows count each; there are no ties. Texts of any length are taken
+    whole. Empty table: empty result. Extra columns don't come along; of kept ones that have a result's name, the
+    result's gets an underscore behind it.
     """
-    rows = materialise(measured(docs.withColumn("__lang", F.col(lang)), doc_id, text, keep=(*keep, "__lang")), "quality").withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
-    rated = (F.col("n_words") >= min_words) & F.col("__lang").isin(*COMMON_WORDS)
+    inner = [f"keep{i}" for i in range(len(keep))]
+    rows = materialise(measured(docs.select(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, inner, strict=True)], F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"))), "quality")
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    rated = (F.col("n_words") >= min_words) & F.col("lang").isin(*COMMON_WORDS)
     sums = lambda c, n: F.array(*[F.sum(F.col(c)[i]) for i in range(n)])
-    reference = rows.where(rated & ~F.col("base_failed")).groupBy("__lang").agg(sums("__chars", len(CLASSES)).alias("__ref_chars"), sums("__common", len(_VOCABULARY) + 1).alias("__ref_common"))
-    far = lambda c, most: F.coalesce(F.col(c) > most, F.lit(False))
-    return (
-        rows.join(F.broadcast(reference), "__lang", "left")
-        .withColumns({"char_distance": F.when(rated, _divergence(F.col("__chars"), F.col("__ref_chars"))), "common_distance": F.when(rated, _divergence(F.col("__common"), F.col("__ref_common")))})
-        .withColumn("kept", ~F.col("base_failed") & ~far("char_distance", max_chars) & ~far("common_distance", max_common + slack / F.sqrt("n_words")))
-        .drop("__lang", "__chars", "__common", "__ref_chars", "__ref_common")
-    )
-
-
-def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of docs that judged() keeps, all columns as they were. What is turned down is few: only its keys are joined."""
-    keyed = docs.withColumns({"__k1": F.xxhash64(F.col(doc_id), F.col(text)), "__k2": F.xxhash64(F.lit("second"), F.col(doc_id), F.col(text))})
-    bad = judged(keyed, doc_id=doc_id, text=text, keep=("__k1", "__k2"), **options).where("not kept").select("__k1", "__k2").distinct()
-    return keyed.join(small_side(materialise(bad, "turned-down")), ["__k1", "__k2"], "left_anti").select(*docs.columns)
+    totals = rows.where(rated & ~failed).groupBy("lang").agg(sums("chars", len(CLASSES)).alias("chars"), sums("common", len(_VOCABULARY) + 1).alias("common")).collect()
+    reference = {r["lang"]: (np.array(r["chars"], dtype=float), np.array(r["common"], dtype=float)) for r in totals}
+    base = [x.split()[0] for x in _BASE.split(", ")]
+
+    def run(parts):
+        for part in parts:
+            far = np.full((2, len(part)), np.nan)
+            words, langs = part["n_words"].to_numpy(), part["lang"].to_numpy()
+            for name, own in reference.items():
+                at = np.flatnonzero((langs == name) & (words >= min_words))
+                for k, c in enumerate(("chars", "common")):
+                    if len(at):
+                        far[k, at] = divergence(np.stack(part[c].to_numpy()[at]).astype(float), own[k])
+            bad = (words < 10) | (100 * part["n_repeat_words"].to_numpy() > 20 * words)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                kept = ~bad & ~(far[0] > max_chars) & ~(far[1] > max_common + slack / np.sqrt(np.maximum(words, 1)))
+            yield part[[*inner, *base]].assign(base_failed=bad, char_distance=far[0], common_distance=far[1], kept=kept)
+
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*inner).schema]
+    found = map_pandas(rows, run, ", ".join([*fields, _BASE, "base_failed boolean, char_distance double, common_distance double, kept boolean"]))
+    results = [*base, "base_failed", "char_distance", "common_distance", "kept"]
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, inner, strict=True)], *[F.col(r).alias(n) for r, n in zip(results, beside(list(keep), results), strict=True)])
+
+
+def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", **options) -> DataFrame:
+    """The rows of docs that judged() keeps, all columns as they were, whatever their names. What is turned down is few: only its keys are joined."""
+    key = [F.xxhash64(F.col(quoted(doc_id)), F.col(quoted(text))), F.xxhash64(F.lit("second"), F.col(quoted(doc_id)), F.col(quoted(text)))]
+    keyed = docs.select(key[0].alias("k1"), key[1].alias("k2"), F.col(quoted(text)).alias("text"), F.col(quoted(lang)).alias("lang"))
+    k1, k2 = free_names(docs, "k1", "k2")
+    bad = judged(keyed, keep=("k1", "k2"), **options).where("not kept").select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct()
+    return docs.withColumns({k1: key[0], k2: key[1]}).join(small_side(materialise(bad, "turned-down")), [k1, k2], "left_anti").select(*map(quoted, docs.columns))
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
