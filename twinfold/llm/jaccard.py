@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with a forest of count-vector R-trees."""
+"""N-gram Jaccard join with count-vector R-trees."""
 
 from __future__ import annotations
 
@@ -8,11 +8,11 @@ from itertools import accumulate, chain
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import map_pandas
-from .common import materialise, small_side, table
+from .common import free_names, materialise, quoted, small_side, table
 
 GROUPS = 256
 FOLDED = 32
@@ -100,48 +100,62 @@ def keys(hashed: np.ndarray, p: int, q: int) -> np.ndarray:
 
 
 class RTree:
-    """Count vectors packed into boxes: leaves of `leaf` points split at the median of their sizes while these differ
-    by a tenth, then of their widest coordinate; halves joined upwards.
+    """Count vectors packed into boxes of several levels: FAN points a leaf, FAN boxes a box, up to one root.
 
-    The overlap of a query with any point of a box is at most the sum over coordinates of the smaller of the query's
-    count and the box's upper corner. A box is left if that can't reach what the sizes ask for, if its sizes are out
-    of reach, or if all its points are in the query's own component already. Points of a leaf are bounded by their
-    folded counts first.
+    Points are put in order by halving at the median of their sizes while these differ by a tenth, then of their widest
+    coordinate, until FAN are left. The overlap of a query with any point of a box is at most the sum over coordinates
+    of the smaller of the query's count and the box's upper corner; a box is left if that can't reach what the sizes
+    ask for, if its sizes are out of reach, or if all its points are in the query's own component already. Each bound
+    is taken over folded counts first. All queries go down the levels together.
     """
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray, leaf: int = 64):
-        self.points, self.sizes, self.parts, self.boxes = points, sizes, parts, []
-        self.folded = _folded(points)
-        self._pack(np.arange(len(points)), leaf)
-
-    def _pack(self, rows: np.ndarray, leaf: int) -> int:
-        at = len(self.boxes)
-        self.boxes.append(None)
-        own, sizes = self.points[rows], self.sizes[rows]
-        inner: tuple = (rows,)
-        if len(rows) > leaf:
-            by = sizes if 10 * sizes.max() > 11 * sizes.min() else own[:, np.argmax(own.max(0) - own.min(0))]
-            rows = rows[np.argsort(by, kind="stable")]
-            inner = (self._pack(rows[: len(rows) // 2], leaf), self._pack(rows[len(rows) // 2 :], leaf))
-        self.boxes[at] = (own.max(0), sizes.min(), sizes.max(), self.parts[rows].min(), self.parts[rows].max(), inner)
-        return at
-
-    def near(self, point: np.ndarray, size: int, part: int, p: int, q: int) -> np.ndarray:
-        """Rows of other components whose bound allows p/q of the union in common."""
-        todo, found, folded = [0], [], _folded(point[None])[0]
+    FAN = 8
+    AT_ONCE = 4096
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray):
+        folded = _folded(points)
+        self.rows = self._order(folded, sizes)
+        self.levels = [(points[self.rows], folded[self.rows], sizes[self.rows], sizes[self.rows], parts[self.rows], parts[self.rows])]
+        while len(self.levels) == 1 or len(self.levels[-1][0]) > 1:
+            low = self.levels[-1]
+            starts = np.arange(0, len(low[0]), self.FAN)
+            self.levels.append(tuple(f.reduceat(x, starts, axis=0) for f, x in zip((np.maximum, np.maximum, np.minimum, np.maximum, np.minimum, np.maximum), low, strict=True)))
+        self.tested = 0
+
+    def _order(self, folded: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        todo, done = [np.arange(len(sizes))], []
         while todo:
-            upper, least, most, low, high, inner = self.boxes[todo.pop()]
-            if low == high == part or q * size < p * least or q * most < p * size or (p + q) * np.minimum(point, upper).sum() < p * (size + least):
+            rows = todo.pop()
+            if len(rows) <= self.FAN:
+                done.append(rows)
                 continue
-            if len(inner) == 2:
-                todo.extend(inner)
-                continue
-            rows = inner[0]
-            rows = rows[(self.parts[rows] != part) & (q * size >= p * self.sizes[rows]) & (q * self.sizes[rows] >= p * size)]
-            for mine, others in ((folded, self.folded), (point, self.points)):
-                rows = rows[(p + q) * np.minimum(mine, others[rows]).sum(1) >= p * (size + self.sizes[rows])]
-            found.append(rows)
-        return np.concatenate(found) if found else np.array([], dtype=np.int64)
+            own, n = folded[rows], sizes[rows]
+            by = n if 10 * n.max() > 11 * n.min() else own[:, np.argmax(own.max(0) - own.min(0))]
+            rows = rows[np.argsort(by, kind="stable")]
+            half = -(-len(rows) // 2 // self.FAN) * self.FAN  # full leaves, so that no box reaches across a cut
+            todo += [rows[half:], rows[:half]]
+        return np.concatenate(done)
+
+    def near(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray | None, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) of all pairs whose bound allows p/q of the union in common; with parts, of different components only."""
+        folded = _folded(points)
+        i, at = np.arange(len(points)), np.zeros(len(points), dtype=np.int64)
+        for depth in range(len(self.levels) - 1, -1, -1):
+            upper, upper_folded, least, most, low, high = self.levels[depth]
+            self.tested += len(i) if depth else 0
+            fits = (q * sizes[i] >= p * least[at]) & (q * most[at] >= p * sizes[i])
+            if parts is not None:
+                fits &= (low[at] != parts[i]) | (high[at] != parts[i])
+            i, at = i[fits], at[fits]
+            for mine, theirs in ((folded, upper_folded), (points, upper)):
+                fits = [(p + q) * np.minimum(mine[i[k : k + self.AT_ONCE]], theirs[at[k : k + self.AT_ONCE]]).sum(1) >= p * (sizes[i[k : k + self.AT_ONCE]] + least[at[k : k + self.AT_ONCE]]) for k in range(0, len(i), self.AT_ONCE)]
+                fits = np.concatenate(fits) if fits else np.zeros(0, dtype=bool)
+                i, at = i[fits], at[fits]
+            if depth:  # on to the children
+                i, at = np.repeat(i, self.FAN), (at[:, None] * self.FAN + np.arange(self.FAN)).ravel()
+                there = at < len(self.levels[depth - 1][0])
+                i, at = i[there], at[there]
+        return i, self.rows[at]
 
 
 def _features(rows: DataFrame, width: int, p: int, q: int) -> DataFrame:
@@ -168,20 +182,6 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return map_pandas(texts.select("node", "text"), run, "node long, shingles array<long>")
 
 
-def _bounded(pairs: DataFrame, nodes: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs (x, y) whose summed coordinate minima can reach the threshold."""
-    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("point").alias(f"p_{s}"))
-
-    def run(parts):
-        for part in parts:
-            if len(part):
-                x, y = _points(part["p_x"]), _points(part["p_y"])
-                part = part[(p + q) * np.minimum(x, y).sum(1) >= p * (part["n_x"] + part["n_y"]).to_numpy()]
-            yield part[["x", "y"]]
-
-    return map_pandas(pairs.join(side("x"), "x").join(side("y"), "y").where(F.least("n_x", "n_y") * q >= F.greatest("n_x", "n_y") * p), run, "x long, y long")
-
-
 def fine_counts(hashed: np.ndarray) -> np.ndarray:
     """The point of a set in as many groups as it takes to hold under eight shingles each, in one byte each; 255 stands for any larger count."""
     groups = max(GROUPS, 1 << (len(hashed) // 8).bit_length())
@@ -196,21 +196,24 @@ def fine_overlap(x: bytes, y: bytes) -> int:
     return int(np.minimum(a, b).sum())
 
 
-def _refined(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs that points of a size fit for their sets still allow. Long texts fill GROUPS groups evenly, so that the
-    points of any two look alike; a fine point is a thirtieth of the set that the exact test would move for each pair."""
-
-    def points(parts):
+def _fine_points(sets: DataFrame) -> DataFrame:
+    def run(parts):
         for part in parts:
             got = [np.asarray(x).view(np.uint64) for x in part["shingles"]]
             yield pd.DataFrame({"node": part["node"], "n": [len(h) for h in got], "fine": [fine_counts(h).tobytes() for h in got]})
 
+    return materialise(map_pandas(sets.select("node", "shingles"), run, "node long, n long, fine binary"), "fine-points")
+
+
+def _refined(pairs: DataFrame, fine: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs that points of a size fit for their sets still allow. Long texts fill GROUPS groups evenly, so that the
+    points of any two look alike; a fine point is a thirtieth of the set that the exact test would move for each pair."""
+
     def run(parts):
         for part in parts:
             fits = [(p + q) * fine_overlap(x, y) >= p * t for x, y, t in zip(part["f_x"], part["f_y"], part["n_x"] + part["n_y"], strict=True)]
             yield part.loc[np.array(fits, dtype=bool), ["x", "y"]]
 
-    fine = materialise(map_pandas(sets.select("node", "shingles"), points, "node long, n long, fine binary"), "fine-points")
     side = lambda s: fine.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("fine").alias(f"f_{s}"))
     return map_pandas(pairs.join(side("x"), "x").join(side("y"), "y"), run, "x long, y long")
 
@@ -222,11 +225,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", common.alias("c"), (F.size("s_x") + F.size("s_y")).alias("t")).where(q * F.col("c") >= p * (F.col("t") - F.col("c"))).select("x", "y")
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, part): the least node each linked node reaches. Rounds of least neighbour and shortcut; each is written, none is collected."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, part): the least node each linked node reaches. Rounds of least neighbour and shortcut, as many as the logarithm of the longest path; each is written, none is collected."""
     both = materialise(links.select("x", "y").union(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
     parts = materialise(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("part")), "parts")
-    for _ in range(max_rounds):
+    while True:
         around = both.join(parts, both.y == parts.node).groupBy("x").agg(F.min("part").alias("m"))
         stepped = parts.join(around, parts.node == around.x).select("node", F.col("part").alias("old"), F.least("part", "m").alias("part"))
         far = parts.select(F.col("node").alias("part"), F.col("part").alias("further"))
@@ -235,80 +238,129 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         parts = parts_next.select("node", "part")
         if not changed:
             return parts
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def _forest(members: DataFrame, nodes: DataFrame, parts: DataFrame, p: int, q: int, block: int = 512) -> DataFrame:
-    """Pairs from keys whose members are in several components: an R-tree for each block of a key's points, asked by the others.
+def _by_group(batches, columns: list[str], solve):
+    """Runs solve on the rows of each group (rows with equal columns, which come one after the other), however batches cut them."""
+    rest = None
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            rest = batch if rest is None or not len(rest) else pd.concat([rest, batch], ignore_index=True)
+        if rest is None or not len(rest):
+            continue
+        keys = [rest[c].to_numpy() for c in columns]
+        new = np.zeros(len(rest) - 1, dtype=bool)
+        for k in keys:
+            new |= k[1:] != k[:-1]
+        ends = np.flatnonzero(new) + 1
+        if batch is None:
+            ends = np.append(ends, len(rest))
+        if len(ends):
+            points = _points(rest["point"].iloc[: ends[-1]])
+            values = {c: rest[c].to_numpy() for c in rest.columns if c not in ("point", "key")}
+            found = [solve(points[i:j], {c: v[i:j] for c, v in values.items()}) for i, j in zip([0, *ends[:-1]], ends, strict=True) if j - i > 1]
+            rest = rest.iloc[ends[-1] :].reset_index(drop=True)
+            found = [x for x in found if len(x)]
+            if found:
+                yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["x", "y"])
+
+
+def _regions(nodes: DataFrame, block: int) -> DataFrame:
+    """(key, size, block, node, n): the nodes that share a key, a region of space each.
 
-    members: key, node, without keys of fewer than three nodes, whose only pair was tried before. Of keys with the very
-    same nodes (a passage that the same documents share fills many cells) one is enough. The largest number of
-    queries is spared by not asking for the points of one component (the one with the least number): pairs inside it
-    need no test, and the others ask about it. A key's points are dealt into blocks, and each query goes to all of
-    them, so that no task holds a key whole.
+    Of keys with the very same nodes (a passage that the same documents share fills many cells) one is enough. A
+    crowded region is dealt by size into blocks of about `block` nodes, from counts by size, so that no task and no
+    window holds it whole.
     """
-    same = members.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"), F.count("*").alias("size"))
-    once = same.groupBy("s1", "s2", "size").agg(F.min("key").alias("key")).select("key")
-    members = materialise(members.join(once, "key", "left_semi"), "forest-members")
-    placed = members.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    mixed = placed.groupBy("key").agg(F.min("part").alias("main"), F.max("part").alias("other"), F.count("*").alias("size")).where("main < other").select("key", "main", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    rows = placed.join(mixed, "key").join(nodes.select("node", "n", "point"), "node")
-    own = rows.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "asks": F.lit(False)})
-    asking = rows.where("part <> main").withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "asks": F.lit(True)})
-
-    def solve(points, asks, sizes, part, node) -> np.ndarray:
-        held, asking = np.flatnonzero(~asks), np.flatnonzero(asks)
-        if len(held) <= 64:  # the tree would be a leaf or few: all queries at once, sizes and components first
-            i, j = np.nonzero((part[asking][:, None] != part[held]) & (q * sizes[asking][:, None] >= p * sizes[held]) & (q * sizes[held] >= p * sizes[asking][:, None]))
-            i, j = asking[i], held[j]
-            for level in (_folded(points), points):
-                fits = [(p + q) * np.minimum(level[i[k : k + 4096]], level[j[k : k + 4096]]).sum(1) >= p * (sizes[i[k : k + 4096]] + sizes[j[k : k + 4096]]) for k in range(0, len(i), 4096)]
-                fits = np.concatenate(fits) if fits else np.zeros(0, dtype=bool)
-                i, j = i[fits], j[fits]
-            near, i = node[j], node[i]
-            return np.column_stack([np.minimum(near, i), np.maximum(near, i)])
-        tree, out = RTree(points[held], sizes[held], part[held]), []
-        for i in asking:
-            near = node[held[tree.near(points[i], sizes[i], part[i], p, q)]]
-            out.append(np.column_stack([np.minimum(near, node[i]), np.maximum(near, node[i])]))
-        return np.unique(np.concatenate(out), axis=0)
-
-    def run(batches):
-        rest = None
-        for batch in chain(batches, [None]):
-            if batch is not None:
-                rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if rest is None or not len(rest):
+    # one exchange by key, written once and read for both the grouping and the join back
+    shown = nodes.select("node", "n", F.explode("keys").alias("key")).repartition("key")
+    several = shown.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2")).where("size > 1")
+    once = several.groupBy("s1", "s2", "size").agg(F.min("key").alias("key")).select("key", "size")
+    members = materialise(shown.join(once, "key").select("key", "size", "node", "n"), "members")
+    by_size = members.where(F.col("size") > block).groupBy("key", "n").agg(F.count("*").alias("c"))
+    in_order = Window.partitionBy("key").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    places = by_size.select("key", "n", F.floor(F.coalesce(F.sum("c").over(in_order), F.lit(0)) / block).alias("base"), F.ceil(F.col("c") / block).alias("ways"))
+    crowded = members.where(F.col("size") > block).join(small_side(materialise(places, "region-sizes")), ["key", "n"])
+    dealt = crowded.select("key", "size", (F.col("base") + F.pmod(F.xxhash64("node"), F.col("ways"))).cast("long").alias("block"), "node", "n")
+    return materialise(members.where(F.col("size") <= block).select("key", "size", F.lit(0).cast("long").alias("block"), "node", "n").unionByName(dealt), "regions")
+
+
+def _seeded(regions: DataFrame, nodes: DataFrame, p: int, q: int, boxes=None) -> DataFrame:
+    """Pairs of the R-tree of each block of a region, fewer than it has nodes: the least node not reached yet asks the
+    tree for all that the bound allows, until every node was reached."""
+
+    def solve(points, v):
+        order = np.argsort(v["node"], kind="stable")
+        points, sizes, node = points[order], v["n"][order], v["node"][order]
+        tree, reached, out = RTree(points, sizes, np.zeros(len(node), dtype=np.int64)), np.zeros(len(node), dtype=bool), []
+        for i in range(len(node)):
+            if not reached[i]:
+                _, near = tree.near(points[i : i + 1], sizes[i : i + 1], None, p, q)
+                near = near[~reached[near] & (near != i)]
+                reached[near] = reached[i] = True
+                out.append(np.column_stack([np.full(len(near), node[i]), node[near]]))
+        if boxes is not None:
+            boxes.add(tree.tested)
+        return np.concatenate(out)
+
+    dealt = regions.join(nodes.select("node", "point"), "node").select("key", "block", "node", "n", "point").repartition("key", "block").sortWithinPartitions("key", "block")
+    return map_pandas(dealt, lambda batches: _by_group(batches, ["key", "block"], solve), "x long, y long").distinct()
+
+
+def _forest(regions: DataFrame, nodes: DataFrame, parts: DataFrame, p: int, q: int, boxes=None) -> DataFrame:
+    """Pairs across components that the bound allows, from regions whose nodes are in several components.
+
+    Blocks of a region meet two by two where their sizes can be partners', so a task holds two blocks at most, however
+    crowded the region. Nodes of the region's least component aren't asked about: pairs inside it need no test, and
+    the others ask about it.
+    """
+    placed = regions.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    mixed = placed.groupBy("key").agg(F.min("part").alias("main"), F.max("part").alias("other")).where("main < other").select("key", "main")
+    rows = materialise(placed.join(mixed, "key"), "forest-members")
+    held = rows.groupBy("key", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    meets = (F.col("a.block") <= F.col("b.block")) & (F.col("a.most") * q >= F.col("b.least") * p) & (F.col("b.most") * q >= F.col("a.least") * p)
+    pairs = held.alias("a").join(held.alias("b"), "key").where(meets).select("key", F.col("a.block").alias("one"), F.col("b.block").alias("two"))
+    sides = pairs.select("key", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    dealt = rows.join(sides, ["key", "block"]).join(nodes.select("node", "point"), "node").select("key", "one", "two", "block", "main", "node", "n", "part", "point")
+
+    def solve(points, v):
+        out = []
+        one, two = v["block"] == v["one"], v["block"] == v["two"]
+        for held_, asking in ((one, two), (two, one)) if (one != two).any() else ((one, one),):
+            asks = np.flatnonzero(asking & (v["part"] != v["main"]))
+            held_ = np.flatnonzero(held_)
+            if not len(asks) or not len(held_):
                 continue
-            key, block, asks, sizes, part, node = (rest[c].to_numpy() for c in ("key", "block", "asks", "n", "part", "node"))
-            points = _points(rest["point"])
-            ends = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
-            if batch is None:
-                ends = np.append(ends, len(rest))
-            found = [solve(points[a:b], asks[a:b], sizes[a:b], part[a:b], node[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=False) if 0 < asks[a:b].sum() < b - a]
-            if len(ends):
-                rest = rest.iloc[ends[-1] :].reset_index(drop=True)
-            if found:
-                yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["x", "y"])
+            tree = RTree(points[held_], v["n"][held_], v["part"][held_])
+            for at in range(0, len(asks), 512):
+                some = asks[at : at + 512]
+                i, j = tree.near(points[some], v["n"][some], v["part"][some], p, q)
+                x, y = v["node"][some[i]], v["node"][held_[j]]
+                out.append(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0))
+            if boxes is not None:
+                boxes.add(tree.tested)
+        return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
 
-    dealt = own.unionByName(asking).select("key", "block", "asks", "node", "part", "n", "point").repartition("key", "block").sortWithinPartitions("key", "block")
-    return map_pandas(dealt, run, "x long, y long").distinct()
+    ordered = dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+    return map_pandas(ordered, lambda batches: _by_group(batches, ["key", "one", "two"], solve), "x long, y long").distinct()
 
 
-def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id: str = "doc_id", text: str = "text", block: int = 4096, boxes=None) -> DataFrame:
     """One row a document: doc_id, k1 and k2 (128-bit key of doc_id and text), n_shingles, component_id, part (a number of the component, null without words).
 
     Documents link when they share p/q of the union of their word shingles; component_id is the least doc_id reachable.
     1. Equal sets become one node (their 128-bit hash), however many copies there are.
-    2. Shingles are hashed into groups. Nodes that agree on a whole cell of groups meet under its key (see keys());
-       each meets only the key's least node, so a key with k nodes gives k - 1 pairs. Summed minima of the count
-       vectors bound the overlap, exact intersection confirms, and the links give components.
-    3. Keys whose nodes are in several components get a forest of R-trees over their count vectors, which finds the
-       pairs across components that the bound allows; finer points bound them again, exact intersection confirms, and
-       components merge. All pairs
-       under a key are then linked, in one component, or ruled out by the bound or the exact test.
+    2. Shingles are hashed into groups; a node's counts by group are its point. Nodes that agree on a whole cell of
+       shingles share a region (see keys()), and partners share one at least.
+    3. The points of each region are indexed in an R-tree, which yields fewer pairs than the region has nodes; finer
+       points bound them again, exact intersection confirms, and the links give components.
+    4. Regions whose nodes are in several components are asked again, for all pairs across components that the bound
+       allows. These are bounded and confirmed too, and components merge. All pairs of a region are then linked, in one
+       component, or ruled out by a bound or the exact test.
     Null text counts as empty; documents without words link with nothing and are their own component. Null ids don't
-    count as least unless a component has no other. Repeated rows have equal sets. Only these columns come back.
+    count as least unless a component has no other. Repeated rows have equal sets, ties of ids are one id. Texts of any
+    length are taken whole. An empty table gives an empty result. Only these columns come back, so extra columns can't
+    clash. boxes: an accumulator for the number of tree boxes tested.
     """
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("k1"), F.xxhash64(F.lit("second"), F.col(doc_id), F.col(text)).alias("k2"), F.col(text).alias("text"))
     rows = materialise(_features(keyed.withColumn("row", F.monotonically_increasing_id()), width, p, q), "shingle-keys")
@@ -317,18 +369,16 @@ def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id:
     sets_seen = materialise(sets_seen, "sets")
     copies = materialise(filled.select("row", "a", "b").join(sets_seen.select("a", "b", "node"), ["a", "b"]).where("row <> node").select("row"), "copies")
     nodes = filled.join(small_side(copies), "row", "left_anti").select(F.col("row").alias("node"), "k1", "k2", "n", "point", "keys")
-    # one exchange by key, written once and read for both the grouping and the join back
-    shown = nodes.select("node", F.explode("keys").alias("key")).repartition("key")
-    several = shown.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("size")).where("first < last")
-    members = materialise(shown.join(several, "key").select("key", "node", "first", "size"), "members")
-    tried = _bounded(members.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct(), nodes, p, q)
-    tried = materialise(tried, "tried")
-    wanted = materialise(members.where("size > 2").select("node").union(tried.select("x")).union(tried.select("y")).distinct().join(nodes.select("node", "k1", "k2"), "node"), "wanted")
+    regions = _regions(nodes, block)
+    tried = materialise(_seeded(regions, nodes, p, q, boxes), "tried")
+    wanted = regions.where("size > 2").select("node").union(tried.select("x")).union(tried.select("y")).distinct()
+    wanted = materialise(wanted.join(nodes.select("node", "k1", "k2"), "node"), "wanted")
     sets = materialise(_sets(keyed.join(small_side(wanted), ["k1", "k2"]).dropDuplicates(["node"]), width), "shingle-sets")
-    links = materialise(_linked(tried, sets, p, q), "star-links")
+    fine = _fine_points(sets)
+    confirmed = lambda pairs, name: materialise(_linked(materialise(_refined(pairs, fine, p, q), "fine-pairs"), sets, p, q), name)
+    links = confirmed(tried, "seed-links")
     parts = components(links)
-    more = _forest(members.where("size > 2").select("key", "node"), nodes, parts, p, q)
-    links = links.union(materialise(_linked(materialise(_refined(materialise(more, "forest-pairs"), sets, p, q), "fine-pairs"), sets, p, q), "forest-links"))
+    links = links.union(confirmed(materialise(_forest(regions.where("size > 2"), nodes, parts, p, q, boxes), "forest-pairs"), "forest-links"))
     parts = components(links)
     least = parts.join(sets_seen, "node").groupBy("part").agg(F.min("least_id").alias("component_id"))
     found = sets_seen.join(parts.join(least, "part").select("node", "part", "component_id"), "node", "left").select("a", "b", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("part", "node").alias("part"))
@@ -339,12 +389,20 @@ def classes(docs: DataFrame, width: int = 5, p: int = 80, q: int = 100, doc_id:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs without near copies: of each component one document stays, that of its least doc_id (a null only where it has no other).
 
-    Rows alike in doc_id and text count as one document, and so do those without words; all documents without words stay."""
+    Rows alike in doc_id and text count as one document, and so do those without words; all documents without words
+    stay. Columns as in docs, whatever their names. Only the keys of what goes, and rows that stand more than once,
+    are joined or shuffled: most documents pass straight through.
+    """
     found = materialise(classes(docs, doc_id=doc_id, text=text, **options), "classes")
     first = found.where("part is not null and doc_id <=> component_id").groupBy("part").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2")
-    kept = first.union(found.where("part is null").select("k1", "k2").distinct()).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
-    keys_of = {"__k1": F.xxhash64(F.col(doc_id), F.col(text)), "__k2": F.xxhash64(F.lit("second"), F.col(doc_id), F.col(text))}
-    return docs.withColumns(keys_of).join(kept.hint("shuffle_hash"), ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+    kept = first.union(found.where("part is null").select("k1", "k2").distinct()).withColumn("stays", F.lit(True))
+    judged = materialise(found.groupBy("k1", "k2").agg(F.count("*").alias("times")).join(kept, ["k1", "k2"], "left"), "judged")
+    k1, k2 = free_names(docs, "k1", "k2")
+    named = lambda df: small_side(materialise(df.select(F.col("k1").alias(k1), F.col("k2").alias(k2)), "keys"))
+    keyed = docs.withColumns({k1: F.xxhash64(F.col(doc_id), F.col(text)), k2: F.xxhash64(F.lit("second"), F.col(doc_id), F.col(text))})
+    once = keyed.join(named(judged.where("stays is null or times > 1")), [k1, k2], "left_anti")
+    again = keyed.join(named(judged.where("stays and times > 1")), [k1, k2], "left_semi").dropDuplicates([k1, k2])
+    return once.select(*map(quoted, docs.columns)).union(again.select(*map(quoted, docs.columns)))
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
