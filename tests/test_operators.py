@@ -15,6 +15,8 @@ from twinfold.operators import links as L
 from twinfold.operators import translate as R
 from twinfold.operators import tree as O
 from twinfold.sources import landing as D
+from twinfold.sources import sinks as W
+from twinfold.streaming import streams as Z
 
 BLOCK = "doc_id long, idx int, block_id string, block_type int, content string, url string"
 
@@ -31,9 +33,100 @@ def test_change_events(spark):
     assert [r["record_id"] for r in C.crawl_deleted(nodes, state).collect()] == ["4"]
 
 
+def md5(*parts):
+    return hashlib.md5("".join(parts).encode()).hexdigest()
+
+
 def test_block_hash_layout(spark):
-    row = spark.range(1).select(B.block_hash(F.lit(2), F.lit("Hello"), F.lit("")).alias("h")).first()
-    assert row["h"] == "fd898344549b8502328dbb45fa7ee223" == hashlib.md5(b"2\x01text\x02Hello\x00\x03").hexdigest()
+    element = lambda kind, content="", url="", token="", title="": F.struct(*[F.lit(v).alias(n) for n, v in zip(("kind", "content", "url", "token", "title"), (kind, content, url, token, title), strict=True)])
+    cases = {
+        "run": (2, [element("text_run", "Hello")], md5("2\x01text\x02Hello\x00\x03")),
+        "two": (12, [element("text_run", "a", "u"), element("text_run", "b")], md5("12\x01bullet\x02a\x00u\x00b\x00\x03")),
+        "doc": (2, [element("mention_doc", "x", "u", "k", "t"), element("equation", "e"), element("mention_user", "m")], md5("2\x01text\x02k\x00u\x00t\x03")),
+        "none": (27, [element("text_run", "a")], md5("27\x01")),
+    }
+    for kind, elements, want in cases.values():
+        assert spark.range(1).select(B.block_hash(F.lit(kind), F.array(*elements)).alias("h")).first()["h"] == want
+    assert cases["run"][2] == "fd898344549b8502328dbb45fa7ee223"
+
+
+CODES = {
+    99991400: "rate_limit", 230001: "rate_limit", 131009: "lock", 1254606: "lock", 1770001: "lock", 4000080: "lock", 99991663: "auth", 99991664: "auth", 99991665: "auth", 1061045: "auth",
+    131005: "not_found", 131008: "not_found", 1770003: "not_found", 1770006: "not_found", 131006: "permission", 1770032: "permission", 1254030: "permission", 1254040: "permission",
+    1254045: "schema", 1254046: "schema", 1254050: "schema", 131001: "server", 230002: "server", 800004135: "server", 800014300: "server",
+    429: "rate_limit", 500: "server", 599: "server", 401: "permission", 403: "permission", 404: "not_found", 600: "unknown", 99991661: "unknown", 0: "unknown", None: "unknown",
+}
+
+
+def test_every_code(spark):
+    rows = spark.createDataFrame([(c,) for c in CODES], "code long").select("code", A.classify_code(F.col("code")).alias("c")).collect()
+    assert {r["code"]: r["c"] for r in rows} == CODES
+
+
+@pytest.mark.parametrize(("code", "message", "status", "want"), [
+    (None, "Insufficient_Quota", None, "quota"), (0, "out of credit", 404, "quota"), (0, "Rate Limit hit", None, "rate_limit"), (0, "rate_limit: quota", None, "quota"), (0, "credit card", None, "unknown"),
+    (0, "Connection reset by peer", None, "network"), (0, "connection lost", None, "unknown"), (0, "unexpected EOF", None, "network"), (0, "TLS handshake failed", 500, "network"), (0, "too many requests", 429, "rate_limit"),
+    (1254045, "timeout", 500, "schema"), (7, "quota", 429, "unknown"), (None, None, 403, "permission"), (None, "", None, "unknown"),
+])
+def test_messages(spark, code, message, status, want):
+    row = spark.createDataFrame([(code, message, status)], "code long, message string, status long")
+    assert row.select(A.classify_message(F.col("code"), F.col("message"), F.col("status")).alias("c")).first()["c"] == want
+
+
+@pytest.mark.parametrize(("category", "waits", "retried"), [
+    ("rate_limit", [2, 4, 8, 16, 32, 60], True), ("network", [1, 2, 4, 8, 8, 8], True), ("lock", [5, 10, 20, 40, 60, 60], True), ("quota", [30, 60, 120, 240, 480, 600], True), ("server", [2, 4, 8, 16, 30, 30], True),
+    ("auth", [0] * 6, True), ("unknown", [1, 2, 4, 8, 16, 32], True), ("schema", [1, 2, 4, 8, 16, 32], False), ("permission", [1, 2, 4, 8, 16, 32], False), ("not_found", [1, 2, 4, 8, 16, 32], False),
+])
+def test_backoff(spark, category, waits, retried):
+    rows = spark.range(6).select("id", A.retry_advice(F.lit(category), F.col("id")).alias("a")).orderBy("id").collect()
+    assert [r["a"]["seconds"] for r in rows] == waits and {r["a"]["retryable"] for r in rows} == {retried}
+
+
+def test_legacy_children(spark):
+    body = '{"a": ["x", 42, true, {"y": 1}, "42", null], "b": {"p": 2, "q": -1, "r": "0", "s": 1.5}, "c": "no", "d": []}'
+    got = O.children_index_legacy(spark.createDataFrame([(body,), ("[1]",), ("bad",), (None,)], "body string")).orderBy("parent", "pos").collect()
+    assert [(r["parent"], r["child"], r["pos"]) for r in got] == [("a", "x", 0), ("a", "42", 1), ("b", "q", 0), ("b", "s", 1), ("b", "p", 2)]
+
+
+def test_fixed_elements_stay_whole(spark):
+    kind = "array<struct<kind:string,content:string,url:string,token:string,title:string,style:map<string,string>>>"
+    run = ("text_run", "hi", "https://source.example/wiki/A", "", "", {"bold": "true"})
+    rows = [(1, 0, [run, ("mention_user", "u", "https://source.example/wiki/A", None, None, None), ("mention_doc", None, "https://source.example/wiki/A", "k", "t", None)]), (1, 1, []), (1, 2, [("equation", "e", None, None, None, None)])]
+    got = L.fix_elements(spark.createDataFrame(rows, f"doc_id long, idx int, elements {kind}"), spark.createDataFrame([("A", "M")], "src string, dst string")).orderBy("idx").collect()
+    new = "https://target.example/wiki/M"
+    assert [tuple(e) for e in got[0]["elements"]] == [(*run[:2], new, *run[3:]), rows[0][2][1], (*rows[0][2][2][:2], new, "k", "t", None)] and got[0]["n_replaced"] == 2
+    assert [(list(map(tuple, r["elements"])), r["n_replaced"]) for r in got[1:]] == [([], 0), (rows[2][2], 0)]
+
+
+def test_the_first_of_the_delta_is_inserted(spark):
+    table, delta = (spark.createDataFrame(r, "k string, v string, at long") for r in ([("a", "old", 0)], [("b", "late", 5), ("b", "early", 2), ("a", "new", 1)]))
+    assert sorted(tuple(r) for r in W.sink_insert_ignore(table, delta, ["k"], "at").collect()) == [("a", "old", 0), ("b", "early", 2)]
+
+
+def test_cut_logs_fold_as_whole_ones(spark):
+    """Random logs: pieces folded apart give the states of one fold of the whole log, whatever the blocks."""
+    import random
+
+    random.seed(4)
+    rows, now = [], 0
+    for i in range(3000):
+        now += random.choice([1, 1, 1, 5, 40])
+        rows.append(("r", i, now, random.random() < (0.9 if i // 100 % 2 else 0.3)))
+    calls = spark.createDataFrame(rows, "resource string, call_id long, s long, ok boolean").withColumn("ts", F.timestamp_seconds("s"))
+    want = A.outage_fold([s * 1_000_000 for _, _, s, _ in rows], [ok for *_, ok in rows], {"state": "closed", "bad": 0, "good": 0, "since": 0})
+    got = {r["call_id"]: (r["state"], r["suppressed"]) for r in A.outage_state(calls).collect()}
+    assert [got[i] for i in range(3000)] == want
+    few = A.overlapped(A.numbered(calls, 60), 20, 64)
+    assert few.where("_mine").count() == 3000 and few.groupBy("_block").count().agg(F.max("count")).first()[0] <= 84
+
+
+def test_the_cache_holds_the_newest_of_each_key(spark, tmp_path):
+    rows = [[("a", "1", 1), ("b", "1", 1)], [("a", "2", 2), ("a", "3", 3)], [("b", "0", 0)]]
+    for i, batch in enumerate(rows):
+        Z.newest(spark.createDataFrame(batch, "key string, translated string, at long")).write.parquet(f"{tmp_path}/cache/batch={i}")
+    Z.compact(spark, f"{tmp_path}/cache", f"{tmp_path}/small")
+    for cache in ("cache", "small"):
+        assert sorted(tuple(r) for r in Z.cached(spark, f"{tmp_path}/{cache}").collect()) == [("a", "3", 3), ("b", "1", 1)]
 
 
 @pytest.mark.parametrize("source, target, want", [([], [], {}), (["a", "b"], ["a"], {"keep": 1, "append": 1}), (["a"], ["a", "b"], {"keep": 1, "delete": 1}), ([str(i) for i in range(100)], [str(i) if i % 20 else "edited" for i in range(100)], {"keep": 95, "replace": 5})])

@@ -17,7 +17,7 @@ def catalog_of(df: DataFrame) -> DataFrame:
 
 def catalog_of_records(rows: DataFrame, column: str) -> DataFrame:
     """(name, kind, n) of the fields that landed JSON records really hold, counted over all rows; a null has the kind void."""
-    fields = rows.select(F.explode(F.try_parse_json(column).cast("map<string,variant>")).alias("name", "v"))
+    fields = rows.select(F.explode(F.try_variant_get(F.try_parse_json(column), "$", "map<string,variant>")).alias("name", "v"))
     return fields.groupBy("name", F.lower(F.schema_of_variant("v")).alias("kind")).agg(F.count("*").alias("n"))
 
 

@@ -25,7 +25,7 @@ def children_index(nodes: DataFrame) -> DataFrame:
 
 def children_index_legacy(rows: DataFrame, column: str = "body") -> DataFrame:
     """(parent, child, pos) from JSON text {parent: [child] | {child: index}}; children that aren't strings and indexes that aren't numbers are left out."""
-    top = rows.select(F.explode(F.try_parse_json(column).cast("map<string,variant>")).alias("parent", "value")).withColumn("kind", F.schema_of_variant("value"))
+    top = rows.select(F.explode(F.try_variant_get(F.try_parse_json(column), "$", "map<string,variant>")).alias("parent", "value")).withColumn("kind", F.schema_of_variant("value"))
     listed = top.where("kind like 'ARRAY%'").select("parent", F.posexplode(F.col("value").cast("array<variant>")).alias("at", "v"))
     listed = listed.where(F.schema_of_variant("v") == "STRING").select("parent", F.col("v").cast("string").alias("child"), F.col("at").cast("double").alias("at"))
     mapped = top.where("kind like 'OBJECT%'").select("parent", F.explode(F.col("value").cast("map<string,variant>")).alias("child", "v"))
