@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
-from .common import table
+from .common import beside, portions, quoted, table
 
 SPACE = "▁"
 
@@ -75,9 +76,9 @@ class Normaliser:
                 best = p + 1 - at, units[node] & 0x7FFFFFFF
         return best
 
-    def __call__(self, text: str) -> tuple[bytes, np.ndarray]:
-        """The normalised text as UTF-8 and, for each of its bytes and its end, the byte of the source it comes from."""
-        raw, parts, at = text.encode("utf-8", "replace"), [], 0
+    def prefixes(self, raw: bytes) -> list[tuple[bytes, int]]:
+        """(replacement, its place in the source) of the longest prefixes, one after the other; a character without one is itself."""
+        parts, at = [], 0
         while at < len(raw):
             used, found = self.longest(raw, at)
             if used:
@@ -87,30 +88,48 @@ class Normaliser:
                 new = raw[at : at + used]
             parts.append((new, at))
             at += used
-        end = len(raw)
+        return parts
+
+    def aligned(self, parts: list[tuple[bytes, int]], blank: bool = False) -> tuple[bytearray, list[int]]:
+        """The replacements in a row, spaces marked, and the place in the source of each byte; with squeeze no space follows another (or the start, if blank)."""
+        mark = SPACE.encode() if self.escape else b" "
+        out, source = bytearray(), []
+        for new, place in parts:
+            for byte in new:
+                if byte != 32:
+                    out.append(byte)
+                    source.append(place)
+                elif not (self.squeeze and blank):
+                    out += mark
+                    source += [place] * len(mark)
+                blank = byte == 32
+        return out, source
+
+    def stretches(self, text: str) -> np.ndarray:
+        """For each byte of the normalised text, and its end, the byte of the source it comes from. For stretches in a row
+        that stand inside a text: nothing is put in front, nothing is taken off.
+
+        With an empty map no prefix is longer than a character, each stands for itself, and all are aligned at once."""
+        raw = text.encode("utf-8", "replace")
+        if self.units or self.squeeze:
+            return np.array([*self.aligned(self.prefixes(raw))[1], len(raw)], dtype=np.int64)
+        data = np.frombuffer(raw, dtype=np.uint8)
+        first = np.maximum.accumulate(np.where(data & 0xC0 != 0x80, np.arange(len(data)), 0))
+        return np.append(np.repeat(first, np.where(data == 32, len(SPACE.encode()) if self.escape else 1, 1)), len(raw))
+
+    def __call__(self, text: str) -> tuple[bytes, np.ndarray]:
+        """The normalised text as UTF-8 and, for each of its bytes and its end, the byte of the source it comes from."""
+        raw = text.encode("utf-8", "replace")
+        parts, end = self.prefixes(raw), len(raw)
         if self.squeeze:
             while parts and not parts[0][0].strip(b" "):
                 parts.pop(0)
             if parts:
                 parts[0] = (parts[0][0].lstrip(b" "), parts[0][1])
         mark = SPACE.encode() if self.escape else b" "
-        out, source = bytearray(), []
-        first = parts[0][1] if parts else 0
+        out, source = self.aligned(parts, blank=self.squeeze)
         if self.front and parts:
-            out += mark
-            source += [first] * len(mark)
-        blank = self.squeeze
-        for new, place in parts:
-            for byte in new:
-                if byte == 32:
-                    if not (self.squeeze and blank):
-                        out += mark
-                        source += [place] * len(mark)
-                    blank = True
-                else:
-                    out.append(byte)
-                    source.append(place)
-                    blank = False
+            out, source = bytearray(mark) + out, [parts[0][1]] * len(mark) + source
         if self.squeeze:
             while out.endswith(mark):
                 del out[-len(mark) :]
@@ -120,11 +139,12 @@ class Normaliser:
 
 
 class Encoder:
-    """Encodes whole texts piece by piece of normalised text, with the library doing each different stretch once.
+    """Encodes whole texts and projects every piece through the normaliser's alignment to the bytes of the source.
 
-    A stretch begins at a space mark (or is a line feed). No piece of a vocabulary may hold a space mark after another
+    A stretch begins at a space (or is a line feed). No piece of a vocabulary may hold a space mark after another
     character, or a line feed beside another character, so no merge crosses a stretch and encoding them apart equals
-    encoding the whole. Vocabularies for which that doesn't hold are encoded whole.
+    encoding the whole. Each different stretch is normalised and encoded once and remembered with its spans.
+    Vocabularies for which that doesn't hold, and texts that hold the space mark themselves, are encoded whole.
     """
 
     MEMO = 400_000
@@ -143,85 +163,101 @@ class Encoder:
         self.lengths = np.array([1 if b else len(p.encode()) for p, b in zip(pieces, self.byte_ids, strict=True)], dtype=np.int64)
         by_stretch = trainer.get(3) == 2 and not self.normalise.units and not self.normalise.squeeze and self.normalise.front and self.normalise.escape
         self.by_stretch = by_stretch and self.byte_ids.any() and not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in plain)
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+        self.cut = re.compile(" +[^ \n]*|[^ \n]+|\n")
         self.line = self.model.encode("\n") if self.by_stretch else []
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, tuple[bytes, int]] = {}  # by stretch: (id, first, end) triples, bytes of the source
 
     def _learn(self, new: list[str]) -> None:
         # the library puts a space mark in front of what it gets, so every stretch goes in behind a line feed
-        for s, ids in zip(new, self.model.encode(["\n" + s.replace(SPACE, " ") for s in new], num_threads=1), strict=True):
-            self.memo[s] = np.array(ids[len(self.line) :], dtype=np.int32).tobytes()
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_stretch:
-            return [np.array(x, dtype=np.int32) for x in self.model.encode(texts, num_threads=1)]
-        return [self._joined(t) for t in texts]
-
-    def _joined(self, text: str) -> np.ndarray:
+        found = self.model.encode(["\n" + s for s in new], num_threads=1)
+        counts = np.array([len(x) - len(self.line) for x in found])
+        ids = np.fromiter(chain.from_iterable(x[len(self.line) :] for x in found), dtype=np.int64, count=counts.sum())
+        source, ends = self.normalise.stretches("".join(new)), np.cumsum(self.lengths[ids])
+        widths = np.array([len(s.encode("utf-8", "replace")) for s in new])
+        base = np.repeat(np.cumsum(widths) - widths, counts)
+        triples = np.column_stack([ids, source[ends - self.lengths[ids]] - base, source[ends] - base]).astype(np.int32).tobytes()
+        cuts = np.concatenate(([0], 12 * np.cumsum(counts))).tolist()
+        self.memo.update(zip(new, zip([triples[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], widths.tolist(), strict=True), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, first byte, end byte in the source of every id) of each text. What the normaliser put in front has no width."""
+        if len(self.memo) > self.MEMO:
+            self.memo.clear()
+        apart = [self.by_stretch and SPACE not in t for t in texts]
+        split = [self._stretches(t) for t, yes in zip(texts, apart, strict=True) if yes]
+        new = [s for s in dict.fromkeys(chain.from_iterable(split)) if s not in self.memo]
+        for at in range(0, len(new), 50_000):
+            self._learn(new[at : at + 50_000])
+        joined = iter(self._joined(split))
+        return [next(joined) if yes else self._whole(t) for t, yes in zip(texts, apart, strict=True)]
+
+    def _stretches(self, text: str) -> list[str]:
         if not text:
-            return np.array([], dtype=np.int32)
-        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
-            parts = self.cut.findall(SPACE + text.replace(" ", SPACE))
-        else:  # stretches that keep line feeds inside, which splits faster
-            parts = (SPACE + text.replace(" ", f" {SPACE}")).split(" ")
-        try:
-            found = b"".join(map(self.memo.__getitem__, parts))
-        except KeyError:
-            if len(self.memo) > self.MEMO:
-                self.memo.clear()
-            self._learn([x for x in dict.fromkeys(parts) if x not in self.memo])
-            found = b"".join(map(self.memo.__getitem__, parts))
-        return np.frombuffer(found, dtype=np.int32)
-
-    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and end byte in the source of every id. What the normaliser put in front has no width."""
-        if self.by_stretch:
-            # identity but for spaces: a space is 1 byte in the source and 3 normalised, the mark in front is 0
-            ends = np.cumsum(self.lengths[ids])
-            raw = np.frombuffer((SPACE + text.replace(" ", SPACE)).encode("utf-8", "replace"), dtype=np.uint8)
-            widths = np.ones(len(raw), dtype=np.int64)
-            marks = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81))
-            own = np.zeros(len(raw), dtype=bool)
-            if SPACE in text:  # a mark that the text itself holds keeps its three bytes
-                chars = np.array([c == SPACE for c in " " + text if c in (" ", SPACE)], dtype=bool)
-                own[marks[chars]] = True
-            spaces = marks[~own[marks]]
-            widths[spaces + 1] = widths[spaces + 2] = 0
-            widths[0] = 0
-            source = np.concatenate(([0], np.cumsum(widths)))
-        else:
-            _, source = self.normalise(text)
-            ends = np.minimum(np.cumsum(self._measured(text, ids)), len(source) - 1)
-        starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-        return source[starts], source[ends]
-
-    def _measured(self, text: str, ids: np.ndarray) -> np.ndarray:
-        """Normalised bytes of every id, taking unknown stretches at their own length."""
-        proto = self.model.encode(text, return_type="proto")
-        return np.array([len(p.piece.encode()) if not self.byte_ids[p.id] else 1 for p in proto.pieces], dtype=np.int64)
-
-
-def encode_decode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), batch: int = 256) -> DataFrame:
+            return []
+        if "  " in text or text[0] == " " or text[-1] == " ":
+            return self.cut.findall(" " + text)
+        return [" " + x for x in text.split(" ")]  # stretches that keep line feeds inside, which splits faster
+
+    def _joined(self, split: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        found = list(map(self.memo.__getitem__, chain.from_iterable(split)))
+        if not found:
+            return [(np.array([], dtype=np.int32),) * 3 for _ in split]
+        packed = [x for x, _ in found]
+        counts = np.array(list(map(len, packed))) // 12
+        ids, starts, ends = np.frombuffer(b"".join(packed), dtype=np.int32).reshape(-1, 3).T.copy()
+        sizes = np.array(list(map(len, split)))
+        widths = np.array([n for _, n in found])
+        before = np.cumsum(widths) - widths
+        firsts = np.cumsum(sizes) - sizes
+        # each text's stretches count from its start; its first one was given a space that the text doesn't have
+        before -= np.repeat(np.append(before, 0)[firsts], sizes) + 1
+        before = np.repeat(before, counts).astype(np.int32)
+        cuts = np.cumsum(np.add.reduceat(np.append(counts, 0), firsts) * (sizes > 0))[:-1]
+        return list(zip(*(np.split(x, cuts) for x in (ids, np.maximum(starts + before, 0), ends + before)), strict=True))
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        pieces = self.model.encode(text, return_type="proto").pieces
+        ids = np.array([p.id for p in pieces], dtype=np.int32)
+        _, source = self.normalise(text)
+        # unknown stretches have their own length, other pieces that of the vocabulary
+        ends = np.minimum(np.cumsum([1 if self.byte_ids[p.id] else len(p.piece.encode()) for p in pieces]), len(source) - 1).astype(np.int64)
+        return ids, source[np.concatenate(([0], ends[:-1])).astype(np.int64)[: len(ids)]].astype(np.int32), source[ends].astype(np.int32)
+
+
+_own: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each worker process, so that what a task has learnt serves the tasks after it."""
+    if path not in _own:
+        _own[path] = Encoder(path)
+    return _own[path]
+
+
+def encode_decode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns in keep, then ids, starts, ends (bytes of the source that each id stands for) and decoded, of every whole text.
 
-    Null text counts as empty: no ids, empty decoding. Repeated rows are each encoded. model_path must be readable on
-    every executor. Memory is bounded by batch texts and a memo of stretches that is emptied at a fixed size.
+    Null text counts as empty: no ids, empty decoding. Repeated rows are each encoded; there are no ties. An empty
+    table gives an empty result. A result whose name is among keep gets an underscore behind it. model_path must be
+    readable on every executor. Memory is bounded by a portion of the texts and a memo of stretches that is emptied at a fixed size.
     """
-    names = [f.name for f in docs.select(*keep).schema]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + ["ids array<int>, starts array<int>, ends array<int>, decoded string"])
+    inner = [f"keep{i}" for i in range(len(keep))]
+    given = docs.select(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, inner, strict=True)], F.col(quoted(text)).alias("text"))
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in given.select(*inner).schema] + ["ids array<int>, starts array<int>, ends array<int>, decoded string"])
 
     def run(batches):
-        encoder = Encoder(model_path)
+        encoder = encoder_of(model_path)
         lists = lambda parts: pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int32), pa.array(np.concatenate(parts).astype(np.int32) if parts else np.array([], np.int32)))
         for whole in batches:
-            for part in (whole.slice(i, batch) for i in range(0, max(1, whole.num_rows), batch)):
-                texts = [t or "" for t in part.column(len(names)).to_pylist()]
-                ids = encoder.ids(texts)
-                spans = [encoder.spans(t, x) for t, x in zip(texts, ids, strict=True)]
-                decoded = encoder.model.decode([x.tolist() for x in ids], num_threads=1) if texts else []
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(names))], lists(ids), lists([s for s, _ in spans]), lists([e for _, e in spans]), pa.array(decoded, pa.string())], names=[*names, "ids", "starts", "ends", "decoded"])
-
-    return map_arrow(docs.select(*keep, F.col(text).alias("__text")), run, schema)
+            at = 0
+            for texts in portions(whole.column(len(inner)).to_pylist()):
+                part = whole.slice(at, len(texts))
+                at += len(texts)
+                found = encoder(texts)
+                decoded = encoder.model.decode([ids.tolist() for ids, _, _ in found], num_threads=1) if texts else []
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(inner))], *[lists([x[i] for x in found]) for i in range(3)], pa.array(decoded, pa.string())], names=[*inner, "ids", "starts", "ends", "decoded"])
+
+    return map_arrow(given, run, schema).toDF(*keep, *beside(list(keep), ["ids", "starts", "ends", "decoded"]))
 
 
 def digests(encoded: DataFrame, *keep: str) -> DataFrame:
