@@ -17,7 +17,7 @@ def ckpt_resumable(runs: DataFrame, now: float, ttl: float = 86_400.0) -> DataFr
 
 def ckpt_save(walked: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(walked tokens with new ones, count of each run)."""
-    merged = sink_insert_ignore(walked, more, ["run_id", "token"])
+    merged = sink_insert_ignore(walked, more, ["run_id", "token"], "token")  # rows of a key are alike
     return merged, merged.groupBy("run_id").agg(F.count("*").alias("walked_count"))
 
 
