@@ -24,7 +24,7 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
@@ -272,11 +272,12 @@ def _regions(nodes: DataFrame, block: int) -> DataFrame:
     crowded region is dealt by size into blocks of about `block` nodes, from counts by size, so that no task and no
     window holds it whole.
     """
-    # one exchange by key, written once and read for both the grouping and the join back
-    shown = nodes.select("node", "n", F.explode("keys").alias("key")).repartition("key")
+    shown = nodes.select("node", "n", F.explode("keys").alias("key"))
     several = shown.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2")).where("size > 1")
-    once = several.groupBy("s1", "s2", "size").agg(F.min("key").alias("key")).select("key", "size")
-    members = materialise(shown.join(once, "key").select("key", "size", "node", "n"), "members")
+    once = materialise(several.groupBy("s1", "s2", "size").agg(F.min("key").alias("key")).select("key", "size"), "region-keys")
+    # keys of very many nodes are few (their number is checked) and are picked out where they are, not sent to one task
+    crowds, others = small_side(once.where(F.col("size") >= 10_000)), small_side(once.where(F.col("size") < 10_000))
+    members = materialise(shown.join(crowds, "key").unionByName(shown.join(others, "key")).select("key", "size", "node", "n"), "members")
     by_size = members.where(F.col("size") > block).groupBy("key", "n").agg(F.count("*").alias("c"))
     in_order = Window.partitionBy("key").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     places = by_size.select("key", "n", F.floor(F.coalesce(F.sum("c").over(in_order), F.lit(0)) / block).alias("base"), F.ceil(F.col("c") / block).alias("ways"))
