@@ -53,9 +53,8 @@ def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1)
     and hash, the prefix sum of the expected copies plus one offset a source crosses an integer boundary as many times
     as the document is emitted. Ordering by size first makes the words taken follow the target closely.
 
-    The prefix sum is two-level: counts by (source, size class, hash digits) are summed in order, then rows are
-    numbered within such a bucket. So no task holds a source, only its (at most 70 thousand) bucket counts. The counts
-    are written once; size names a column of word counts where these are known already.
+    The prefix sum has levels: counts by source and size class are summed in order, then those by hash digits within a
+    class, then rows are numbered within such a bucket. So no task holds a source. The counts are written once; size names a column of word counts where these are known already.
 
     Null text: size 0. Null source: a source of its own. Null doc_id: hashed as an empty string. Repeated rows: each
     is a document. Ties of size and hash: by doc_id. Texts of any length are counted whole. Empty table: empty result.
@@ -69,8 +68,11 @@ def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1)
         .withColumns({"__class": F.when(F.col("__size") == 0, F.lit(0).cast("long")).otherwise(bits * 16 + F.expr("shiftright(shiftleft(__size, 5), length(bin(__size)))")), "__part": F.substring("__hash", 1, 2)})
     )
     buckets = materialise(sized.groupBy("__skey", "__class", "__part").agg(F.count("*").alias("__n"), F.sum("__size").alias("__words"), F.first("__source").alias("__source")), "mix-buckets")
-    in_order = Window.partitionBy("__skey").orderBy("__class", "__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.select("__skey", "__class", "__part", F.coalesce(F.sum("__n").over(in_order), F.lit(0)).alias("__before"))
+    # classes of a source are summed in order, then the digits of a class: no window holds more than a few hundred rows
+    in_source = Window.partitionBy("__skey").orderBy("__class").rowsBetween(Window.unboundedPreceding, -1)
+    in_class = Window.partitionBy("__skey", "__class").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    classes = buckets.groupBy("__skey", "__class").agg(F.sum("__n").alias("__c")).select("__skey", "__class", F.coalesce(F.sum("__c").over(in_source), F.lit(0)).alias("__classes_before"))
+    offsets = buckets.withColumn("__before", F.coalesce(F.sum("__n").over(in_class), F.lit(0))).join(classes, ["__skey", "__class"]).select("__skey", "__class", "__part", (F.col("__before") + F.col("__classes_before")).alias("__before"))
     targets = source_targets(buckets.groupBy("__skey").agg(F.first("__source").alias("__source"), F.sum("__words").alias("__source_size")), weights, cap)
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size").cast("double")).otherwise(F.lit(0.0))
     start = F.conv(F.substring(F.md5(F.concat(F.lit(f"offset:{seed}:"), "__skey").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
