@@ -147,7 +147,7 @@ class Encoder:
     Vocabularies for which that doesn't hold, and texts that hold the space mark themselves, are encoded whole.
     """
 
-    MEMO = 400_000
+    MEMO = 100_000
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
