@@ -16,7 +16,10 @@ _written: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. One of a few files, which may be of a single row group and so a single task, is spread over all cores; its rows are the same."""
+    found, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    files = len(found.inputFiles())
+    return found.repartition(cores) if files <= 4 and files < cores else found
 
 
 def shared_dir(spark: SparkSession) -> str:
