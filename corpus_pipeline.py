@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.llm import jaccard, line_dedup, mixing, pieces, quality
-from twinfold.llm.common import materialise, table
+from twinfold.llm.common import clean, materialise, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +68,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        before = written()
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        clean(spark, written()[len(before) : -1])  # what the stage wrote on its way isn't read again
     return STAGES[-1][1](spark, docs, sf_dir)
