@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_pandas
-from .common import table
+from .common import beside, table
 
 #: Fixed values of the MPEG audio header: kbit/s by (MPEG-1 or later, layer), Hz by version, samples a frame.
 KBPS = {
@@ -148,7 +148,11 @@ _PARSED = "payload binary, intact boolean, n_frames long, samples long, sample_r
 
 
 def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unit: int = 64) -> DataFrame:
-    """doc_id, n_bytes and media: the whole text as UTF-8 (null: empty), zero bytes up to a positive multiple of unit, as MPEG audio. Other columns are left out."""
+    """doc_id, n_bytes and media: the whole text as UTF-8 (null: empty), zero bytes up to a positive multiple of unit, as MPEG audio.
+
+    Texts of any length are stored whole; equal texts give equal streams, repeated rows are each stored; there are no
+    ties. Other columns are left out, so their names can't clash. An empty table gives an empty result.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(parts):
@@ -160,16 +164,25 @@ def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unit: int
 
 
 def read(stored: DataFrame, media: str = "media") -> DataFrame:
-    """stored with what parse() finds in the media column beside its own columns. Null media counts as an empty stream: no frames."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema]
+    """stored with what parse() finds in the media column beside its own columns; a result whose name is taken gets an underscore behind it.
+
+    Null media counts as an empty stream: no frames. Repeated rows are each read, equal streams alike; there are no
+    ties. Streams of any length are read whole. An empty table gives an empty result.
+    """
+    names = [x.split()[0] for x in _PARSED.split(", ")]
+    ours = beside(stored.columns, names)
+    inner = [f"c{i}" for i in range(len(stored.columns))]
+    fields = [f"{n} {f.dataType.simpleString()}" for n, f in zip(inner, stored.schema, strict=True)]
+    at = inner[stored.columns.index(media)]
 
     def run(parts):
         for part in parts:
-            found = pd.DataFrame([parse(bytes(m) if m is not None else b"") for m in part[media]], index=part.index, columns=[x.split()[0] for x in _PARSED.split(", ")])
+            found = pd.DataFrame([parse(bytes(m) if m is not None else b"") for m in part[at]], index=part.index, columns=names)
             found["listed_frames"] = found["listed_frames"].astype("Int64")
             yield pd.concat([part, found], axis=1)
 
-    return map_pandas(stored, run, ", ".join([*fields, _PARSED]))
+    read_ = map_pandas(stored.toDF(*inner), run, ", ".join([*fields, _PARSED]))
+    return read_.toDF(*stored.columns, *ours)
 
 
 def op4_mpeg_audio(spark, sf_dir: str) -> DataFrame:
