@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_pandas
-from .common import materialise, new_path, small_side, table
+from .common import materialise, new_path, portions, small_side, table
 
 ORDER = 6
 _WORD = re.compile(r"\w+")
@@ -44,19 +44,6 @@ def gram_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarr
     return starts, place, out
 
 
-def _portions(texts, chars: int = 500_000):
-    """The texts (null: empty) in lists of about so many characters, so that words are looked up together and memory stays bounded."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text or "")
-        size += len(held[-1])
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _load(path: str) -> tuple:
     """The model's grams as arrays sorted by hash; read once by each worker process, whatever tasks it runs."""
     if path not in _loaded:
@@ -127,9 +114,9 @@ class Model:
             memo = held[3]
             for part in parts:
                 got: list[float] = []
-                for texts in _portions(part["text"]):
+                for texts in portions(part["text"]):
                     split = [_WORD.findall(t.lower()) for t in texts]
-                    if len(memo) > 300_000:
+                    if len(memo) > 150_000:
                         memo.clear()
                     new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in memo]
                     for at in range(0, len(new), 20_000):
@@ -148,7 +135,8 @@ class Model:
             for part in parts:
                 for row, text in zip(part["row#"], part["text"], strict=True):
                     seen = Counter(_WORD.findall((text or "").lower()))
-                    yield pd.DataFrame({"row": row, "word": list(seen), "n": list(seen.values())}).astype({"row": "int64", "n": "int64"})
+                    if seen:
+                        yield pd.DataFrame([(row, *x) for x in seen.items()], columns=["row", "word", "n"])
 
         words = materialise(map_pandas(rows.select("row#", "text"), run, "row long, word string, n long"), "toxic-words")
         spelt = F.concat(F.lit(_FIRST), "word", F.lit(_LAST))
