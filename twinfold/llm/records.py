@@ -6,7 +6,7 @@ import contextlib
 import os
 import re
 import struct
-import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ class WordTokenizer:
     pretoken by pretoken; all others, and those that may hold a special token, go through the library whole.
     """
 
-    MEMO = 600_000
+    MEMO = 400_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -42,7 +42,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
+        self.kind, self.code = np.dtype(f"<u{self.width}"), {2: "H", 4: "I"}[self.width]
         self.memo: dict[bytes, bytes] = {}
         self.pretokens: dict[str, bytes] = {}
 
@@ -50,14 +50,16 @@ class WordTokenizer:
         found = self.pretokens.get(s)
         if found is None:
             shown = "".join(map(_BYTE_CHAR.__getitem__, s.encode())) if not s.isascii() else s
-            found = self.pretokens[s] = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype=self.kind).tobytes()
+            found = self.pretokens[s] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
         return found
 
     def _learn(self, stretches: list[bytes]) -> None:
         odd = []
         for raw in stretches:
             s = raw.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(s) and "<|" not in s:
+            if raw.isalpha():  # ASCII letters alone are one pretoken
+                self.memo[raw] = self._pretoken(s.lower())
+            elif _PLAIN.fullmatch(s) and "<|" not in s:
                 self.memo[raw] = b"".join([self._pretoken(x) for x in _PRETOKEN.findall(s.lower())])
             else:
                 odd.append((raw, s))
@@ -78,6 +80,16 @@ class WordTokenizer:
             return b"".join(map(self.memo.__getitem__, parts))
 
 
+_own: dict[str, WordTokenizer] = {}
+
+
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One tokenizer for each worker process, so that what a task has learnt serves the tasks after it."""
+    if path not in _own:
+        _own[path] = WordTokenizer(path)
+    return _own[path]
+
+
 def _crc_table() -> np.ndarray:
     """CRC-32C of each byte value followed by 0.._BLOCK-1 zero bytes, from a zero register."""
     one = np.arange(256, dtype=np.uint32)
@@ -158,7 +170,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, sh
     """
 
     def run(parts):
-        tokenizer, task = WordTokenizer(tokenizer_path), TaskContext.get().partitionId()
+        tokenizer, task = tokenizer_of(tokenizer_path), TaskContext.get().partitionId()
         end, out, index, size, tokens, shard = np.array([end_id], dtype=tokenizer.kind).tobytes(), [], [], 0, 0, 0
 
         def close():
