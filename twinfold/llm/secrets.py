@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_of
+from .common import materialise, small_side, table, text_of
 
 #: Base kinds in their order: pattern, least length of the whole match (of group 2 for assign).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = {"assign": (ASSIGN, 8), "access": ("AKIA[A-Z0-9]+", 16), "hex": ("[0-9a-f]{32,}", 32)}
-#: Candidates beyond the base: long runs of key characters holding letters and digits.
-OWNED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"
+#: Candidates beyond the base, by kind: whole private key blocks, signed tokens of three parts, credentials in addresses,
+#: keys with a provider's prefix, and long runs of key characters that hold letters and digits.
+ADDED = {
+    "block": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----",
+    "signed": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "url": r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@",
+    "prefixed": r"(?:gh[opsur]|glpat|xox[abprs]|[spr]k|npm|pypi|hf|AIza)[_-]?[A-Za-z0-9_-]{20,}",
+    "owned": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}",
+}
 
 
 def _matches(text: Column, kind: str, pattern: str) -> Column:
@@ -22,48 +29,55 @@ def _matches(text: Column, kind: str, pattern: str) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), cut).otherwise(F.array().cast("array<struct<kind:string,gap:int,len:int,hit:string>>"))
 
 
-def scan(docs: DataFrame, max_owners: int = 2, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """One row a document: doc_id and __spans, its secret spans in order of start.
+def scan(docs: DataFrame, max_owners: int = 2, max_repositories: int = 20, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
+    """One row a document: doc_id and spans, its secret spans in order of start.
 
-    A span has start, rank and kind, end, value hash, n_repositories and n_owners over the corpus, and live. Base spans
-    (assign, access, hex) are always there. Other long key-like runs ("owned") are there only if at most max_owners
-    owners have that very value, and where they touch no base span: a value that many owners share is a widely
-    copied example. live says so for base spans too.
+    A span has start, rank and kind, end, value hash, n_repositories and n_owners over the corpus, and live. A value is
+    live if at most max_owners owners and max_repositories repositories have it; else it is a widely copied example.
+    Base spans (assign, access, hex) are always there. Added ones (see ADDED) are there only if they are live, touch
+    no base span, and start after the end of the added ones before them; of two with one start the kind listed first.
 
-    The text is read once; what it yields is small and written to the shared folder. A value copied into a third of
-    all documents is pre-aggregated before its shuffle, and the join back leaves its rows to Spark's skew split.
-    Null text counts as empty; a null owner or repository counts as one value each; repeated rows are each scanned.
-    Only doc_id and __spans come back, so extra columns can't clash.
+    The text is read once; what it yields is small and written to the shared folder. Values are aggregated by owner and
+    repository before they are shuffled, and verdicts on values that stand often, few of which there can be, go back
+    by broadcast, so that no task gets all spans of a value. Null and empty texts have no spans; a null owner or
+    repository counts as one value each; repeated rows are each scanned, and are one repository. Texts of any length are
+    taken whole. An empty table gives an empty result. Only doc_id and spans come back, so extra columns can't clash.
     """
     body = text_of(text)
+    kinds = {**{k: p for k, (p, _) in BASE.items()}, **ADDED}
     rows = materialise(
         docs.select(
             F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
             F.xxhash64(F.lit("owner"), F.col(owner)).alias("owner"), F.xxhash64(F.lit("repository"), F.col(repository)).alias("repository"),
-            F.concat(*[_matches(body, k, p) for k, (p, _) in BASE.items()], _matches(body, "owned", OWNED)).alias("hits"),
+            F.concat(*[_matches(body, k, p) for k, p in kinds.items()]).alias("hits"),
         ),
         "secret-hits",
     )
     in_text = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     value = F.when(F.col("kind") == "assign", F.regexp_extract("hit", ASSIGN, 2)).otherwise(F.col("hit"))
     least = F.create_map(*[F.lit(x) for k, (_, n) in BASE.items() for x in (k, n)])
-    is_base = F.col("kind") != "owned"
+    is_base = F.col("kind").isin(*BASE)
     placed = (
         rows.select("row", "owner", "repository", F.posexplode("hits").alias("pos", "m")).select("row", "owner", "repository", "pos", "m.*")
         .withColumn("end", F.sum(F.col("gap") + F.col("len")).over(in_text).cast("int"))
         .withColumns({"start": F.col("end") - F.col("len"), "value": value})
-        .where(F.when(is_base, F.length("value") >= least[F.col("kind")]).otherwise(F.col("hit").rlike("[0-9]") & F.col("hit").rlike("[A-Za-z]")))
-        .withColumns({"value": F.sha2(F.col("value").cast("binary"), 256), "rank": F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate([*BASE, "owned"]) for x in (k, i)]), F.col("kind"))})
+        .where(F.when(is_base, F.length("value") >= least[F.col("kind")]).when(F.col("kind") == "owned", F.col("hit").rlike("[0-9]") & F.col("hit").rlike("[A-Za-z]")).otherwise(True))
+        .withColumns({"value": F.sha2(F.col("value").cast("binary"), 256), "rank": F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(kinds) for x in (k, i)]), F.col("kind"))})
     )
     order = Window.partitionBy("row").orderBy("start", "rank")
-    base_end, base_start = F.when(is_base, F.col("end")), F.when(is_base, F.col("start"))
-    free = (F.coalesce(F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)) <= F.col("start")) & (F.coalesce(F.min(base_start).over(order.rowsBetween(0, Window.unboundedFollowing)), F.lit(2**31 - 1)) >= F.col("end"))
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    base_end, base_start, added_end = F.when(is_base, F.col("end")), F.when(is_base, F.col("start")), F.when(~is_base, F.col("end"))
+    most = F.greatest(F.coalesce(F.max(base_end).over(before), F.lit(0)), F.coalesce(F.max(added_end).over(before), F.lit(0)))
+    free = (most <= F.col("start")) & (F.coalesce(F.min(base_start).over(after), F.lit(2**31 - 1)) >= F.col("end"))
     spans = materialise(placed.withColumn("free", free).where(is_base | F.col("free")).select("row", "owner", "repository", "kind", "rank", "start", "end", "value"), "secret-spans")
-    spread = spans.groupBy("value", "owner").agg(F.count_distinct("repository").alias("n")).groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
-    judged = spans.join(spread, "value").withColumn("live", F.col("n_owners") <= max_owners).where(is_base | F.col("live"))
-    by_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "value", "n_repositories", "n_owners", "live"))).alias("__spans"))
-    none = F.array().cast(by_row.schema["__spans"].dataType)
-    return rows.select("row", "doc_id").join(by_row, "row", "left").select("doc_id", F.coalesce("__spans", none).alias("__spans"))
+    each = spans.groupBy("value", "owner", "repository").agg(F.count("*").alias("times"))
+    spread = materialise(each.groupBy("value").agg(F.count_distinct("owner").alias("n_owners"), F.count_distinct("repository").alias("n_repositories"), F.sum("times").alias("times")), "secret-spread")
+    often = spread.where("times >= 10000").drop("times")
+    judged = spans.join(small_side(materialise(often, "secret-often")), "value").unionByName(spans.join(small_side(often.select("value")), "value", "left_anti").join(spread.where("times < 10000").drop("times"), "value"))
+    judged = judged.withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)).where(is_base | F.col("live"))
+    by_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "value", "n_repositories", "n_owners", "live"))).alias("spans"))
+    none = F.array().cast(by_row.schema["spans"].dataType)
+    return rows.select("row", "doc_id").join(by_row, "row", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
 
 def _listed(spans: Column) -> Column:
@@ -71,11 +85,13 @@ def _listed(spans: Column) -> Column:
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
-    spans = F.col("__spans")
-    base = F.filter(spans, lambda s: s["kind"] != "owned")
-    n = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
+    n = lambda test: F.size(F.filter(spans, test)).cast("long")
+    kind = lambda k: n(lambda s: s["kind"] == k)
     return scan(table(spark, sf_dir, "documents")).select(
-        "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
+        "doc_id", kind("assign").alias("n_assign"), kind("access").alias("n_access"), kind("hex").alias("n_hex"),
         F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(spans).alias("spans"),
-        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"), F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        n(lambda s: s["live"]).alias("n_live"), n(lambda s: ~s["live"]).alias("n_copied"),
+        F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["n_owners"].cast("string"), s["n_repositories"].cast("string"))), ",").alias("spread"),
     )
