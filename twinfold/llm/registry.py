@@ -11,6 +11,7 @@ from .pieces import op8_sentencepiece
 from .quality import op6_quality_rules
 from .records import op10_token_records
 from .secrets import op2_secret_scan
+from .spelling import op12_spelling_variants
 from .toxicity import op1_toxicity
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_records": op10_token_records,
     "op11_bpe": op11_bpe,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES = {"op5_line_dedup": OP5_SQL, "op7_mixing": OP7_SQL, "op13_hard_negatives": OP13_SQL}
