@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 import os
-from itertools import chain
+from array import array
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +31,17 @@ class Pairs:
         size = max(ids.values(), default=-1) + 1
         self.size = size
         self.made, self.left, self.right = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
-        keys, proper = np.zeros(len(merges), dtype=np.int64), True
+        keys = np.zeros(len(merges), dtype=np.int64)
         for rank, (a, b) in enumerate(merges):
             whole, a, b = ids[a + b], ids[a], ids[b]
             keys[rank] = a * size + b
-            # a token must come from one merge, whose parts were there before
-            proper &= self.made[whole] < 0 and self.made[a] < rank and self.made[b] < rank
             self.made[whole], self.left[whole], self.right[whole] = rank, a, b
-        self.proper = bool(proper)
+        # a token must come from one merge, whose parts were there before
+        merged = np.flatnonzero(self.made >= 0)
+        before = np.maximum(self.made[self.left[merged]], self.made[self.right[merged]])
+        self.proper = len(merged) == len(merges) and bool((before < self.made[merged]).all())
         self.ranks = np.argsort(keys, kind="stable")
         self.keys = keys[self.ranks]
-        merged = np.flatnonzero(self.made >= 0)
         fits = self.compatible(self.left[merged], self.right[merged], self.made[merged])
         self.whole = np.ones(size, dtype=bool)  # tokens that merging makes of their own characters
         for token, fit in sorted(zip(merged.tolist(), fits.tolist(), strict=True), key=lambda x: self.made[x[0]]):
@@ -77,7 +79,7 @@ class Encoder:
     crosses a stretch; other files are turned down.
     """
 
-    MEMO = 200_000
+    MEMO = 150_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -103,6 +105,7 @@ class Encoder:
         self.last = {t.removesuffix(self.end): i for t, i in self.ids.items() if t.endswith(self.end)}
         self.longest = max(map(len, self.ids), default=1)
         self.memo: dict[bytes, tuple[bytes, str]] = {}
+        self.old: dict[bytes, tuple[bytes, str]] = {}
         self.words: dict[str, tuple[bytes, str]] = {}
 
     def _words(self, stretch: str) -> list[str]:
@@ -141,32 +144,58 @@ class Encoder:
         np.logical_and.at(fits, owner, self.pairs.compatible(different // self.pairs.size, different % self.pairs.size)[back])
         return [p if ok else None for p, ok in zip(proposed, fits.tolist(), strict=True)]
 
+    def _split(self, stretches: list[str]) -> list[list[str]]:
+        """The words of each stretch. Those of one piece go through the library together, with a space between them, which no word crosses."""
+        shown = self.tokenizer.normalizer.normalize_str(" ".join(stretches))
+        parts = shown.split(" ")
+        if len(parts) != len(stretches):  # some stretch has other white space in it
+            if len(stretches) == 1:
+                return [self._words(stretches[0])]
+            half = len(stretches) // 2
+            return self._split(stretches[:half]) + self._split(stretches[half:])
+        found: list[list[str]] = []
+        words, n = iter(self.tokenizer.pre_tokenizer.pre_tokenize_str(shown)), -1
+        word, (start, _) = next(words, ("", (math.inf, 0)))
+        for part in parts:
+            n += 1 + len(part)
+            found.append(own := [])
+            while start < n:
+                own.append(word)
+                word, (start, _) = next(words, ("", (math.inf, 0)))
+        return found
+
     def _learn(self, stretches: list[bytes]) -> None:
-        split = {raw: raw.decode("utf-8", "replace") for raw in stretches}
-        apart = {}
-        for raw, s in split.items():
-            if any(x in s for x in self.specials):
+        shown = b" ".join(stretches).decode("utf-8", "replace").split(" ")
+        together = " ".join(shown)
+        if any(x in together for x in self.specials):
+            marked = [any(x in s for x in self.specials) for s in shown]
+            for raw, s in zip(compress(stretches, marked), compress(shown, marked), strict=True):
                 e = self.tokenizer.encode(s, add_special_tokens=False)
                 self.memo[raw] = np.array(e.ids, dtype="<u4").tobytes(), self.tokenizer.decode(e.ids, skip_special_tokens=False)
-            else:
-                apart[raw] = self._words(s)
-        new = [w for w in dict.fromkeys(chain.from_iterable(apart.values())) if w not in self.words]
+            plain = [not x for x in marked]
+            stretches, shown = list(compress(stretches, plain)), list(compress(shown, plain))
+        apart = self._split(shown) if shown else []
+        new = list(set().union(*apart).difference(self.words))
         for word, ids in zip(new, self.speculate(new), strict=True):
             ids = [t.id for t in self.tokenizer.model.tokenize(word)] if ids is None else ids
-            self.words[word] = np.array(ids, dtype="<u4").tobytes(), " ".join(map(self.names.__getitem__, ids))
-        for raw, words in apart.items():
-            found = [self.words[w] for w in words]
-            self.memo[raw] = b"".join(x for x, _ in found), " ".join(x for _, x in found)
+            self.words[word] = array("I", ids).tobytes(), " ".join(map(self.names.__getitem__, ids))
+        for raw, words in zip(stretches, apart, strict=True):
+            if len(words) == 1:
+                self.memo[raw] = self.words[words[0]]
+            else:
+                found = [self.words[w] for w in words]
+                self.memo[raw] = b"".join(x for x, _ in found), " ".join(x for _, x in found)
 
     def __call__(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, the decoded text) of each text."""
         split = [t.encode("utf-8", "replace").split() for t in texts]
-        if len(self.memo) > self.MEMO:
-            self.memo.clear()
-            self.words.clear()
+        if len(self.memo) > self.MEMO:  # what isn't asked for until the next time is forgotten
+            self.old, self.memo, self.words = self.memo, {}, {}
         new = set().union(*split).difference(self.memo)
-        if new:
-            self._learn(list(new))
+        known = new.intersection(self.old)
+        self.memo.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        if new := list(new - known):
+            self._learn(new)
         out = []
         for stretches in split:
             found = list(map(self.memo.__getitem__, stretches))
