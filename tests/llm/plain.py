@@ -82,21 +82,23 @@ def secret_spans(rows, base, added, max_owners=2, max_repositories=20):
                 if kind == "owned" and not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
                     continue
                 hits.append((m.start(), kinds.index(kind), m.end(), kind, value))
-        kept = []
-        for i, (start, rank, end, kind, value) in enumerate(sorted(hits)):
-            before, after = sorted(hits)[:i], sorted(hits)[i + 1 :]
-            if kind in base or all(h[2] <= start for h in before) and all(h[0] >= end for h in after if h[3] in base):
-                kept.append((start, kind, end, value))
-        found[row] = kept, owner, repository
+        found[row] = sorted(hits), owner, repository
     owners, repositories = defaultdict(set), defaultdict(set)
-    for kept, owner, repository in found.values():
-        for *_, value in kept:
+    for hits, owner, repository in found.values():
+        for *_, value in hits:
             owners[value].add(owner)
             repositories[value].add(repository)
     out = {}
-    for row, (kept, _, _) in found.items():
-        judged = [(s, k, e, len(owners[v]), len(repositories[v])) for s, k, e, v in kept]
-        out[row] = [(*x, x[3] <= max_owners and x[4] <= max_repositories) for x in judged if x[1] in base or x[3] <= max_owners and x[4] <= max_repositories]
+    for row, (hits, _, _) in found.items():
+        out[row], last = [], 0
+        for start, _, end, kind, value in hits:
+            counts = len(owners[value]), len(repositories[value])
+            live = counts[0] <= max_owners and counts[1] <= max_repositories
+            if kind not in base:
+                if not live or start < last or any(h[3] in base and h[0] < end and start < h[2] for h in hits):
+                    continue
+                last = end
+            out[row].append((start, kind, end, *counts, live))
     return out
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -77,15 +78,28 @@ def test_secrets_equal_a_plain_scan_with_planted_values(spark, rows):
                 docs.append((at, f"é see {own} here {j}", f"s{k}-{j % sources}"))
                 at += 1
     docs += [(at, "ghp_abcdefghijklmnopqrstuvwxyz0123456789 token=ghp_abcdefghijklmnopqrst9", None), (at + 1, None, "s"), (at + 2, "", "s")]
+    copied, unique = "ghp_abcdefghijklmnopqrstuvwx", "/Uni9queSuffix123"
+    docs += [(at + 10 + j, f"{copied} {'z' * j}", f"t{j}") for j in range(5)] + [(at + 20, f"see {copied}{unique} and more", "t9")]
+    # overlapping one after the other: the first, the third, and so on are taken
+    docs += [(at + 30 + j, f"a https://q{j}:abc{j}@ghp_{'Ab1' * 8}{j}/x eyJ{'c' * 9}.{'d' * 9}.{'e' * 9}{j}.hf_{'f2' * 12}{j}", f"u{j}") for j in range(3)]
     table = spark.createDataFrame(docs, "doc_id long, text string, source string")
     got = {r["doc_id"]: [(s["start"], s["kind"], s["end"], s["n_owners"], s["n_repositories"], s["live"]) for s in r["spans"]] for r in secrets.scan(table).collect()}
     base = {k: p for k, (p, _) in secrets.BASE.items()} | {"hex": "[0-9a-f]+"}
     want = plain.secret_spans([(i, t, s, i) for i, t, s in docs], base, secrets.ADDED)
     assert got == want
+    assert [(k, e - s, alive) for s, k, e, *_, alive in got[at + 20]] == [("owned", len(copied + unique), True)] and not got[at + 10]
     live = Counter((kind, alive) for spans in got.values() for _, kind, *_, alive in spans)
     assert all(live[k, True] for k in (*secrets.BASE, *secrets.ADDED)) and all(live[k, False] for k in secrets.BASE)
 
 
+@pytest.mark.parametrize("unit", ["a", "0f", "eyJ", "a.", "eyJabcdefgh.", "a://b:c", "-----BEGIN PRIVATE KEY-----", "token ", "ghp_", "AKIA", "x9+/"])
+def test_secrets_of_a_megabyte_of_one_kind(spark, unit):
+    table = spark.createDataFrame([(1, unit * (1_000_000 // len(unit)) + " password = 'hunter2hunter2'", "s")], "doc_id long, text string, source string")
+    start = time.time()
+    spans = secrets.scan(table).first()["spans"]
+    assert time.time() - start < 20 and ("assign", 1_000_000 // len(unit) * len(unit) + 1) in [(s["kind"], s["start"]) for s in spans]
+
+
 def test_secret_query_columns(spark, rows):
     base = {k: p for k, (p, _) in secrets.BASE.items()} | {"hex": "[0-9a-f]+"}
     want = plain.secret_spans([(i, t, s, i) for i, t, _, s, _ in rows], base, secrets.ADDED)

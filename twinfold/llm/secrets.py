@@ -11,11 +11,12 @@ from .common import materialise, small_side, table, text_of
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = {"assign": (ASSIGN, 8), "access": ("AKIA[A-Z0-9]+", 16), "hex": ("[0-9a-f]{32,}", 32)}
 #: Candidates beyond the base, by kind: whole private key blocks, signed tokens of three parts, credentials in addresses,
-#: keys with a provider's prefix, and long runs of key characters that hold letters and digits.
+#: keys with a provider's prefix, and long runs of key characters that hold letters and digits. A match begins at the start
+#: of a run of its characters, or goes on for a bounded stretch, so that no run is read anew from each of its places.
 ADDED = {
     "block": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----",
-    "signed": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "url": r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@",
+    "signed": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
+    "url": r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}+://[^\s/:@]++:[^\s/:@]++@",
     "prefixed": r"(?:gh[opsur]|glpat|xox[abprs]|[spr]k|npm|pypi|hf|AIza)[_-]?[A-Za-z0-9_-]{20,}",
     "owned": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}",
 }
@@ -64,22 +65,37 @@ def scan(docs: DataFrame, max_owners: int = 2, max_repositories: int = 20, doc_i
         .where(F.when(is_base, F.length("value") >= least[F.col("kind")]).when(F.col("kind") == "owned", F.col("hit").rlike("[0-9]") & F.col("hit").rlike("[A-Za-z]")).otherwise(True))
         .withColumns({"value": F.sha2(F.col("value").cast("binary"), 256), "rank": F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(kinds) for x in (k, i)]), F.col("kind"))})
     )
-    order = Window.partitionBy("row").orderBy("start", "rank")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    base_end, base_start, added_end = F.when(is_base, F.col("end")), F.when(is_base, F.col("start")), F.when(~is_base, F.col("end"))
-    most = F.greatest(F.coalesce(F.max(base_end).over(before), F.lit(0)), F.coalesce(F.max(added_end).over(before), F.lit(0)))
-    free = (most <= F.col("start")) & (F.coalesce(F.min(base_start).over(after), F.lit(2**31 - 1)) >= F.col("end"))
-    spans = materialise(placed.withColumn("free", free).where(is_base | F.col("free")).select("row", "owner", "repository", "kind", "rank", "start", "end", "value"), "secret-spans")
+    spans = materialise(placed.select("row", "owner", "repository", "kind", "rank", "start", "end", "value"), "secret-spans")
     each = spans.groupBy("value", "owner", "repository").agg(F.count("*").alias("times"))
     spread = materialise(each.groupBy("value").agg(F.count_distinct("owner").alias("n_owners"), F.count_distinct("repository").alias("n_repositories"), F.sum("times").alias("times")), "secret-spread")
     often = spread.where("times >= 10000").drop("times")
     judged = spans.join(small_side(materialise(often, "secret-often")), "value").unionByName(spans.join(small_side(often.select("value")), "value", "left_anti").join(spread.where("times < 10000").drop("times"), "value"))
     judged = judged.withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)).where(is_base | F.col("live"))
-    by_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "value", "n_repositories", "n_owners", "live"))).alias("spans"))
+    by_row = _chosen(judged).groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("spans"))
     none = F.array().cast(by_row.schema["spans"].dataType)
     return rows.select("row", "doc_id").join(by_row, "row", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
 
+def _chosen(judged: DataFrame) -> DataFrame:
+    """(row, span): base spans, and of the live added ones those that touch none and, from the left, one of those that overlap.
+
+    Groups of overlapping candidates are found by windows over a text's spans, and only inside a group, mostly of one or
+    two, are they taken one after the other.
+    """
+    is_base = F.col("kind").isin(*BASE)
+    order = Window.partitionBy("row").orderBy("start", "rank")
+    # what comes after is what came before in the opposite order; a frame that ends with the partition is computed anew for each row
+    before, after = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (order, Window.partitionBy("row").orderBy(F.desc("start"), F.desc("rank"))))
+    clear = (F.coalesce(F.max(F.when(is_base, F.col("end"))).over(before), F.lit(0)) <= F.col("start")) & (F.coalesce(F.min(F.when(is_base, F.col("start"))).over(after), F.lit(2**31 - 1)) >= F.col("end"))
+    spans = judged.withColumns({"span": F.struct("start", "rank", "kind", "end", "value", "n_repositories", "n_owners", "live"), "clear": clear})
+    added = spans.where(~is_base & F.col("clear")).withColumn("opens", (F.coalesce(F.max("end").over(before), F.lit(0)) <= F.col("start")).cast("int"))
+    groups = added.withColumn("group", F.sum("opens").over(order)).groupBy("row", "group").agg(F.array_sort(F.collect_list("span")).alias("all"))
+    none = F.array().cast(groups.schema["all"].dataType)
+    one_by_one = F.aggregate("all", none, lambda kept, x: F.when(F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)) <= x["start"], F.concat(kept, F.array(x))).otherwise(kept))
+    chosen = groups.select("row", F.explode(F.when(F.size("all") == 1, F.col("all")).otherwise(one_by_one)).alias("span"))
+    return spans.where(is_base).select("row", "span").unionByName(chosen)
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
