@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import math
 import os
+import re
 from array import array
-from itertools import chain, compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,21 @@ class Pairs:
         return fits
 
 
+#: The rules of normalising and splitting that the short way for ASCII stands for.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_USUAL = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_ASCII_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+
+
 class Encoder:
     """Ids and decodings of whole texts, each different stretch between white space done once.
 
@@ -104,8 +120,11 @@ class Encoder:
         self.pairs = Pairs(self.ids, [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
         self.last = {t.removesuffix(self.end): i for t, i in self.ids.items() if t.endswith(self.end)}
         self.longest = max(map(len, self.ids), default=1)
-        self.memo: dict[bytes, tuple[bytes, str]] = {}
-        self.old: dict[bytes, tuple[bytes, str]] = {}
+        # for ASCII the usual rules come to this pattern over lower-case text
+        rules = {"normalizer": spec["normalizer"], "pre_tokenizer": spec["pre_tokenizer"]}
+        self.ascii = re.compile(_ASCII_WORDS) if rules == _USUAL else None
+        self.memo: tuple[dict[bytes, bytes], dict[bytes, str]] = {}, {}  # ids, decoding of each stretch
+        self.old = self.memo
         self.words: dict[str, tuple[bytes, str]] = {}
 
     def _words(self, stretch: str) -> list[str]:
@@ -137,11 +156,11 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(p for p in proposed if p), dtype=np.int64, count=sizes.sum())
         owner = np.repeat(np.arange(len(words)), sizes)
         fits = np.array([p is not None for p in proposed])
-        np.logical_and.at(fits, owner, self.pairs.whole[flat])
+        fits[owner[~self.pairs.whole[flat]]] = False
         inside = owner[1:] == owner[:-1]
         a, b, owner = flat[:-1][inside], flat[1:][inside], owner[1:][inside]
         different, back = np.unique(a * self.pairs.size + b, return_inverse=True)
-        np.logical_and.at(fits, owner, self.pairs.compatible(different // self.pairs.size, different % self.pairs.size)[back])
+        fits[owner[~self.pairs.compatible(different // self.pairs.size, different % self.pairs.size)[back]]] = False
         return [p if ok else None for p, ok in zip(proposed, fits.tolist(), strict=True)]
 
     def _split(self, stretches: list[str]) -> list[list[str]]:
@@ -165,42 +184,48 @@ class Encoder:
         return found
 
     def _learn(self, stretches: list[bytes]) -> None:
+        ids_of, text_of = self.memo
         shown = b" ".join(stretches).decode("utf-8", "replace").split(" ")
         together = " ".join(shown)
+        apart: list[list[str] | None] = [None] * len(shown)
         if any(x in together for x in self.specials):
-            marked = [any(x in s for x in self.specials) for s in shown]
-            for raw, s in zip(compress(stretches, marked), compress(shown, marked), strict=True):
-                e = self.tokenizer.encode(s, add_special_tokens=False)
-                self.memo[raw] = np.array(e.ids, dtype="<u4").tobytes(), self.tokenizer.decode(e.ids, skip_special_tokens=False)
-            plain = [not x for x in marked]
-            stretches, shown = list(compress(stretches, plain)), list(compress(shown, plain))
-        apart = self._split(shown) if shown else []
+            for i, s in enumerate(shown):
+                if any(x in s for x in self.specials):
+                    e = self.tokenizer.encode(s, add_special_tokens=False)
+                    ids_of[stretches[i]], text_of[stretches[i]] = array("I", e.ids).tobytes(), self.tokenizer.decode(e.ids, skip_special_tokens=False)
+                    apart[i] = []
+        if self.ascii:
+            for i, s in enumerate(shown):
+                if s.isascii() and apart[i] is None:
+                    s = s.lower()
+                    apart[i] = [s] if s.isalpha() else self.ascii.findall(s) if s.isprintable() else None
+        left = [i for i, words in enumerate(apart) if words is None]
+        for i, words in zip(left, self._split([shown[i] for i in left]), strict=True) if left else ():
+            apart[i] = words
         new = list(set().union(*apart).difference(self.words))
         for word, ids in zip(new, self.speculate(new), strict=True):
             ids = [t.id for t in self.tokenizer.model.tokenize(word)] if ids is None else ids
             self.words[word] = array("I", ids).tobytes(), " ".join(map(self.names.__getitem__, ids))
         for raw, words in zip(stretches, apart, strict=True):
             if len(words) == 1:
-                self.memo[raw] = self.words[words[0]]
-            else:
+                ids_of[raw], text_of[raw] = self.words[words[0]]
+            elif raw not in ids_of:
                 found = [self.words[w] for w in words]
-                self.memo[raw] = b"".join(x for x, _ in found), " ".join(x for _, x in found)
+                ids_of[raw], text_of[raw] = b"".join([x for x, _ in found]), " ".join([x for _, x in found])
 
     def __call__(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, the decoded text) of each text."""
         split = [t.encode("utf-8", "replace").split() for t in texts]
-        if len(self.memo) > self.MEMO:  # what isn't asked for until the next time is forgotten
-            self.old, self.memo, self.words = self.memo, {}, {}
-        new = set().union(*split).difference(self.memo)
-        known = new.intersection(self.old)
-        self.memo.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        if len(self.memo[0]) > self.MEMO:  # what isn't asked for until the next time is forgotten
+            self.old, self.memo, self.words = self.memo, ({}, {}), {}
+        new = set().union(*split).difference(self.memo[0])
+        known = new.intersection(self.old[0])
+        for now, old in zip(self.memo, self.old, strict=True):
+            now.update(zip(known, map(old.__getitem__, known), strict=True))
         if new := list(new - known):
             self._learn(new)
-        out = []
-        for stretches in split:
-            found = list(map(self.memo.__getitem__, stretches))
-            out.append((b"".join([ids for ids, _ in found]), " ".join([shown for _, shown in found if shown])))
-        return out
+        ids_of, text_of = (x.__getitem__ for x in self.memo)
+        return [(b"".join(map(ids_of, stretches)), " ".join(filter(None, map(text_of, stretches)))) for stretches in split]
 
 
 _own: dict[str, Encoder] = {}
