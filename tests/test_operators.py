@@ -16,7 +16,6 @@ from twinfold.operators import translate as R
 from twinfold.operators import tree as O
 from twinfold.sources import landing as D
 from twinfold.sources import sinks as W
-from twinfold.streaming import streams as Z
 
 BLOCK = "doc_id long, idx int, block_id string, block_type int, content string, url string"
 
@@ -120,15 +119,6 @@ def test_cut_logs_fold_as_whole_ones(spark):
     assert few.where("_mine").count() == 3000 and few.groupBy("_block").count().agg(F.max("count")).first()[0] <= 84
 
 
-def test_the_cache_holds_the_newest_of_each_key(spark, tmp_path):
-    rows = [[("a", "1", 1), ("b", "1", 1)], [("a", "2", 2), ("a", "3", 3)], [("b", "0", 0)]]
-    for i, batch in enumerate(rows):
-        Z.newest(spark.createDataFrame(batch, "key string, translated string, at long")).write.parquet(f"{tmp_path}/cache/batch={i}")
-    Z.compact(spark, f"{tmp_path}/cache", f"{tmp_path}/small")
-    for cache in ("cache", "small"):
-        assert sorted(tuple(r) for r in Z.cached(spark, f"{tmp_path}/{cache}").collect()) == [("a", "3", 3), ("b", "1", 1)]
-
-
 @pytest.mark.parametrize("source, target, want", [([], [], {}), (["a", "b"], ["a"], {"keep": 1, "append": 1}), (["a"], ["a", "b"], {"keep": 1, "delete": 1}), ([str(i) for i in range(100)], [str(i) if i % 20 else "edited" for i in range(100)], {"keep": 95, "replace": 5})])
 def test_block_diff(spark, source, target, want):
     got = {r["op"]: r["count"] for r in B.block_diff(blocks(spark, source), blocks(spark, target)).groupBy("op").count().collect()}

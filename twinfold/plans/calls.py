@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import calls as A
+from ..streaming import ordered as O
 from ..streaming import streams as Z
 from .base import Registry, new_folder
 
@@ -69,9 +67,10 @@ WITH c AS (SELECT user_id AS operation, ok, {_message_sql()} AS category, row_nu
 e AS (SELECT operation, coalesce(min(attempt) FILTER (ok OR category NOT IN ({_RETRIED}) OR attempt >= 5), max(attempt)) AS stop FROM c GROUP BY operation)
 SELECT operation, count(*) AS n_attempts, bool_or(ok) AS succeeded, CAST(sum(CASE WHEN ok THEN 0.0 ELSE {_pause_sql("category", "(attempt - 1)")} END) AS DOUBLE) AS planned_wait
 FROM c JOIN e USING (operation) WHERE attempt <= stop GROUP BY operation""")
-add("quota_usage", lambda t: A.quota_usage(t.calls, 3600, 86400, 3, 70), "calls", """
+_QUOTA = """
 WITH c AS (SELECT call_id, resource, epoch_us(ts) AS us FROM calls), w AS (SELECT *, count(*) OVER (PARTITION BY resource ORDER BY us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS n_short, count(*) OVER (PARTITION BY resource ORDER BY us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS n_long, min(us) OVER (PARTITION BY resource ORDER BY us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS oldest FROM c)
-SELECT call_id, resource, n_short, n_long, greatest(n_short / 3, n_long / 70) AS share, greatest(n_short / 3, n_long / 70) >= 0.8 AS near_limit, CASE WHEN n_short >= 3 THEN (oldest + 3600000000 - us) / 1e6 ELSE 0.0 END AS wait_s FROM w""")
+SELECT call_id, resource, n_short, n_long, greatest(n_short / 3, n_long / 70) AS share, greatest(n_short / 3, n_long / 70) >= 0.8 AS near_limit, CASE WHEN n_short >= 3 THEN (oldest + 3600000000 - us) / 1e6 ELSE 0.0 END AS wait_s FROM w"""
+add("quota_usage", lambda t: A.quota_usage(t.calls, 3600, 86400, 3, 70), "calls", _QUOTA)
 add("failure_streaks", lambda t: A.failure_streaks(t.calls), "calls", """
 WITH c AS (SELECT *, sum(CAST(ok AS INTEGER)) OVER (PARTITION BY resource ORDER BY ts, call_id) AS g FROM calls), r AS (SELECT resource, g, count(*) AS n FROM c WHERE NOT ok GROUP BY resource, g), l AS (SELECT resource, max(n) AS longest_streak, count(*) AS n_streaks FROM r GROUP BY resource)
 SELECT resource, count(*) AS n_calls, avg(CASE WHEN ok THEN 0.0 ELSE 1.0 END) AS failure_rate, any_value(longest_streak) AS longest_streak, any_value(n_streaks) AS n_streaks FROM calls LEFT JOIN l USING (resource) GROUP BY resource""")
@@ -111,23 +110,27 @@ def _folder(t) -> str:
     return new_folder(t.spark, "stream")
 
 
-def _stream(t, folder: str, *parts):
-    """Tables landed as files one after the other, read as a stream of one part a batch: files are taken in order of their age."""
-    for i, df in enumerate(parts):
-        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        if i + 1 < len(parts):
-            time.sleep(1.1)  # ages are compared by the second on some file systems
-    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+def _fed(t, folder: str, parts, start) -> None:
+    """Land one part after the other, each in as many files as it has partitions, and run the job on what is new: start(stream) goes on from its checkpoint."""
+    for df in parts:
+        df.write.mode("append").parquet(f"{folder}/in")
+        start(t.spark.readStream.schema(df.schema).parquet(f"{folder}/in")).awaitTermination()
+
 
+def _drain(t, folder: str, parts, build, mode: str = "append"):
+    """Run a streaming transformation over the parts, writing each batch to its own folder; gives back what was written."""
+    found = []
 
-def _drain(t, folder: str, stream, mode: str):
-    """Run a streaming query over all that is there, writing each batch to its own folder."""
+    def start(stream):
+        def sink(batch, number):
+            batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
 
-    def sink(batch, number):
-        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+        out = build(stream)
+        found.append(out.schema)
+        return out.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
 
-    stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{folder}/out")
+    _fed(t, folder, parts, start)
+    return t.spark.read.schema(found[0]).parquet(f"{folder}/out/batch=*")
 
 
 def _calls(t):
@@ -145,48 +148,77 @@ _CUT = "2024-01-16"
 
 def _transform(t):
     folder = _folder(t)
-    q = Z.stream_transform(_stream(t, folder, *_halves(t)), lambda b: b.withColumn("limited", F.col("status_code") == 429), f"{folder}/good", f"{folder}/bad", "status_code = 404", f"{folder}/log")
-    q.awaitTermination()
+    _fed(t, folder, _halves(t), lambda s: Z.stream_transform(s, lambda b: b.withColumn("limited", F.col("status_code") == 429), f"{folder}/good", f"{folder}/bad", "status_code = 404", f"{folder}/log"))
     good, bad = (t.spark.read.parquet(f"{folder}/{x}") for x in ("good", "bad"))
     return good.select("call_id", "resource", "limited", F.lit(False).alias("turned_down")).union(bad.select("call_id", "resource", F.lit(None).cast("boolean"), F.lit(True)))
 
 
 def _dedupe(t):
     """Operations of three calls each, a minute apart; the second part repeats half of the last ones, the third brings some that are days too late."""
-    folder = _folder(t)
     rows = _calls(t).select(F.floor(F.col("call_id") / 3).alias("operation_id"))
     timed = rows.withColumn("ts", F.timestamp_seconds(1704067200 + 60 * F.col("operation_id")))
     most = timed.agg(F.max("operation_id").alias("most"))
     again = timed.crossJoin(F.broadcast(most)).where("operation_id > most - 30 and operation_id % 2 = 0").drop("most")
     late = rows.select((-1 - F.col("operation_id")).alias("operation_id")).withColumn("ts", F.timestamp_seconds(1704067200 - 86400 * 30 + 60 * F.col("operation_id")))
-    return _drain(t, folder, Z.stream_dedupe_ops(_stream(t, folder, timed, again, late)), "append").select("operation_id")
+    return _drain(t, _folder(t), (timed, again, late), Z.stream_dedupe_ops).select("operation_id")
 
 
 def _windows(t):
-    folder = _folder(t)
-    return _drain(t, folder, Z.stream_quota_windows(_stream(t, folder, *_halves(t)), "6 hours", "3 hours", "1 day"), "append").select("resource", "start", "end", "n_calls")
+    return _drain(t, _folder(t), _halves(t), lambda s: Z.stream_quota_windows(s, "6 hours", "3 hours", "1 day")).select("resource", "start", "end", "n_calls")
 
 
 def _outage(t):
-    folder = _folder(t)
-    out = _drain(t, folder, Z.stream_outage_state(_stream(t, folder, *_halves(t)), 3, 7200), "update")
-    return out.groupBy("resource").agg(F.max_by("state", "batch").alias("state"), F.sum("n_calls").alias("n_calls"), F.sum("n_suppressed").alias("n_suppressed"))
+    with O.rocksdb(t.spark):
+        return _drain(t, _folder(t), _halves(t), lambda s: O.stream_outage_state(s, 3, 7200))
+
+
+def _usage(t):
+    with O.rocksdb(t.spark):
+        return _drain(t, _folder(t), _halves(t), lambda s: O.stream_quota_usage(s, 3600, 86400, 3, 70))
 
 
 def _links(t):
     folder = _folder(t)
     rows = t.source_blocks.where("url <> ''").select("doc_id", "idx", "url")
-    Z.stream_link_rewrite(_stream(t, folder, rows), t.token_map, f"{folder}/good", f"{folder}/log").awaitTermination()
+    parts = [rows.where(f"idx % 2 = {i}") for i in (0, 1)]
+    _fed(t, folder, parts, lambda s: Z.stream_link_rewrite(s, t.token_map, f"{folder}/good", f"{folder}/log"))
     return t.spark.read.parquet(f"{folder}/good").select("doc_id", "idx", "new_url", "replaced")
 
 
+#: When links and tokens of the late-link query arrive; a link far in the future, and a token, let the watermark pass all others.
+_LINK_AT, _TOKEN_AT = "1704067200 + doc_id % 300 * 60", "1704067200 + cast(substring(src, 2) AS bigint) * 600"
+
+
+def _late_links(t):
+    """Links first, then the tokens that came within an hour of them, before or after."""
+    folder = _folder(t)
+    rows = t.source_blocks.where("url <> ''").select("doc_id", "idx", "url", F.timestamp_seconds(F.expr(_LINK_AT)).alias("ts"))
+    tokens = t.token_map.select("src", "dst", F.timestamp_seconds(F.expr(_TOKEN_AT)).alias("ts"))
+    far = F.timestamp_seconds(F.lit(1904067200))
+    last = rows.agg(F.max("doc_id").alias("doc_id")).select("doc_id", F.lit(-1).alias("idx"), F.lit("").alias("url"), far.alias("ts"))
+    end = tokens.agg(F.max("src").alias("src"), F.max("dst").alias("dst")).select("src", "dst", far.alias("ts"))
+
+    def start(links):
+        other = t.spark.readStream.schema(tokens.schema).parquet(f"{folder}/tokens")
+        out = Z.stream_late_links(links, other)
+        return out.writeStream.foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
+
+    tokens.where("false").write.parquet(f"{folder}/tokens")
+    _fed(t, folder, [rows], start)
+    tokens.write.mode("append").parquet(f"{folder}/tokens")
+    _fed(t, folder, [rows.where("false")], start)
+    end.write.mode("append").parquet(f"{folder}/tokens")
+    _fed(t, folder, [last], start)
+    return t.spark.read.parquet(f"{folder}/out/batch=*").select("doc_id", "idx", "new_url", "replaced")
+
+
 def _upsert(t):
     """The first part holds each key as it was with half of the items, the second as it is with all of them."""
     folder = _folder(t)
     key = F.sha2(F.col("text").cast("binary"), 256).alias("key")
     parts = [rows.groupBy(key).agg(F.max("item_id").alias("translated"), F.count("*").alias("at")) for rows in (t.items.where("doc_id % 2 = 0"), t.items)]
-    Z.stream_cache_upsert(_stream(t, folder, *parts), f"{folder}/cache", f"{folder}/log").awaitTermination()
-    return Z.cached(t.spark, f"{folder}/cache").select("key", "translated", "at")
+    _fed(t, folder, parts, lambda s: Z.stream_cache_upsert(s, f"{folder}/cache", f"{folder}/log", 8))
+    return Z.cached(t.spark, f"{folder}/cache")
 
 
 add(
@@ -202,16 +234,17 @@ add("stream_quota_windows", _windows, "calls", """
 WITH s AS (SELECT resource, ts, unnest([0, 1]) AS back FROM calls), w AS (SELECT resource, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 3 HOUR * back AS "start" FROM s)
 SELECT resource, "start", "start" + INTERVAL 6 HOUR AS "end", count(*) AS n_calls FROM w
 WHERE "start" + INTERVAL 6 HOUR <= (SELECT max(ts) FROM calls) - INTERVAL 1 DAY GROUP BY ALL""")
-add(
-    "stream_outage_state",
-    _outage,
-    "calls",
-    f"""
-    {_OUTAGE} SELECT resource, max_by(state, k) AS state, count(*) AS n_calls, CAST(count(*) FILTER (suppressed) AS BIGINT) AS n_suppressed
-    FROM f
-    WHERE k > 0
-    GROUP BY resource""",
-)
+#: The watermark after all calls, a day behind the latest, and the slices of an hour that are complete by then.
+_DONE = "(SELECT (epoch_us(max(ts)) // 1000 - 86400000) * 1000 FROM calls)"
+add("stream_outage_state", _outage, "calls", f"""
+{_OUTAGE}, g AS (SELECT f.resource, f.call_id, s.us, f.state, f.suppressed, f.since FROM f JOIN s ON f.resource = s.resource AND f.k = s.k WHERE (s.us // 3600000000 + 1) * 3600000000 <= {_DONE})
+SELECT resource, call_id, make_timestamp(us) AS ts, state, suppressed FROM g
+UNION ALL SELECT resource, NULL, make_timestamp(since + 7200000000), 'half_open', false FROM g WHERE state = 'open' AND NOT suppressed AND since + 7200000000 <= {_DONE}""")
+add("stream_quota_usage", _usage, "calls", f"{_QUOTA} WHERE (us // 3600000000 + 1) * 3600000000 <= {_DONE}")
+add("stream_late_links", _late_links, "source_blocks token_map", rf"""
+WITH l AS (SELECT doc_id, idx, url, {_LINK_AT.replace("cast", "CAST")} AS at FROM source_blocks WHERE url <> ''), m AS (SELECT src, dst, {_TOKEN_AT} AS at FROM token_map)
+SELECT l.doc_id, l.idx, CASE WHEN m.dst IS NULL THEN l.url ELSE 'https://target.example/wiki/' || m.dst || regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)(.*)$', 2) END AS new_url, m.dst IS NOT NULL AS replaced
+FROM l LEFT JOIN m ON l.url LIKE 'https://source.example/%' AND m.src = regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)', 1) AND m.at BETWEEN l.at - 3600 AND l.at + 3600""")
 add("stream_link_rewrite", _links, "source_blocks token_map", r"""
 SELECT l.doc_id, l.idx, CASE WHEN m.dst IS NULL THEN l.url ELSE 'https://target.example/wiki/' || m.dst || regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)(.*)$', 2) END AS new_url, m.dst IS NOT NULL AS replaced
 FROM source_blocks l LEFT JOIN token_map m ON l.url LIKE 'https://source.example/%' AND m.src = regexp_extract(l.url, '/wiki/([A-Za-z0-9]+)', 1) WHERE l.url <> ''""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources import buckets as B
 from ..sources import landing as D
 from ..sources import sinks as W
 from .base import Registry, new_folder
@@ -87,8 +88,21 @@ add(
 )
 _old = lambda t: t.items.where("idx % 2 = 0").select(F.col("text").alias("key"), F.lit("old").alias("value"), F.lit(0).cast("long").alias("at")).dropDuplicates(["key"])
 _new = lambda t: t.items.where("idx % 3 = 0").select(F.col("text").alias("key"), F.concat(F.lit("v"), F.col("doc_id") * 100000 + F.col("idx")).alias("value"), (F.col("doc_id") * 100000 + F.col("idx")).alias("at"))
-add("sink_upsert", lambda t: W.sink_upsert(_old(t), _new(t), "key", "at"), "items", """WITH n AS (SELECT text AS key, max(doc_id * 100000 + idx) AS "at" FROM items WHERE idx % 3 = 0 GROUP BY text)
-SELECT key, 'v' || "at" AS value, "at" FROM n UNION ALL SELECT DISTINCT text, 'old', 0 FROM items WHERE idx % 2 = 0 AND text NOT IN (SELECT key FROM n)""")
+_UPSERT_SQL = """WITH n AS (SELECT text AS key, max(doc_id * 100000 + idx) AS "at" FROM items WHERE idx % 3 = 0 GROUP BY text)
+SELECT key, 'v' || "at" AS value, "at" FROM n UNION ALL SELECT DISTINCT text, 'old', 0 FROM items WHERE idx % 2 = 0 AND text NOT IN (SELECT key FROM n)"""
+add("sink_upsert", lambda t: W.sink_upsert(_old(t), _new(t), "key", "at"), "items", _UPSERT_SQL)
+
+
+def _upsert_table(t):
+    """The old rows and then the new ones go into a table of buckets; one batch comes twice."""
+    table = new_folder(t.spark, "upserted")
+    B.upsert(_old(t), table, "key", ["at", "value"], 16, batch=0)
+    for _ in range(2):
+        B.upsert(_new(t), table, "key", ["at", "value"], batch=1)
+    return B.read_table(t.spark, table)
+
+
+add("sink_upsert_table", _upsert_table, "items", _UPSERT_SQL)
 
 
 def _insert_ignore(t):

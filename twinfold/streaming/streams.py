@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.calls import outage_fold
 from ..operators.links import url_rewrite
-from ..shipping import ship
+from ..sources.buckets import read_table, upsert
 
 
 def stream_transform(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], good: str, bad: str, is_bad: str, checkpoint: str) -> StreamingQuery:
@@ -34,53 +31,37 @@ def stream_quota_windows(stream: DataFrame, length: str, slide: str, late: str =
     return stream.withWatermark("ts", late).groupBy(F.window("ts", length, slide), "resource").agg(F.count("*").alias("n_calls")).select("resource", F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n_calls")
 
 
-def stream_outage_state(stream: DataFrame, after: int = 5, rest_s: int = 30, late: str = "1 day") -> DataFrame:
-    """Live state of each resource after each micro-batch; state times out once the watermark is a day past a resource's last call."""
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        kept = state.get if state.exists else ("closed", 0, 0, 0)
-        now = dict(zip(("state", "bad", "good", "since"), kept, strict=True))
-        calls = pd.concat(parts).sort_values(["us", "call_id"])
-        got = outage_fold(calls["us"].tolist(), calls["ok"].tolist(), now, after, rest_s * 1_000_000)
-        state.update((now["state"], now["bad"], now["good"], now["since"]))
-        state.setTimeoutTimestamp(max(int(calls["us"].iloc[-1]) // 1000, state.getCurrentWatermarkMs()) + 86_400_000)
-        yield pd.DataFrame({"resource": [key[0]], "state": [now["state"]], "n_calls": [len(got)], "n_suppressed": [sum(s for _, s in got)]})
-
-    ship(stream.sparkSession)
-    rows = stream.withWatermark("ts", late).select("resource", "call_id", "ts", F.unix_micros("ts").alias("us"), "ok")
-    return rows.groupBy("resource").applyInPandasWithState(step, "resource string, state string, n_calls long, n_suppressed long", "state string, bad int, good int, since long", "update", GroupStateTimeout.EventTimeTimeout)
-
-
 def stream_link_rewrite(stream: DataFrame, mapping: DataFrame, good: str, checkpoint: str) -> StreamingQuery:
     """Links of arriving blocks rewritten from the current token map."""
     return stream_transform(stream, lambda batch: url_rewrite(batch, mapping), good, f"{good}-bad", "url is null", checkpoint)
 
 
-def stream_cache_upsert(stream: DataFrame, cache: str, checkpoint: str) -> StreamingQuery:
-    """Accepted translations (key, translated, at) upserted each micro-batch.
+def stream_late_links(links: DataFrame, tokens: DataFrame, wait: str = "1 hour", source: str = "source.example", target: str = "target.example") -> DataFrame:
+    """doc_id, idx, new_url and replaced of links (doc_id, idx, url, ts) whose token may be mapped (src, dst, ts) only later.
 
-    A batch writes its own newest row a key and nothing else, so its cost doesn't grow with the cache; a batch that
-    runs twice overwrites itself. cached() reads the newest row of each key, compact() makes one table of the batches.
+    A link and a token meet if the token came at most `wait` before or after the link. A link is rewritten as soon as
+    both are there, and comes out as it was once the watermark says that no token for it can come. Of the times that a
+    token is mapped within `wait` the first counts. What was mapped long ago is joined to links beforehand (`stream_link_rewrite`).
     """
+    pattern = rf"(?is)https?://{source.replace('.', '[.]')}/(?:wiki|docx|base|sheets)/([A-Za-z0-9]+)(.*)$"
+    asked = links.withWatermark("ts", wait).withColumns({"_src": F.regexp_extract("url", pattern, 1), "_rest": F.regexp_extract("url", pattern, 2)})
+    known = tokens.withWatermark("ts", wait).dropDuplicatesWithinWatermark(["src"]).select("src", "dst", F.col("ts").alias("mapped_at"))
+    near = F.expr(f"_src = src AND mapped_at BETWEEN ts - INTERVAL {wait} AND ts + INTERVAL {wait}")
+    new = F.concat(F.lit(f"https://{target}/wiki/"), "dst", "_rest")
+    return asked.join(known, near, "left").select("doc_id", "idx", F.coalesce(new, "url").alias("new_url"), F.col("dst").isNotNull().alias("replaced"))
 
-    def sink(batch: DataFrame, number: int) -> None:
-        newest(batch).write.mode("overwrite").parquet(f"{cache}/batch={number}")
-
-    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def stream_cache_upsert(stream: DataFrame, cache: str, checkpoint: str, n_buckets: int = 64) -> StreamingQuery:
+    """Accepted translations (key, translated, at) upserted into a bucketed table each micro-batch, the newest row of a key staying; read it with cached().
 
-def newest(rows: DataFrame) -> DataFrame:
-    """The row of the largest at for each key; of equal ones that of the largest translation."""
-    return rows.groupBy("key").agg(F.max(F.struct("at", "translated")).alias("r")).select("key", "r.translated", "r.at")
+    A batch that runs twice changes nothing: the table remembers the number of the batch that made each version.
+    """
 
+    def sink(batch: DataFrame, number: int) -> None:
+        upsert(batch, cache, "key", ["at", "translated"], n_buckets, batch=number)
 
-def cached(spark: SparkSession, cache: str) -> DataFrame:
-    return newest(spark.read.parquet(cache))
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def compact(spark: SparkSession, cache: str, into: str) -> None:
-    """One batch holding the cache as it is, to read instead of all batches up to now."""
-    cached(spark, cache).write.parquet(f"{into}/batch=0")
+def cached(spark: SparkSession, cache: str) -> DataFrame:
+    return read_table(spark, cache).select("key", "translated", "at")
