@@ -7,15 +7,51 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def tree_walk_dfs(nodes: DataFrame, max_depth: int = 10) -> DataFrame:
-    """token, depth and dfs_rank within its root's tree, pre-order, children in listing order; max_depth is still walked. Cycles end there too."""
-    level = nodes.where("parent_token = ''").select("node_token", F.col("node_token").alias("root"), "has_child", F.lit(0).alias("depth"), F.array("pos").alias("path"))
-    levels, child = [level], nodes.select(F.col("node_token").alias("c"), "parent_token", F.col("has_child").alias("more"), "pos")
-    for d in range(1, max_depth + 1):
-        level = level.where("has_child").join(child, F.col("node_token") == F.col("parent_token")).select(F.col("c").alias("node_token"), "root", F.col("more").alias("has_child"), F.lit(d).alias("depth"), F.concat("path", F.array("pos")).alias("path"))
+from ..staging import written
+
+
+def summed_before(rows: DataFrame, keys: list[str], order: list[str], value: str, out: str, span: int) -> DataFrame:
+    """rows with out, the sum of value over the rows of the same keys that come before; order begins with a number.
+
+    Sums run within spans of that number, and the spans' totals (a row each) are summed in order, so that a key of very
+    many rows is many windows.
+    """
+    spans = rows.withColumn("_span", F.floor(F.col(order[0]) / span))
+    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    totals = spans.groupBy(*keys, "_span").agg(F.sum(value).alias("_total")).select(*keys, "_span", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*keys, "_span").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = spans.withColumn("_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return own.join(totals, [*keys, "_span"]).withColumn(out, F.col("_before") + F.col("_own")).drop("_span", "_before", "_own")
+
+
+def tree_walk_dfs(nodes: DataFrame, max_depth: int = 10, span: int = 100_000) -> DataFrame:
+    """root, node_token, depth and dfs_rank within its root's tree, pre-order, children in listing order; max_depth is still walked. Cycles end there too.
+
+    Levels are joined one after the other and written once. A subtree's size is the number of nodes that have its top on
+    their way; a node stands behind its parent and the subtrees of its earlier siblings, so its rank is the sum of these
+    over its way. No task sees a whole tree, however many nodes a root or a parent has.
+    """
+    child = nodes.select(F.col("node_token").alias("c"), "parent_token", F.col("has_child").alias("more"), F.col("pos").alias("at"))
+    level = nodes.where("parent_token = ''").select("node_token", F.col("node_token").alias("root"), "has_child", "pos", F.array().cast("array<bigint>").alias("way"))
+    levels: list[DataFrame] = []
+    for depth in range(max_depth + 1):
+        # what is walked along is an occurrence of a node: one that is listed twice has two
+        level = written(level.withColumn("way", F.concat("way", F.array(F.monotonically_increasing_id()))), f"level-{depth}")
+        if level.isEmpty():
+            break
         levels.append(level)
-    return reduce(DataFrame.union, levels).withColumn("dfs_rank", F.row_number().over(Window.partitionBy("root").orderBy("path"))).select("root", "node_token", "depth", "dfs_rank")
+        level = level.where("has_child").join(child, F.col("node_token") == F.col("parent_token")).select(F.col("c").alias("node_token"), "root", F.col("more").alias("has_child"), F.col("at").alias("pos"), "way")
+    if not levels:
+        return level.select("root", "node_token", F.lit(0).alias("depth"), F.lit(1).cast("bigint").alias("dfs_rank"))
+    walked = reduce(DataFrame.union, levels).select("root", "node_token", "pos", "way", (F.size("way") - 1).alias("depth"))
+    steps = walked.select(F.posexplode("way").alias("depth", "id"))
+    sizes = steps.groupBy("depth", "id").agg(F.count("*").alias("size"))
+    placed = walked.select("depth", F.element_at("way", -1).alias("id"), F.try_element_at("way", F.lit(-2)).alias("parent"), "pos", "node_token").where("depth > 0").join(sizes, ["depth", "id"])
+    behind = summed_before(placed, ["depth", "parent"], ["pos", "node_token", "id"], "size", "before", span).select("depth", "id", (F.col("before") + 1).alias("behind"))
+    ways = walked.select(F.col("depth").alias("own"), F.element_at("way", -1).alias("me"), F.posexplode("way").alias("depth", "id")).where("depth > 0")
+    ranks = ways.join(behind, ["depth", "id"]).groupBy("own", "me").agg(F.sum("behind").alias("steps"))
+    found = walked.withColumn("me", F.element_at("way", -1)).join(ranks.withColumnRenamed("own", "depth"), ["depth", "me"], "left")
+    return found.select("root", "node_token", "depth", (1 + F.coalesce("steps", F.lit(0))).alias("dfs_rank"))
 
 
 def children_index(nodes: DataFrame) -> DataFrame:

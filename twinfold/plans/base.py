@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..staging import new_folder
 from .inputs import frame, oracle
 
-
-_own_dir: list[str] = []
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share. Where that is unset, a folder of this machine, if the master is local."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        if not _own_dir:
-            _own_dir.append(f"file://{tempfile.mkdtemp(prefix='spark-')}")
-        found = _own_dir[0]
-    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+__all__ = ["Registry", "Tables", "new_folder"]
 
 
 class Tables:
