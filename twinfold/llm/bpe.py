@@ -11,6 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,7 +96,7 @@ class Encoder:
     crosses a stretch; other files are turned down.
     """
 
-    MEMO = 150_000
+    MEMO = 200_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -116,16 +117,16 @@ class Encoder:
         if any(set(s) & set(" \t\n\r\x0b\x0c") for s in self.specials):
             raise ValueError(f"{path} has special tokens with white space")
         self.ids, self.end = model["vocab"], model.get("end_of_word_suffix") or ""
-        self.names = {i: t for t, i in self.ids.items()}
+        self.names = pa.array([self.tokenizer.id_to_token(i) or "" for i in range(1 + max([*self.ids.values(), *(t["id"] for t in spec["added_tokens"])], default=-1))], pa.string())
         self.pairs = Pairs(self.ids, [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
         self.last = {t.removesuffix(self.end): i for t, i in self.ids.items() if t.endswith(self.end)}
         self.longest = max(map(len, self.ids), default=1)
         # for ASCII the usual rules come to this pattern over lower-case text
         rules = {"normalizer": spec["normalizer"], "pre_tokenizer": spec["pre_tokenizer"]}
         self.ascii = re.compile(_ASCII_WORDS) if rules == _USUAL else None
-        self.memo: tuple[dict[bytes, bytes], dict[bytes, str]] = {}, {}  # ids, decoding of each stretch
-        self.old = self.memo
-        self.words: dict[str, tuple[bytes, str]] = {}
+        self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _words(self, stretch: str) -> list[str]:
         return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(stretch))]
@@ -184,15 +185,13 @@ class Encoder:
         return found
 
     def _learn(self, stretches: list[bytes]) -> None:
-        ids_of, text_of = self.memo
         shown = b" ".join(stretches).decode("utf-8", "replace").split(" ")
         together = " ".join(shown)
         apart: list[list[str] | None] = [None] * len(shown)
         if any(x in together for x in self.specials):
             for i, s in enumerate(shown):
                 if any(x in s for x in self.specials):
-                    e = self.tokenizer.encode(s, add_special_tokens=False)
-                    ids_of[stretches[i]], text_of[stretches[i]] = array("I", e.ids).tobytes(), self.tokenizer.decode(e.ids, skip_special_tokens=False)
+                    self.memo[stretches[i]] = array("I", self.tokenizer.encode(s, add_special_tokens=False).ids).tobytes()
                     apart[i] = []
         if self.ascii:
             for i, s in enumerate(shown):
@@ -204,28 +203,36 @@ class Encoder:
             apart[i] = words
         new = list(set().union(*apart).difference(self.words))
         for word, ids in zip(new, self.speculate(new), strict=True):
-            ids = [t.id for t in self.tokenizer.model.tokenize(word)] if ids is None else ids
-            self.words[word] = array("I", ids).tobytes(), " ".join(map(self.names.__getitem__, ids))
+            self.words[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)] if ids is None else ids).tobytes()
         for raw, words in zip(stretches, apart, strict=True):
             if len(words) == 1:
-                ids_of[raw], text_of[raw] = self.words[words[0]]
-            elif raw not in ids_of:
-                found = [self.words[w] for w in words]
-                ids_of[raw], text_of[raw] = b"".join([x for x, _ in found]), " ".join([x for _, x in found])
+                self.memo[raw] = self.words[words[0]]
+            elif raw not in self.memo:
+                self.memo[raw] = b"".join(map(self.words.__getitem__, words))
 
-    def __call__(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian unsigned 32-bit integers, the decoded text) of each text."""
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.encode("utf-8", "replace").split() for t in texts]
-        if len(self.memo[0]) > self.MEMO:  # what isn't asked for until the next time is forgotten
-            self.old, self.memo, self.words = self.memo, ({}, {}), {}
-        new = set().union(*split).difference(self.memo[0])
-        known = new.intersection(self.old[0])
-        for now, old in zip(self.memo, self.old, strict=True):
-            now.update(zip(known, map(old.__getitem__, known), strict=True))
+        if len(self.memo) > self.MEMO:  # what isn't asked for until the next time is forgotten
+            self.old, self.memo, self.words = self.memo, {}, {}
+        new = set().union(*split).difference(self.memo)
+        known = new.intersection(self.old)
+        self.memo.update(zip(known, map(self.old.__getitem__, known), strict=True))
         if new := list(new - known):
             self._learn(new)
-        ids_of, text_of = (x.__getitem__ for x in self.memo)
-        return [(b"".join(map(ids_of, stretches)), " ".join(filter(None, map(text_of, stretches)))) for stretches in split]
+        ids_of = self.memo.__getitem__
+        return [b"".join(map(ids_of, stretches)) for stretches in split]
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Without a decoder of its own the file's tokens stand with spaces between them, special ones too."""
+        tokens = pa.ListArray.from_arrays(ids.offsets, self.names.take(ids.values))
+        return pc.binary_join(tokens, " ")
+
+
+def listed(packed: list[bytes]) -> pa.ListArray:
+    """Packed ids of each text as lists."""
+    cuts = np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed]))).astype(np.int32)
+    return pa.ListArray.from_arrays(cuts, pa.array(np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)))
 
 
 _own: dict[str, Encoder] = {}
@@ -258,12 +265,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep
                 part = whole.slice(at, len(texts))
                 at += len(texts)
                 found = encoder(texts)
-                if packed:
-                    ids = pa.array([x for x, _ in found], pa.binary())
-                else:
-                    cuts = np.concatenate(([0], np.cumsum([len(x) // 4 for x, _ in found]))).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(cuts, pa.array(np.frombuffer(b"".join(x for x, _ in found), dtype="<u4").astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(inner))], ids, pa.array([x for _, x in found], pa.string())], names=[*inner, "ids", "decoded"])
+                ids = listed(found)
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(inner))], pa.array(found, pa.binary()) if packed else ids, encoder.decode(ids)], names=[*inner, "ids", "decoded"])
 
     schema = ", ".join([*kinds, f"ids {'binary' if packed else 'array<int>'}", "decoded string"])
     return map_arrow(given, run, schema).toDF(*keep, *beside(list(keep), ["ids", "decoded"]))
