@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..sources import buckets as B
 from ..sources import landing as D
+from ..sources import pages as G
 from ..sources import sinks as W
 from .base import Registry, new_folder
 
@@ -26,6 +27,24 @@ def _nodes(t):
     return D.src_nodes(t.spark, _land(t, pages.select("page_no", F.struct("items", F.lit(True).alias("has_more")).alias("data")))).select("pos", "node_token", "parent_node_token", "title", "obj_edit_time", "has_child")
 
 
+def _node_pages(t):
+    """Pages of fifty as files of their own, of which the last third stands behind the one that says it is the last."""
+    node = F.struct("node_token", F.col("parent_token").alias("parent_node_token"), "obj_token", F.lit("docx").alias("obj_type"), "title", F.col("edit_ms").cast("string").alias("obj_edit_time"), "has_child")
+    pages = t.nodes.groupBy(F.floor(F.col("pos") / 50).alias("page_no")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", node.alias("n")))), lambda x: x["n"]).alias("items"))
+    final = t.nodes.agg(F.floor(F.max("pos") / 75).alias("final"))
+    ended = pages.crossJoin(F.broadcast(final)).select("page_no", F.struct("items", (F.col("page_no") != F.col("final")).alias("has_more")).alias("data"))
+    path = new_folder(t.spark, "pages")
+    ended.write.partitionBy("page_no").json(path)
+    return G.src_node_pages(t.spark, path, ["page_no", "item", "node_token", "parent_node_token", "title", "has_child"], 10).where("page_no >= 1 and has_child = true")
+
+
+def _batch_files(t):
+    path = new_folder(t.spark, "batches")
+    rows = t.orders.select(F.pmod(F.col("o_custkey"), F.lit(8)).alias("bucket"), "o_orderkey")
+    G.write_batches(W.sink_chunked_batches(rows, "bucket", "o_orderkey", span=1000), "bucket", "o_orderkey", path)
+    return G.read_batches(t.spark, path, "bucket long, o_orderkey long").select("batch", "o_orderkey")
+
+
 def _records(t):
     rows = t.state.select("record_id", F.create_map(F.lit("status"), F.col("status"), F.lit("title"), F.col("title")).alias("fields"))
     return D.src_records(t.spark, _land(t, rows), "fields['status'] <> 'Done'", None, ["status", "title"])
@@ -50,6 +69,9 @@ add(
     SELECT CAST(floor(pos / 50.0) AS BIGINT) * 1000000 + row_number() OVER (PARTITION BY floor(pos / 50.0) ORDER BY pos) - 1 AS pos, node_token, parent_token AS parent_node_token, title, CAST(edit_ms AS VARCHAR) AS obj_edit_time, has_child
     FROM nodes""",
 )
+add("src_node_pages", _node_pages, "nodes", """
+WITH p AS (SELECT *, CAST(floor(pos / 50.0) AS BIGINT) AS page_no, CAST(row_number() OVER (PARTITION BY floor(pos / 50.0) ORDER BY pos) - 1 AS INTEGER) AS item FROM nodes)
+SELECT page_no, item, node_token, parent_token AS parent_node_token, title, has_child FROM p WHERE page_no >= 1 AND has_child AND page_no <= (SELECT CAST(floor(max(pos) / 75.0) AS BIGINT) FROM nodes)""")
 add("src_records", _records, "state", "SELECT record_id, status, title FROM state WHERE status <> 'Done'")
 add("src_blocks", _blocks, "source_blocks", "SELECT doc_id, idx, block_id, block_type, content, url FROM source_blocks")
 add(
@@ -86,6 +108,8 @@ add(
     SELECT o_custkey % 8 AS bucket, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_custkey % 8 ORDER BY o_orderkey) - 1) / 500.0) AS BIGINT) AS batch_id
     FROM orders""",
 )
+add("sink_batch_files", _batch_files, "", """
+SELECT 'batch-' || (o_custkey % 8) || '-' || CAST(floor((row_number() OVER (PARTITION BY o_custkey % 8 ORDER BY o_orderkey) - 1) / 500.0) AS BIGINT) AS batch, o_orderkey FROM orders""")
 _old = lambda t: t.items.where("idx % 2 = 0").select(F.col("text").alias("key"), F.lit("old").alias("value"), F.lit(0).cast("long").alias("at")).dropDuplicates(["key"])
 _new = lambda t: t.items.where("idx % 3 = 0").select(F.col("text").alias("key"), F.concat(F.lit("v"), F.col("doc_id") * 100000 + F.col("idx")).alias("value"), (F.col("doc_id") * 100000 + F.col("idx")).alias("at"))
 _UPSERT_SQL = """WITH n AS (SELECT text AS key, max(doc_id * 100000 + idx) AS "at" FROM items WHERE idx % 3 = 0 GROUP BY text)
