@@ -85,13 +85,18 @@ def looks_untranslated(source: Column, output: Column, pattern: str = CJK, share
 
 
 def assess_quality(source: Column, output: Column, pattern: str = CJK, words: list[str] = UNACCENTED) -> Column:
-    """struct(passed, issues, cjk_count, unaccented, in_len, out_len, ratio). Only an empty, leaking or untranslated output fails."""
+    """struct(passed, issues, cjk_count, unaccented, in_len, out_len, ratio, detail). Only an empty, leaking or untranslated output fails."""
     given, made = F.length(F.coalesce(source, F.lit(""))), F.length(F.coalesce(output, F.lit("")))
     ratio, cjk, bare = made / F.greatest(given, F.lit(1)), cjk_count(output, pattern), unaccented_count(output, words)
     rules = [("empty_output", is_blank(output) & ~is_blank(source)), ("cjk_leak", cjk > 0), ("unaccented", bare > 0), ("looks_untranslated", looks_untranslated(source, output, pattern)), ("suspicious_ratio", (given >= 20) & (made > 0) & ((ratio < 0.2) | (ratio > 5.0)))]
     issues = F.array_compact(F.array(*[F.when(test, name) for name, test in rules]))
     failed = rules[0][1] | rules[1][1] | rules[3][1]
-    return F.struct((~failed).alias("passed"), issues.alias("issues"), cjk.alias("cjk_count"), bare.alias("unaccented"), given.alias("in_len"), made.alias("out_len"), ratio.alias("ratio"))
+    # hundredths in whole numbers, halves to the even one
+    whole, rest = F.floor(100 * made / F.greatest(given, F.lit(1))), (100 * made) % F.greatest(given, F.lit(1))
+    parts = whole + F.when((2 * rest > given) | ((2 * rest == given) & (whole % 2 == 1)), 1).otherwise(0)
+    shown = F.when(given > 0, F.concat(F.lit("ratio="), F.floor(parts / 100).cast("string"), F.lit("."), F.lpad((parts % 100).cast("string"), 2, "0")))
+    detail = F.concat_ws(" ", F.when(cjk > 0, F.concat(F.lit("cjk="), cjk.cast("string"))), F.when(bare > 0, F.concat(F.lit("unacc="), bare.cast("string"))), shown)
+    return F.struct((~failed).alias("passed"), issues.alias("issues"), cjk.alias("cjk_count"), bare.alias("unaccented"), given.alias("in_len"), made.alias("out_len"), ratio.alias("ratio"), detail.alias("detail"))
 
 
 def cache_key(text: Column, lang: str = "en", mode: str = "content") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: How a record ends in a run.
@@ -11,6 +11,22 @@ OUTCOMES = ("OK", "SKIP", "FAIL", "RETRY", "INFO")
 _LINE = r"^(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ) \[([A-Z_]+)\] (OK|SKIP|FAIL|RETRY|INFO)(?: (.*))?$"
 
 
+#: The fields of each stage by their role, and a stage's value in the overview.
+STAGE_FIELDS = {
+    "crawl": {"status": "Crawl Status", "completed_at": "Crawl At", "attempts": "Crawl Attempts", "error": "Crawl Error"},
+    "placeholder": {"status": "Placeholder Status", "completed_at": "Placeholder Created At", "error": "Placeholder Error"},
+    "clone": {"status": "Clone Status", "started_at": "Clone Started At", "completed_at": "Clone Completed At", "duration": "Clone Duration Seconds", "attempts": "Clone Attempts", "error": "Clone Error"},
+    "translate": {
+        "status": "Translate Status", "started_at": "Translate Started At", "completed_at": "Translate Completed At", "duration": "Translate Duration Seconds", "attempts": "Translate Attempts", "error": "Translate Error",
+    },
+    "mirror": {"status": "Mirror Wiki Status", "started_at": "Mirror Started At", "completed_at": "Mirror Completed At", "duration": "Mirror Duration Seconds", "attempts": "Mirror Attempts", "error": "Mirror Error"},
+    "sync": {"status": "Mirror Wiki Status", "completed_at": "Mirror Last Synced At", "attempts": "Sync Attempts", "error": "Sync Error"},
+    "backlinks": {"status": "Backlink Fix Status", "completed_at": "Backlink Fix At"},
+    "tree_order": {"status": "Tree Order Status", "completed_at": "Tree Order Last Audit"},
+}
+PIPELINE_STAGES = {"crawl": "Crawling", "placeholder": "Placeholder", "clone": "Cloning", "translate": "Translating", "mirror": "Mirroring", "sync": "Syncing", "tree_order": "Reordering"}
+
+
 def record_flags(state: DataFrame) -> DataFrame:
     s, t = F.col("status"), F.col("translate_status")
     link, target = F.coalesce("link_clone", F.lit("")) != "", F.coalesce("mirror_token", F.lit("")) != ""
@@ -57,10 +73,51 @@ def run_counters(outcomes: DataFrame) -> DataFrame:
     return n
 
 
+def run_totals(outcomes: DataFrame, stages: tuple[str, ...] = ("clone", "translate", "mirror")) -> DataFrame:
+    """One row a run: records it saw, and of these with a failed stage, with stages skipped alone, and processed ones; done and failed of each stage."""
+    each = outcomes.groupBy("run_id", "record_id").agg(
+        F.bool_or(F.col("outcome") == "FAIL").alias("_failed"), F.bool_and(F.col("outcome") == "SKIP").alias("_skipped"),
+        *[F.count_if((F.col("stage") == s) & (F.col("outcome") == o)).alias(f"{s}_{n}") for s in stages for o, n in (("OK", "done"), ("FAIL", "failed"))],
+    )
+    sums = [F.sum(c).alias(c) for c in each.columns if c.endswith(("_done", "_failed")) and not c.startswith("_")]
+    return each.groupBy("run_id").agg(
+        F.count("*").alias("records_total"), F.count_if(~F.col("_failed") & ~F.col("_skipped")).alias("records_processed"), F.count_if("_skipped").alias("records_skipped"), F.count_if("_failed").alias("records_failed"), *sums
+    )
+
+
 def status_board(state: DataFrame, column: str = "status") -> DataFrame:
     return state.groupBy(F.col(column).alias("stage")).agg(F.count("*").alias("n"))
 
 
+def stage_fields(spark: SparkSession) -> DataFrame:
+    """The table of fields (stage, role, field), and the overview value of a stage that has one."""
+    rows = [(stage, role, field, PIPELINE_STAGES.get(stage)) for stage, roles in STAGE_FIELDS.items() for role, field in roles.items()]
+    return spark.createDataFrame(rows, "stage string, role string, field string, overview string")
+
+
+def stage_field_starts(records: DataFrame, fields: DataFrame, at_ms: int, worker: str = "") -> DataFrame:
+    """(record_id, stage, field, value) that a start sets. records: record_id, stage; fields: see stage_fields, a few dozen rows."""
+    at = F.lit(str(at_ms))
+    values = F.when(F.col("role") == "status", "Running").when(F.col("role") == "started_at", at)
+    own = records.join(F.broadcast(fields), "stage").select("record_id", "stage", "field", values.alias("value")).where("value is not null")
+    overview = F.create_map(*[F.lit(x) for pair in PIPELINE_STAGES.items() for x in pair])[F.col("stage")]
+    always = [("Pipeline Stage", overview), ("Last Activity At", at), ("Current Worker", F.nullif(F.lit(worker), F.lit("")))]
+    common = records.select("record_id", "stage", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.alias("value")) for n, v in always])).alias("f")).select("record_id", "stage", "f.*").where("value is not null")
+    return own.unionByName(common)
+
+
+def stage_field_ends(results: DataFrame, fields: DataFrame, at_ms: int) -> DataFrame:
+    """(record_id, stage, field, value) that an end sets. results: record_id, stage, outcome, seconds, error."""
+    at, o = F.lit(str(at_ms)), F.col("outcome")
+    done = stage_finish_patch(results.select("record_id", "stage", "outcome", "seconds", "error")).withColumn("failed", F.col("pipeline_stage") == "Failed")
+    role = F.col("role")
+    value = F.when(role == "status", F.col("status")).when(role == "completed_at", at).when(role == "duration", F.col("duration").cast("string")).when(role == "error", F.nullif("error", F.lit("")))
+    own = done.join(F.broadcast(fields), "stage").select("record_id", "stage", "field", value.alias("value")).where("value is not null")
+    always = [("Pipeline Stage", F.when(o == "FAIL", "Failed")), ("Last Activity At", at)]
+    common = results.select("record_id", "stage", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.alias("value")) for n, v in always])).alias("f")).select("record_id", "stage", "f.*").where("value is not null")
+    return own.unionByName(common)
+
+
 def stage_start_patch(records: DataFrame, at: str, worker: str) -> DataFrame:
     """records: record_id, stage."""
     return records.select("record_id", F.lit("Running").alias("status"), F.to_timestamp(F.lit(at)).alias("started_at"), F.upper("stage").alias("pipeline_stage"), F.lit(worker).alias("worker"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CJK, assess_quality, cache_key, clean_artifacts, has_cjk
 from ..shipping import map_pandas
+from ..staging import written
 from .blocks import block_text_field
 
 MARK = "<<<item-{}>>>"
@@ -100,6 +103,30 @@ def split_failed_batches(packed: DataFrame, failed: DataFrame) -> DataFrame:
     return packed.join(failed, ["doc_id", "batch_no"]).select("doc_id", "idx", "batch_no", i.alias("_i"), n.alias("_n")).select("doc_id", "idx", (F.col("batch_no") * 2 + (F.col("_i") >= F.floor(F.col("_n") / 2)).cast("int")).alias("half_no"), F.when(F.col("_n") == 1, "failed").otherwise("retry").alias("state"))
 
 
+def translate_rounds(packed: DataFrame, fn) -> DataFrame:
+    """doc_id, idx, state, text, n_rounds: batches go to fn (list of messages -> list of replies) and back until every item has its text or stands alone and failed.
+
+    packed: doc_id, idx, batch_no, text. Batches whose reply doesn't parse are halved for the next round, single items
+    end as failed. Each round asks for half as many items a batch, so there are as many as the largest batch can be
+    halved, and each is written: nothing is asked twice.
+    """
+    left, done, n = packed.select("doc_id", F.col("idx").cast("long").alias("idx"), F.col("batch_no").cast("long").alias("batch_no"), "text"), [], 0
+    while True:
+        n += 1
+        messages = written(batch_message(left), "messages")
+        replies = map_translate(messages, fn).join(messages.select("doc_id", "batch_no", "n_items"), ["doc_id", "batch_no"])
+        parsed = written(replies.select("doc_id", "batch_no", "n_items", parse_batch_response(F.col("raw"), F.col("n_items").cast("int")).alias("parsed")), "replies")
+        placed = left.withColumn("i", F.row_number().over(Window.partitionBy("doc_id", "batch_no").orderBy("idx")) - 1)
+        good = parsed.where("parsed is not null").select("doc_id", "batch_no", F.explode("parsed").alias("p")).select("doc_id", "batch_no", "p.i", F.col("p.text").alias("reply"))
+        done.append(placed.join(good, ["doc_id", "batch_no", "i"]).select("doc_id", "idx", F.lit("done").alias("state"), F.col("reply").alias("text"), F.lit(n).alias("n_rounds")))
+        failed = parsed.where("parsed is null").select("doc_id", "batch_no")
+        halves = written(split_failed_batches(left, failed).join(left.select("doc_id", "idx", "text"), ["doc_id", "idx"]), "halves")
+        done.append(halves.where("state = 'failed'").select("doc_id", "idx", "state", F.lit(None).cast("string").alias("text"), F.lit(n).alias("n_rounds")))
+        left = halves.where("state = 'retry'").select("doc_id", "idx", F.col("half_no").alias("batch_no"), "text")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+
+
 def absorb_results(items: DataFrame, pattern: str = CJK) -> DataFrame:
     """Final state of answered items (input, output): accepted and cached, kept but not cached, or failed when empty."""
     q = items.withColumn("_q", assess_quality(F.col("input"), F.col("output"), pattern))
@@ -113,6 +140,11 @@ def translate_fallback(replies: DataFrame, pattern: str = CJK) -> DataFrame:
     return q.groupBy("item_id").agg(F.coalesce(F.min_by("output", F.when(F.col("_p"), F.col("attempt"))), F.max_by("output", F.when(F.col("output").isNotNull(), F.col("attempt"))), F.min("input")).alias("text"), F.bool_or("_p").alias("passed"))
 
 
+def items_per_call(packed: DataFrame) -> DataFrame:
+    """Per document: batches sent, and items in one on average. packed: doc_id, batch_no."""
+    return packed.groupBy("doc_id", "batch_no").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.count("*").alias("n_calls"), F.avg("n").alias("avg_items"))
+
+
 def translate_stats(routed: DataFrame) -> DataFrame:
     """Per document: items that need translating, done, failed, cache share, outcome. routed: doc_id, route, state."""
     n = routed.groupBy("doc_id").agg(F.count_if(F.col("route") != "skip").alias("n_needed"), F.count_if((F.col("route") != "skip") & (F.col("state") != "failed")).alias("n_ok"), F.count_if((F.col("route") != "skip") & (F.col("state") == "failed")).alias("n_fail"), F.count_if(F.col("route") == "cache").alias("n_hits"))

@@ -267,11 +267,14 @@ add(
 _quality = lambda t: t.pairs.select("conv_id", "turn", X.assess_quality(F.col("input"), F.col("output"), _P, _WORDS).alias("q"))
 add(
     "assess_quality",
-    lambda t: _quality(t).select("conv_id", "turn", "q.passed", F.array_join("q.issues", ",").alias("issues"), F.col("q.cjk_count").cast("long").alias("cjk_count"), F.col("q.unaccented").cast("long").alias("unaccented"), F.col("q.ratio").alias("ratio")),
+    lambda t: _quality(t).select("conv_id", "turn", "q.passed", F.array_join("q.issues", ",").alias("issues"), F.col("q.cjk_count").cast("long").alias("cjk_count"), F.col("q.unaccented").cast("long").alias("unaccented"), F.col("q.ratio").alias("ratio"), "q.detail"),
     "pairs",
     f"""
-    WITH {_QUAL} SELECT conv_id, turn, passed, issues, CAST(cjk AS BIGINT) AS cjk_count, CAST(bare AS BIGINT) AS unaccented, ratio
-    FROM q""",
+    WITH {_QUAL}, h AS (SELECT *, length(coalesce(input, '')) AS g, length(coalesce(output, '')) AS o, 100 * length(coalesce(output, '')) // greatest(length(coalesce(input, '')), 1) AS w FROM q),
+    k AS (SELECT *, w + CASE WHEN 2 * (100 * o - w * g) > g OR 2 * (100 * o - w * g) = g AND w % 2 = 1 THEN 1 ELSE 0 END AS p FROM h)
+    SELECT conv_id, turn, passed, issues, CAST(cjk AS BIGINT) AS cjk_count, CAST(bare AS BIGINT) AS unaccented, ratio,
+      concat_ws(' ', CASE WHEN cjk > 0 THEN 'cjk=' || cjk END, CASE WHEN bare > 0 THEN 'unacc=' || bare END, CASE WHEN g > 0 THEN 'ratio=' || (p // 100) || '.' || lpad(CAST(p % 100 AS VARCHAR), 2, '0') END) AS detail
+    FROM k""",
 )
 add(
     "quality_summary",
@@ -389,6 +392,15 @@ add(
     FROM nu JOIN ms USING (doc_id, batch_no)
     WHERE bad = 0""",
 )
+add("items_per_call", lambda t: T.items_per_call(_packed(t)), "items", f"{_PACK} SELECT doc_id, count(DISTINCT batch_no) AS n_calls, count(*) / count(DISTINCT batch_no) AS avg_items FROM pk GROUP BY doc_id")
+_LEN = "length('<<<item-' || i || '>>>') + 1 + length(text)"
+add("translate_rounds", lambda t: T.translate_rounds(_with_text(t), _reply), "items", rf"""{_PACK}, r AS (SELECT pk.doc_id, pk.idx, pk.batch_no, seq.text, 1 AS round FROM pk JOIN seq USING (doc_id, idx)
+UNION ALL SELECT doc_id, idx, batch_no * 2 + CASE WHEN i >= floor(n / 2.0) THEN 1 ELSE 0 END, text, round + 1 FROM (SELECT *, (sum({_LEN}) OVER (PARTITION BY doc_id, batch_no) + n - 1) % 7 AS bad FROM
+  (SELECT *, row_number() OVER (PARTITION BY doc_id, batch_no ORDER BY idx) - 1 AS i, count(*) OVER (PARTITION BY doc_id, batch_no) AS n FROM r) a) b WHERE bad = 0 AND n > 1),
+q AS (SELECT *, row_number() OVER (PARTITION BY round, doc_id, batch_no ORDER BY idx) - 1 AS i, count(*) OVER (PARTITION BY round, doc_id, batch_no) AS n FROM r),
+z AS (SELECT *, (sum({_LEN}) OVER (PARTITION BY round, doc_id, batch_no) + n - 1) % 7 AS bad FROM q)
+SELECT doc_id, idx, CASE WHEN bad = 0 THEN 'failed' ELSE 'done' END AS state, CASE WHEN bad <> 0 THEN nfc_normalize(regexp_replace(regexp_replace(replace(text, 'e', 'E'), '^\s+', ''), CASE WHEN i = n - 1 THEN '[\s"'']+$' ELSE '\s+$' END, '')) END AS text, round AS n_rounds
+FROM z QUALIFY row_number() OVER (PARTITION BY doc_id, idx ORDER BY round DESC) = 1""")
 add(
     "absorb_results",
     lambda t: T.absorb_results(t.pairs, _P).select("conv_id", "turn", "state", "error", "to_cache"),

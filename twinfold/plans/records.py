@@ -42,9 +42,9 @@ _with("placeholder_rows", lambda t: C.placeholder_rows(_plan(t)), "SELECT node_t
 _results = lambda t: t.nodes.where("pos % 3 <> 0").select("node_token", (F.col("pos") % 3 == 1).alias("ok"), F.concat(F.lit("w"), "pos").alias("new_token"))
 _with("crawl_new_rows", lambda t: C.crawl_new_rows(_plan(t), _results(t)), """SELECT node_token, title, edit_ms AS last_edit_ms, CASE pos % 3 WHEN 1 THEN 'Placeholder' WHEN 2 THEN 'PlaceholderFailed' ELSE '' END AS status, CASE WHEN pos % 3 = 1 THEN 'https://target.example/wiki/w' || pos ELSE '' END AS link_mirror FROM plan WHERE event = 'new'""")
 _PATCH = _CLASSIFY + """, patches AS (SELECT record_id, event, CAST(1700000000000 AS BIGINT) AS last_seen_ms, CASE WHEN event = 'renamed' THEN title END AS title, CASE WHEN event = 'edited' THEN edit_ms END AS last_edit_ms,
-  CASE WHEN event IN ('renamed', 'edited') THEN event END AS change_status, CASE WHEN event = 'edited' THEN 'Pending' END AS status, CASE WHEN event = 'edited' THEN 'Pending' END AS translate_status, CASE WHEN event = 'edited' THEN '' END AS link_clone,
-  CASE event WHEN 'edited' THEN 'last_seen_ms,last_edit_ms,change_status,status,translate_status,link_clone' WHEN 'renamed' THEN 'last_seen_ms,title,change_status' ELSE 'last_seen_ms' END AS cols_set FROM plan WHERE event <> 'new'
-  UNION ALL SELECT record_id, 'deleted', 1700000000000, NULL, NULL, 'deleted', NULL, NULL, NULL, 'last_seen_ms,change_status' FROM gone)"""
+  CASE WHEN event IN ('renamed', 'edited') THEN event END AS change_status, CASE WHEN event = 'edited' THEN 'Pending' END AS status, CASE WHEN event = 'edited' THEN 'Pending' END AS translate_status, CASE WHEN event = 'edited' THEN '' END AS link_clone, CASE WHEN event = 'edited' THEN '' END AS link_translated, CASE WHEN event = 'edited' THEN '' END AS error,
+  CASE event WHEN 'edited' THEN 'last_seen_ms,last_edit_ms,change_status,status,translate_status,link_clone,link_translated,error' WHEN 'renamed' THEN 'last_seen_ms,title,change_status' ELSE 'last_seen_ms' END AS cols_set FROM plan WHERE event <> 'new'
+  UNION ALL SELECT record_id, 'deleted', 1700000000000, NULL, NULL, 'deleted', NULL, NULL, NULL, NULL, NULL, 'last_seen_ms,change_status' FROM gone)"""
 _patches = lambda t: C.crawl_update_rows(_plan(t), _gone(t), 1_700_000_000_000)
 _with("crawl_update_rows", _patches, "SELECT * FROM patches", head=_PATCH)
 _with("crawl_apply", lambda t: C.crawl_apply(t.state, _patches(t), C.crawl_new_rows(_plan(t), _results(t)).select("node_token", "title", "last_edit_ms", "status")).select("record_id", "node_token", "title", "last_edit_ms", "change_status", "status", "translate_status", "link_clone"), """
@@ -161,6 +161,28 @@ add(
     FROM outcomes
     GROUP BY ALL""",
 )
+_ENDS = ", ".join(f"count(*) FILTER (stage = '{s}' AND outcome = '{o}') AS {s}_{n}" for s in ("clone", "translate", "mirror") for o, n in (("OK", "done"), ("FAIL", "failed")))
+_SUMS = ", ".join(f"CAST(sum({s}_{n}) AS BIGINT) AS {s}_{n}" for s in ("clone", "translate", "mirror") for n in ("done", "failed"))
+_shared = lambda t: t.outcomes.withColumn("record_id", F.concat(F.lit("rec"), F.substring("record_id", 4, 20).cast("long") % 40))
+add("run_totals", lambda t: S.run_totals(_shared(t)), "outcomes", f"""
+WITH e AS (SELECT run_id, CAST(substring(record_id, 4) AS BIGINT) % 40 AS r, bool_or(outcome = 'FAIL') AS failed, bool_and(outcome = 'SKIP') AS skipped, {_ENDS} FROM outcomes GROUP BY ALL)
+SELECT run_id, count(*) AS records_total, count(*) FILTER (NOT failed AND NOT skipped) AS records_processed, count(*) FILTER (skipped) AS records_skipped, count(*) FILTER (failed) AS records_failed, {_SUMS} FROM e GROUP BY run_id""")
+_FIELDS = ", ".join(f"('{stage}', '{role}', '{field}')" for stage, roles in S.STAGE_FIELDS.items() for role, field in roles.items())
+_OVERVIEW = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.PIPELINE_STAGES.items())
+add("stage_field_starts", lambda t: S.stage_field_starts(t.outcomes.select("record_id", "stage"), S.stage_fields(t.spark), 1_700_000_000_000, "w1"), "outcomes", f"""
+WITH m(stage, role, field) AS (VALUES {_FIELDS})
+SELECT record_id, stage, field, CASE role WHEN 'status' THEN 'Running' ELSE '1700000000000' END AS value FROM outcomes JOIN m USING (stage) WHERE role IN ('status', 'started_at')
+UNION ALL SELECT record_id, stage, 'Pipeline Stage', CASE stage {_OVERVIEW} END FROM outcomes
+UNION ALL SELECT record_id, stage, 'Last Activity At', '1700000000000' FROM outcomes
+UNION ALL SELECT record_id, stage, 'Current Worker', 'w1' FROM outcomes""")
+add("stage_field_ends", lambda t: S.stage_field_ends(t.outcomes.select("record_id", "stage", "outcome", F.floor("seconds").cast("double").alias("seconds"), F.when(F.col("outcome") == "FAIL", F.repeat(F.lit("broken "), 60)).alias("error")), S.stage_fields(t.spark), 1_700_000_000_000), "outcomes", f"""
+WITH m(stage, role, field) AS (VALUES {_FIELDS}),
+v AS (SELECT record_id, stage, field, CASE role
+  WHEN 'status' THEN CASE outcome WHEN 'OK' THEN CASE stage WHEN 'mirror' THEN 'Synced' ELSE 'Done' END WHEN 'FAIL' THEN 'Failed' WHEN 'SKIP' THEN 'Skipped' WHEN 'RETRY' THEN 'Running' ELSE 'Pending' END
+  WHEN 'completed_at' THEN '1700000000000' WHEN 'duration' THEN CAST(CAST(floor(seconds) AS BIGINT) AS VARCHAR) || '.0' WHEN 'error' THEN CASE WHEN outcome = 'FAIL' THEN substring(repeat('broken ', 60), 1, 200) END END AS value FROM outcomes JOIN m USING (stage))
+SELECT * FROM v WHERE value IS NOT NULL
+UNION ALL SELECT record_id, stage, 'Pipeline Stage', 'Failed' FROM outcomes WHERE outcome = 'FAIL'
+UNION ALL SELECT record_id, stage, 'Last Activity At', '1700000000000' FROM outcomes""")
 add("status_board", lambda t: S.status_board(t.state), "state", "SELECT status AS stage, count(*) AS n FROM state GROUP BY status")
 add(
     "stage_start_patch",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..shipping import map_arrow
 from ..sources import buckets as B
 from ..sources import landing as D
 from ..sources import pages as G
@@ -142,10 +143,36 @@ _MAGIC = ["FFD8FFE0", "89504E470D0A", "474946383961", "524946460000000057454250"
 _head = lambda: F.unhex(F.element_at(F.array(*[F.lit(m) for m in _MAGIC]), (F.col("doc_id") % 7 + 1).cast("int")))
 add(
     "media_kind",
-    lambda t: t.documents.select("doc_id", D.media_kind(F.concat(_head(), F.col("text").cast("binary"))).alias("kind")),
+    lambda t: t.documents.select("doc_id", D.media_kind(F.concat(_head(), F.col("text").cast("binary"))).alias("kind")).withColumn("name", D.upload_name(F.concat(F.lit("n"), "doc_id"), F.col("kind"))),
     "",
-    "SELECT doc_id, ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][doc_id % 7 + 1] AS kind FROM documents",
+    "SELECT doc_id, ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][doc_id % 7 + 1] AS kind, 'upload_n' || doc_id || '.' || ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][doc_id % 7 + 1] AS name FROM documents",
 )
+
+
+def _media_files(t):
+    """Every page's html as a file, behind the first bytes of one kind or another; a task writes the files of its rows."""
+    path = new_folder(t.spark, "media")
+    rows = t.pages.select("page_id", F.concat(F.unhex(F.element_at(F.array(*[F.lit(m) for m in _MAGIC]), (F.col("page_id") % 7 + 1).cast("int"))), F.col("html").cast("binary")).alias("body"))
+
+    def put(batches):
+        fs, base = G.files(path)
+        fs.create_dir(base, recursive=True)
+        for batch in batches:
+            for page, body in zip(batch.column("page_id").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                with fs.open_output_stream(f"{base}/page-{page}") as f:
+                    f.write(body)
+            yield batch.select(["page_id"])
+
+    map_arrow(rows, put, "page_id long").write.format("noop").mode("overwrite").save()
+    found = D.src_media(t.spark, path).withColumn("id", F.regexp_extract("path", "page-([0-9]+)$", 1).cast("long"))
+    parts = D.media_part_plan(found.select("id", "size"), 1024, 4096)
+    return found.join(parts, "id").select("id", "size", "kind", "seq", "start", "part_size")
+
+
+add("src_media", _media_files, "", """
+WITH f AS (SELECT page_id AS id, octet_length(encode(html)) + [4, 6, 6, 12, 5, 8, 4][page_id % 7 + 1] AS size, ['jpg', 'png', 'gif', 'webp', 'pdf', 'mp4', 'bin'][page_id % 7 + 1] AS kind FROM pages),
+s AS (SELECT *, CASE WHEN size <= 4096 THEN greatest(size, 1) ELSE 1024 END AS step FROM f), n AS (SELECT *, unnest(range(0, greatest(CAST(ceil(size / step) AS BIGINT), 1))) AS seq FROM s)
+SELECT id, size, kind, seq, seq * step AS start, least(step, size - seq * step) AS part_size FROM n""")
 add("media_part_plan", lambda t: D.media_part_plan(t.documents.select(F.col("doc_id").alias("id"), (F.col("n_chars") * 9000).alias("size"))), "", """
 WITH f AS (SELECT doc_id AS id, n_chars * 9000 AS size, CASE WHEN n_chars * 9000 <= 20971520 THEN greatest(n_chars * 9000, 1) ELSE 4194304 END AS step FROM documents), s AS (SELECT *, unnest(range(0, greatest(CAST(ceil(size / step) AS BIGINT), 1))) AS seq FROM f)
 SELECT id, seq, seq * step AS start, least(step, size - seq * step) AS part_size FROM s""")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import map_arrow
+from .pages import files
+
 NODE = "node_token string, parent_node_token string, obj_token string, obj_type string, title string, obj_edit_time string, has_child boolean"
 LOG = "correlation_id string, stage string, record string, event string, seconds double, _corrupt_record string"
 PART_BYTES = 4 << 20
@@ -63,6 +67,27 @@ def media_kind(head: Column) -> Column:
     return F.when(starts("FFD8FF"), "jpg").when(starts("89504E47"), "png").when(starts("474946"), "gif").when(starts("52494646") & (at8 == "57454250"), "webp").when(starts("25504446"), "pdf").when(at4 == "66747970", "mp4").otherwise("bin")
 
 
+def upload_name(node: Column, kind: Column) -> Column:
+    """The name of a file that came without one."""
+    return F.concat(F.lit("upload_"), node, F.lit("."), kind)
+
+
+def src_media(spark: SparkSession, path: str) -> DataFrame:
+    """path, size and kind of the files below a folder. Lengths come from the listing, and of the contents only the first sixteen bytes are read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size"))
+
+    def heads(batches):
+        for batch in batches:
+            out = []
+            for place in batch.column("path").to_pylist():
+                fs, name = files(place)
+                with fs.open_input_stream(name) as f:
+                    out.append(f.read(16))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("size"), pa.array(out, pa.binary())], names=["path", "size", "head"])
+
+    return map_arrow(found, heads, "path string, size long, head binary").select("path", "size", media_kind(F.col("head")).alias("kind"))
+
+
 def media_part_plan(files: DataFrame, part: int = PART_BYTES, whole: int = WHOLE_BYTES) -> DataFrame:
     """Upload parts (id, seq, start, part_size) of files (id, size); small ones go whole."""
     step = F.when(F.col("size") <= whole, F.greatest("size", F.lit(1))).otherwise(F.lit(part))
