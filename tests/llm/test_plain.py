@@ -127,6 +127,18 @@ def test_each_licence_is_found_in_a_longer_text_as_by_a_scan_of_all_windows(name
     assert not licenses.scan_text(filler, templates, 0.8)
 
 
+@pytest.mark.parametrize("between", ["\n", " ", "\n\n"])
+def test_a_megabyte_of_licences_takes_seconds(between):
+    templates = {n: licenses.bigrams(licenses.normal_words(t)) for n, t in licenses.TEMPLATES.items()}
+    one = licenses.TEMPLATES["MIT"].replace(" ", between) if between == "\n" else licenses.TEMPLATES["MIT"]
+    text, start = (one + between) * 1000, time.time()
+    found = licenses.scan_text(text, templates, 0.8)
+    assert time.time() - start < 30
+    # every copy is found, and nothing else but the whole
+    copies = sorted((a, b) for a, b, n, d in found if n == "MIT" and b - a < 2 * len(one) and d > 0.9)
+    assert len(copies) >= 999 and all(abs(a - i * (len(one) + len(between))) < 99 for i, (a, _) in enumerate(copies[:500]))
+
+
 def test_licence_query_columns(spark, rows):
     templates = {n: licenses.bigrams(licenses.normal_words(t)) for n, t in licenses.TEMPLATES.items()}
     texts = {i: t for i, t, *_ in rows}

@@ -103,7 +103,9 @@ def run_matches(text: str, templates: dict[str, set], least: float, known: list[
 
     Of overlapping runs the one with the largest coefficient counts, the longest among equals. A run that a known match
     explains as well (of the same licence and overlapping, or around it) is left out. Runs start at lines that have a bigram of
-    the template, as others only lower the coefficient.
+    the template, as others only lower the coefficient, and not behind a line whose bigrams are all the template's, as with
+    that line the coefficient is no smaller; after half a template of such lines one starts anew, for a licence that follows
+    another. Of one start the best end counts. So the work is that of a few words for each word, however short lines are.
     """
     if "\n" not in text:
         return []
@@ -116,25 +118,34 @@ def run_matches(text: str, templates: dict[str, set], least: float, known: list[
     best: dict[tuple[int, int], tuple[float, str]] = {}
     for name, t in templates.items():
         most = len(held & t)
+        skipped = len(t)
         for i, (start, _, first) in enumerate(lines):
             onward = (first[-1], lines[i + 1][2][0]) if i + 1 < len(lines) else None
             if onward not in t and t.isdisjoint(zip(first, first[1:], strict=False)):
                 continue
-            grams, last, common, n_words = set(), [], 0, 0
+            before = lines[i - 1][2] if i else []
+            if before and skipped < len(t) / 2 and (before[-1], first[0]) in t and all(x in t for x in zip(before, before[1:], strict=False)):
+                skipped += len(before)
+                continue
+            grams, last, common, n_words, skipped = set(), [], 0, 0, 0
+            found: tuple[float, int] = (0.0, 0)
             for j in range(i, len(lines)):
-                new = bigrams(last + lines[j][2]) - grams
+                words = last + lines[j][2]
+                new = {x for x in zip(words, words[1:], strict=False) if x not in grams}
                 grams |= new
                 more = len(new & t)
                 common += more
                 n_words += len(lines[j][2])
-                last = lines[j][2][-1:]
+                last = words[-1:]
                 if len(grams) > len(t) * (2 - least) / least:
                     break
                 d = 2 * common / (len(grams) + len(t))
                 if j > i and (more or not new) and d >= least:
-                    best[start, lines[j][1]] = max(best.get((start, lines[j][1]), (0.0, "")), (d, name))
+                    found = max(found, (d, lines[j][1]))
                 if common == most and n_words > 2 * len(t):  # no larger coefficient can follow
                     break
+            if found[1]:
+                best[start, found[1]] = max(best.get((start, found[1]), (0.0, "")), (found[0], name))
     taken: list[tuple[int, int, str, float]] = []
     for (start, end), (d, name) in sorted(best.items(), key=lambda x: (-x[1][0], x[0][0] - x[0][1], x[0])):
         d = round(d, 9)
@@ -161,6 +172,7 @@ def window_matches(text: str, templates: dict[str, set], least: float, known: li
         n = min(len(t), len(pairs))
         seen: Counter = Counter(pairs[:n])
         common = sum(x in t for x in seen)
+        before, last_kept = 0.0, -n
         for i in range(len(pairs) - n + 1):
             if i:
                 old, new = pairs[i - 1], pairs[i + n - 1]
@@ -170,16 +182,19 @@ def window_matches(text: str, templates: dict[str, set], least: float, known: li
                     common -= old in t
                 common += new in t and new not in seen
                 seen[new] += 1
-            if 2 * common >= least * (len(seen) + len(t)) - 1e-9:
-                first, last = i, i + n - 1
+            d = 2 * common / (len(seen) + len(t)) if seen else 0.0
+            rises, before = d > before, d
+            # where the coefficient doesn't rise, a window in every eighth of a template is enough
+            if d >= least - 1e-9 and (rises or i - last_kept >= n // 8):
+                first, last, last_kept = i, i + n - 1, i
                 while pairs[first] not in t:
                     first += 1
                 while pairs[last] not in t:
                     last -= 1
                 # a licence says some things twice, so its text is longer than its set of bigrams
-                while first and pairs[first - 1] in t:
+                while first > max(0, i - n) and pairs[first - 1] in t:
                     first -= 1
-                while last + 1 < len(pairs) and pairs[last + 1] in t:
+                while last + 1 < min(len(pairs), i + 2 * n) and pairs[last + 1] in t:
                     last += 1
                 best.append((-dice(set(pairs[first : last + 1]), t), first, last, name))
     taken: list[tuple[int, int, str, float]] = []
