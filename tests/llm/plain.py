@@ -213,8 +213,14 @@ def mix(docs, seed=7, weights=(5, 2, 1), cap=3):
                 digest = hashlib.md5(f"{seed}:{doc_id}".encode()).hexdigest()
                 rows.append((0 if n == 0 else n.bit_length() * 16 + (n << 5 >> n.bit_length()), digest[:2], n, digest, doc_id, i))
         name = "n" if source is None else f"s{source}"
-        start = int(hashlib.md5(f"offset:{seed}:{name}".encode()).hexdigest()[:8], 16) / 4294967296.0
         rate = float(target[source]) / own[source] if own[source] else 0.0
-        for at, row in enumerate(sorted(rows), 1):
-            out[row[-1]] = math.floor(at * rate + start) - math.floor((at - 1) * rate + start)
+        best = None
+        for k in range(16):
+            start = int(hashlib.md5(f"offset:{seed}:{k}:{name}".encode()).hexdigest()[:8], 16) / 4294967296.0
+            copies = {row[-1]: math.floor(at * rate + start) - math.floor((at - 1) * rate + start) for at, row in enumerate(sorted(rows), 1)}
+            off = abs(sum(sizes[i] * c for i, c in copies.items()) - float(target[source]))
+            if best is None or off < best[0]:
+                best = off, copies
+        for i, c in best[1].items():
+            out[i] = c
     return out

@@ -12,6 +12,8 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from tokenizers import Tokenizer
+
 from twinfold.llm import jaccard, licenses, line_dedup, media, mixing, pieces, quality, records, secrets, toxicity
 from twinfold.llm.common import new_path
 
@@ -236,3 +238,11 @@ def test_word_tokenizer_equals_the_library_after_its_memo_is_cleared(monkeypatch
 def test_held_out_rows_are_those_of_the_remainder(spark):
     got = spark.createDataFrame([(i,) for i in range(30)], "doc_id long").select("doc_id", toxicity.fold_of().alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["doc_id"]).encode()) % 5 for r in got)
+
+
+def test_other_tokenizers_go_through_the_library_whole():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), records.WordTokenizer(path)
+    assert not own.apart and records.WordTokenizer(public_tokenizers.path("word_bpe_49k.json")).apart
+    for text in ("", " Two  spaces\n and ünï", "Upper CASE <|endoftext|>"):
+        assert np.frombuffer(own.encode(text), dtype=own.kind).tolist() == library.encode(text, add_special_tokens=False).ids

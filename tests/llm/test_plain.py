@@ -177,7 +177,8 @@ def test_quality_equals_plain_rules_and_distances(spark, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = QUERIES[name](spark, SF).toPandas(), con.sql(ORACLES[name]).df()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns

@@ -75,7 +75,7 @@ class Pairs:
 
 #: The rules of normalising and splitting that the short way for ASCII stands for.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_USUAL = {
+USUAL = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
     "pre_tokenizer": {
         "type": "Sequence",
@@ -123,7 +123,7 @@ class Encoder:
         self.longest = max(map(len, self.ids), default=1)
         # for ASCII the usual rules come to this pattern over lower-case text
         rules = {"normalizer": spec["normalizer"], "pre_tokenizer": spec["pre_tokenizer"]}
-        self.ascii = re.compile(_ASCII_WORDS) if rules == _USUAL else None
+        self.ascii = re.compile(_ASCII_WORDS) if rules == USUAL else None
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}

@@ -46,7 +46,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
     )
 
 
-def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source", size: str | None = None) -> DataFrame:
+def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source", size: str | None = None, offsets: int = 16) -> DataFrame:
     """row (a struct of all columns of docs), size, source_size, target and copies: how often systematic sampling emits each document.
 
     Every document of a source expects the same number of copies, target / source size. In an order by size class
@@ -54,7 +54,10 @@ def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1)
     as the document is emitted. Ordering by size first makes the words taken follow the target closely.
 
     The prefix sum has levels: counts by source and size class are summed in order, then those by hash digits within a
-    class, then rows are numbered within such a bucket. So no task holds a source. The counts are written once; size names a column of word counts where these are known already.
+    class, then rows are numbered within such a bucket. So no task holds a source. Sizes and hashes are written once; size names a column of word counts where these are known already.
+
+    The offset of a source is that of several seeded ones whose words come nearest to the target, found by summing for
+    all of them in one aggregation: in a source of a few dozen documents one long text more or less tells.
 
     Null text: size 0. Null source: a source of its own. Null doc_id: hashed as an empty string. Repeated rows: each
     is a document. Ties of size and hash: by doc_id. Texts of any length are counted whole. Empty table: empty result.
@@ -67,22 +70,28 @@ def planned(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (5, 2, 1)
         .withColumn("__skey", F.when(F.col("__source").isNull(), "n").otherwise(F.concat(F.lit("s"), "__source")))
         .withColumns({"__class": F.when(F.col("__size") == 0, F.lit(0).cast("long")).otherwise(bits * 16 + F.expr("shiftright(shiftleft(__size, 5), length(bin(__size)))")), "__part": F.substring("__hash", 1, 2)})
     )
-    buckets = materialise(sized.groupBy("__skey", "__class", "__part").agg(F.count("*").alias("__n"), F.sum("__size").alias("__words"), F.first("__source").alias("__source")), "mix-buckets")
+    keys = materialise(sized.select("__skey", "__class", "__part", "__size", "__hash", "__id", "__source"), "mix-keys")
+    buckets = materialise(keys.groupBy("__skey", "__class", "__part").agg(F.count("*").alias("__n"), F.sum("__size").alias("__words"), F.first("__source").alias("__source")), "mix-buckets")
     # classes of a source are summed in order, then the digits of a class: no window holds more than a few hundred rows
     in_source = Window.partitionBy("__skey").orderBy("__class").rowsBetween(Window.unboundedPreceding, -1)
     in_class = Window.partitionBy("__skey", "__class").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     classes = buckets.groupBy("__skey", "__class").agg(F.sum("__n").alias("__c")).select("__skey", "__class", F.coalesce(F.sum("__c").over(in_source), F.lit(0)).alias("__classes_before"))
-    offsets = buckets.withColumn("__before", F.coalesce(F.sum("__n").over(in_class), F.lit(0))).join(classes, ["__skey", "__class"]).select("__skey", "__class", "__part", (F.col("__before") + F.col("__classes_before")).alias("__before"))
+    placed = buckets.withColumn("__before", F.coalesce(F.sum("__n").over(in_class), F.lit(0))).join(classes, ["__skey", "__class"]).select("__skey", "__class", "__part", (F.col("__before") + F.col("__classes_before")).alias("__before"))
     targets = source_targets(buckets.groupBy("__skey").agg(F.first("__source").alias("__source"), F.sum("__words").alias("__source_size")), weights, cap)
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size").cast("double")).otherwise(F.lit(0.0))
-    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"offset:{seed}:"), "__skey").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    starts = F.array(*[F.conv(F.substring(F.md5(F.concat(F.lit(f"offset:{seed}:{k}:"), "__skey").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) for k in range(offsets)])
     rows = Window.partitionBy("__skey", "__class", "__part").orderBy("__size", "__hash", F.col("__id").asc_nulls_last())
-    at = F.col("__before") + F.row_number().over(rows)
-    crossed = F.floor(F.col("__at") * F.col("__rate") + F.col("__start")) - F.floor((F.col("__at") - 1) * F.col("__rate") + F.col("__start"))
+    at = (F.col("__before") + F.row_number().over(rows)).cast("double")
+    crossed = lambda u: (F.floor(F.col("__at") * F.col("__rate") + u) - F.floor((F.col("__at") - 1) * F.col("__rate") + u)).cast("long")
+    given = targets.withColumns({"__rate": rate, "__starts": starts})
+    numbered = keys.join(placed, ["__skey", "__class", "__part"]).withColumn("__at", at).select("__skey", "__size", "__at").join(given, "__skey")
+    sums = numbered.groupBy("__skey").agg(F.first("__target").alias("__target"), F.first("__starts").alias("__starts"), F.array(*[F.sum(F.col("__size") * crossed(F.col("__starts")[k])) for k in range(offsets)]).alias("__taken"))
+    nearest = F.array_min(F.transform("__taken", lambda x, k: F.struct(F.abs(x.cast("double") - F.col("__target")).alias("off"), k.alias("k"))))
+    chosen = materialise(sums.select("__skey", F.element_at("__starts", nearest["k"] + 1).alias("__start")), "mix-offsets")
     return (
-        sized.join(offsets.join(targets, "__skey"), ["__skey", "__class", "__part"])
-        .withColumns({"__rate": rate, "__start": start, "__at": at.cast("double")})
-        .select("row", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), crossed.cast("long").alias("copies"))
+        sized.join(placed.join(given.drop("__starts").join(chosen, "__skey"), "__skey"), ["__skey", "__class", "__part"])
+        .withColumn("__at", at)
+        .select("row", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), crossed(F.col("__start")).alias("copies"))
     )
 
 
@@ -115,9 +124,12 @@ o AS (SELECT *, max(CASE WHEN 3 * source_size * (total_w - w_before) <= weight *
 l AS (SELECT *, total - sum(CASE WHEN open = 0 THEN 3 * source_size ELSE 0 END) OVER () AS rest, sum(CASE WHEN open = 1 THEN weight ELSE 0 END) OVER () AS rest_w FROM o),
 t AS (SELECT skey, CAST(source_size AS BIGINT) AS source_size,
         CASE WHEN open = 0 THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(weight * rest AS DOUBLE) / CAST(rest_w AS DOUBLE) END AS target,
-        CAST(('0x' || substr(md5('offset:7:' || skey), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0 AS u FROM l),
-n AS (SELECT c.*, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0 END AS rate,
+        [CAST(('0x' || substr(md5('offset:7:' || k || ':' || skey), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0 FOR k IN range(16)] AS us FROM l),
+n AS (SELECT c.*, t.source_size, t.target, t.us, CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0 END AS rate,
         CAST(row_number() OVER (PARTITION BY c.skey ORDER BY cls, part, size, h, doc_id) AS DOUBLE) AS place FROM c JOIN t USING (skey)),
-p AS (SELECT *, CAST(floor(place * rate + u) - floor((place - 1) * rate + u) AS BIGINT) AS copies FROM n)
+m AS (SELECT skey, k, us[k + 1] AS u, abs(CAST(sum(size * CAST(floor(place * rate + us[k + 1]) - floor((place - 1) * rate + us[k + 1]) AS BIGINT)) AS DOUBLE) - any_value(target)) AS off
+        FROM n, range(16) AS r(k) GROUP BY ALL),
+g AS (SELECT skey, u FROM m QUALIFY row_number() OVER (PARTITION BY skey ORDER BY off, k) = 1),
+p AS (SELECT n.*, CAST(floor(place * rate + u) - floor((place - 1) * rate + u) AS BIGINT) AS copies FROM n JOIN g USING (skey))
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM p
 """

@@ -265,6 +265,7 @@ def digests(encoded: DataFrame, *keep: str) -> DataFrame:
     return encoded.select(
         *keep, F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes"),
+        F.xxhash64("starts", "ends").alias("spans_hash"),
     )
 
 

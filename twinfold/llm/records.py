@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import json
 import os
 import re
 import struct
@@ -10,12 +11,13 @@ from array import array
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..shipping import map_pandas
+from ..sources.pages import files
+from .bpe import USUAL
 from .common import materialise, new_path, table
 
 #: The characters that UTF-8 bytes stand for in byte-level vocabularies: printable Latin-1 as itself, the others from 256 on.
@@ -29,9 +31,10 @@ _BLOCK = 512
 class WordTokenizer:
     """Ids of whole texts by the tokenizers library, each different stretch between white space done once.
 
-    The tokenizer drops white space and no token crosses it, so stretches can be encoded apart. Stretches of printable
-    ASCII and Latin-1 letters skip the library's normaliser, which can only lower their case, and go to its BPE model
-    pretoken by pretoken; all others, and those that may hold a special token, go through the library whole.
+    A tokenizer that drops white space has no token across it, so stretches can be encoded apart. By the usual rules (see
+    bpe.USUAL) stretches of printable ASCII and Latin-1 letters skip the library's normaliser, which can only lower their
+    case, and go to its BPE model pretoken by pretoken; all others, and those that may hold a special token, go through
+    the library whole. By other rules of normalising and splitting every text goes through the library whole.
     """
 
     MEMO = 400_000
@@ -41,6 +44,13 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        same = {k: spec.get(k) for k in USUAL} == USUAL and model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+        self.apart = same and all(t["content"].startswith("<|") and not t["normalized"] and not t["lstrip"] and not t["rstrip"] and " " not in t["content"] for t in spec["added_tokens"])
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind, self.code = np.dtype(f"<u{self.width}"), {2: "H", 4: "I"}[self.width]
         self.memo: dict[bytes, bytes] = {}
@@ -69,6 +79,8 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of self.width bytes."""
+        if not self.apart:
+            return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         parts = text.encode("utf-8", "replace").split()
         try:
             return b"".join(map(self.memo.__getitem__, parts))
@@ -150,7 +162,7 @@ def unframe(stream: bytes, at: int) -> bytes:
 
 def _put(folder: str, name: str, data: bytes) -> None:
     """Write under a name of this attempt, then rename: a task that runs twice leaves the same one file."""
-    fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+    fs, base = files(folder)
     fs.create_dir(base, recursive=True)
     own = f"{base}/.{name}.{TaskContext.get().taskAttemptId()}"
     with fs.open_output_stream(own) as f:
@@ -206,7 +218,7 @@ def read(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
     based = shards.select("shard", F.coalesce(F.sum("n_tokens").over(from_here), F.lit(0)).alias("base"))
 
     def run(parts):
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+        fs, base = files(folder)
         for part in parts:
             for shard, start in zip(part["shard"], part["base"], strict=True):
                 with fs.open_input_stream(f"{base}/{shard}.idx") as f:

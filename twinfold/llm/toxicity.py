@@ -9,12 +9,12 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs
 import pyarrow.parquet
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_pandas
+from ..sources.pages import files
 from .common import materialise, new_path, portions, small_side, table
 
 ORDER = 6
@@ -47,7 +47,7 @@ def gram_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarr
 def _load(path: str) -> tuple:
     """The model's grams as arrays sorted by hash; read once by each worker process, whatever tasks it runs."""
     if path not in _loaded:
-        fs, base = pyarrow.fs.FileSystem.from_uri(path)
+        fs, base = files(path)
         rows = pyarrow.parquet.read_table(base, filesystem=fs)
         key = rows["key"].to_numpy().view(np.uint64)
         order = np.argsort(key)
