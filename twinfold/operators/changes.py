@@ -64,16 +64,16 @@ def crawl_update_rows(plan: DataFrame, deleted: DataFrame, seen_ms: int) -> Data
         F.when(event == "edited", F.col("edit_ms")).alias("last_edit_ms"),
         F.when(event.isin("renamed", "edited"), event).alias("change_status"),
         F.when(event == "edited", "Pending").alias("status"), F.when(event == "edited", "Pending").alias("translate_status"), F.when(event == "edited", "").alias("link_clone"),
-        F.when(event == "edited", "").alias("link_translated"), F.when(event == "edited", "").alias("error"),
+        F.when(event == "edited", "").alias("link_translated"), F.when(event == "edited", "").alias("error"), null.alias("source_status"),
         F.when(event == "edited", F.lit("last_seen_ms,last_edit_ms,change_status,status,translate_status,link_clone,link_translated,error")).when(event == "renamed", "last_seen_ms,title,change_status").otherwise("last_seen_ms").alias("cols_set"),
     )
-    gone = deleted.select("record_id", F.lit("deleted").alias("event"), F.lit(seen_ms).cast("long").alias("last_seen_ms"), null.alias("title"), F.lit(None).cast("long").alias("last_edit_ms"), F.lit("deleted").alias("change_status"), null.alias("status"), null.alias("translate_status"), null.alias("link_clone"), null.alias("link_translated"), null.alias("error"), F.lit("last_seen_ms,change_status").alias("cols_set"))
+    gone = deleted.select("record_id", F.lit("deleted").alias("event"), F.lit(seen_ms).cast("long").alias("last_seen_ms"), null.alias("title"), F.lit(None).cast("long").alias("last_edit_ms"), F.lit("deleted").alias("change_status"), null.alias("status"), null.alias("translate_status"), null.alias("link_clone"), null.alias("link_translated"), null.alias("error"), F.lit("Deleted").alias("source_status"), F.lit("last_seen_ms,change_status,source_status").alias("cols_set"))
     return known.unionByName(gone)
 
 
 def crawl_apply(state: DataFrame, patches: DataFrame, inserts: DataFrame) -> DataFrame:
     """The next state: patched records and new ones."""
-    changed = [c for c in ("title", "last_edit_ms", "change_status", "status", "translate_status", "link_clone", "link_translated", "error") if c in state.columns]
+    changed = [c for c in ("title", "last_edit_ms", "change_status", "status", "translate_status", "link_clone", "link_translated", "error", "source_status") if c in state.columns]
     p = patches.select("record_id", F.split("cols_set", ",").alias("_set"), *[F.col(c).alias(f"_{c}") for c in changed])
     joined = state.join(p, "record_id", "left")
     patched = [F.when(F.array_contains("_set", F.lit(c)), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in state.columns]

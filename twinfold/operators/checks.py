@@ -21,10 +21,17 @@ def catalog_of_records(rows: DataFrame, column: str) -> DataFrame:
     return fields.groupBy("name", F.lower(F.schema_of_variant("v")).alias("kind")).agg(F.count("*").alias("n"))
 
 
-def schema_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row a column that is missing, extra or of another kind. Extra columns are listed, but are no change to make."""
+#: Kinds that the store makes by itself and may report otherwise, and the one that stands for an unknown kind.
+AUTOMATIC, UNKNOWN = ("created_time", "modified_time"), ("unknown", "void")
+
+
+def schema_diff(expected: DataFrame, actual: DataFrame, automatic: tuple[str, ...] = AUTOMATIC, unknown: tuple[str, ...] = UNKNOWN) -> DataFrame:
+    """One row a column that is missing, extra or of another kind. Extra columns are listed, but are no change to make.
+
+    A column that is wanted with an automatic kind, or whose kind isn't known, is of no other kind.
+    """
     both = expected.withColumnRenamed("kind", "want").join(actual.withColumnRenamed("kind", "have"), "name", "full_outer")
-    issue = F.when(F.col("have").isNull(), "missing").when(F.col("want").isNull(), "extra").when(F.col("want") != F.col("have"), "type_mismatch")
+    issue = F.when(F.col("have").isNull(), "missing").when(F.col("want").isNull(), "extra").when((F.col("want") != F.col("have")) & ~F.col("want").isin(*automatic) & ~F.col("have").isin(*unknown), "type_mismatch")
     return both.withColumn("issue", issue).where("issue is not null").withColumn("is_change", F.col("issue") != "extra")
 
 
@@ -40,6 +47,19 @@ def schema_invariants(catalog: DataFrame) -> DataFrame:
     return twice.union(primary)
 
 
+def field_groups(catalog: DataFrame, order: str = "pos") -> DataFrame:
+    """Fields per group of a field catalog (name, group, pos): how many, and their names in order. A group is a handful of fields."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(order, "name"))), lambda x: x["name"])
+    return catalog.groupBy("group").agg(F.count("*").alias("n_fields"), F.min(order).alias("first"), listed.alias("fields"))
+
+
+def id_violations(checked: DataFrame) -> DataFrame:
+    """How many values of each ok_ column of validate_ids hold to its rule, and how many don't."""
+    columns = [c for c in checked.columns if c.startswith("ok_")]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c.removeprefix("ok_")).alias("column"), F.col(c).alias("ok")) for c in columns])).alias("x")
+    return checked.select(pairs).groupBy("x.column").agg(F.count_if("x.ok").alias("n_ok"), F.count_if(~F.col("x.ok")).alias("n_violations"))
+
+
 def validate_ids(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """df with ok_<column> for each column and the rule it is held to; null is not ok."""
     return df.withColumns({f"ok_{c}": F.coalesce(F.col(c).rlike(ID_RULES[rule]), F.lit(False)) for c, rule in columns.items()})

@@ -37,6 +37,14 @@ def glossary_render(glossary: DataFrame, n: int = 10) -> DataFrame:
     return top.groupBy("section").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("entry_order", "src", "dst"))), lambda x: F.concat(x["src"], F.lit("→"), x["dst"])), " | ").alias("_body")).select("section", F.concat(F.lit("- "), "section", F.lit(": "), "_body").alias("line"))
 
 
+def skipped_blocks(blocks: DataFrame, pattern: str = CJK) -> DataFrame:
+    """Per document how many blocks translatable_blocks leaves out, by the first reason that holds: no text kind, no id, blank, nothing to translate."""
+    text = F.coalesce("content", F.lit(""))
+    reason = F.when(block_text_field(F.col("block_type")).isNull(), "not_text").when(F.coalesce("block_id", F.lit("")) == "", "no_id").when(F.trim(text) == "", "blank").when(~F.coalesce(has_cjk(F.col("content"), pattern), F.lit(False)), "nothing_to_translate")
+    n = lambda r: F.count_if(F.col("_reason") == r).alias(f"n_{r}")
+    return blocks.withColumn("_reason", reason).groupBy("doc_id").agg(F.count("*").alias("n_blocks"), n("not_text"), n("no_id"), n("blank"), n("nothing_to_translate"))
+
+
 def translatable_blocks(blocks: DataFrame, pattern: str = CJK) -> DataFrame:
     """Text blocks with an id and text that needs translating."""
     return blocks.where(block_text_field(F.col("block_type")).isNotNull() & (F.coalesce("block_id", F.lit("")) != "") & (F.trim(F.coalesce("content", F.lit(""))) != "") & has_cjk(F.col("content"), pattern))

@@ -321,6 +321,9 @@ add(
     FROM source_blocks
     WHERE block_type IN (2, 3) AND trim(content) <> '' AND {_cnt('content')} > 0""",
 )
+add("skipped_blocks", lambda t: T.skipped_blocks(t.source_blocks.withColumn("block_id", F.when(F.col("idx") % 11 == 7, F.lit(None)).otherwise(F.col("block_id"))), _P), _SB, f"""
+SELECT doc_id, count(*) AS n_blocks, count(*) FILTER (r = 0) AS n_not_text, count(*) FILTER (r = 1) AS n_no_id, count(*) FILTER (r = 2) AS n_blank, count(*) FILTER (r = 3) AS n_nothing_to_translate
+FROM (SELECT doc_id, CASE WHEN block_type NOT IN (2, 3) THEN 0 WHEN idx % 11 = 7 THEN 1 WHEN trim(content) = '' THEN 2 WHEN {_cnt('content')} = 0 THEN 3 END AS r FROM source_blocks) x GROUP BY doc_id""")
 _KEY = "sha256('en' || chr(0) || 'content' || chr(0) || {0})"
 _cache = lambda t: t.items.where("idx % 3 = 0").select(X.cache_key(F.col("text")).alias("key")).distinct().withColumn("translated", F.concat(F.lit("T:"), F.substring("key", 1, 8)))
 _ROUTE = f"""{_GLOSS}, ca AS (SELECT DISTINCT {_KEY.format('text')} AS key, 'T:' || substring({_KEY.format('text')}, 1, 8) AS translated FROM items WHERE idx % 3 = 0),

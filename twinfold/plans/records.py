@@ -42,9 +42,9 @@ _with("placeholder_rows", lambda t: C.placeholder_rows(_plan(t)), "SELECT node_t
 _results = lambda t: t.nodes.where("pos % 3 <> 0").select("node_token", (F.col("pos") % 3 == 1).alias("ok"), F.concat(F.lit("w"), "pos").alias("new_token"))
 _with("crawl_new_rows", lambda t: C.crawl_new_rows(_plan(t), _results(t)), """SELECT node_token, title, edit_ms AS last_edit_ms, CASE pos % 3 WHEN 1 THEN 'Placeholder' WHEN 2 THEN 'PlaceholderFailed' ELSE '' END AS status, CASE WHEN pos % 3 = 1 THEN 'https://target.example/wiki/w' || pos ELSE '' END AS link_mirror FROM plan WHERE event = 'new'""")
 _PATCH = _CLASSIFY + """, patches AS (SELECT record_id, event, CAST(1700000000000 AS BIGINT) AS last_seen_ms, CASE WHEN event = 'renamed' THEN title END AS title, CASE WHEN event = 'edited' THEN edit_ms END AS last_edit_ms,
-  CASE WHEN event IN ('renamed', 'edited') THEN event END AS change_status, CASE WHEN event = 'edited' THEN 'Pending' END AS status, CASE WHEN event = 'edited' THEN 'Pending' END AS translate_status, CASE WHEN event = 'edited' THEN '' END AS link_clone, CASE WHEN event = 'edited' THEN '' END AS link_translated, CASE WHEN event = 'edited' THEN '' END AS error,
+  CASE WHEN event IN ('renamed', 'edited') THEN event END AS change_status, CASE WHEN event = 'edited' THEN 'Pending' END AS status, CASE WHEN event = 'edited' THEN 'Pending' END AS translate_status, CASE WHEN event = 'edited' THEN '' END AS link_clone, CASE WHEN event = 'edited' THEN '' END AS link_translated, CASE WHEN event = 'edited' THEN '' END AS error, CAST(NULL AS VARCHAR) AS source_status,
   CASE event WHEN 'edited' THEN 'last_seen_ms,last_edit_ms,change_status,status,translate_status,link_clone,link_translated,error' WHEN 'renamed' THEN 'last_seen_ms,title,change_status' ELSE 'last_seen_ms' END AS cols_set FROM plan WHERE event <> 'new'
-  UNION ALL SELECT record_id, 'deleted', 1700000000000, NULL, NULL, 'deleted', NULL, NULL, NULL, NULL, NULL, 'last_seen_ms,change_status' FROM gone)"""
+  UNION ALL SELECT record_id, 'deleted', 1700000000000, NULL, NULL, 'deleted', NULL, NULL, NULL, NULL, NULL, 'Deleted', 'last_seen_ms,change_status,source_status' FROM gone)"""
 _patches = lambda t: C.crawl_update_rows(_plan(t), _gone(t), 1_700_000_000_000)
 _with("crawl_update_rows", _patches, "SELECT * FROM patches", head=_PATCH)
 _with("crawl_apply", lambda t: C.crawl_apply(t.state, _patches(t), C.crawl_new_rows(_plan(t), _results(t)).select("node_token", "title", "last_edit_ms", "status")).select("record_id", "node_token", "title", "last_edit_ms", "change_status", "status", "translate_status", "link_clone"), """
@@ -314,7 +314,7 @@ add(
 
 # --- schema and health
 
-_EXPECTED = [("doc_id", "bigint"), ("text", "string"), ("lang", "bigint"), ("mirror", "string")]
+_EXPECTED = [("doc_id", "bigint"), ("text", "string"), ("lang", "bigint"), ("mirror", "string"), ("source", "modified_time"), ("nothing", "bigint")]
 
 
 def _schema_diff(t):
@@ -328,10 +328,10 @@ def _schema_apply(t):
 
 
 add("schema_diff", _schema_diff, "", """
-WITH e(name, want) AS (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'bigint'), ('mirror', 'string')),
+WITH e(name, want) AS (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'bigint'), ('mirror', 'string'), ('source', 'modified_time'), ('nothing', 'bigint')),
 a AS (SELECT 'doc_id' AS name, 'bigint' AS have, count(doc_id) AS n FROM documents UNION ALL SELECT 'n_chars', 'bigint', count(n_chars) FROM documents
   UNION ALL SELECT 'text', 'string', count("text") FROM documents UNION ALL SELECT 'lang', 'string', count(lang) FROM documents UNION ALL SELECT 'source', 'string', count(source) FROM documents),
-j AS (SELECT coalesce(e.name, a.name) AS name, want, have, n, CASE WHEN have IS NULL THEN 'missing' WHEN want IS NULL THEN 'extra' WHEN want <> have THEN 'type_mismatch' END AS issue FROM e FULL JOIN (SELECT * FROM a WHERE n > 0) a ON e.name = a.name)
+j AS (SELECT coalesce(e.name, a.name) AS name, want, have, n, CASE WHEN have IS NULL THEN 'missing' WHEN want IS NULL THEN 'extra' WHEN want <> have AND want <> 'modified_time' THEN 'type_mismatch' END AS issue FROM e FULL JOIN (SELECT * FROM a WHERE n > 0) a ON e.name = a.name)
 SELECT name, want, have, n, issue, issue <> 'extra' AS is_change FROM j WHERE issue IS NOT NULL""")
 add("schema_apply", _schema_apply, "", "SELECT doc_id, lang, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS INTEGER) AS mirror FROM documents")
 add(
@@ -346,6 +346,16 @@ add(
     UNION ALL SELECT 'one_primary', '', count(*) FILTER (p)
     FROM c HAVING count(*) FILTER (p) <> 1""",
 )
+add("field_groups", lambda t: K.field_groups(t.part.select(F.col("p_name").alias("name"), F.col("p_brand").alias("group"), F.col("p_partkey").alias("pos"))).withColumn("fields", F.array_join("fields", "|")), "", """
+SELECT p_brand AS "group", count(*) AS n_fields, min(p_partkey) AS "first", string_agg(p_name, '|' ORDER BY p_partkey) AS fields FROM part GROUP BY p_brand""")
+add(
+    "id_violations",
+    lambda t: K.id_violations(K.validate_ids(t.pages.select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("domain"), F.col("page_id").cast("string").alias("token")), {"url": "url", "domain": "domain", "token": "token"})),
+    "",
+    r"""
+    WITH v AS (SELECT regexp_full_match(url, 'https?://[^\s/]+/.*', 's') AS u, regexp_full_match(regexp_extract(url, '^https?://([^/]+)', 1), '[a-z0-9-]+(\.[a-z0-9-]+)+') AS d, length(CAST(page_id AS VARCHAR)) >= 3 AS k FROM pages)
+    SELECT 'url' AS column, count(*) FILTER (u) AS n_ok, count(*) FILTER (NOT u) AS n_violations FROM v UNION ALL SELECT 'domain', count(*) FILTER (d), count(*) FILTER (NOT d) FROM v UNION ALL SELECT 'token', count(*) FILTER (k), count(*) FILTER (NOT k) FROM v""",
+)
 add(
     "validate_ids",
     lambda t: K.validate_ids(t.pages.select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("domain")), {"url": "url", "domain": "domain"}).select("page_id", "ok_url", "ok_domain"),
