@@ -12,6 +12,7 @@ from twinfold.operators import calls as A
 from twinfold.operators import changes as C
 from twinfold.operators import checks as K
 from twinfold.operators import links as L
+from twinfold.operators import state as S
 from twinfold.operators import translate as R
 from twinfold.operators import tree as O
 from twinfold.sources import landing as D
@@ -113,8 +114,9 @@ def test_cut_logs_fold_as_whole_ones(spark):
         rows.append(("r", i, now, random.random() < (0.9 if i // 100 % 2 else 0.3)))
     calls = spark.createDataFrame(rows, "resource string, call_id long, s long, ok boolean").withColumn("ts", F.timestamp_seconds("s"))
     want = A.outage_fold([s * 1_000_000 for _, _, s, _ in rows], [ok for *_, ok in rows], {"state": "closed", "bad": 0, "good": 0, "since": 0})
-    got = {r["call_id"]: (r["state"], r["suppressed"]) for r in A.outage_state(calls).collect()}
-    assert [got[i] for i in range(3000)] == want
+    for slice_s in (86_400, 100, 7):
+        got = {r["call_id"]: (r["state"], r["suppressed"]) for r in A.outage_state(calls, slice_s=slice_s).collect()}
+        assert [got[i] for i in range(3000)] == want
     few = A.overlapped(A.numbered(calls, 60), 20, 64)
     assert few.where("_mine").count() == 3000 and few.groupBy("_block").count().agg(F.max("count")).first()[0] <= 84
 
@@ -191,3 +193,54 @@ def test_schema_apply_is_idempotent(spark):
 def test_link_field(spark, raw, want):
     got = spark.createDataFrame([(raw,)], "r string").select(D.parse_link_field(F.col("r")).alias("l")).first()["l"]
     assert tuple(got) == want
+
+
+def test_one_run_hashes_as_its_array_does(spark):
+    rows = spark.createDataFrame([(2, "a", "u"), (2, None, None), (27, "a", "u"), (99, "", ""), (3, "x\x00y", "")], "block_type int, content string, url string")
+    kind, run = F.col("block_type"), (F.col("content"), F.col("url"))
+    assert rows.where(B.run_hash(kind, *run) != B.block_hash(kind, F.array(B.text_run(*run)))).isEmpty() and rows.where(B.run_hash(kind, *run).isNull()).isEmpty()
+
+
+def test_one_row_a_token_needs_no_sort_of_whole_trails(spark, capsys):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("", 9, "n"), (None, 9, "n"), ("b", 1, None)], "node_token string, pos long, title string")
+    got = C.state_dedupe(rows)
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.where("node_token = 'a' and pos = 3 or node_token = 'b'").collect()))
+    got.explain("simple")
+    plan = capsys.readouterr().out
+    assert "partial_max_by" in plan and "Window" not in plan
+    events = spark.createDataFrame([("r", i, i % 3) for i in range(100)], "record_id string, pos long, n int")
+    kept = S.audit_append(events.where("pos < 90"), events.where("pos >= 90"), 30)
+    assert sorted(r["pos"] for r in kept.collect()) == list(range(70, 100))
+    kept.explain("simple")
+    plan = capsys.readouterr().out
+    # each task keeps thirty rows a record before they are shuffled
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_rounds_end_with_every_item(spark):
+    packed = spark.createDataFrame([(1, i, i // 5, f"text {i}") for i in range(13)] + [(2, 0, 0, "bad"), (3, 0, 0, "a"), (3, 1, 0, "bad"), (3, 2, 0, "c")], "doc_id long, idx long, batch_no long, text string")
+
+    def reply(messages):
+        return [m.upper().replace("ITEM", "item") if "bad" not in m else "lost" for m in messages]
+
+    got = {(r["doc_id"], r["idx"]): (r["state"], r["text"], r["n_rounds"]) for r in R.translate_rounds(packed, reply).collect()}
+    assert len(got) == 17 and all(got[1, i] == ("done", f"TEXT {i}", 1) for i in range(13))
+    assert got[2, 0] == ("failed", None, 1) and got[3, 0] == ("done", "A", 2) and got[3, 1] == ("failed", None, 3) and got[3, 2] == ("done", "C", 3)
+
+
+def test_walks_of_wide_and_repeated_nodes(spark):
+    rows = [("r", "", True, 0)] + [(f"c{i}", "r", True, 1000 - i) for i in range(50)] + [(f"g{i}", f"c{i % 50}", False, i) for i in range(200)] + [("x", "g3", False, 1), ("k1", "k2", True, 5), ("k2", "k1", True, 6), ("c7", "r", True, 2000)]
+    nodes = spark.createDataFrame(rows, "node_token string, parent_token string, has_child boolean, pos long")
+    want, rank = [], 0
+
+    def walk(token, more, depth):
+        nonlocal rank
+        rank += 1
+        want.append(("r", token, depth, rank))
+        for child in sorted((r for r in rows if r[1] == token), key=lambda r: r[3]) if more else ():
+            walk(child[0], child[2], depth + 1)
+
+    walk("r", True, 0)
+    for span in (100_000, 3):
+        assert sorted(map(tuple, O.tree_walk_dfs(nodes, span=span).collect())) == sorted(want)
+    assert O.tree_walk_dfs(nodes.limit(0)).collect() == []

@@ -34,14 +34,24 @@ def block_hash(block_type: Column, elements: Column) -> Column:
     document; other elements don't count. A block without a text body hashes its type only."""
     known = lambda e, *names: F.array(*[F.coalesce(e[n], F.lit("")) for n in names])
     parts = F.transform(elements, lambda e: F.when(e["kind"] == "text_run", known(e, "content", "url")).when(e["kind"] == "mention_doc", known(e, "token", "url", "title")).otherwise(F.array().cast("array<string>")))
-    body = F.concat(block_text_field(block_type), F.lit("\x02"), F.coalesce(F.array_join(F.flatten(parts), "\x00"), F.lit("")), F.lit("\x03"))
+    return _sealed(block_type, F.coalesce(F.array_join(F.flatten(parts), "\x00"), F.lit("")))
+
+
+def _sealed(block_type: Column, inner: Column) -> Column:
+    body = F.concat(block_text_field(block_type), F.lit("\x02"), inner, F.lit("\x03"))
     return F.md5(F.concat(block_type.cast("string"), F.lit("\x01"), F.coalesce(body, F.lit(""))).cast("binary"))
 
 
+def run_hash(block_type: Column, content: Column, url: Column) -> Column:
+    """block_hash of a block with one run, without an array."""
+    return _sealed(block_type, F.concat(F.coalesce(content, F.lit("")), F.lit("\x00"), F.coalesce(url, F.lit(""))))
+
+
 def hashed(blocks: DataFrame) -> DataFrame:
     """Hashes of blocks with an array of elements, or with one run (content, url) each."""
-    elements = F.col("elements") if "elements" in blocks.columns else F.array(text_run(F.col("content"), F.col("url")))
-    return blocks.select("doc_id", "idx", "block_id", "block_type", block_hash(F.col("block_type"), elements).alias("hash"))
+    kind = F.col("block_type")
+    found = block_hash(kind, F.col("elements")) if "elements" in blocks.columns else run_hash(kind, F.col("content"), F.col("url"))
+    return blocks.select("doc_id", "idx", "block_id", "block_type", found.alias("hash"))
 
 
 def block_diff(source: DataFrame, target: DataFrame) -> DataFrame:

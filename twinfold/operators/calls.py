@@ -149,24 +149,27 @@ def outage_fold(ts: list[int], ok: list[bool], opened: dict, after: int = 5, res
     return out
 
 
-def outage_state(calls: DataFrame, after: int = 5, rest_s: int = 30, closes: int = 2) -> DataFrame:
+def outage_state(calls: DataFrame, after: int = 5, rest_s: int = 30, closes: int = 2, slice_s: int = 86_400) -> DataFrame:
     """State of each resource after each call.
 
     After so many successes in a row as close an outage, the first of them no sooner after the call before it than the
     rest, the state is closed whatever came before. There a resource's log is cut; the pieces are folded apart, each
     streamed in order with the state carried from row to row, so that memory stays bounded however long a piece is.
+    Cuts are looked for within slices of time, where a cut that is missed between two slices only makes a piece longer,
+    and are counted within a slice and then over the slices (a row each).
     """
     rest_us = rest_s * 1_000_000
-    rows = numbered(calls.select("resource", "call_id", "ts", "ok")).withColumn("us", F.unix_micros("ts"))
-    near = Window.partitionBy("resource", "_block").orderBy("_rn")
+    us = F.unix_micros("ts")
+    rows = calls.select("resource", "call_id", us.alias("us"), "ok", F.floor(us / F.lit(slice_s * 1_000_000)).alias("_slice"))
+    near = Window.partitionBy("resource", "_slice").orderBy("us", "call_id")
     won = F.coalesce(F.min(F.col("ok").cast("int")).over(near.rowsBetween(1 - closes, 0)), F.lit(0)) == 1
     full = F.count("*").over(near.rowsBetween(1 - closes, 0)) == closes
     rested = F.lag("us", closes - 1).over(near) - F.lag("us", closes).over(near) >= rest_us
-    cut = overlapped(rows, closes + 1).withColumn("_cut", (won & full & F.coalesce(rested, F.lit(False))).cast("long")).where("_mine")
-    within = Window.partitionBy("resource", "_block").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
-    in_order = Window.partitionBy("resource").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = cut.groupBy("resource", "_block").agg(F.sum("_cut").alias("_n")).select("resource", "_block", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
-    pieces = cut.withColumn("_within", F.coalesce(F.sum("_cut").over(within), F.lit(0))).join(before, ["resource", "_block"]).withColumn("piece", F.col("_before") + F.col("_within"))
+    cut = rows.withColumn("_cut", (won & full & F.coalesce(rested, F.lit(False))).cast("long"))
+    inner = cut.withColumn("_within", F.coalesce(F.sum("_cut").over(near.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    in_order = Window.partitionBy("resource").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = cut.groupBy("resource", "_slice").agg(F.sum("_cut").alias("_n")).select("resource", "_slice", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+    pieces = inner.join(before, ["resource", "_slice"]).withColumn("piece", F.col("_before") + F.col("_within"))
 
     def fold(parts):
         key, now = None, {}
@@ -178,7 +181,7 @@ def outage_state(calls: DataFrame, after: int = 5, rest_s: int = 30, closes: int
                 got += outage_fold([us], [ok], now, after, rest_us, closes)
             yield pd.DataFrame({"resource": part["resource"], "call_id": part["call_id"], "state": [s for s, _ in got], "suppressed": [x for _, x in got]})
 
-    dealt = pieces.select("resource", "piece", "_rn", "call_id", "us", "ok").repartition("resource", "piece").sortWithinPartitions("resource", "piece", "_rn")
+    dealt = pieces.select("resource", "piece", "call_id", "us", "ok").repartition("resource", "piece").sortWithinPartitions("resource", "piece", "us", "call_id")
     return map_pandas(dealt, fold, "resource string, call_id long, state string, suppressed boolean")
 
 
