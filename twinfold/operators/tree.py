@@ -18,10 +18,10 @@ def summed_before(rows: DataFrame, keys: list[str], order: list[str], value: str
     """
     spans = rows.withColumn("_span", F.floor(F.col(order[0]) / span))
     earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    totals = spans.groupBy(*keys, "_span").agg(F.sum(value).alias("_total")).select(*keys, "_span", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    totals = spans.groupBy(*keys, "_span").agg(F.sum(value).alias("_total")).select(*keys, "_span", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_sum_before"))
     within = Window.partitionBy(*keys, "_span").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    own = spans.withColumn("_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return own.join(totals, [*keys, "_span"]).withColumn(out, F.col("_before") + F.col("_own")).drop("_span", "_before", "_own")
+    own = spans.withColumn("_sum_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return own.join(totals, [*keys, "_span"]).withColumn(out, F.col("_sum_before") + F.col("_sum_own")).drop("_span", "_sum_before", "_sum_own")
 
 
 def tree_walk_dfs(nodes: DataFrame, max_depth: int = 10, span: int = 100_000) -> DataFrame:
@@ -74,13 +74,17 @@ def token_map(state: DataFrame) -> DataFrame:
     return state.where("coalesce(node_token, '') <> '' and coalesce(mirror_token, '') <> ''").select(F.col("node_token").alias("src"), F.col("mirror_token").alias("dst"))
 
 
-def order_moves(desired: DataFrame, current: DataFrame, mapping: DataFrame) -> DataFrame:
-    """One row a wanted child that exists: parent, child, its rank among those, and whether it belongs to the common prefix of both orders."""
+def order_moves(desired: DataFrame, current: DataFrame, mapping: DataFrame, span: int = 100_000) -> DataFrame:
+    """One row a wanted child that exists: parent, child, its rank among those, and whether it belongs to the common prefix of both orders.
+
+    Ranks are counted within spans of places and then over the spans, so that a parent of very many children is many windows.
+    """
     mapped = desired.join(mapping, desired.child == mapping.src).select("parent", "pos", F.col("dst").alias("child"))
-    both = mapped.join(current.select("parent", F.col("pos").alias("now"), "child"), ["parent", "child"])
-    ranked = both.withColumns({"rank": F.row_number().over(Window.partitionBy("parent").orderBy("pos")), "rank_now": F.row_number().over(Window.partitionBy("parent").orderBy("now"))})
-    first = F.min(F.when(F.col("rank") != F.col("rank_now"), F.least("rank", "rank_now"))).over(Window.partitionBy("parent"))
-    return ranked.withColumn("first_off", first).withColumn("moves", F.coalesce(F.col("rank") >= F.col("first_off"), F.lit(False))).select("parent", "child", "rank", "moves")
+    both = mapped.join(current.select("parent", F.col("pos").alias("now"), "child"), ["parent", "child"]).withColumn("_one", F.lit(1))
+    ranked = summed_before(summed_before(both, ["parent"], ["pos", "child"], "_one", "_before", span), ["parent"], ["now", "child"], "_one", "_now_before", span)
+    ranked = ranked.select("parent", "child", (F.col("_before") + 1).cast("int").alias("rank"), (F.col("_now_before") + 1).cast("int").alias("rank_now"))
+    off = ranked.where("rank <> rank_now").groupBy("parent").agg(F.min(F.least("rank", "rank_now")).alias("first_off"))
+    return ranked.join(off, "parent", "left").select("parent", "child", "rank", F.coalesce(F.col("rank") >= F.col("first_off"), F.lit(False)).alias("moves"))
 
 
 def order_plan(desired: DataFrame, current: DataFrame, mapping: DataFrame, limit: int = 50) -> DataFrame:
