@@ -144,3 +144,15 @@ def test_the_cache_holds_the_newest_of_each_key(spark, tmp_path):
         Z.stream_cache_upsert(stream, f"{folder}/cache", f"{folder}/log", 4).awaitTermination()
     assert sorted(tuple(r) for r in Z.cached(spark, f"{folder}/cache").collect()) == [("a", "3", 3), ("b", "1", 1)]
     assert B.manifest(spark, f"{folder}/cache")["batch"] == 2
+
+
+def test_folders_on_the_way_can_be_removed(spark):
+    from twinfold import staging
+
+    before = staging.made()
+    rows = staging.written(spark.range(3).toDF("x"), "rows")
+    (folder,) = staging.made()[len(before) :]
+    fs, place = staging.hadoop(spark, folder)
+    assert fs.exists(place) and rows.count() == 3
+    staging.clean(spark, [folder])
+    assert not fs.exists(place) and staging.made() == before

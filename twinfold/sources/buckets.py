@@ -16,23 +16,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..staging import hadoop
+
 
 class Conflict(Exception):
     """Another writer made this version first; read again and repeat."""
 
 
-def _fs(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
 def _names(spark: SparkSession, folder: str) -> list[str]:
-    fs, place = _fs(spark, folder)
+    fs, place = hadoop(spark, folder)
     return sorted(x.getPath().getName() for x in fs.listStatus(place)) if fs.exists(place) else []
 
 
 def _read(spark: SparkSession, path: str) -> str:
-    fs, place = _fs(spark, path)
+    fs, place = hadoop(spark, path)
     stream = fs.open(place)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -42,8 +39,8 @@ def _read(spark: SparkSession, path: str) -> str:
 
 def _publish(spark: SparkSession, path: str, text: str) -> None:
     """Written under another name, then renamed, which fails if the name is taken."""
-    fs, place = _fs(spark, path)
-    _, own = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    fs, place = hadoop(spark, path)
+    _, own = hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     stream = fs.create(own, False)
     stream.write(bytearray(text.encode()))
     stream.close()
@@ -129,10 +126,10 @@ def vacuum(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
             found += [f"{folder}/{n}" for n in _names(spark, f"{table}/{folder}") if n.startswith("bucket=")]
     gone = [x for x in found if x not in held]
     for name in gone:
-        fs, place = _fs(spark, f"{table}/{name}")
+        fs, place = hadoop(spark, f"{table}/{name}")
         fs.delete(place, True)
     for folder in _names(spark, table):
         if folder.startswith("v") and not any(n.startswith("bucket=") for n in _names(spark, f"{table}/{folder}")):
-            fs, place = _fs(spark, f"{table}/{folder}")
+            fs, place = hadoop(spark, f"{table}/{folder}")
             fs.delete(place, True)
     return gone

@@ -8,6 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
+_made: list[str] = []
+
+
+def hadoop(spark: SparkSession, path: str):
+    """(file system, path) by Spark's own configuration, for any scheme that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -19,7 +26,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
         if not _own_dir:
             _own_dir.append(f"file://{tempfile.mkdtemp(prefix='spark-')}")
         found = _own_dir[0]
-    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def made() -> list[str]:
+    """The folders that were handed out so far, in order."""
+    return list(_made)
+
+
+def clean(spark: SparkSession, paths: list[str]) -> None:
+    """Remove some of them. Results are lazy and read them, so this is for the caller, once a result is written elsewhere."""
+    for path in paths:
+        fs, place = hadoop(spark, path)
+        fs.delete(place, True)
+        _made.remove(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
