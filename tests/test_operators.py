@@ -244,3 +244,26 @@ def test_walks_of_wide_and_repeated_nodes(spark):
     for span in (100_000, 3):
         assert sorted(map(tuple, O.tree_walk_dfs(nodes, span=span).collect())) == sorted(want)
     assert O.tree_walk_dfs(nodes.limit(0)).collect() == []
+
+
+def test_quotas_of_dense_logs(spark, capsys):
+    """Counts equal brute force, whatever the slices, and no window is counted anew from each call."""
+    import random
+
+    random.seed(5)
+    rows = [(i, random.choice(["a", "a", "b", None]), None if i % 50 == 0 else random.randrange(0, 400_000_000, 250_000)) for i in range(1500)]
+    rows += [(1500 + i, "a", 100_000_000 + i // 3) for i in range(600)]
+    calls = spark.createDataFrame(rows, "call_id long, resource string, us long").withColumn("ts", F.timestamp_micros("us"))
+    want = {}
+    for i, r, t in rows:
+        same = [u for _, q, u in rows if q == r]
+        near = lambda s: [u for u in same if (u is None) == (t is None) and (t is None or t - s * 1_000_000 <= u <= t)]  # noqa: B023, E731
+        short, long = near(7), near(60)
+        share = max(len(short) / 9, len(long) / 80)
+        wait = 0.0 if len(short) < 9 else None if t is None else (min(short) + 7_000_000 - t) / 1e6
+        want[i] = (r, len(short), len(long), share, share >= 0.8, wait)
+    for slice_s in (3600, 20, 1):
+        usage = A.quota_usage(calls, 7, 60, 9, 80, slice_s=slice_s)
+        assert {r[0]: tuple(r)[1:] for r in usage.collect()} == want
+    usage.explain("simple")
+    assert "RangeFrame, -" not in capsys.readouterr().out

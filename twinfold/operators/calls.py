@@ -74,20 +74,33 @@ def retry_outcomes(attempts: DataFrame, most: int = 5) -> DataFrame:
     return used.groupBy("operation").agg(F.count("*").alias("n_attempts"), F.bool_or("ok").alias("succeeded"), F.sum(F.when(~F.col("ok"), retry_advice(F.col("category"), F.col("attempt") - 1)["seconds"]).otherwise(0.0)).alias("planned_wait"))
 
 
-def quota_usage(calls: DataFrame, short_s: int, long_s: int, short_cap: int, long_cap: int) -> DataFrame:
+def quota_usage(calls: DataFrame, short_s: int, long_s: int, short_cap: int, long_cap: int, slice_s: int = 3600) -> DataFrame:
     """At each call the calls in two trailing closed windows of its resource, the share of the caps, and the wait at the short cap.
 
-    A resource's rows are cut into spans of the long window; a span takes the rows of one window before it along, so
-    that a busy resource is many tasks, and each row is counted in its own span only.
+    A call enters both windows at its time and leaves each a microsecond after the window's length. Running sums of
+    what entered and left are the counts, and the next call to leave the short window is the oldest in it; both cost a
+    sort, however many calls a window holds. The points are dealt to slices of time of a resource, and what a slice
+    takes over from those before or after it is found over the slices (a row each) and goes with its points. Calls
+    without a time share a window of their own.
     """
-    us = F.unix_micros("ts")
-    long_us = F.lit(long_s * 1_000_000)
-    span = F.floor(us / long_us)
-    rows = calls.withColumn("_us", us).withColumn("_span", F.explode(F.array(span, span + 1))).withColumn("_own", F.col("_span") == F.floor(F.col("_us") / long_us))
-    w = lambda s: Window.partitionBy("resource", "_span").orderBy("_us").rangeBetween(-s * 1_000_000, 0)
-    out = rows.withColumns({"n_short": F.count("*").over(w(short_s)), "n_long": F.count("*").over(w(long_s)), "_oldest": F.min("_us").over(w(short_s))}).where("_own")
+    us, short_us, long_us = F.unix_micros("ts"), short_s * 1_000_000, long_s * 1_000_000
+    point = lambda at, call, short, long, leaves: F.struct(at.alias("_at"), call.alias("call_id"), F.lit(short).alias("_short"), F.lit(long).alias("_long"), leaves.alias("_leaves"), F.lit(short > 0).alias("_own"))
+    no_call, no_time = F.lit(None).cast("long"), F.lit(None).cast("long")
+    enters = point(us, F.col("call_id"), 1, 1, no_time)
+    leaves = [point(us + short_us + 1, no_call, -1, 0, us + short_us + 1), point(us + long_us + 1, no_call, 0, -1, no_time)]
+    points = calls.select("resource", F.inline(F.when(us.isNull(), F.array(enters)).otherwise(F.array(enters, *leaves)))).withColumn("_slice", F.floor(F.col("_at") / F.lit(slice_s * 1_000_000)))
+    slices = points.where("_slice is not null").groupBy("resource", "_slice").agg(F.sum("_short").alias("_short"), F.sum("_long").alias("_long"), F.min("_leaves").alias("_leaves"))
+    over = Window.partitionBy("resource")
+    before, after = (over.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("_slice"), F.desc("_slice")))
+    taken = slices.select("resource", "_slice", F.sum("_short").over(before).alias("_short_before"), F.sum("_long").over(before).alias("_long_before"), F.min("_leaves").over(after).alias("_leaves_after"))
+    whole = Window.partitionBy("resource", "_slice")
+    up = whole.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    down = whole.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, -1)
+    count = lambda c: F.sum(c).over(up) + F.coalesce(F.max(f"{c}_before").over(whole), F.lit(0))
+    next_left = F.coalesce(F.min("_leaves").over(down), F.min("_leaves_after").over(whole))
+    out = points.unionByName(taken, allowMissingColumns=True).withColumns({"n_short": count("_short"), "n_long": count("_long"), "_next": next_left}).where("_own")
     pct = F.greatest(F.col("n_short") / short_cap, F.col("n_long") / long_cap)
-    wait = F.when(F.col("n_short") >= short_cap, (F.col("_oldest") + short_s * 1_000_000 - F.col("_us")) / 1e6).otherwise(0.0)
+    wait = F.when(F.col("n_short") >= short_cap, (F.col("_next") - 1 - F.col("_at")) / 1e6).otherwise(0.0)
     return out.select("call_id", "resource", "n_short", "n_long", pct.alias("share"), (pct >= 0.8).alias("near_limit"), wait.alias("wait_s"))
 
 
