@@ -267,3 +267,30 @@ def test_quotas_of_dense_logs(spark, capsys):
         assert {r[0]: tuple(r)[1:] for r in usage.collect()} == want
     usage.explain("simple")
     assert "RangeFrame, -" not in capsys.readouterr().out
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins by shuffles, as where the other side is too large to be sent to all; partitions stay as they were dealt."""
+    held = {"spark.sql.optimizer.disableHints": "true", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def largest_share(df):
+    """Of the rows of a result, in its largest partition."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_texts_too_long_for_the_glossary_are_spread(spark, no_broadcast):
+    items = spark.range(4000).select("id", F.when(F.col("id") % 100 == 0, " short ").otherwise(F.concat(F.lit("a text of more than twenty letters "), "id")).alias("text"))
+    glossary = spark.createDataFrame([("short", "s", 0, 1), ("other", "o", 0, 2)], "src string, dst string, section_order int, entry_order int")
+    got = R.glossary_lookup(items, glossary)
+    assert got.columns == ["id", "text", "glossary_text"] and got.count() == 4000
+    assert got.where("glossary_text = 's'").count() == 40 and got.where("glossary_text is not null and id % 100 <> 0").isEmpty()
+    assert largest_share(got) < 0.3

@@ -12,6 +12,7 @@ from ..functions.text import CJK, assess_quality, cache_key, clean_artifacts, ha
 from ..shipping import map_pandas
 from ..staging import written
 from .blocks import block_text_field
+from .joins import partner, spread
 
 MARK = "<<<item-{}>>>"
 
@@ -25,10 +26,11 @@ def quality_summary(pairs: DataFrame, pattern: str = CJK) -> DataFrame:
 def glossary_lookup(items: DataFrame, glossary: DataFrame, max_len: int = 20) -> DataFrame:
     """items with the glossary's translation of the whole trimmed text; the first section wins. The glossary is a hand-made list of a few hundred entries at most, checked here."""
     first = Window.partitionBy("src").orderBy("section_order", "entry_order")
-    entries = glossary.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(F.col("src").alias("_key"), F.col("dst").alias("glossary_text"))
+    entries = glossary.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(partner(F.col("src")).alias("_key"), F.col("dst").alias("glossary_text"))
     side = F.broadcast(entries) if glossary.limit(100_001).count() <= 100_000 else entries
     trimmed = F.trim("text")
-    return items.withColumn("_key", F.when(F.length(trimmed) <= max_len, trimmed)).join(side, "_key", "left").drop("_key")
+    # most texts are too long for an entry; where the glossary is too large to be sent to all, they are spread
+    return items.withColumn("_key", spread(items, F.when(F.length(trimmed) <= max_len, trimmed))).join(side, "_key", "left").drop("_key")
 
 
 def glossary_render(glossary: DataFrame, n: int = 10) -> DataFrame:
