@@ -294,3 +294,15 @@ def test_texts_too_long_for_the_glossary_are_spread(spark, no_broadcast):
     assert got.columns == ["id", "text", "glossary_text"] and got.count() == 4000
     assert got.where("glossary_text = 's'").count() == 40 and got.where("glossary_text is not null and id % 100 <> 0").isEmpty()
     assert largest_share(got) < 0.3
+
+
+def test_links_that_lead_elsewhere_are_spread(spark, no_broadcast):
+    wiki = "https://source.example/wiki/"
+    urls = ["", "", "", "https://other.example/wiki/T1", f"HTTPS://Source.Example/wiki/A?n={{}}", f"{wiki}none", None, f"https://target.example/?to={wiki}A", f"x {wiki}A#p"]
+    links = spark.createDataFrame([(i, urls[i % 9].format(i) if urls[i % 9] else urls[i % 9]) for i in range(3600)], "doc_id int, url string").withColumn("style", F.create_map(F.lit("bold"), F.lit("true")))
+    got = L.url_rewrite(links, spark.createDataFrame([("A", "M"), ("T1", "N")], "src string, dst string"))
+    assert got.columns == ["url", "doc_id", "style", "new_url", "replaced"] and largest_share(got) < 0.4
+    new = {4: "https://target.example/wiki/M?n={}", 8: "https://target.example/wiki/M#p"}
+    for r in got.collect():
+        i = r["doc_id"] % 9
+        assert (r["new_url"], r["replaced"]) == (new[i].format(r["doc_id"]) if i in new else r["url"], i in new)

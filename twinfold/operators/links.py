@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import partner, spread
+
 ALLOWED = ("source.example", "target.example")
 
 
@@ -35,10 +37,15 @@ def url_rewrite(links: DataFrame, mapping: DataFrame, source: str = "source.exam
     """
     pattern = rf"(?is)https?://{source.replace('.', '[.]')}/(?:wiki|docx|base|sheets)/([A-Za-z0-9]+)(.*)$"
     plain = decoded(F.col("url")) if with_escapes else F.col("url")
-    urls = links.where(~F.contains("url", F.lit(target)) & (F.col("url") != "")).select("url").distinct().withColumn("_plain", plain)
+    # most links are blank or lead elsewhere; without a path on the source domain they have nothing to be joined to, and are spread
+    named = F.contains(F.lower("url"), F.lit(source.lower()))
+    named = named | F.contains("url", F.lit("%")) if with_escapes else named
+    asked = ~F.contains("url", F.lit(target)) & (F.col("url") != "") & named
+    urls = links.where(asked).select("url").distinct().withColumn("_plain", plain)
     hit = urls.select("url", F.regexp_extract("_plain", pattern, 1).alias("src"), F.regexp_extract("_plain", pattern, 2).alias("_rest")).where("src <> ''")
-    new = hit.join(mapping, "src").select("url", F.concat(F.lit(f"https://{target}/wiki/"), "dst", "_rest").alias("_new"))
-    return links.join(new, "url", "left").withColumns({"new_url": F.coalesce("_new", "url"), "replaced": F.col("_new").isNotNull()}).drop("_new")
+    new = hit.join(mapping, "src").select(partner(F.col("url")).alias("_key"), F.concat(F.lit(f"https://{target}/wiki/"), "dst", "_rest").alias("_new"))
+    done = links.withColumn("_key", spread(links, F.when(asked, F.col("url")))).join(new, "_key", "left")
+    return done.select("url", *[c for c in links.columns if c != "url"], F.coalesce("_new", "url").alias("new_url"), F.col("_new").isNotNull().alias("replaced"))
 
 
 def fix_elements(blocks: DataFrame, mapping: DataFrame) -> DataFrame:
