@@ -306,3 +306,20 @@ def test_links_that_lead_elsewhere_are_spread(spark, no_broadcast):
     for r in got.collect():
         i = r["doc_id"] % 9
         assert (r["new_url"], r["replaced"]) == (new[i].format(r["doc_id"]) if i in new else r["url"], i in new)
+
+
+def test_rounds_shuffle_texts_once(spark):
+    """Marks in any order, every split, null texts and documents without an id; no shuffle after the first gathering."""
+    packed = spark.createDataFrame([(d, i, i // 6, None if (d, i) == (2, 4) else f"{'bad' if i == d else 'text'} {i}") for d in (1, 2, None) for i in range(13) if d or i < 3], "doc_id long, idx int, batch_no int, text string")
+
+    def reply(messages):
+        import re
+
+        return ["".join(reversed(re.findall("<<<item-[^<]*", m.replace("text", "TEXT")))) if "bad" not in m else None for m in messages]
+
+    rounds = R.translate_rounds(packed, reply)
+    got = {(r["doc_id"], r["idx"]): (r["state"], r["text"]) for r in rounds.collect()}
+    assert len(got) == rounds.count() == 29 and rounds.columns == ["doc_id", "idx", "state", "text", "n_rounds"]
+    for (d, i), found in got.items():
+        assert found == (("failed", None) if i == d or (d, i) == (2, 4) else ("done", f"TEXT {i}"))
+    assert "Exchange" not in rounds._jdf.queryExecution().toString()

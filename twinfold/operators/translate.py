@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CJK, assess_quality, cache_key, clean_artifacts, has_cjk
-from ..shipping import map_pandas
+from ..shipping import map_arrow, map_pandas
 from ..staging import written
 from .blocks import block_text_field
 from .joins import partner, spread
@@ -118,22 +119,35 @@ def translate_rounds(packed: DataFrame, fn) -> DataFrame:
 
     packed: doc_id, idx, batch_no, text. Batches whose reply doesn't parse are halved for the next round, single items
     end as failed. Each round asks for half as many items a batch, so there are as many as the largest batch can be
-    halved, and each is written: nothing is asked twice.
+    halved, and each is written: nothing is asked twice. Items are gathered into batches once; a batch is a row that
+    goes through its call and is halved where it is, so that later rounds shuffle nothing.
     """
-    left, done, n = packed.select("doc_id", F.col("idx").cast("long").alias("idx"), F.col("batch_no").cast("long").alias("batch_no"), "text"), [], 0
+    item = F.struct(F.col("idx").cast("long").alias("idx"), "text")
+    batches = packed.groupBy("doc_id", F.col("batch_no").cast("long").alias("batch_no")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    head, tail = MARK.split("{}")
+    lines = F.transform("items", lambda x, i: F.concat(F.lit(head), i.cast("string"), F.lit(tail + "\n"), x["text"]))
+    size, done, n = F.size("items"), [], 0
+    row = "doc_id long, batch_no long, items array<struct<idx: bigint, text: string>>"
+
+    def ask(parts):
+        for part in parts:
+            raw = pa.array(fn(part.column("message").to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("batch_no"), part.column("items"), raw], ["doc_id", "batch_no", "items", "raw"])
+
     while True:
         n += 1
-        messages = written(batch_message(left), "messages")
-        replies = map_translate(messages, fn).join(messages.select("doc_id", "batch_no", "n_items"), ["doc_id", "batch_no"])
-        parsed = written(replies.select("doc_id", "batch_no", "n_items", parse_batch_response(F.col("raw"), F.col("n_items").cast("int")).alias("parsed")), "replies")
-        placed = left.withColumn("i", F.row_number().over(Window.partitionBy("doc_id", "batch_no").orderBy("idx")) - 1)
-        good = parsed.where("parsed is not null").select("doc_id", "batch_no", F.explode("parsed").alias("p")).select("doc_id", "batch_no", "p.i", F.col("p.text").alias("reply"))
-        done.append(placed.join(good, ["doc_id", "batch_no", "i"]).select("doc_id", "idx", F.lit("done").alias("state"), F.col("reply").alias("text"), F.lit(n).alias("n_rounds")))
-        failed = parsed.where("parsed is null").select("doc_id", "batch_no")
-        halves = written(split_failed_batches(left, failed).join(left.select("doc_id", "idx", "text"), ["doc_id", "idx"]), "halves")
-        done.append(halves.where("state = 'failed'").select("doc_id", "idx", "state", F.lit(None).cast("string").alias("text"), F.lit(n).alias("n_rounds")))
-        left = halves.where("state = 'retry'").select("doc_id", "idx", F.col("half_no").alias("batch_no"), "text")
-        if left.isEmpty():
+        replies = map_arrow(batches.select("doc_id", "batch_no", "items", F.array_join(lines, "\n").alias("message")), ask, f"{row}, raw string")
+        found = replies.withColumn("parsed", F.array_sort(parse_batch_response(F.col("raw"), size)))
+        # places and new texts of a batch that came back, the whole items of one that didn't
+        back = F.when(F.col("parsed").isNotNull(), F.arrays_zip(F.col("items.idx").alias("idx"), F.col("parsed.text").alias("text")))
+        told = written(found.select("doc_id", "batch_no", back.alias("back"), F.when(F.col("parsed").isNull(), F.col("items")).alias("items")), "replies")
+        done.append(told.select("doc_id", F.inline("back")).select("doc_id", "idx", F.lit("done").alias("state"), "text", F.lit(n).alias("n_rounds")))
+        failed = told.where("items is not null")
+        done.append(failed.where(size == 1).select("doc_id", F.col("items")[0]["idx"].alias("idx"), F.lit("failed").alias("state"), F.lit(None).cast("string").alias("text"), F.lit(n).alias("n_rounds")))
+        half = F.floor(size / 2).cast("int")
+        halves = F.array(F.slice("items", 1, half), F.slice("items", half + 1, size - half))
+        batches = failed.where(size > 1).select("doc_id", "batch_no", F.posexplode(halves).alias("_half", "items")).select("doc_id", (F.col("batch_no") * 2 + F.col("_half")).alias("batch_no"), "items")
+        if batches.isEmpty():
             return reduce(DataFrame.unionByName, done)
 
 
