@@ -323,3 +323,15 @@ def test_rounds_shuffle_texts_once(spark):
     for (d, i), found in got.items():
         assert found == (("failed", None) if i == d or (d, i) == (2, 4) else ("done", f"TEXT {i}"))
     assert "Exchange" not in rounds._jdf.queryExecution().toString()
+
+
+def test_long_texts_are_routed_by_joins_of_either_kind(spark, no_broadcast):
+    """A large glossary is joined by a shuffle: routes and pending texts are those of a broadcast one."""
+    items = spark.createDataFrame([(i, i % 3, f"é {i % 7} and a text of more than twenty letters" if i % 4 else "é") for i in range(60)], "doc_id long, idx int, text string")
+    glossary = spark.createDataFrame([("é", "e", 0, 1)], "src string, dst string, section_order int, entry_order int")
+    routed = R.route_items(items, glossary, spark.createDataFrame([], "key string, translated string"), "é")
+    assert {r["route"]: r["count"] for r in routed.groupBy("route").count().collect()} == {"glossary": 15, "pending": 45}
+    once = R.pending_once(routed)
+    assert once.count() == 7 and once.agg(F.sum("n_uses")).first()[0] == 45
+    # no task of the glossary's join gets the texts that are too long for it
+    assert largest_share(R.glossary_lookup(items, glossary)) < 0.6
